@@ -124,7 +124,8 @@ def order_ranking(ranked: DataFrame, lead: Sequence[str], entity_order: str, ran
 def quantiles(
     positions: DataFrame, group: Sequence[str], value: str, shares: dict[str, float]
 ) -> DataFrame:
-    """Exact quantiles, linear between the two neighbours, from ``value_positions``.
+    """Exact quantiles from ``value_positions``, linear between the two neighbours and
+    counted from the nearer one.
 
     One aggregation: the value at place p is the one with less <= p < less + ties.
     """
@@ -142,6 +143,8 @@ def quantiles(
             at(F.ceil(point)).alias(f"{name}_high"),
             F.max(point - low).alias(f"{name}_part"),
         ]
-        low_value, high_value = F.col(f"{name}_low"), F.col(f"{name}_high")
-        results.append((low_value + (high_value - low_value) * F.col(f"{name}_part")).alias(name))
+        low_value, high_value, part = (F.col(f"{name}_{end}") for end in ("low", "high", "part"))
+        step = high_value - low_value
+        nearer = F.when(part < 0.5, low_value + step * part).otherwise(high_value - step * (1 - part))
+        results.append(nearer.alias(name))
     return positions.groupBy(*group).agg(*picks).select(*group, *results)
