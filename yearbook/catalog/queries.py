@@ -20,6 +20,7 @@ from yearbook.operators.registry import (
 )
 from yearbook.plans import documents, statistics, warehouse
 from yearbook.plans.sql import run_sql
+from yearbook.session import stored
 from yearbook.sources.companies import company_entries, build_companies, filter_direct, split_targets
 from yearbook.sources.snapshots import decode_snapshot, explode_periods, parse_fetched_at, parse_slug
 
@@ -572,8 +573,10 @@ def check_money_json(spark, sf):
         .when(F.col("l_linenumber") == 4, F.col("l_quantity").cast("string"))
         .otherwise(F.concat(F.floor(value).cast("string"), F.when(F.col("l_linenumber") > 5, F.lit(".25")).otherwise(F.lit(""))))
     )
-    token = V.field(V.decode_json(F.concat(F.lit('{"v": '), text_value, F.lit("}"))), "$.v")
-    return T.table(spark, sf, "lineitem").groupBy("l_linenumber", "l_returnflag").agg(
+    written = V.field(V.decode_json(F.concat(F.lit('{"v": '), text_value, F.lit("}"))), "$.v")
+    lines = T.table(spark, sf, "lineitem").select("l_linenumber", "l_returnflag", written.alias("token"))
+    token = F.col("token")
+    return lines.groupBy("l_linenumber", "l_returnflag").agg(
         F.count_if(V.is_money(token)).alias("money"),
         F.count_if(V.is_ratio(token)).alias("ratio"),
         F.count_if(V.is_optional_text(token)).alias("optional_text"),
@@ -623,7 +626,7 @@ def normalize_fields(spark, sf):
 @query
 def snapshot_mart(spark, sf):
     """Raw JSON to mart: decode, check, accept, normalise, newest snapshot, derive."""
-    periods = warehouse.normalize_fields(quality.accepted(_checked(spark, sf)))
+    periods = stored(warehouse.normalize_fields(quality.accepted(_checked(spark, sf))))
     return warehouse.build_mart(
         warehouse.build_history(periods), T.customer_dimension(spark, sf), warehouse.build_sources(periods)
     )

@@ -40,51 +40,90 @@ def is_array(value: Column) -> Column:
     return F.coalesce(token(value).startswith("ARRAY"), F.lit(False))
 
 
-def is_text(value: Column) -> Column:
-    return F.coalesce(token(value) == "STRING", F.lit(False))
+def as_double(value: Column) -> Column:
+    return F.try_variant_get(value, "$", "double")
 
 
-def is_integer(value: Column) -> Column:
-    """A JSON integer token; ``2021.0`` and ``true`` are not."""
-    return F.coalesce(token(value) == "BIGINT", F.lit(False))
+# The rules below look at a value through its token and its double, so that a
+# caller with many fields computes these two once per field (see ``scalar``).
 
 
-def is_number(value: Column) -> Column:
-    kind = token(value)
-    return F.coalesce(
-        (kind == "BIGINT") | (kind == "DOUBLE") | (kind == "FLOAT") | kind.startswith("DECIMAL"),
-        F.lit(False),
-    )
+def scalar(value: Column) -> Column:
+    """``(value, token, number)`` of a JSON scalar, as one struct."""
+    return F.struct(value.alias("value"), token(value).alias("token"), as_double(value).alias("number"))
 
 
-def as_double(value: Column) -> Column:
-    return F.try_variant_get(value, "$", "double")
+def scalar_is_missing(s: Column) -> Column:
+    return s["token"].isNull() | (s["token"] == "VOID")
 
 
-def as_text(value: Column) -> Column:
-    return F.when(is_text(value), F.try_variant_get(value, "$", "string"))
+def _number(s: Column) -> Column:
+    kind = s["token"]
+    known = (kind == "BIGINT") | (kind == "DOUBLE") | (kind == "FLOAT") | kind.startswith("DECIMAL")
+    return F.coalesce(known, F.lit(False))
 
 
-def is_finite(value: Column) -> Column:
-    return F.coalesce(F.abs(as_double(value)) < F.lit(float("inf")), F.lit(False))
+def scalar_is_zero(s: Column) -> Column:
+    """A real zero; null and absent are not."""
+    return _number(s) & (s["number"] == 0)
 
 
-def is_money(value: Column) -> Column:
+def _finite(s: Column) -> Column:
+    return F.coalesce(F.abs(s["number"]) < F.lit(float("inf")), F.lit(False))
+
+
+def scalar_is_text(s: Column) -> Column:
+    return F.coalesce(s["token"] == "STRING", F.lit(False))
+
+
+def scalar_is_integer(s: Column) -> Column:
+    """A JSON integer token; ``2021.0`` and ``true`` are not."""
+    return F.coalesce(s["token"] == "BIGINT", F.lit(False))
+
+
+def scalar_is_ratio(s: Column) -> Column:
+    """Null, or a finite number."""
+    return scalar_is_missing(s) | (_number(s) & _finite(s))
+
+
+def scalar_is_money(s: Column) -> Column:
     """Null, or a finite number without a fraction (``100.0`` is fine)."""
-    number = as_double(value)
-    integral = F.coalesce(number == F.floor(number).cast("double"), F.lit(False))
+    number = s["number"]
     # Every double beyond 2**53 is integral, and floor() to BIGINT would overflow.
-    integral = F.when(F.abs(number) >= 9007199254740992.0, F.lit(True)).otherwise(integral)
-    return is_missing(value) | (is_number(value) & is_finite(value) & integral)
+    integral = (F.abs(number) >= 9007199254740992.0) | (number == F.floor(number).cast("double"))
+    return scalar_is_ratio(s) & (scalar_is_missing(s) | F.coalesce(integral, F.lit(False)))
+
+
+def scalar_is_optional_text(s: Column) -> Column:
+    return scalar_is_missing(s) | scalar_is_text(s)
+
+
+def is_text(value: Column) -> Column:
+    return scalar_is_text(scalar(value))
+
+
+def is_integer(value: Column) -> Column:
+    return scalar_is_integer(scalar(value))
+
+
+def is_number(value: Column) -> Column:
+    return _number(scalar(value))
+
+
+def is_money(value: Column) -> Column:
+    return scalar_is_money(scalar(value))
 
 
 def is_ratio(value: Column) -> Column:
-    """Null, or a finite number."""
-    return is_missing(value) | (is_number(value) & is_finite(value))
+    return scalar_is_ratio(scalar(value))
 
 
 def is_optional_text(value: Column) -> Column:
-    return is_missing(value) | is_text(value)
+    return scalar_is_optional_text(scalar(value))
+
+
+def as_text(value: Column) -> Column:
+    return F.when(token(value) == "STRING", F.try_variant_get(value, "$", "string"))
 
 
 def normalize_money(value: Column) -> Column:

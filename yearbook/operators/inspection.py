@@ -20,36 +20,41 @@ def year_order(years: Column) -> Column:
     )
 
 
+def _inspected(row: Column) -> Column:
+    names = [*INSPECTED_FIELDS, *SOURCE_FIELDS]
+    return F.struct(
+        F.try_variant_get(row, "$.fiscal_year", "int").alias("year"),
+        V.as_text(V.field(row, "$.accounting_standard")).alias("standard"),
+        *[V.scalar(V.field(row, f"$.{name}")).alias(name) for name in names],
+    )
+
+
 def inspect_snapshots(decoded: DataFrame, keys: Sequence[str] = ("raw_file", "ticker")) -> DataFrame:
     """One report row per decoded snapshot, without a shuffle.
 
     Years stay in file order; standards are distinct in first-seen order; the
     three maps go from field to the years concerned.
     """
-    rows = data_rows(F.col("payload"))
-    year = lambda r: F.try_variant_get(r, "$.fiscal_year", "int")
-
-    def years_where(name: str, holds) -> Column:
-        hit = F.filter(rows, lambda r: holds(V.field(r, f"$.{name}")))
-        return F.transform(hit, year)
+    parts = decoded.select(*keys, F.transform(data_rows(F.col("payload")), _inspected).alias("_rows"))
 
     def report(fields: Sequence[str], holds) -> Column:
+        def years(name: str) -> Column:
+            return F.transform(F.filter("_rows", lambda r: holds(r[name])), lambda r: r["year"])
+
         return F.map_from_arrays(
-            F.array(*[F.lit(f) for f in fields]),
-            F.array(*[years_where(f, holds) for f in fields]),
+            F.array(*[F.lit(f) for f in fields]), F.array(*[years(f) for f in fields])
         )
 
-    standards = F.transform(rows, lambda r: V.as_text(V.field(r, "$.accounting_standard")))
-    is_zero = lambda v: V.is_number(v) & (V.as_double(v) == 0)
-    years = F.transform(rows, year)
-    return decoded.select(
+    years = F.transform("_rows", lambda r: r["year"])
+    standards = F.transform("_rows", lambda r: r["standard"])
+    return parts.select(
         *keys,
         years.alias("fiscal_years"),
         year_order(years).alias("year_order"),
         F.array_distinct(F.array_compact(standards)).alias("accounting_standards"),
-        report(INSPECTED_FIELDS, V.is_missing).alias("missing_values"),
-        report(INSPECTED_FIELDS, is_zero).alias("zero_values"),
-        report(SOURCE_FIELDS, V.is_missing).alias("missing_source_values"),
+        report(INSPECTED_FIELDS, V.scalar_is_missing).alias("missing_values"),
+        report(INSPECTED_FIELDS, V.scalar_is_zero).alias("zero_values"),
+        report(SOURCE_FIELDS, V.scalar_is_missing).alias("missing_source_values"),
     )
 
 

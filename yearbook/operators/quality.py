@@ -67,71 +67,110 @@ def data_rows(payload: Column) -> Column:
     return F.try_variant_get(payload, "$.data", "array<variant>")
 
 
-def _snapshot_rules(payload: Column, expected_code: Column, fetched_at: Column, name: Column, n: int) -> list[Column]:
-    meta, data = V.field(payload, "$.meta"), V.field(payload, "$.data")
-    code, kind = V.field(payload, "$.meta.edinet_code"), V.field(payload, "$.meta.period")
-    rows = data_rows(payload)
-    years = F.transform(rows, lambda r: F.when(V.is_integer(V.field(r, "$.fiscal_year")), F.try_variant_get(r, "$.fiscal_year", "bigint")))
-    shaped = V.is_array(data) & V.is_object(meta)
+def _snapshot_rules(n: int) -> list[Column]:
+    """Rules of the document as a whole, over the columns ``check_snapshots`` prepares."""
+    is_root = F.coalesce(F.col("_root").startswith("OBJECT"), F.lit(False))
+    shaped = F.coalesce(F.col("_data").startswith("ARRAY") & F.col("_meta").startswith("OBJECT"), F.lit(False))
+    years = F.array_compact(F.transform("_rows", lambda r: r["year"]))
     return [
-        unless(fetched_at.isNotNull(), violation("snapshot_time", "file_name", name)),
-        unless(V.is_object(payload), violation("decode", "payload", F.lit(None))),
-        F.when(V.is_object(payload), unless(shaped, violation("root", "data/meta", F.lit(None)))),
-        F.when(shaped, unless(V.as_text(code) == expected_code, violation("code_match", "meta.edinet_code", _text(code)))),
-        F.when(shaped, unless(V.as_text(kind) == ANNUAL, violation("period_kind", "meta.period", _text(kind)))),
-        F.when(shaped, unless(F.size(rows) == n, violation("row_count", "data", F.size(rows)))),
+        unless(F.col("fetched_at").isNotNull(), violation("snapshot_time", "file_name", F.col("file_name"))),
+        unless(is_root, violation("decode", "payload", F.lit(None))),
+        F.when(is_root, unless(shaped, violation("root", "data/meta", F.lit(None)))),
         F.when(
             shaped,
             unless(
-                F.size(F.array_distinct(F.array_compact(years))) == F.size(F.array_compact(years)),
+                V.scalar_is_text(F.col("_code")) & (F.col("_code_text") == F.col("edinet_code")),
+                violation("code_match", "meta.edinet_code", _text(F.col("_code.value"))),
+            ),
+        ),
+        F.when(
+            shaped,
+            unless(
+                V.scalar_is_text(F.col("_period")) & (F.col("_period_text") == ANNUAL),
+                violation("period_kind", "meta.period", _text(F.col("_period.value"))),
+            ),
+        ),
+        F.when(shaped, unless(F.size("_rows") == n, violation("row_count", "data", F.size("_rows")))),
+        F.when(
+            shaped,
+            unless(
+                F.size(F.array_distinct(years)) == F.size(years),
                 violation("year_unique", "fiscal_year", F.to_json(years)),
             ),
         ),
     ]
 
 
+def _fields(row: Column) -> Column:
+    """A period row as a struct with one ``scalar`` per checked field."""
+    names = [*MONEY_FIELDS.values(), *RATIO_FIELDS.values(), *TEXT_FIELDS, "fiscal_year"]
+    return F.struct(
+        V.token(row).startswith("OBJECT").alias("is_object"),
+        row.alias("row"),
+        *[V.scalar(V.field(row, f"$.{name}")).alias(name) for name in names],
+    )
+
+
+def _with_year(fields: Column) -> Column:
+    year = fields["fiscal_year"]
+    value = F.when(V.scalar_is_integer(year), F.try_variant_get(year["value"], "$", "bigint"))
+    return F.struct(value.alias("year"), fields.alias("f"))
+
+
 def _row_rules(row: Column) -> list[Column]:
-    year_value = V.field(row, "$.fiscal_year")
-    year = F.when(V.is_integer(year_value), F.try_variant_get(year_value, "$", "bigint"))
-    whole = V.is_object(row)
+    fields, year = row["f"], row["year"]
+    whole = F.coalesce(fields["is_object"], F.lit(False))
     rules = [
-        unless(whole, violation("row_object", "data", _text(row))),
-        F.when(whole, unless(V.is_integer(year_value), violation("year_type", "fiscal_year", _text(year_value)))),
+        unless(whole, violation("row_object", "data", _text(fields["row"]))),
+        F.when(
+            whole & year.isNull(),
+            violation("year_type", "fiscal_year", _text(fields["fiscal_year"]["value"])),
+        ),
     ]
     for names, check, rule in (
-        (MONEY_FIELDS.values(), V.is_money, "money"),
-        (RATIO_FIELDS.values(), V.is_ratio, "ratio"),
-        (TEXT_FIELDS, V.is_optional_text, "optional_string"),
+        (MONEY_FIELDS.values(), V.scalar_is_money, "money"),
+        (RATIO_FIELDS.values(), V.scalar_is_ratio, "ratio"),
+        (TEXT_FIELDS, V.scalar_is_optional_text, "optional_string"),
     ):
         for name in names:
-            value = V.field(row, f"$.{name}")
-            rules.append(F.when(whole, unless(check(value), violation(rule, name, _text(value), year))))
+            broken = violation(rule, name, _text(fields[name]["value"]), year)
+            rules.append(F.when(whole & ~check(fields[name]), broken))
     return rules
 
 
 def check_snapshots(decoded: DataFrame, periods: int = PERIODS_PER_SNAPSHOT) -> DataFrame:
     """Add a ``violations`` array to decoded snapshots; empty means accepted.
 
-    Expects ``payload``, ``edinet_code``, ``fetched_at`` and ``file_name``.
+    Expects ``payload``, ``edinet_code``, ``fetched_at`` and ``file_name``. Each
+    member of the payload is read once; the rules work on the extracted parts.
     """
     payload = F.col("payload")
-    of_snapshot = F.array_compact(
-        F.array(
-            *_snapshot_rules(
-                payload, F.col("edinet_code"), F.col("fetched_at"), F.col("file_name"), periods
-            )
-        )
-    )
-    of_rows = F.flatten(
-        F.transform(data_rows(payload), lambda r: F.array_compact(F.array(*_row_rules(r))))
+    fields = F.transform(data_rows(payload), _fields)
+    parts = decoded.withColumns(
+        {
+            "_root": V.token(payload),
+            "_data": V.token(V.field(payload, "$.data")),
+            "_meta": V.token(V.field(payload, "$.meta")),
+            "_code": V.scalar(V.field(payload, "$.meta.edinet_code")),
+            "_code_text": F.try_variant_get(payload, "$.meta.edinet_code", "string"),
+            "_period": V.scalar(V.field(payload, "$.meta.period")),
+            "_period_text": F.try_variant_get(payload, "$.meta.period", "string"),
+            "_rows": F.transform(fields, _with_year),
+        }
     )
+    of_snapshot = F.array_compact(F.array(*_snapshot_rules(periods)))
+    of_rows = F.flatten(F.transform("_rows", lambda r: F.array_compact(F.array(*_row_rules(r)))))
     nothing = F.array().cast(f"array<{VIOLATION}>")
-    return decoded.withColumn("violations", F.concat(of_snapshot, F.coalesce(of_rows, nothing)))
+    found = F.concat(of_snapshot, F.coalesce(of_rows, nothing))
+    # The one-element generator keeps a later filter on the result above it. Pushed
+    # down, the filter would carry a copy of every rule and parse the JSON for each.
+    return parts.select(*decoded.columns, F.explode_outer(F.array(found)).alias("violations"))
 
 
 def list_violations(checked: DataFrame, keys: Sequence[str] = ("raw_file", "ticker")) -> DataFrame:
     """Quarantine rows ``(*keys, fiscal_year, field, rule, value)``."""
-    return checked.select(*keys, F.inline("violations"))
+    # The outer form, because Spark copies the input of the plain one into a filter.
+    return checked.select(*keys, F.inline_outer("violations")).filter(F.col("rule").isNotNull())
 
 
 def accepted(checked: DataFrame) -> DataFrame:

@@ -24,15 +24,26 @@ SNAPSHOT_KEYS = ("ticker", "raw_fetched_at", "raw_sha256")
 def normalize_fields(snapshots: DataFrame) -> DataFrame:
     """One typed row per period of the accepted, decoded snapshots."""
     keys = ["company_order", "ticker", "fetched_at", "sha256", "raw_file"]
-    row = F.col("row")
+    wanted = [
+        "fiscal_year",
+        "accounting_standard",
+        *MONEY_FIELDS.values(),
+        *RATIO_FIELDS.values(),
+        "doc_id",
+        "submit_date",
+        "edinet_filing_url",
+    ]
+    fields = explode_periods(snapshots, keys).select(
+        *keys, *[V.field(F.col("row"), f"$.{name}").alias(f"_{name}") for name in wanted]
+    )
 
     def value(name: str):
-        return V.field(row, f"$.{name}")
+        return F.col(f"_{name}")
 
-    return explode_periods(snapshots, keys).select(
+    return fields.select(
         "company_order",
         "ticker",
-        F.try_variant_get(row, "$.fiscal_year", "int").alias("fiscal_year"),
+        F.try_variant_get(value("fiscal_year"), "$", "int").alias("fiscal_year"),
         normalize_standard(V.as_text(value("accounting_standard"))).alias("accounting_standard"),
         F.lit(True).alias("consolidated"),
         *[V.normalize_money(value(raw)).alias(name) for name, raw in MONEY_FIELDS.items()],

@@ -4,8 +4,9 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings that change results or plans. All are runtime settings, so they can be
 # applied to a session that somebody else started.
@@ -57,3 +58,15 @@ def checkpoint_dir(spark: SparkSession) -> str:
     if not spark.sparkContext.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
     return tempfile.mkdtemp(prefix="yearbook-")
+
+
+def stored(df: DataFrame) -> DataFrame:
+    """Write ``df`` to the shared folder and read it back.
+
+    For an intermediate result that several later steps use: they read the table
+    instead of computing it again, also after an executor is lost.
+    """
+    spark = df.sparkSession
+    path = f"{checkpoint_dir(spark)}/yearbook-{uuid.uuid4().hex}"
+    df.write.mode("errorifexists").parquet(path)
+    return spark.read.schema(df.schema).parquet(path)

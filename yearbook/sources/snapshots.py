@@ -122,4 +122,7 @@ def decode_snapshot(snapshots: DataFrame, content: str = "content") -> DataFrame
 
 def explode_periods(decoded: DataFrame, keys: Sequence[str]) -> DataFrame:
     """One row per period: ``(*keys, position, row VARIANT)``, in file order."""
-    return decoded.select(*keys, F.posexplode(data_rows(F.col("payload"))).alias("position", "row"))
+    # The outer form, because Spark copies the input of the plain one into a filter,
+    # which would parse the JSON again.
+    rows = F.posexplode_outer(data_rows(F.col("payload"))).alias("position", "row")
+    return decoded.select(*keys, rows).filter(F.col("position").isNotNull())
