@@ -15,14 +15,14 @@ _DESCRIBE = re.compile(r"\s*desc(?:ribe)?\s+(?:table\s+)?([A-Za-z_][A-Za-z_0-9]*
 def run_sql(spark: SparkSession, text: str) -> DataFrame:
     """Run one query. Anything that is not a query is refused.
 
-    The text is used as a subquery, where Spark's grammar allows a query only, so
-    commands fail before they can run.
+    The text becomes the body of a common table expression, where Spark's grammar
+    allows a query only, so commands fail before they can run.
     """
     described = _DESCRIBE.fullmatch(text)
     if described:
         return spark.sql(f"DESCRIBE TABLE {described.group(1)}")
     query = re.sub(r";\s*$", "", text)
     try:
-        return spark.sql(f"SELECT * FROM (\n{query}\n)")
+        return spark.sql(f"WITH asked AS (\n{query}\n) SELECT * FROM asked")
     except ParseException as broken:
         raise YearbookError(f"not a single query: {text.strip()[:80]}") from broken
