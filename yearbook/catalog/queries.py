@@ -107,7 +107,7 @@ def filter_entity(spark, sf):
 def scale_metric(spark, sf):
     orders = T.table(spark, sf, "orders")
     kind = F.when(F.col("o_orderstatus") == "F", "money").otherwise("percent")
-    cents = numeric.whole(F.col("o_totalprice").cast("decimal(12,2)") * 100)
+    cents = numeric.hundredths(F.col("o_totalprice"))
     return orders.select("o_orderkey", numeric.scale_metric(cents, kind).alias("shown"))
 
 
@@ -300,11 +300,16 @@ def company_totals(spark, sf):
 
 @query
 def agg_bool_and(spark, sf):
-    lines = T.table(spark, sf, "lineitem")
-    return lines.groupBy("l_suppkey", F.year("l_shipdate").alias("fiscal_year")).agg(
-        F.bool_and(F.col("l_linestatus") == "F").alias("all_closed"),
+    # By flag first: a hash aggregate. The maximum over text then sorts few rows.
+    flags = T.table(spark, sf, "lineitem").groupBy(
+        "l_suppkey", F.year("l_shipdate").alias("fiscal_year"), "l_returnflag"
+    ).agg(
+        F.bool_and(F.col("l_linestatus") == "F").alias("closed"), F.max("l_shipdate").alias("shipped")
+    )
+    return flags.groupBy("l_suppkey", "fiscal_year").agg(
+        F.bool_and("closed").alias("all_closed"),
         F.max("l_returnflag").alias("max_flag"),
-        F.max("l_shipdate").alias("generated_at"),
+        F.max("shipped").alias("generated_at"),
     )
 
 
@@ -337,7 +342,7 @@ def default_selection(spark, sf):
 
 def _month_long(spark, sf):
     return reshape.long_metrics(
-        T.supplier_mart(spark, sf, "month"), ["fiscal_year", "company_order", "ticker", "name"]
+        T.stored_supplier_mart(spark, sf, "month"), ["fiscal_year", "company_order", "ticker", "name"]
     )
 
 
@@ -348,7 +353,7 @@ def describe_metrics(spark, sf):
 
 @query
 def describe_common_years(spark, sf):
-    return statistics.statistics(T.supplier_mart(spark, sf)).descriptive
+    return statistics.statistics(T.stored_supplier_mart(spark, sf)).descriptive
 
 
 @query
@@ -375,7 +380,7 @@ def rank_order_lines(spark, sf):
 
 @query
 def order_ranking(spark, sf):
-    mart = T.supplier_mart(spark, sf)
+    mart = T.stored_supplier_mart(spark, sf)
     return ranking.order_ranking(
         statistics.statistics(mart).rankings, statistics.GROUP, "company_order"
     ).select("fiscal_year", "metric", "rank", "ticker", "name", "value")
@@ -790,7 +795,7 @@ def normalize_filed_at(spark, sf):
 def display_formats(spark, sf):
     orders = T.table(spark, sf, "orders")
     price, kind = F.col("o_totalprice"), F.when(F.col("o_orderstatus") == "F", "money").otherwise("percent")
-    cents = numeric.whole(price.cast("decimal(12,2)") * 100)
+    cents = numeric.hundredths(price)
     return orders.select(
         "o_orderkey",
         text.format_millions(cents).alias("millions"),

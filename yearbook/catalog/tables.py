@@ -9,12 +9,12 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from yearbook.functions.numeric import round4, whole
+from yearbook.functions.numeric import exact_sum, hundredths, round4, shifted
 from yearbook.operators.registry import FACT_METRICS
 from yearbook.operators.reshape import unpivot_facts, with_unit
 from yearbook.operators.timeseries import add_derived_metrics
 from yearbook.plans.warehouse import DOCUMENT_TYPE, join_dimension
-from yearbook.session import configure
+from yearbook.session import configure, stored
 
 
 def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
@@ -39,27 +39,24 @@ def plain(df: DataFrame) -> DataFrame:
     return df.select(*[cast(field) for field in df.schema.fields])
 
 
-def money_sums(price: Column, discount: Column, tax: Column, quantity: Column, flag: Column) -> dict[str, Column]:
-    """The seven money metrics of a group of order lines, as exact decimal sums."""
-    p, d = price.cast("decimal(12,2)"), discount.cast("decimal(4,2)")
-    t, q = tax.cast("decimal(4,2)"), quantity.cast("decimal(12,2)")
-    returned = flag == "R"
-    return {
-        "revenue": F.sum(p),
-        "operating_income": F.sum(p * (1 - d)),
-        "net_income": F.sum(p * (1 - d - t)),
-        "total_assets": F.sum(q),
-        "equity": F.sum(p * (d + t)),
-        "operating_cash_flow": F.sum(F.when(~returned, p)),
-        "investing_cash_flow": -F.sum(F.when(returned, p)),
-    }
-
-
 def line_sums() -> list[Column]:
-    sums = money_sums(
-        F.col("l_extendedprice"), F.col("l_discount"), F.col("l_tax"), F.col("l_quantity"), F.col("l_returnflag")
-    )
-    return [whole(total).alias(name) for name, total in sums.items()]
+    """The seven money metrics of a group of order lines.
+
+    Products are exact in hundredths of a cent; sums are decimal, so no group can
+    overflow, whatever its share of the rows.
+    """
+    price, quantity = hundredths(F.col("l_extendedprice")), hundredths(F.col("l_quantity"))
+    discount, tax = hundredths(F.col("l_discount")), hundredths(F.col("l_tax"))
+    returned = F.col("l_returnflag") == "R"
+    return [
+        shifted(exact_sum(price), 2).alias("revenue"),
+        shifted(exact_sum(price * (100 - discount)), 4).alias("operating_income"),
+        shifted(exact_sum(price * (100 - discount - tax)), 4).alias("net_income"),
+        shifted(exact_sum(quantity), 2).alias("total_assets"),
+        shifted(exact_sum(price * (discount + tax)), 4).alias("equity"),
+        shifted(exact_sum(F.when(~returned, price)), 2).alias("operating_cash_flow"),
+        shifted(-exact_sum(F.when(returned, price)), 2).alias("investing_cash_flow"),
+    ]
 
 
 def with_roe(df: DataFrame) -> DataFrame:
@@ -118,6 +115,14 @@ def supplier_mart(spark: SparkSession, sf: str, grain: str = "year") -> DataFram
     )
 
 
+def stored_supplier_mart(spark: SparkSession, sf: str, grain: str = "year") -> DataFrame:
+    """The mart as a stored table, for steps that read it more than once.
+
+    The mart is far smaller than the order lines, which are then scanned once.
+    """
+    return stored(supplier_mart(spark, sf, grain))
+
+
 def supplier_facts(spark: SparkSession, sf: str) -> DataFrame:
     """The supplier years as long facts."""
     return with_unit(unpivot_facts(supplier_periods(spark, sf), ["suppkey", "fiscal_year"]))
@@ -204,7 +209,7 @@ def customer_years(spark: SparkSession, sf: str) -> DataFrame:
     return (
         table(spark, sf, "orders")
         .groupBy(F.col("o_custkey").alias("custkey"), F.year("o_orderdate").alias("fiscal_year"))
-        .agg(whole(F.sum(F.col("o_totalprice").cast("decimal(12,2)"))).alias("revenue"))
+        .agg(shifted(exact_sum(hundredths(F.col("o_totalprice"))), 2).alias("revenue"))
     )
 
 
@@ -230,7 +235,7 @@ def raw_documents(spark: SparkSession, sf: str) -> DataFrame:
     decide which rule a document breaks, so accepted and rejected ones both occur.
     """
     orders = table(spark, sf, "orders")
-    cents = whole(F.col("o_totalprice").cast("decimal(12,2)") * 100)
+    cents = hundredths(F.col("o_totalprice"))
     year = F.year("o_orderdate")
     broken = F.col("o_orderstatus") == "P"
     rows = F.transform(

@@ -7,6 +7,8 @@ that scale first.
 
 from __future__ import annotations
 
+from decimal import Decimal
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -30,6 +32,30 @@ def whole(value: Column) -> Column:
     return F.round(value, 0).cast("bigint")
 
 
+def hundredths(value: Column) -> Column:
+    """A double with two decimals as a whole number of hundredths.
+
+    Cheap: a cast of a double to decimal would go through its text form.
+    """
+    return F.floor(value * 100 + F.lit(0.5))
+
+
+def exact_sum(value: Column) -> Column:
+    """Sum of BIGINT values as decimal, too wide to overflow.
+
+    The high and low bits are summed apart as BIGINT, which is many times faster
+    than adding decimals row by row: the low part holds for 8 * 10**12 rows.
+    """
+    high = F.sum(F.shiftright(value, 20)).cast("decimal(20,0)")
+    low = F.sum(value.bitwiseAND(F.lit(0xFFFFF))).cast("decimal(20,0)")
+    return high * F.lit(Decimal(1 << 20)) + low
+
+
+def shifted(value: Column, places: int) -> Column:
+    """A decimal with its point moved left, rounded to a whole BIGINT."""
+    return whole(value * F.lit(Decimal(1).scaleb(-places)))
+
+
 def exact_mean(value: Column) -> Column:
     """Mean over an exact decimal sum, so the result ignores row order.
 

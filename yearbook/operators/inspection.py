@@ -20,12 +20,19 @@ def year_order(years: Column) -> Column:
     )
 
 
-def _inspected(row: Column) -> Column:
-    names = [*INSPECTED_FIELDS, *SOURCE_FIELDS]
+def _members(row: Column) -> Column:
+    names = [*INSPECTED_FIELDS, *SOURCE_FIELDS, "accounting_standard"]
     return F.struct(
         F.try_variant_get(row, "$.fiscal_year", "int").alias("year"),
-        V.as_text(V.field(row, "$.accounting_standard")).alias("standard"),
-        *[V.scalar(V.field(row, f"$.{name}")).alias(name) for name in names],
+        *[V.field(row, f"$.{name}").alias(name) for name in names],
+    )
+
+
+def _inspected(members: Column) -> Column:
+    return F.struct(
+        members["year"].alias("year"),
+        V.as_text(members["accounting_standard"]).alias("standard"),
+        *[V.scalar(members[name]).alias(name) for name in (*INSPECTED_FIELDS, *SOURCE_FIELDS)],
     )
 
 
@@ -35,7 +42,7 @@ def inspect_snapshots(decoded: DataFrame, keys: Sequence[str] = ("raw_file", "ti
     Years stay in file order; standards are distinct in first-seen order; the
     three maps go from field to the years concerned.
     """
-    parts = decoded.select(*keys, F.transform(data_rows(F.col("payload")), _inspected).alias("_rows"))
+    parts = decoded.select(*keys, F.transform(F.transform(data_rows(F.col("payload")), _members), _inspected).alias("_rows"))
 
     def report(fields: Sequence[str], holds) -> Column:
         def years(name: str) -> Column:

@@ -101,13 +101,22 @@ def _snapshot_rules(n: int) -> list[Column]:
     ]
 
 
-def _fields(row: Column) -> Column:
-    """A period row as a struct with one ``scalar`` per checked field."""
-    names = [*MONEY_FIELDS.values(), *RATIO_FIELDS.values(), *TEXT_FIELDS, "fiscal_year"]
+CHECKED_FIELDS = (*MONEY_FIELDS.values(), *RATIO_FIELDS.values(), *TEXT_FIELDS, "fiscal_year")
+
+
+def _members(row: Column) -> Column:
+    """The checked members of a period row, each looked up once."""
+    return F.struct(
+        row.alias("row"), *[V.field(row, f"$.{name}").alias(name) for name in CHECKED_FIELDS]
+    )
+
+
+def _fields(members: Column) -> Column:
+    """The members with token and number, as one struct."""
     return F.struct(
-        V.token(row).startswith("OBJECT").alias("is_object"),
-        row.alias("row"),
-        *[V.scalar(V.field(row, f"$.{name}")).alias(name) for name in names],
+        V.token(members["row"]).startswith("OBJECT").alias("is_object"),
+        members["row"].alias("row"),
+        *[V.scalar(members[name]).alias(name) for name in CHECKED_FIELDS],
     )
 
 
@@ -145,7 +154,7 @@ def check_snapshots(decoded: DataFrame, periods: int = PERIODS_PER_SNAPSHOT) ->
     member of the payload is read once; the rules work on the extracted parts.
     """
     payload = F.col("payload")
-    fields = F.transform(data_rows(payload), _fields)
+    fields = F.transform(F.transform(data_rows(payload), _members), _fields)
     parts = decoded.withColumns(
         {
             "_root": V.token(payload),

@@ -18,10 +18,15 @@ def distinct_snapshots(history: DataFrame, entity: str, fetched_at: str, digest:
 
 
 def latest_snapshot(history: DataFrame, entity: str, fetched_at: str, digest: str) -> DataFrame:
-    """One row per entity: the newest fetch time, ties broken by the larger hash."""
+    """One row per entity: the newest fetch time, ties broken by the larger hash.
+
+    History rows are first reduced to distinct snapshots by hash aggregation. A
+    maximum over a struct is a sorting aggregate, which would sort the history.
+    """
     newest = F.max(F.struct(F.col(fetched_at), F.col(digest)))
     return (
-        history.groupBy(entity)
+        distinct_snapshots(history, entity, fetched_at, digest)
+        .groupBy(entity)
         .agg(newest.alias("newest"))
         .select(entity, f"newest.{fetched_at}", f"newest.{digest}")
     )

@@ -119,14 +119,22 @@ def build_mart(history: DataFrame, dimension: DataFrame, sources: DataFrame) ->
     Facts are reduced to one row per period before anything else is joined. The
     sources need no snapshot filter of their own: the left join is on the snapshot
     keys of the mart rows.
+
+    The pivot groups by the accounting standard as well, then the largest standard
+    of each period is taken. A maximum over text is a sorting aggregate; this way it
+    sorts one row per period instead of one per fact.
     """
-    periods = pivot_metrics(
+    keys = [*SNAPSHOT_KEYS, "fiscal_year"]
+    metrics = [*MONEY_FIELDS, *RATIO_FIELDS]
+    by_standard = pivot_metrics(
         latest_facts(history),
-        [*SNAPSHOT_KEYS, "fiscal_year"],
-        extra={
-            "accounting_standard": F.max("accounting_standard"),
-            "consolidated": F.bool_and("consolidated"),
-        },
+        [*keys, "accounting_standard"],
+        extra={"consolidated": F.bool_and("consolidated")},
+    )
+    periods = by_standard.groupBy(*keys).agg(
+        *[F.max(metric).alias(metric) for metric in metrics],
+        F.max("accounting_standard").alias("accounting_standard"),
+        F.bool_and("consolidated").alias("consolidated"),
     )
     named = join_dimension(periods, dimension, ["company_order", "name", "edinet_code", "currency"])
     derived = add_derived_metrics(named, "ticker", "fiscal_year")

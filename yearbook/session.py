@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import atexit
+import functools
 import os
+import shutil
 import tempfile
 import uuid
 
@@ -36,6 +39,7 @@ def local_session(cores: int | str = "*", app: str = "yearbook") -> SparkSession
         SparkSession.builder.master(f"local[{cores}]")
         .appName(app)
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", os.environ.get("YEARBOOK_DRIVER_MEMORY", "8g"))
         .config("spark.sql.shuffle.partitions", "8")
     )
@@ -57,7 +61,15 @@ def checkpoint_dir(spark: SparkSession) -> str:
         return shared
     if not spark.sparkContext.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-    return tempfile.mkdtemp(prefix="yearbook-")
+    return _scratch()
+
+
+@functools.cache
+def _scratch() -> str:
+    """One folder per process, gone with it."""
+    folder = tempfile.mkdtemp(prefix="yearbook-")
+    atexit.register(shutil.rmtree, folder, ignore_errors=True)
+    return folder
 
 
 def stored(df: DataFrame) -> DataFrame:
