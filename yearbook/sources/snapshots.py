@@ -58,20 +58,25 @@ def _identities(companies: DataFrame) -> DataFrame:
     return direct.select("company_order", "ticker", "edinet_code", ticker_slug(F.col("ticker")).alias("slug"))
 
 
-def scan_snapshots(spark: SparkSession, paths: str | Sequence[str], companies: DataFrame) -> DataFrame:
-    """All snapshots of known direct companies.
+def identify(files: DataFrame, companies: DataFrame) -> DataFrame:
+    """Files of known direct companies, with identity, fetch time and hash.
 
     Names that miss the rule and unknown slugs are ignored. An impossible date
     stays in, with a null ``fetched_at``, for the quality rules to report.
     """
     return (
-        _named(_files(spark, paths))
+        _named(files)
         .filter(F.col("slug").isNotNull())
         .join(_identities(companies), "slug")
         .withColumn("sha256", snapshot_fingerprint(F.col("content")))
     )
 
 
+def scan_snapshots(spark: SparkSession, paths: str | Sequence[str], companies: DataFrame) -> DataFrame:
+    """All snapshots of known direct companies."""
+    return identify(_files(spark, paths), companies)
+
+
 def scan_latest_snapshots(spark: SparkSession, paths: str | Sequence[str], companies: DataFrame) -> DataFrame:
     """The newest snapshot file per slug; wrong names and dates are skipped.
 

@@ -1,0 +1 @@
+"""The raw part of the build as a stream."""
