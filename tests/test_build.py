@@ -182,6 +182,12 @@ def test_conflicting_snapshots(spark, place):
     conflicts = quality.check_snapshot_conflict(both).collect()
     assert [(r.ticker, r.rule) for r in conflicts] == [("2222.T", "snapshot_conflict")]
 
+    write_snapshot(place / "raw", "2222_t", "20260719T000000Z", payload("E00002"))
+    lenient = config(place, strict=False, snapshots=str(place / "[rm]*"))
+    history = W.scan_table(spark, build(spark, lenient), "financial_history")
+    kept = history.filter("ticker = '2222.T'").select(F.to_date("raw_fetched_at").alias("d")).distinct()
+    assert [str(r.d) for r in kept.collect()] == ["2026-07-19"]
+
 
 def test_latest_and_explicit_inputs(spark, place):
     companies = load_companies(spark, str(place / "companies.json"))

@@ -10,12 +10,11 @@ from pyspark.sql import functions as F
 from yearbook import sinks
 from yearbook.errors import YearbookError
 from yearbook.operators import quality as Q
-from yearbook.operators.compare import compare_entities
-from yearbook.operators.compare import long_comparison
+from yearbook.operators.compare import compare_entities, long_comparison
 from yearbook.operators.ranking import value_positions
 from yearbook.operators.registry import COMPARISON_CHARTS
 from yearbook.operators.series import chart_series
-from yearbook.operators.snapshots import dedupe_snapshots
+from yearbook.operators.snapshots import dedupe_snapshots, snapshot_conflicts
 from yearbook.operators.stats import require_common_periods
 from yearbook.plans import documents as D
 from yearbook.plans import statistics as S
@@ -71,11 +70,13 @@ def load_snapshots(
     else:
         sinks.write_json_lines(violations, f"{stage}/quarantine")
     usable = Q.accepted(checked)
-    conflicts = Q.check_snapshot_conflict(checked).select("ticker").distinct()
-    usable = usable.join(conflicts, "ticker", "left_anti")
-    kept = dedupe_snapshots(
-        usable.select("ticker", "fetched_at", "sha256", "raw_file"), ["ticker", "fetched_at"], "sha256", "raw_file"
-    ).select("raw_file")
+    keys = ["ticker", "fetched_at"]
+    named = usable.select(*keys, "sha256", "raw_file")
+    kept = (
+        dedupe_snapshots(named, keys, "sha256", "raw_file")
+        .join(snapshot_conflicts(checked, keys, "sha256"), keys, "left_anti")
+        .select("raw_file")
+    )
     snapshots = usable.join(kept, "raw_file", "left_semi")
     missing = Q.check_missing_entities(companies, snapshots)
     if not config.allow_missing:
