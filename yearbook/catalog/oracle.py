@@ -343,6 +343,14 @@ def _grouped(number: str, decimals: int) -> str:
     )
 
 
+def _compact(value: str) -> str:
+    return (
+        f"CASE WHEN abs({value}) >= 1000000 THEN format('{{:.1f}}T', {value} / 1000000.0::DOUBLE) "
+        f"WHEN abs({value}) >= 1000 THEN format('{{:.1f}}B', {value} / 1000.0::DOUBLE) "
+        f"ELSE format('{{:,}}', CAST(round_even({value}, 0) AS BIGINT)) END"
+    )
+
+
 ORACLE_SQL: dict[str, str] = {
     # Marts
     "mart_supplier_year": _with(supplier_mart()) + "SELECT * FROM mart",
@@ -654,6 +662,9 @@ UNION ALL SELECT c_name, 'avg_salary_fiscal_year', 'salary_year' FROM customer W
   strftime(o_orderdate, '%Y-%m-%dT%H:%M:%SZ') AS iso_time, strftime(o_orderdate, '%Y-%m-%d') AS iso_day,
   strftime(o_orderdate, '%Y/%m/%d') AS slash_day, strftime(o_orderdate, '%Y/%m/%d') || ' 9:00' AS japan_time
 FROM orders""",
+    "display_compact": f"""SELECT o_orderkey, {_compact("o_totalprice")} AS thousands,
+  {_compact("(o_totalprice * -100)")} AS losses, {_compact("round(o_totalprice / 1000, 0)")} AS plain,
+  CASE WHEN o_orderstatus = 'P' THEN '—' ELSE ({_grouped("o_totalprice", 2)}) || '%' END AS percent FROM orders""",
     # Documents and SQL
     "nest_periods": _with(ORDER_MART)
     + """SELECT ticker, count(*) OVER (PARTITION BY ticker) AS period_count,

@@ -808,6 +808,18 @@ def display_formats(spark, sf):
     )
 
 
+@query
+def display_compact(spark, sf):
+    price = F.col("o_totalprice")
+    return T.table(spark, sf, "orders").select(
+        "o_orderkey",
+        text.format_compact(price).alias("thousands"),
+        text.format_compact(price * -100).alias("losses"),
+        text.format_compact(F.round(price / 1000, 0)).alias("plain"),
+        text.format_percent(F.when(F.col("o_orderstatus") != "P", price)).alias("percent"),
+    )
+
+
 # Documents and SQL ---------------------------------------------------------------
 
 
