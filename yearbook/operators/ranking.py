@@ -31,7 +31,9 @@ _NULL_SALTS = 64
 
 def _bucket(value: Column) -> Column:
     size = F.floor(F.log1p(F.abs(value)) * BUCKETS_PER_E_FOLD)
-    return F.when(value < 0, -size).otherwise(size)
+    # Declared never null, or the join on the bucket would add a null filter to one of
+    # its two sides and the shuffle of the counted values could not be shared.
+    return F.coalesce(F.when(value < 0, -size).otherwise(size), F.lit(0))
 
 
 def value_positions(df: DataFrame, group: Sequence[str], value: str) -> DataFrame:
