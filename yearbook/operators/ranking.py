@@ -21,10 +21,10 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-# Buckets are this fine on a logarithmic scale, about an eighth of a thousandth of
-# the value. The largest double is about e**710, so one group has at most
-# 2 * 710 * 8192 (11.6 million) bucket totals, usually some tens of thousands.
-BUCKETS_PER_E_FOLD = 8192
+# Buckets are this fine on a logarithmic scale, half a thousandth of the value. The
+# largest double is about e**710, so one group has at most 2 * 710 * 2048 (2.9
+# million) bucket totals, usually some tens of thousands.
+BUCKETS_PER_E_FOLD = 2048
 
 _NULL_SALTS = 64
 
