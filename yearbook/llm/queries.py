@@ -10,7 +10,9 @@ from pyspark.sql import functions as F
 
 from yearbook.llm.packing import pack
 from yearbook.llm.quality import repetition, verdicts
+from yearbook.llm.tables import new_folder
 from yearbook.llm.tokencount import token_counts
+from yearbook.llm.tokenfile import read_tokens, write_tokens
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -22,6 +24,14 @@ def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
 
 
+def op4_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = new_folder(spark, "token-files")
+    write_tokens(_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), folder)
+    read = read_tokens(spark, folder)
+    n = (F.octet_length("ids") / 4).cast("bigint")
+    return read.select("doc_id", "start", n.alias("n_tokens"), F.crc32("ids").alias("ids_crc32"))
+
+
 def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = verdicts(repetition(_table(spark, sf_dir, "documents")))
     first = ["doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept"]
@@ -34,6 +44,7 @@ def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_packing": op2_packing,
+    "op4_token_files": op4_token_files,
     "op5_quality": op5_quality,
     "op9_token_counts": op9_token_counts,
 }
