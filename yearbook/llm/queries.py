@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from yearbook.llm.packing import pack
 from yearbook.llm.quality import repetition, verdicts
+from yearbook.llm.sharding import shard
 from yearbook.llm.tables import new_folder
 from yearbook.llm.tokencount import token_counts
 from yearbook.llm.tokenfile import read_tokens, write_tokens
@@ -38,6 +39,12 @@ def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select(*first, *(c for c in found.columns if c not in first))
 
 
+def op6_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    placed = shard(_table(spark, sf_dir, "documents"), shards=16)
+    columns = ("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
+    return placed.select(*columns)
+
+
 def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts(_table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
@@ -46,6 +53,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_packing": op2_packing,
     "op4_token_files": op4_token_files,
     "op5_quality": op5_quality,
+    "op6_sharding": op6_sharding,
     "op9_token_counts": op9_token_counts,
 }
 
