@@ -8,6 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from yearbook.llm.jaccard import near_duplicates
 from yearbook.llm.packing import pack
 from yearbook.llm.quality import repetition, verdicts
 from yearbook.llm.sharding import shard
@@ -45,6 +46,10 @@ def op6_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return placed.select(*columns)
 
 
+def op8_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(_table(spark, sf_dir, "documents"))
+
+
 def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts(_table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
@@ -54,6 +59,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_token_files": op4_token_files,
     "op5_quality": op5_quality,
     "op6_sharding": op6_sharding,
+    "op8_jaccard_join": op8_jaccard_join,
     "op9_token_counts": op9_token_counts,
 }
 
