@@ -8,6 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from yearbook.llm.decontam import leaks
 from yearbook.llm.jaccard import near_duplicates
 from yearbook.llm.packing import pack
 from yearbook.llm.quality import repetition, verdicts
@@ -54,6 +55,10 @@ def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts(_table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
 
+def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return leaks(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_packing": op2_packing,
     "op4_token_files": op4_token_files,
@@ -61,6 +66,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_sharding": op6_sharding,
     "op8_jaccard_join": op8_jaccard_join,
     "op9_token_counts": op9_token_counts,
+    "op10_decontamination": op10_decontamination,
 }
 
 ORACLE_SQL: dict[str, str] = {}
