@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from yearbook.llm.decontam import leaks
 from yearbook.llm.jaccard import near_duplicates
 from yearbook.llm.packing import pack
+from yearbook.llm.privacy import KINDS, digest, sensitive_spans
 from yearbook.llm.quality import repetition, verdicts
 from yearbook.llm.sharding import shard
 from yearbook.llm.tables import new_folder
@@ -22,6 +23,17 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_privacy(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = sensitive_spans(_table(spark, sf_dir, "documents"))
+
+    def of(kind: str) -> F.Column:
+        return F.filter("spans", lambda s: s["kind"] == kind)
+
+    counts = [F.size(of(k)).cast("bigint").alias(f"n_{k}") for k in KINDS]
+    base = digest(F.filter("spans", lambda s: s["kind"].isin(*KINDS)))
+    return found.select("doc_id", *counts, F.sha2(base, 256).alias("base_sha256"), digest(F.col("spans")).alias("spans"))
+
+
 def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     pieces = pack(_table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
     return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
@@ -60,6 +72,7 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_privacy": op1_privacy,
     "op2_packing": op2_packing,
     "op4_token_files": op4_token_files,
     "op5_quality": op5_quality,
