@@ -22,6 +22,11 @@ _LOWER[_SPACE] = 0x20
 _PLAIN = _SAME.copy()
 _PLAIN[_SPACE] = 0x20
 
+#: Letters only: other ASCII becomes space, bytes of other characters stay.
+_LETTERS = np.full(256, 0x20, np.uint8)
+_LETTERS[65:91] = _LETTERS[97:123] = np.arange(97, 123)
+_LETTERS[128:] = _SAME[128:]
+
 _U = np.uint64
 
 
@@ -62,10 +67,12 @@ class Words(NamedTuple):
     chars: np.ndarray  # code points of each word
 
 
-def words_of(texts: pa.Array, lower: bool) -> Words:
-    """All words, exactly; ``lower`` turns A-Z into a-z first."""
+def words_of(texts: pa.Array, lower: bool, letters: bool = False) -> Words:
+    """All words, exactly; ``lower`` turns A-Z into a-z first. ``letters``: runs of
+    letters (and of characters outside ASCII), lower-cased."""
+    table = _LETTERS if letters else _LOWER if lower else _PLAIN
     data, starts = text_bytes(pc.binary_join_element_wise(texts, pa.scalar("", texts.type), pa.scalar(" ", texts.type)))
-    flat = (_LOWER if lower else _PLAIN)[data]
+    flat = table[data]
     space = flat == 0x20
     after = np.empty(len(space), bool)  # what stands before is space, or nothing
     if len(space):

@@ -17,6 +17,7 @@ from yearbook.llm.sharding import shard
 from yearbook.llm.tables import new_folder
 from yearbook.llm.tokencount import token_counts
 from yearbook.llm.tokenfile import read_tokens, write_tokens
+from yearbook.llm.toxicity import toxicity
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -39,6 +40,10 @@ def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
 
 
+def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
 def op4_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = new_folder(spark, "token-files")
     write_tokens(_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), folder)
@@ -74,6 +79,7 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_privacy": op1_privacy,
     "op2_packing": op2_packing,
+    "op3_toxicity": op3_toxicity,
     "op4_token_files": op4_token_files,
     "op5_quality": op5_quality,
     "op6_sharding": op6_sharding,
