@@ -21,15 +21,15 @@ WORD, BYTE = public_tokenizers.path("word_bpe_49k.json"), public_tokenizers.path
 @pytest.mark.parametrize("path", [WORD, BYTE])
 @pytest.mark.parametrize("kept", [500_000, 0])
 def test_pieces_give_the_ids_of_whole_texts(path, kept):
-    texts = [r[1] or "" for r in rows()]
+    texts = [r[1] or "" for r in rows()] + [" 가각 힣 ᄀ ªº ǅ ß İI Σς ﬁ ²³ ① ٣ n̈a é́", " İ İ", " a\u0301 \u1100\u1161", " x.y;z!w?v:u,t . , s"]
     whole = Tokenizer.from_file(path)
-    encoder = PieceEncoder(path, True, most_kept=kept, longest=8)
+    encoder = PieceEncoder(path, most_kept=kept, batch_chars=100)
     for _ in range(2):
         counts, ids = encoder(pa.array(texts, pa.large_string()))
         ends = np.cumsum(counts)
         for text, end, n in zip(texts, ends, counts, strict=True):
             assert ids[end - n : end].tolist() == whole.encode(text, add_special_tokens=False).ids
-    assert PieceEncoder(path, False)(pa.array(texts, pa.large_string()))[0].tolist() == counts.tolist()
+    assert PieceEncoder(path)(pa.array(texts, pa.large_string()), False)[0].tolist() == counts.tolist()
 
 
 def test_token_counts(spark):

@@ -70,9 +70,9 @@ class Words(NamedTuple):
 def words_of(texts: pa.Array, lower: bool, letters: bool = False) -> Words:
     """All words, exactly; ``lower`` turns A-Z into a-z first. ``letters``: runs of
     letters (and of characters outside ASCII), lower-cased."""
-    table = _LETTERS if letters else _LOWER if lower else _PLAIN
+    table = (_LETTERS if letters else _LOWER if lower else _PLAIN).tobytes()
     data, starts = text_bytes(pc.binary_join_element_wise(texts, pa.scalar("", texts.type), pa.scalar(" ", texts.type)))
-    flat = table[data]
+    flat = np.frombuffer(data.tobytes().translate(table), np.uint8)
     space = flat == 0x20
     after = np.empty(len(space), bool)  # what stands before is space, or nothing
     if len(space):

@@ -35,7 +35,7 @@ def token_table(docs: DataFrame, tokenizer: str, end_id: int, id_col: str, text_
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         at = 0
         for batch in passes(batches, 1, PASS_BYTES):
-            counts, flat = encoder(tokenizer, True)(texts_of(batch, 1))
+            counts, flat = encoder(tokenizer)(texts_of(batch, 1))
             # one end id behind each document
             flat = np.insert(flat, np.cumsum(counts), np.uint32(end_id)).astype("<u4")
             counts = counts + 1

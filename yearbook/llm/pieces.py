@@ -12,52 +12,67 @@ from __future__ import annotations
 
 import functools
 import os
-from collections.abc import Iterator
+from array import array
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 
 from yearbook.llm.columns import text_bytes
 
-_ASCII_SPACE = np.zeros(256, bool)
-_ASCII_SPACE[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
-_STOP = np.zeros(256, bool)
-_STOP[list(b".,;:!?")] = True
-_LETTER = np.zeros(256, bool)
-_LETTER[list(range(65, 91)) + list(range(97, 123))] = True
+_SPACES, _STOPS = b" \t\n\v\f\r", b".,;:!?"
+_SPACE, _STOP, _LETTER = 1, 2, 3
+_CLASS = bytes(
+    _SPACE if c in _SPACES else _STOP if c in _STOPS else _LETTER if 65 <= c <= 90 or 97 <= c <= 122 else 0 for c in range(256)
+)
 
 
 def cuts(data: np.ndarray, starts: np.ndarray) -> np.ndarray:
     """Where pieces start, in ascending order; text starts are among them."""
-    before, here = data[:-1], data[1:]
-    space = np.flatnonzero(_ASCII_SPACE[here] & ~_ASCII_SPACE[before]) + 1
-    at = space
-    last, mid, first = (data[np.maximum(at - k, 0)] for k in (1, 2, 3))
+    kind = np.frombuffer(data.tobytes().translate(_CLASS), np.uint8)
+    space = kind == _SPACE
+    cut = np.zeros(len(data), bool)
+    cut[1:] = space[1:] & ~space[:-1] | (kind[1:] == _STOP) & (kind[:-1] == _LETTER)
     # White space of more than one byte: U+0085, U+00A0, U+1680, U+2000-200A, U+2028,
     # U+2029, U+202F, U+205F, U+3000. A cut behind it would part a run of white space.
+    at = np.flatnonzero(cut)
+    at = at[data[at - 1] >= 0x80]
+    last, mid, first = (data[np.maximum(at - k, 0)] for k in (1, 2, 3))
     wide = (mid == 0xC2) & ((last == 0x85) | (last == 0xA0))
     wide |= (first == 0xE1) & (mid == 0x9A) & (last == 0x80)
-    wide |= (first == 0xE2) & (mid == 0x80) & ((last <= 0x8A) | (last == 0xA8) | (last == 0xA9) | (last == 0xAF)) & (last >= 0x80)
+    wide |= (first == 0xE2) & (mid == 0x80) & ((last <= 0x8A) | (last == 0xA8) | (last == 0xA9) | (last == 0xAF))
     wide |= (first == 0xE2) & (mid == 0x81) & (last == 0x9F)
     wide |= (first == 0xE3) & (mid == 0x80) & (last == 0x80)
-    cut = np.zeros(len(data), bool)
-    cut[1:] = _STOP[here] & _LETTER[before]
-    cut[at[~wide]] = True
+    cut[at[wide]] = False
     cut[starts[:-1][np.diff(starts) > 0]] = True
     return np.flatnonzero(cut)
 
 
+class _Kept:
+    """Encoded pieces: token ids end to end, and where each piece's are."""
+
+    def __init__(self) -> None:
+        self.place: dict[str, int] = {}
+        self.start = array("q", [0])
+        self.ids = array("I")
+
+    def add(self, piece: str, ids: Iterable[int]) -> None:
+        self.place[piece] = len(self.start) - 1
+        self.ids.extend(ids)
+        self.start.append(len(self.ids))
+
+
 class PieceEncoder:
     """Encodes pieces with one tokenizer file and keeps what it has encoded.
 
-    The kept pieces are dropped when they pass ``most_kept``; a piece over ``longest``
-    characters isn't kept. ``batch_chars`` bounds the text of one call of the library.
-    Pieces that are one word of letters go through the library's stages (normaliser,
-    pre-tokenizer, model) directly, many words in a call; all others through ``encode``.
+    At most ``most_kept`` pieces are kept twice over: a full store becomes the old one,
+    from which pieces that come again move on. ``batch_chars`` bounds the text of one call
+    of the library. Pieces that are one word of letters go through the library's stages
+    (normaliser, pre-tokenizer, model) directly, many words in a call; all others through
+    ``encode``.
     """
 
-    def __init__(self, path: str, with_ids: bool, most_kept: int = 500_000, longest: int = 64, batch_chars: int = 64 << 10):
+    def __init__(self, path: str, most_kept: int = 300_000, batch_chars: int = 64 << 10):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark's tasks are the parallel part
         from tokenizers import Tokenizer
 
@@ -65,16 +80,17 @@ class PieceEncoder:
         self.encoder.no_truncation()
         self.encoder.no_padding()
         for token in self.encoder.get_added_tokens_decoder().values():
-            text = token.content.encode()
-            if token.lstrip or token.rstrip or token.content.isalpha() or any(_ASCII_SPACE[c] or _STOP[c] for c in text):
+            if token.lstrip or token.rstrip or token.content.isalpha() or set(token.content.encode()) & set(_SPACES + _STOPS):
                 raise ValueError(f"texts can't be cut safely beside the special token {token.content!r}")
-        self.with_ids, self.most_kept, self.longest, self.batch_chars = with_ids, most_kept, longest, batch_chars
-        self._clear()
+        self.most_kept, self.batch_chars = most_kept, batch_chars
+        self.kept, self.old = _Kept(), _Kept()
+        self.letters: dict[int, str | None] = {}  # what the pre-tokenizer makes of a letter
+        self.lead = self._split(" a")[: -len(self._split("a"))]  # and of the space before a word
 
-    def _clear(self) -> None:
-        self.known: dict[str, int] = {}
-        self.counts: list[int] = []
-        self.ids: list[np.ndarray] = []
+    def _split(self, text: str) -> str | None:
+        """What the pre-tokenizer makes of ``text`` if it takes it as one."""
+        parts = self.encoder.pre_tokenizer.pre_tokenize_str(text)
+        return parts[0][0] if len(parts) == 1 else None
 
     def _batches(self, pieces: list[str]) -> Iterator[list[str]]:
         batch, size = [], 0
@@ -87,63 +103,63 @@ class PieceEncoder:
         if batch:
             yield batch
 
-    def _keep(self, piece: str, ids: list[int]) -> None:
-        self.known[piece] = len(self.counts)
-        self.counts.append(len(ids))
-        if self.with_ids:
-            self.ids.append(np.array(ids, np.uint32))
-
     def _encode(self, pieces: list[str]) -> None:
-        words = [p for p in pieces if p[0] == " " and p[1:].isalpha()]
-        others = [p for p in pieces if p[0] != " " or not p[1:].isalpha()]
-        normalizer, splitter, model = self.encoder.normalizer, self.encoder.pre_tokenizer, self.encoder.model
+        words, others = [], []
+        for p in pieces:
+            (words if p[0] == " " and p[1:].isalpha() else others).append(p)
+        normalizer, tokenize, add, lead = self.encoder.normalizer, self.encoder.model.tokenize, self.kept.add, self.lead
         for batch in self._batches(words):
             joined = "".join(batch)
-            split = splitter.pre_tokenize_str(normalizer.normalize_str(joined) if normalizer else joined)
-            if len(split) != len(batch):  # a letter that the tokenizer does not take as one
+            split = (normalizer.normalize_str(joined) if normalizer else joined).split(" ")[1:]
+            for c in set(joined).union(*split):
+                if ord(c) not in self.letters and c != " ":
+                    self.letters[ord(c)] = self._split(c) if c.isalpha() else None
+            odd = {chr(c) for c, made in self.letters.items() if made is None}
+            if len(split) != len(batch) or odd & set("".join(split)):  # a letter the tokenizer does not take as one
                 others += batch
                 continue
-            for piece, (word, _) in zip(batch, split, strict=True):
-                self._keep(piece, [t.id for t in model.tokenize(word)])
+            for piece, word in zip(batch, split, strict=True):
+                add(piece, [t.id for t in tokenize(lead + word.translate(self.letters))])
         for batch in self._batches(others):
             for piece, encoding in zip(batch, self.encoder.encode_batch_fast(batch, add_special_tokens=False), strict=True):
-                self._keep(piece, encoding.ids)
-
-    def _lookup(self, pieces: list[str]) -> tuple[np.ndarray, list[np.ndarray]]:
-        """Token counts of the pieces and, if asked for, their ids."""
-        if len(self.known) > self.most_kept:
-            self._clear()
-        known = self.known
-        self._encode([p for p in pieces if p not in known])
-        places = [known[p] for p in pieces]
-        result = np.array([self.counts[i] for i in places], np.int64), [self.ids[i] for i in places] if self.with_ids else []
-        for piece in [p for p in pieces if len(p) > self.longest]:
-            place = known.pop(piece)
-            self.ids[place : place + 1] = [np.zeros(0, np.uint32)] if self.with_ids else []
-        return result
-
-    def __call__(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+                add(piece, encoding.ids)
+
+    def _lookup(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Where the ids of each piece are in the store, and how many."""
+        if len(self.kept.place) > self.most_kept:
+            self.old, self.kept = self.kept, _Kept()
+        place, old = self.kept.place, self.old
+        missing = [p for p in pieces if p not in place]
+        for p in missing:
+            if (i := old.place.get(p)) is not None:
+                self.kept.add(p, old.ids[old.start[i] : old.start[i + 1]])
+        self._encode([p for p in missing if p not in old.place])
+        at = np.fromiter(map(place.__getitem__, pieces), np.int64, len(pieces))
+        start = np.array(self.kept.start, np.int64)
+        return start[at], start[at + 1] - start[at]
+
+    def __call__(self, texts: pa.Array, with_ids: bool = True) -> tuple[np.ndarray, np.ndarray]:
         """The number of tokens of each text, and all ids in order (none if not asked for)."""
         data, starts = text_bytes(texts)
         if not len(data):
             return np.zeros(len(texts), np.int64), np.zeros(0, np.uint32)
         at = cuts(data, starts)
         offsets = np.append(at, len(data)).astype(np.int64)
-        array = pa.Array.from_buffers(pa.large_string(), len(at), [None, pa.py_buffer(offsets), pa.py_buffer(np.ascontiguousarray(data))])
-        coded = pc.dictionary_encode(array)
-        counts, ids = self._lookup(coded.dictionary.to_pylist())
+        pieces = pa.Array.from_buffers(pa.large_string(), len(at), [None, pa.py_buffer(offsets), pa.py_buffer(np.ascontiguousarray(data))])
+        coded = pieces.dictionary_encode()
+        first, counts = self._lookup(coded.dictionary.to_pylist())
         code = coded.indices.to_numpy(zero_copy_only=False)
         lengths = counts[code]
         ends = np.concatenate([[0], np.cumsum(lengths)])
         totals = np.diff(ends[np.searchsorted(at, starts)])
-        if not self.with_ids:
+        if not with_ids:
             return totals, np.zeros(0, np.uint32)
-        flat = np.concatenate(ids)
-        first = np.concatenate([[0], np.cumsum(counts)])[:-1][code]
-        return totals, flat[np.repeat(first - ends[:-1], lengths) + np.arange(ends[-1])]
+        place = np.repeat(first[code] - ends[:-1], lengths)
+        place += np.arange(ends[-1])
+        return totals, np.array(self.kept.ids, np.uint32)[place]
 
 
 @functools.lru_cache(maxsize=2)
-def encoder(path: str, with_ids: bool) -> PieceEncoder:
+def encoder(path: str) -> PieceEncoder:
     """One encoder for each file and Python worker."""
-    return PieceEncoder(path, with_ids)
+    return PieceEncoder(path)

@@ -32,7 +32,7 @@ def token_counts(docs: DataFrame, tokenizer: str, limit: int = 2048, id_col: str
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in passes(batches, 1, PASS_BYTES):
             texts = texts_of(batch, 1)
-            n, _ = encoder(tokenizer, False)(texts)
+            n, _ = encoder(tokenizer)(texts, False)
             yield pa.RecordBatch.from_arrays([batch.column(0), pc.binary_length(texts), pa.array(n)], names=["id", "n_bytes", "n_tokens"])
 
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))

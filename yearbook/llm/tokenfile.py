@@ -163,7 +163,7 @@ def _tokenised(docs: DataFrame, tokenizer: str, end_id: int, id_col: str, text_c
 
         for batch in passes(batches, 1, 8 << 20):
             part = batch.column(2)[0].as_py()
-            lengths, flat = encoder(tokenizer, True)(texts_of(batch, 1))
+            lengths, flat = encoder(tokenizer)(texts_of(batch, 1))
             flat = np.insert(flat, np.cumsum(lengths), np.uint32(end_id)).astype("<u4")
             own = np.bincount(flat, minlength=len(counted))
             own[: len(counted)] += counted
