@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from yearbook.llm.decontam import leaks
 from yearbook.llm.jaccard import near_duplicates
+from yearbook.llm.language import languages
 from yearbook.llm.packing import pack
 from yearbook.llm.privacy import KINDS, digest, sensitive_spans
 from yearbook.llm.quality import repetition, verdicts
@@ -64,6 +65,10 @@ def op6_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return placed.select(*columns)
 
 
+def op7_languages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return languages(_table(spark, sf_dir, "documents"))
+
+
 def op8_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(_table(spark, sf_dir, "documents"))
 
@@ -83,6 +88,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_token_files": op4_token_files,
     "op5_quality": op5_quality,
     "op6_sharding": op6_sharding,
+    "op7_languages": op7_languages,
     "op8_jaccard_join": op8_jaccard_join,
     "op9_token_counts": op9_token_counts,
     "op10_decontamination": op10_decontamination,
