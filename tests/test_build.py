@@ -60,11 +60,11 @@ def test_full_build(spark, place):
     first = [r for r in mart if r.ticker == "1111.T"]
     assert [r.fiscal_year for r in first] == sorted(SERIES)
     assert [r.revenue for r in first] == [SERIES[y][0] * MILLION for y in sorted(SERIES)]
-    assert [r.revenue_yoy_pct for r in first] == [None, 10.3635, 7.4107, 8.1795, 7.1515]
-    assert [r.operating_margin_pct for r in first] == [29.8774, 30.76, 30.4945, 30.3832, 30.374]
-    assert [r.free_cash_flow // MILLION for r in first] == [38612, 26083, 32710, 53829, 23634]
-    assert [r.revenue_cagr_3y_pct for r in first] == [None, None, None, 8.6441, 7.5797]
-    assert [r.roe_pct for r in first] == [62.5, 60.1, 55.0, 49.4, 46.6]
+    assert [r.revenue_yoy_pct for r in first] == [None, 5.9469, -8.7065, 15.7795, 11.9045]
+    assert [r.operating_margin_pct for r in first] == [20.5974, 17.3111, 15.0139, 20.7639, 22.1419]
+    assert [r.free_cash_flow // MILLION for r in first] == [8734, 3616, -2776, 11452, 5823]
+    assert [r.revenue_cagr_3y_pct for r in first] == [None, None, None, 3.8453, 5.7564]
+    assert [r.roe_pct for r in first] == [12.1, 9.8, 8.3, 13.4, 15.7]
     assert first[0].equity == 70000 * MILLION and first[0].source_filed_at == datetime.date(2022, 6, 30)
     assert {r.free_cash_flow for r in mart if r.ticker == "2222.T"} == {None}
     assert {r.accounting_standard for r in mart if r.ticker == "2222.T"} == {"IFRS"}
@@ -79,12 +79,12 @@ def test_full_build(spark, place):
     assert document["periods"][0] == {
         "fiscal_year": 2022, "fiscal_year_end": None, "accounting_standard": "JGAAP", "consolidated": True,
         "metrics": {
-            "revenue": 166199 * MILLION, "operating_income": 49656 * MILLION, "net_income": 30000 * MILLION,
-            "total_assets": 150000 * MILLION, "equity": 70000 * MILLION, "operating_cash_flow": 39895 * MILLION,
-            "investing_cash_flow": -1283 * MILLION, "roe_pct": 62.5,
+            "revenue": 48210 * MILLION, "operating_income": 9930 * MILLION, "net_income": 30000 * MILLION,
+            "total_assets": 150000 * MILLION, "equity": 70000 * MILLION, "operating_cash_flow": 12045 * MILLION,
+            "investing_cash_flow": -3311 * MILLION, "roe_pct": 12.1,
         },
         "calculated_metrics": {
-            "revenue_yoy_pct": None, "operating_margin_pct": 29.8774, "free_cash_flow": 38612 * MILLION, "revenue_cagr_3y_pct": None,
+            "revenue_yoy_pct": None, "operating_margin_pct": 20.5974, "free_cash_flow": 8734 * MILLION, "revenue_cagr_3y_pct": None,
         },
         "source_document": {
             "document_id": "S2022", "document_type": "annual_securities_report", "filed_at": "2022-06-30", "url": "https://example.com/2022",
@@ -100,9 +100,19 @@ def test_full_build(spark, place):
     names = run_sql(spark, "SELECT ticker, max(revenue) AS r FROM company_year_metrics GROUP BY ticker ORDER BY ticker;")
     assert [r.ticker for r in names.collect()] == ["1111.T", "2222.T"]
     assert run_sql(spark, "DESCRIBE financial_history").filter("col_name = 'value'").first().data_type == "decimal(38,4)"
-    for text in ("DROP VIEW companies", "CREATE TABLE x AS SELECT 1", "SELECT 1; SELECT 2", "SHOW TABLES"):
+    refused = (
+        "DROP VIEW companies", "CREATE TABLE x AS SELECT 1", "SELECT 1; SELECT 2", "SHOW TABLES", "SET a=b",
+        f"SELECT 1 AS a) INSERT OVERWRITE DIRECTORY '{place / 'leak'}' USING json OPTIONS (x 'y'", "SELECT 1 AS a) INSERT INTO t (a",
+        f"INSERT OVERWRITE DIRECTORY '{place / 'leak'}' USING json SELECT 1", "WITH x AS (SELECT 1) INSERT INTO t SELECT * FROM x",
+        "FROM companies INSERT INTO t SELECT ticker INSERT INTO u SELECT name", "EXECUTE IMMEDIATE 'SELECT 1'", "BEGIN SELECT 1; END",
+        "SELECT TRANSFORM(ticker) USING 'cat' AS (t) FROM companies", "SELECT reflect('java.lang.System', 'lineSeparator')",
+    )
+    for text in refused:
         with pytest.raises(YearbookError):
             run_sql(spark, text)
+    assert not (place / "leak").exists()
+    nested = "WITH x AS (SELECT ticker FROM companies) SELECT * FROM x WHERE ticker IN (SELECT ticker FROM company_year_metrics) ORDER BY 1 LIMIT 9"
+    assert run_sql(spark, nested).count() == 2
     sinks.export_tsv(names.coalesce(1), str(place / "tsv"))
     assert spark.read.text(str(place / "tsv")).first().value == "ticker\tr"
 

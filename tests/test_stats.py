@@ -20,32 +20,35 @@ COLUMNS = (
 
 @pytest.fixture(scope="module")
 def mart(spark):
-    early = [(i, t, t, 2024, 10**6 * (i + 1), 5.0, i, 1.0, 2.0, i, None) for i, t in enumerate(["1111.T", "2222.T", "3333.T"])]
+    """2030 has five companies: a tie of three, a missing value and a negative x."""
+    early = [(i, f"{c}.X", c, 2029, 10**6, 1.0, 0, 0.0, 1.0, 0, None) for i, c in enumerate("abc")]
     late = [
-        (0, "1111.T", "One", 2025, 1_000_000, 10.0, -1_000_000, -10.0, None, -5_000_000, None),
-        (1, "2222.T", "Two", 2025, 3_000_000, 20.0, 0, 0.0, 5.0, 0, None),
-        (2, "3333.T", "Three", 2025, 3_000_000, 30.0, 1_000_000, 20.0, 10.0, 5_000_000, None),
-        (3, "4444.T", "Four", 2025, None, 40.0, 2_000_000, None, 15.0, 10_000_000, None),
+        (0, "a.X", "a", 2030, 4_000_000, 7.5, 400_000, 10.0, 3.0, 900_000, None),
+        (1, "b.X", "b", 2030, 9_500_000, -2.0, 1_900_000, 20.0, 6.0, -700_000, None),
+        (2, "c.X", "c", 2030, 4_000_000, 0.5, -80_000, -2.0, None, 100_000, None),
+        (3, "d.X", "d", 2030, None, None, 600_000, None, 12.0, 250_000, None),
+        (4, "e.X", "e", 2030, 4_000_000, 3.25, 0, 0.0, -1.0, None, None),
     ]
     return spark.createDataFrame(early + late, COLUMNS)
 
 
 def test_golden(mart):
     found = statistics.statistics(mart)
-    assert [r.fiscal_year for r in found.periods.collect()] == [2025]
+    assert [r.fiscal_year for r in found.periods.collect()] == [2030]
     revenue = found.descriptive.filter("metric = 'revenue'").first()
-    assert (revenue["count"], revenue.missing, revenue.mean, revenue.median) == (3, 1, 2.3333, 3.0)
-    assert (revenue.stddev, revenue.q1, revenue.q3, revenue["min"], revenue["max"]) == (1.1547, 2.0, 3.0, 1.0, 3.0)
+    # 4, 4, 4 and 9.5 million
+    assert (revenue["count"], revenue.missing, revenue.mean, revenue.median) == (4, 1, 5.375, 4.0)
+    assert (revenue.stddev, revenue.q1, revenue.q3, revenue["min"], revenue["max"]) == (2.75, 4.0, 5.375, 4.0, 9.5)
     ordered = ranking.order_ranking(found.rankings.filter("metric = 'revenue'"), statistics.GROUP, "company_order")
-    assert [(r.ticker, r["rank"]) for r in ordered.collect()] == [("2222.T", 1), ("3333.T", 1), ("1111.T", 3), ("4444.T", None)]
+    assert [(r.ticker, r["rank"]) for r in ordered.collect()] == [("b.X", 1), ("a.X", 2), ("c.X", 2), ("e.X", 2), ("d.X", None)]
     counts = {r.scatter: (r.included_count, r.excluded_count) for r in found.scatter_counts.collect()}
-    assert counts["growth-profitability"] == (3, 1) and counts["scale-cash"] == (3, 1)
-    assert {(r.scatter, r.ticker) for r in found.exclusions.collect()} >= {("growth-profitability", "4444.T"), ("scale-cash", "4444.T")}
+    assert counts["growth-profitability"] == (4, 1) and counts["scale-cash"] == (3, 2)
+    assert {(r.scatter, r.ticker) for r in found.exclusions.collect()} >= {("growth-profitability", "d.X"), ("scale-cash", "d.X"), ("scale-cash", "e.X")}
 
 
 def test_header(mart):
     row = statistics.stats_header(mart).first()
-    assert (row.default_year, row.years, row.default_ranking) == (2025, [2025], "revenue")
+    assert (row.default_year, row.years, row.default_ranking) == (2030, [2030], "revenue")
 
 
 def test_no_common_period(spark):
@@ -109,11 +112,33 @@ def test_approximate_quantiles(spark):
     assert abs(row.median - 501) <= 1 and abs(row.q1 - 251) <= 1
 
 
-def test_no_task_gets_a_whole_group(spark):
-    """A value that fills the group is one row before the windows run."""
-    df = spark.range(100000).select(F.lit("g").alias("g"), F.lit(7.0).alias("value"), "id")
-    positions = ranking.value_positions(df, ["g"], "value").collect()
-    assert [tuple(p) for p in positions] == [("g", 7.0, 100000, 0, 100000)]
+@pytest.mark.parametrize("low, high", [(0.0, 0.0004), (1.7e9, 1.7e9 + 500_000), (-100.04, -100.0)])
+def test_values_that_lie_close_are_spread(spark, low, high):
+    """The parts that are sorted by themselves are many, and the places are exact."""
+    n = 60_000
+    df = spark.range(n).select(F.lit("g").alias("g"), (F.lit(low) + F.col("id") * F.lit((high - low) / n)).alias("value"))
+    positions = ranking.value_positions(df, ["g"], "value")
+    assert [r.less for r in positions.orderBy("value").select("less").collect()] == list(range(n))
+    spread = ranking.spread_values(df, ["g"], "value").groupBy("bucket", "part").count().agg(F.max("count"), F.count("*")).first()
+    assert spread[0] < 10 * ranking.VALUES_PER_PART and spread[1] > 20
+
+
+def test_not_a_number_is_missing(spark):
+    nan = float("nan")
+    df = spark.createDataFrame([("g", 5.0), ("g", nan), ("g", 1.0), ("g", None)], "g string, value double")
+    row = stats.describe_metrics(df, ["g"]).first()
+    assert (row["count"], row.missing, row.mean, row.median, row["max"]) == (2, 2, 3.0, 3.0, 5.0)
+    ranks = {str(r.value): r["rank"] for r in ranking.rank_metric(df, ["g"], "value").collect()}
+    assert ranks == {"5.0": 1, "1.0": 2, "nan": None, "None": None}
+
+
+def test_large_and_infinite_values(spark):
+    large = spark.createDataFrame([("g", 1e23), ("g", 3e23)], "g string, value double")
+    assert stats.describe_metrics(large, ["g"]).first().mean == 2e23
+    infinite = spark.createDataFrame([("g", float("inf")), ("g", 1.0), ("g", float("-inf"))], "g string, value double")
+    assert [r.value for r in ranking.value_positions(infinite, ["g"], "value").orderBy("less").collect()] == [float("-inf"), 1.0, float("inf")]
+    with pytest.raises(Exception, match="no mean"):
+        stats.describe_metrics(infinite, ["g"]).collect()
 
 
 def test_pivot_undoes_unpivot(spark):

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 MONEY_TYPE = "decimal(38,4)"
 _MEAN_TYPE = "decimal(28,6)"
+_MEAN_LIMIT = 1e21
 
 
 def round4(value: Column) -> Column:
@@ -59,10 +60,17 @@ def shifted(value: Column, places: int) -> Column:
 def exact_mean(value: Column) -> Column:
     """Mean over an exact decimal sum, so the result ignores row order.
 
-    Right for values with at most six decimals: whole units divided by one
-    million, and percentages already rounded to four decimals.
+    Exact for values with at most six decimals: whole units divided by one million, and
+    percentages already rounded to four decimals. Where a value of the group passes what
+    the decimal holds, the mean is that of the doubles. Infinity fails the job: it has no
+    mean.
     """
-    return F.sum(value.cast(_MEAN_TYPE)).cast("double") / F.count(value)
+    number = value.cast("double")
+    largest = F.max(F.abs(number))
+    held = F.when(F.abs(number) < _MEAN_LIMIT, value).cast(_MEAN_TYPE)
+    infinite = F.raise_error(F.lit("an infinite value has no mean")).cast("double")
+    exact = F.sum(held).cast("double") / F.count(value)
+    return F.when(largest == float("inf"), infinite).when(largest < _MEAN_LIMIT, exact).otherwise(F.avg(number))
 
 
 def in_millions(value: Column) -> Column:

@@ -57,6 +57,24 @@ def normalize_name(value: Column) -> Column:
     return _nfkc_trim(value)
 
 
+def stripped(value: Column) -> Column:
+    """Text without white space of any kind at its ends."""
+    return F.regexp_replace(value, r"(?U)^[\s\x1c-\x1f]+|[\s\x1c-\x1f]+\z", "")
+
+
+def utc_stamp(value: Column) -> Column:
+    """``20260722T000000Z`` in UTC, whatever the session's zone is."""
+    seconds = F.unix_seconds(value)
+    day = F.date_add(F.lit("1970-01-01").cast("date"), F.floor(seconds / 86400).cast("int"))
+    left = F.pmod(seconds, F.lit(86400))
+
+    def two(number: Column) -> Column:
+        return F.lpad(F.floor(number).cast("string"), 2, "0")
+
+    date = F.concat(F.lpad(F.year(day).cast("string"), 4, "0"), two(F.month(day)), two(F.dayofmonth(day)))
+    return F.concat(date, F.lit("T"), two(left / 3600), two(left % 3600 / 60), two(left % 60), F.lit("Z"))
+
+
 def iso_utc(value: Column) -> Column:
     """``2026-07-22T00:00:00Z``; the session zone is UTC."""
     return F.date_format(value, "yyyy-MM-dd'T'HH:mm:ss'Z'")

@@ -87,11 +87,12 @@ def scalar_is_ratio(s: Column) -> Column:
 
 
 def scalar_is_money(s: Column) -> Column:
-    """Null, or a finite number without a fraction (``100.0`` is fine)."""
+    """Null, or a number without a fraction (``100.0`` is fine) that the mart's BIGINT holds."""
     number = s["number"]
+    fits = F.abs(number) < 9.2233720368547e18
     # Every double beyond 2**53 is integral, and floor() to BIGINT would overflow.
     integral = (F.abs(number) >= 9007199254740992.0) | (number == F.floor(number).cast("double"))
-    return scalar_is_ratio(s) & (scalar_is_missing(s) | F.coalesce(integral, F.lit(False)))
+    return scalar_is_ratio(s) & (scalar_is_missing(s) | F.coalesce(integral & fits, F.lit(False)))
 
 
 def scalar_is_optional_text(s: Column) -> Column:
@@ -127,8 +128,9 @@ def as_text(value: Column) -> Column:
 
 
 def normalize_money(value: Column) -> Column:
-    """A checked money value as exact decimal; integer tokens never pass through double."""
-    exact = F.try_variant_get(value, "$", "decimal(38,4)")
+    """A checked money value as exact decimal; integer tokens never pass through double.
+    A number that does not fit fails the job, as the rules do not let one through."""
+    exact = F.variant_get(value, "$", "decimal(38,4)")
     return F.when(is_number(value), exact)
 
 

@@ -84,7 +84,8 @@ def compare_defaults(
 
     Left is the requested entity if known, else the first. Right is the requested
     one if known and not equal to left, else the first entity that is not left.
-    The first two entities are one row, read as scalar subqueries.
+    The first two entities are one row, read as scalar subqueries. With one entity there
+    is nothing to compare it with: right is null.
     """
     first_two = entities.orderBy(order).limit(2)
     first = first_two.agg(F.min_by(entity, order)).scalar()
@@ -99,7 +100,7 @@ def compare_defaults(
     left = F.when(F.col("left_known"), F.col("left")).otherwise(first)
     with_left = resolved.withColumn("chosen_left", left)
     usable = F.col("right_known") & (F.col("right") != F.col("chosen_left"))
-    other = F.when(first != F.col("chosen_left"), first).otherwise(second)
+    other = F.when(first != F.col("chosen_left"), first).when(second != F.col("chosen_left"), second)
     return with_left.select(
         *[c for c in requests.columns if c not in ("left", "right")],
         F.col("chosen_left").alias("left"),

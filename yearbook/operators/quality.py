@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from yearbook.errors import YearbookError
 from yearbook.functions import variants as V
-from yearbook.functions.text import normalize_name, ticker_slug
+from yearbook.functions.text import normalize_name, stripped, ticker_slug
 from yearbook.operators.compare import pair_periods
 from yearbook.operators.snapshots import anti_missing_entity, flag_available, snapshot_conflicts
 
@@ -38,8 +38,8 @@ SOURCE_FIELDS = ("doc_id", "submit_date", "edinet_filing_url")
 ANNUAL = "annual"
 PERIODS_PER_SNAPSHOT = 5
 STATUSES = ("direct", "indirect")
-CODE_PATTERN = "^E[0-9]{5}$"
-PAIR_ID_PATTERN = "^[a-z0-9][a-z0-9_-]*$"
+CODE_PATTERN = r"^E[0-9]{5}\z"
+PAIR_ID_PATTERN = r"^[a-z0-9][a-z0-9_-]*\z"
 
 VIOLATION = "struct<fiscal_year:bigint,field:string,rule:string,value:string>"
 
@@ -122,7 +122,8 @@ def _fields(members: Column) -> Column:
 
 def _with_year(fields: Column) -> Column:
     year = fields["fiscal_year"]
-    value = F.when(V.scalar_is_integer(year), F.try_variant_get(year["value"], "$", "bigint"))
+    # null, and so a violation, where the stored type cannot hold it
+    value = F.when(V.scalar_is_integer(year), F.try_variant_get(year["value"], "$", "int").cast("bigint"))
     return F.struct(value.alias("year"), fields.alias("f"))
 
 
@@ -227,7 +228,7 @@ def company_rules(meta: Column, ticker: Column) -> list[Column]:
     salary, salary_year = V.field(meta, "$.avg_salary_man"), V.field(meta, "$.avg_salary_fiscal_year")
     whole = V.is_object(meta)
     checks = [
-        (F.length(F.trim(V.as_text(name))) > 0, "name", "name", name),
+        (F.length(stripped(V.as_text(name))) > 0, "name", "name", name),
         (V.as_text(code).rlike(CODE_PATTERN), "code", "edinet_code", code),
         (status.isNull() | V.as_text(status).isin(*STATUSES), "status", "status", status),
         (V.is_missing(salary) | V.is_number(salary), "salary", "avg_salary_man", salary),

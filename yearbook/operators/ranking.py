@@ -5,13 +5,15 @@ share of all rows, so a window per group would sort it in one task. Instead:
 
 1. equal values are counted first, partly before the shuffle, so a value that
    fills a third of the rows becomes one row;
-2. every value falls into a bucket by a rule that grows with the value, and only
-   the bucket totals of a group are summed in order. The rule bounds their number
-   (see ``BUCKETS_PER_E_FOLD``), not the data;
+2. every value falls into a bucket on a logarithmic scale, and a bucket with many
+   distinct values is cut between its own smallest and largest one, so values that lie
+   close together are spread as well. Only the bucket totals of a group are summed in
+   order;
 3. inside a bucket the distinct values are summed in order.
 
 The place of a value is the total of the buckets before it plus the count inside
-its bucket. Buckets only spread the work: the result is exact for any data.
+its bucket. Buckets only spread the work: the result is exact for any data. NaN counts as
+missing.
 """
 
 from __future__ import annotations
@@ -26,33 +28,55 @@ from pyspark.sql import functions as F
 # million) bucket totals, usually some tens of thousands.
 BUCKETS_PER_E_FOLD = 2048
 
-_NULL_SALTS = 64
+# A bucket is cut into parts of about so many distinct values.
+VALUES_PER_PART = 1000
+
+_INFINITE = 1 << 40
+
+
+def known(value: Column) -> Column:
+    """The value as double; NaN is missing."""
+    number = value.cast("double")
+    return F.when(~F.isnan(number), number)
 
 
 def _bucket(value: Column) -> Column:
-    size = F.floor(F.log1p(F.abs(value)) * BUCKETS_PER_E_FOLD)
+    finite = F.abs(value) < float("inf")
+    size = F.when(finite, F.floor(F.log1p(F.when(finite, F.abs(value))) * BUCKETS_PER_E_FOLD)).otherwise(_INFINITE)
     # Declared never null, or the join on the bucket would add a null filter to one of
     # its two sides and the shuffle of the counted values could not be shared.
     return F.coalesce(F.when(value < 0, -size).otherwise(size), F.lit(0))
 
 
+def spread_values(df: DataFrame, group: Sequence[str], value: str) -> DataFrame:
+    """``(*group, value, ties, bucket, part)``: distinct values, and where they are sorted."""
+    counted = (
+        df.withColumn(value, known(F.col(value)))
+        .filter(F.col(value).isNotNull())
+        .groupBy(*group, value)
+        .agg(F.count("*").alias("ties"))
+        .withColumn("bucket", _bucket(F.col(value)))
+    )
+    # Smallest, largest and number of values are exact, so every use cuts alike.
+    spans = counted.groupBy(*group, "bucket").agg(
+        F.min(value).alias("low"), F.max(value).alias("high"), F.ceil(F.count("*") / VALUES_PER_PART).alias("parts")
+    )
+    share = (F.col(value) - F.col("low")) / (F.col("high") - F.col("low"))
+    part = F.when((F.col("parts") > 1) & (F.col("high") > F.col("low")), F.floor(share * F.col("parts"))).otherwise(F.lit(0))
+    return counted.join(spans, [*group, "bucket"]).withColumn("part", part).drop("low", "high", "parts")
+
+
 def value_positions(df: DataFrame, group: Sequence[str], value: str) -> DataFrame:
     """One row per distinct non-null value of a group.
 
     Returns ``(*group, value, ties, less, total)``: how many rows hold the value,
     how many hold a smaller one, and how many non-null rows the group has.
     """
-    counted = (
-        df.filter(F.col(value).isNotNull())
-        .groupBy(*group, F.col(value).cast("double").alias(value))
-        .agg(F.count("*").alias("ties"))
-        .withColumn("bucket", _bucket(F.col(value)))
-    )
-
+    counted = spread_values(df, group, value)
     in_group = Window.partitionBy(*group)
-    before = in_group.orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
+    before = in_group.orderBy("bucket", "part").rowsBetween(Window.unboundedPreceding, -1)
     buckets = (
-        counted.groupBy(*group, "bucket")
+        counted.groupBy(*group, "bucket", "part")
         .agg(F.sum("ties").alias("bucket_ties"))
         .withColumns(
             {
@@ -64,13 +88,13 @@ def value_positions(df: DataFrame, group: Sequence[str], value: str) -> DataFram
     )
 
     in_bucket = (
-        Window.partitionBy(*group, "bucket")
+        Window.partitionBy(*group, "bucket", "part")
         .orderBy(value)
         .rowsBetween(Window.unboundedPreceding, -1)
     )
     return (
         counted.withColumn("below_in_bucket", F.coalesce(F.sum("ties").over(in_bucket), F.lit(0)))
-        .join(buckets, [*group, "bucket"])
+        .join(buckets, [*group, "bucket", "part"])
         .select(
             *group,
             value,
@@ -90,8 +114,8 @@ def rank_metric(
 ) -> DataFrame:
     """Competition rank, largest value first; equal values share the smaller rank.
 
-    Rows without a value are kept with a null rank. They can be many, so they are
-    spread over salts that match nothing instead of meeting in one task. A value
+    Rows without a value (null or NaN) are kept with a null rank. They can be many, so
+    they are spread over salts that match nothing instead of meeting in one task. A value
     shared by very many rows makes a skewed key on the row side only, which the
     adaptive join splits. Pass ``positions`` to reuse a stored
     ``value_positions`` table.
@@ -104,11 +128,11 @@ def rank_metric(
         (F.col("total") - F.col("less") - F.col("ties") + 1).alias(rank),
         F.lit(0).alias("null_salt"),
     )
-    spread = F.when(
-        F.col(value).isNull(),
-        F.pmod(F.xxhash64(*[c for c in df.columns if c != value]), F.lit(_NULL_SALTS)).cast("int") + 1,
-    ).otherwise(F.lit(0))
-    rows = df.withColumns({"null_salt": spread, "ranked_value": F.col(value).cast("double")})
+    # As many salts as the join has tasks; which one a row gets has no part in the result.
+    salts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    salt = F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(salts)).cast("int") + 1
+    ranked_value = known(F.col(value))
+    rows = df.withColumns({"null_salt": F.when(ranked_value.isNull(), salt).otherwise(F.lit(0)), "ranked_value": ranked_value})
     return rows.join(ranks, [*group, "null_salt", "ranked_value"], "left").drop(
         "null_salt", "ranked_value"
     )

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from yearbook.errors import YearbookError
 from yearbook.functions.numeric import exact_mean, round4, scale_metric
-from yearbook.operators.ranking import quantiles, value_positions
+from yearbook.operators.ranking import known, quantiles, value_positions
 from yearbook.operators.registry import SCATTERS, STATS_METRICS, Metric, Scatter
 
 QUARTILES = {"q1": 0.25, "median": 0.5, "q3": 0.75}
@@ -55,10 +55,12 @@ def describe_metrics(
 ) -> DataFrame:
     """Count, missing, mean, median, sample deviation, min, quartiles and max.
 
-    Nulls count as missing and are left out of the rest; results have four
-    decimals; a single value has no deviation. Quantiles are exact unless
+    Nulls and NaN count as missing and are left out of the rest; results have four
+    decimals; a single value has no deviation; infinity fails the job. Quantiles are exact unless
     ``approx`` asks for one-pass sketches.
     """
+    if dict(long.dtypes)[value] in ("double", "float"):
+        long = long.withColumn(value, known(F.col(value)))
     v = F.col(value)
     basic = [
         F.count(v).alias("count"),

@@ -26,6 +26,15 @@ from yearbook.sources.snapshots import decode_snapshot, scan_snapshots
 from yearbook.sources.warehouse import scan_table, scan_warehouse
 
 
+# What a build writes beside its tables.
+DOCUMENTS = (
+    "build_manifest", "raw_inputs", "missing_tickers", "financials_header", "financials", "company_charts",
+    "company_chart_series", "stats_header", "stats_metrics", "stats_scatter_definitions", "stats_periods",
+    "stats_descriptive", "stats_scatter_counts", "stats_ranking", "stats_scatter", "stats_exclusion",
+)
+COMPARISON_DOCUMENTS = ("comparison_charts", "comparison_series")
+
+
 @dataclass(frozen=True)
 class BuildConfig:
     """Where a build reads and writes. All paths are folders or files Spark can reach."""
@@ -40,12 +49,12 @@ class BuildConfig:
 
 
 def load_companies(spark: SparkSession, path: str) -> DataFrame:
-    """Checked companies. Gates on rules, unique tickers and slugs, and emptiness."""
+    """Checked companies. Gates on rules, unique tickers, slugs and entity codes, and emptiness."""
     entries = Q.require_nonempty(C.scan_companies(spark, path), "the company file")
     checked = Q.check_companies(entries)
     Q.require_clean(checked.select("ticker", F.inline("violations")), "company file")
     companies = C.build_companies(entries)
-    Q.require_clean(Q.check_unique(companies, ["ticker", "slug"]), "repeated company")
+    Q.require_clean(Q.check_unique(companies, ["ticker", "slug", "edinet_code"]), "repeated company")
     return companies
 
 
@@ -96,7 +105,9 @@ def build(spark: SparkSession, config: BuildConfig) -> str:
     companies = load_companies(spark, config.companies)
     snapshots = load_snapshots(spark, config, companies, stage)
 
-    periods = W.normalize_fields(snapshots)
+    # Stored, as history and sources both read them.
+    W.normalize_fields(snapshots).write.mode("errorifexists").parquet(f"{stage}/_periods")
+    periods = spark.read.parquet(f"{stage}/_periods")
     sinks.write_table(C.build_dimension(companies), f"{stage}/dim_companies", schemas.DIM_COMPANIES)
     sinks.write_table(W.build_history(periods), f"{stage}/financial_history", schemas.FINANCIAL_HISTORY)
     sinks.write_table(
@@ -104,7 +115,8 @@ def build(spark: SparkSession, config: BuildConfig) -> str:
     )
     history = scan_table(spark, stage, "financial_history")
     sources = scan_table(spark, stage, "source_documents_history")
-    mart = W.build_mart(history, scan_table(spark, stage, "dim_companies"), sources)
+    # One row per period finds the newest snapshots, instead of eight.
+    mart = W.build_mart(history, scan_table(spark, stage, "dim_companies"), sources, snapshots=sources)
     sinks.write_mart(
         mart, f"{stage}/company_year_metrics", schemas.COMPANY_YEAR_METRICS, ["company_order", "fiscal_year"]
     )
@@ -118,23 +130,25 @@ def build(spark: SparkSession, config: BuildConfig) -> str:
     _write_documents(spark, config, stage, mart)
     _write_statistics(spark, stage, mart)
 
-    counts = _expected_counts(spark, stage, snapshots)
-    sinks.check_complete(spark, stage, schemas.WAREHOUSE, counts)
+    counts = _expected_counts(spark, stage, companies, snapshots)
+    documents = [*DOCUMENTS, *(COMPARISON_DOCUMENTS if config.comparisons else ()), *(() if config.strict else ("quarantine",))]
+    sinks.check_complete(spark, stage, schemas.WAREHOUSE, counts, documents)
     sinks.publish_staged(spark, config.base, config.build_id)
     return stage
 
 
-def _expected_counts(spark: SparkSession, stage: str, snapshots: DataFrame) -> dict[str, int]:
-    """Row counts that follow from the inputs: eight facts and one source per period."""
+def _expected_counts(spark: SparkSession, stage: str, companies: DataFrame, snapshots: DataFrame) -> dict[str, int]:
+    """Row counts that follow from the inputs: eight facts and one source per period, and
+    a mart row for each period (their years differ) of each company's newest snapshot."""
     found = spark.read.json(f"{stage}/build_manifest").first()
     periods = snapshots.count() * Q.PERIODS_PER_SNAPSHOT
     if found.source_document_count != periods:
         raise YearbookError(f"{found.source_document_count} source rows for {periods} periods")
     return {
-        "dim_companies": scan_table(spark, stage, "dim_companies").count(),
+        "dim_companies": companies.count(),
         "financial_history": periods * (len(Q.MONEY_FIELDS) + len(Q.RATIO_FIELDS)),
         "source_documents_history": periods,
-        "company_year_metrics": found.latest_company_year_count,
+        "company_year_metrics": snapshots.select("ticker").distinct().count() * Q.PERIODS_PER_SNAPSHOT,
     }
 
 
@@ -168,7 +182,7 @@ def _write_statistics(spark: SparkSession, stage: str, mart: DataFrame) -> None:
         ("stats_descriptive", stats.descriptive),
         ("stats_scatter_counts", stats.scatter_counts),
     ):
-        sinks.write_json_lines(sinks.refuse_non_finite(table), f"{stage}/{name}", ["fiscal_year"])
+        sinks.write_json_lines(table, f"{stage}/{name}", ["fiscal_year"])
     ranking_order = ["metric", F.col("rank").isNull(), "rank", "company_order"]
     for name, table, order in (
         ("stats_ranking", stats.rankings, ranking_order),
@@ -178,5 +192,5 @@ def _write_statistics(spark: SparkSession, stage: str, mart: DataFrame) -> None:
         # A range shuffle on the full order: a task writes few years, and one year
         # is spread over many tasks.
         keys = ["fiscal_year", *order]
-        ordered = sinks.refuse_non_finite(table).repartitionByRange(*keys).sortWithinPartitions(*keys)
+        ordered = table.repartitionByRange(*keys).sortWithinPartitions(*keys)
         sinks.write_json_lines(ordered, f"{stage}/{name}", ["fiscal_year"])

@@ -43,7 +43,7 @@ def normalize_fields(snapshots: DataFrame) -> DataFrame:
     return fields.select(
         "company_order",
         "ticker",
-        F.try_variant_get(value("fiscal_year"), "$", "int").alias("fiscal_year"),
+        F.variant_get(value("fiscal_year"), "$", "int").alias("fiscal_year"),
         normalize_standard(V.as_text(value("accounting_standard"))).alias("accounting_standard"),
         F.lit(True).alias("consolidated"),
         *[V.normalize_money(value(raw)).alias(name) for name, raw in MONEY_FIELDS.items()],
@@ -89,8 +89,11 @@ def build_sources(periods: DataFrame) -> DataFrame:
     )
 
 
-def latest_facts(history: DataFrame) -> DataFrame:
-    return join_latest(history, latest_snapshot(history, *SNAPSHOT_KEYS), *SNAPSHOT_KEYS)
+def latest_facts(history: DataFrame, snapshots: DataFrame | None = None) -> DataFrame:
+    """Facts of the newest snapshot of each company. ``snapshots``: a smaller table with
+    the same snapshot keys, read instead of the history to find the newest ones."""
+    keys = latest_snapshot(history if snapshots is None else snapshots, *SNAPSHOT_KEYS)
+    return join_latest(history, keys, *SNAPSHOT_KEYS)
 
 
 def join_dimension(rows: DataFrame, dimension: DataFrame, columns: Sequence[str], key: str = "ticker") -> DataFrame:
@@ -113,7 +116,9 @@ def join_sources(mart: DataFrame, sources: DataFrame) -> DataFrame:
     return mart.join(found, ["ticker", "fiscal_year", "fetched_at", "snapshot_sha256"], "left")
 
 
-def build_mart(history: DataFrame, dimension: DataFrame, sources: DataFrame) -> DataFrame:
+def build_mart(
+    history: DataFrame, dimension: DataFrame, sources: DataFrame, snapshots: DataFrame | None = None
+) -> DataFrame:
     """One row per company and period of its newest snapshot, with derived metrics.
 
     Facts are reduced to one row per period before anything else is joined. The
@@ -122,12 +127,12 @@ def build_mart(history: DataFrame, dimension: DataFrame, sources: DataFrame) ->
 
     The pivot groups by the accounting standard as well, then the largest standard
     of each period is taken. A maximum over text is a sorting aggregate; this way it
-    sorts one row per period instead of one per fact.
+    sorts one row per period instead of one per fact. ``snapshots`` as in ``latest_facts``.
     """
     keys = [*SNAPSHOT_KEYS, "fiscal_year"]
     metrics = [*MONEY_FIELDS, *RATIO_FIELDS]
     by_standard = pivot_metrics(
-        latest_facts(history),
+        latest_facts(history, snapshots),
         [*keys, "accounting_standard"],
         extra={"consolidated": F.bool_and("consolidated")},
     )

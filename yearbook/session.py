@@ -72,6 +72,19 @@ def _scratch() -> str:
     return folder
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether a folder or file is there, in any store that Spark reads."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark._jsc.hadoopConfiguration()).exists(target)
+
+
+def folder_names(spark: SparkSession, path: str) -> set[str]:
+    """Names in a folder; those with a leading underscore or dot are Spark's or private."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    listed = target.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(target)
+    return {name for name in (s.getPath().getName() for s in listed) if name[0] not in "_."}
+
+
 def stored(df: DataFrame) -> DataFrame:
     """Write ``df`` to the shared folder and read it back.
 

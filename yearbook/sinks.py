@@ -7,15 +7,16 @@ one-row header beside them.
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+import functools
+from collections.abc import Collection, Mapping, Sequence
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType, TimestampType
+from pyspark.sql.types import ArrayType, DataType, DoubleType, FloatType, MapType, StructType, TimestampType
 
 from yearbook.errors import YearbookError
 from yearbook.functions.text import iso_utc
+from yearbook.session import folder_names, path_exists, stored
 from yearbook.sources.schemas import RAW_LANDING
 
 # Versions written into documents.
@@ -40,21 +41,37 @@ def write_mart(df: DataFrame, path: str, schema: str, order: Sequence[str]) -> N
 
 
 def write_json_lines(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> None:
-    """One JSON object per row, with nulls written out. NaN and infinity are refused."""
-    writer = df.write.mode("errorifexists").option("ignoreNullFields", "false")
+    """One JSON object per row, with nulls written out. NaN and infinity are refused,
+    at any depth."""
+    writer = refuse_non_finite(df).write.mode("errorifexists").option("ignoreNullFields", "false")
     writer.partitionBy(*partition_by).json(path)
 
 
 def refuse_non_finite(df: DataFrame) -> DataFrame:
-    """Fail the job on a NaN or infinite double, which JSON cannot hold."""
-
-    def checked(name: str) -> Column:
-        value = F.col(name)
-        bad = F.isnan(value) | (F.abs(value) == float("inf"))
-        return F.when(bad, F.raise_error(F.lit(f"{name} is not finite")).cast("double")).otherwise(value)
-
-    doubles = [f.name for f in df.schema.fields if f.dataType.simpleString() == "double"]
-    return df.withColumns({name: checked(name) for name in doubles})
+    """Fail the job on a NaN or infinite number, which JSON cannot hold, also inside
+    structs, arrays and maps."""
+
+    def bad(value: Column, kind: DataType) -> Column | None:
+        if isinstance(kind, (DoubleType, FloatType)):
+            return F.coalesce(F.isnan(value) | (F.abs(value) == float("inf")), F.lit(False))
+        if isinstance(kind, StructType):
+            parts = [p for f in kind.fields if (p := bad(value[f.name], f.dataType)) is not None]
+            return functools.reduce(Column.__or__, parts) if parts else None
+        if isinstance(kind, ArrayType):
+            if bad(F.lit(None), kind.elementType) is None:
+                return None
+            return F.coalesce(F.exists(value, lambda x: bad(x, kind.elementType)), F.lit(False))
+        if isinstance(kind, MapType):
+            return bad(F.map_values(value), ArrayType(kind.valueType))
+        return None
+
+    found = {f.name: bad(F.col(f"`{f.name}`"), f.dataType) for f in df.schema.fields}
+    checked = {
+        name: F.when(wrong, F.raise_error(F.lit(f"{name} is not finite")).cast(df.schema[name].dataType)).otherwise(F.col(f"`{name}`"))
+        for name, wrong in found.items()
+        if wrong is not None
+    }
+    return df.withColumns(checked)
 
 
 def header(df: DataFrame, fetched_at: str, extra: Mapping[str, Column] | None = None) -> DataFrame:
@@ -74,30 +91,38 @@ def export_tsv(df: DataFrame, path: str) -> None:
 def land_raw(new: DataFrame, path: str) -> None:
     """Append raw bodies ``(slug, kind, fetched_at, body)``, never over an existing key.
 
-    Gates: fetch times carry a zone; no key is repeated or already landed. One
-    writer at a time: the check and the append are two steps.
+    Gates: fetch times carry a zone; no key is repeated or already landed. The rows are
+    stored first, so those that are checked are those that are written. One writer at a
+    time: the check and the append are two steps.
     """
     if not isinstance(new.schema["fetched_at"].dataType, TimestampType):
         raise YearbookError("fetched_at needs a time zone")
     spark = new.sparkSession
     keys = ["slug", "kind", "fetched_at"]
-    named = new.withColumn("fetched_at", F.date_trunc("second", "fetched_at"))
+    named = stored(new.withColumn("fetched_at", F.date_trunc("second", "fetched_at")))
     twice = named.groupBy(*keys).agg(F.count("*").alias("n")).filter("n > 1")
     if not twice.isEmpty():
         raise YearbookError("a key occurs twice in one landing")
-    try:
+    if path_exists(spark, path):
         landed = spark.read.schema(RAW_LANDING).parquet(path)
         clash = named.join(landed.select(*keys), keys, "left_semi").select("slug", "kind", "fetched_at")
-        found = clash.limit(1).collect()
-    except AnalysisException:
-        found = []
-    if found:
-        raise YearbookError(f"already landed, not overwritten: {found[0].asDict()}")
+        if found := clash.limit(1).collect():
+            raise YearbookError(f"already landed, not overwritten: {found[0].asDict()}")
     conform(named, RAW_LANDING).write.mode("append").option("compression", "zstd").parquet(path)
 
 
-def check_complete(spark: SparkSession, folder: str, expected: Mapping[str, str], counts: Mapping[str, int]) -> None:
-    """Gate: every expected table is readable with its schema and row count."""
+def check_complete(
+    spark: SparkSession,
+    folder: str,
+    expected: Mapping[str, str],
+    counts: Mapping[str, int],
+    documents: Collection[str] = (),
+) -> None:
+    """Gate: the folder holds the expected tables and documents and nothing else, and
+    every table is readable with its schema and row count."""
+    names = folder_names(spark, folder)
+    if names != {*expected, *documents}:
+        raise YearbookError(f"missing {sorted({*expected, *documents} - names)}, unexpected {sorted(names - {*expected, *documents})}")
     for table, schema in expected.items():
         stored = spark.read.parquet(f"{folder}/{table}")
         wanted = StructType.fromDDL(schema)
@@ -117,9 +142,13 @@ def publish_staged(spark: SparkSession, base: str, build_id: str) -> None:
     """
     log = f"{base}/_published"
     schema = "build_id string, sequence bigint"
-    try:
+    last = 0
+    if path_exists(spark, log):
         last = spark.read.schema(schema).json(log).agg(F.max("sequence")).first()[0] or 0
-    except AnalysisException:
-        last = 0
     row = spark.createDataFrame([(build_id, last + 1)], schema).coalesce(1)
     row.write.mode("append").json(log)
+    # Another build may have taken the number meanwhile; readers then take the larger id.
+    same = spark.read.schema(schema).json(log).where(F.col("sequence") == last + 1)
+    first = same.agg(F.max("build_id")).first()[0]
+    if first != build_id:
+        raise YearbookError(f"{first} was published at the same time; publish {build_id} again")

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from yearbook.errors import YearbookError
 from yearbook.functions import variants as V
-from yearbook.functions.text import ticker_slug
+from yearbook.functions.text import stripped, ticker_slug
 
 # Defaults of the dimension.
 CURRENCY = "JPY"
@@ -43,7 +43,7 @@ def build_companies(entries: DataFrame) -> DataFrame:
     def text(name: str):
         return F.try_variant_get(meta, f"$.{name}", "string")
 
-    name = F.trim(text("name"))
+    name = stripped(text("name"))
     targets = F.try_variant_get(meta, "$.targets", "array<string>")
     return entries.select(
         "company_order",

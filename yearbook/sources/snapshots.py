@@ -9,14 +9,14 @@ from pyspark.sql import functions as F
 
 from yearbook.errors import YearbookError
 from yearbook.functions import variants as V
-from yearbook.functions.text import ticker_slug
+from yearbook.functions.text import ticker_slug, utc_stamp
 from yearbook.operators.quality import data_rows
 from yearbook.sources.schemas import RAW_LANDING
 
 # The file naming rule.
 NAME_GLOB = "*__financials__*.json"
 NAME_PATTERN = r"^([a-z0-9_]+)__financials__(\d{8}T\d{6}Z)\.json$"
-TIME_FORMAT = "yyyyMMdd'T'HHmmss'Z'"
+TIME_FORMAT = "yyyyMMdd'T'HHmmssX"
 
 
 def parse_slug(file_name: Column) -> Column:
@@ -25,7 +25,8 @@ def parse_slug(file_name: Column) -> Column:
 
 
 def parse_fetched_at(file_name: Column) -> Column:
-    """The UTC fetch time in a file name; null for a wrong name or impossible date."""
+    """The UTC fetch time in a file name, read with its zone; null for a wrong name or
+    impossible date."""
     stamp = F.nullif(F.regexp_extract(file_name, NAME_PATTERN, 2), F.lit(""))
     return F.try_to_timestamp(stamp, F.lit(TIME_FORMAT))
 
@@ -80,7 +81,9 @@ def scan_snapshots(spark: SparkSession, paths: str | Sequence[str], companies: D
 def scan_latest_snapshots(spark: SparkSession, paths: str | Sequence[str], companies: DataFrame) -> DataFrame:
     """The newest snapshot file per slug; wrong names and dates are skipped.
 
-    The newest file is picked from names alone, so only chosen files are read.
+    The newest file is picked from names alone, but the scan of bodies is pruned by
+    folder only. With many snapshots, land them (``sinks.land_raw``) and read the landing
+    table, whose keys are columns beside the bodies.
     """
     names = _named(_files(spark, paths).drop("content")).filter(F.col("fetched_at").isNotNull())
     newest = names.groupBy("slug").agg(F.max_by("raw_file", "fetched_at").alias("raw_file"))
@@ -109,7 +112,7 @@ def scan_landed(spark: SparkSession, path: str, companies: DataFrame) -> DataFra
     """
     landed = spark.read.schema(RAW_LANDING).parquet(path).filter(F.col("kind") == "financials")
     name = F.concat(
-        "slug", F.lit("__financials__"), F.date_format("fetched_at", TIME_FORMAT), F.lit(".json")
+        "slug", F.lit("__financials__"), utc_stamp(F.col("fetched_at")), F.lit(".json")
     )
     return landed.select(
         "slug",

@@ -14,7 +14,7 @@ def published_path(spark: SparkSession, base: str) -> str:
     """Folder of the newest published build. One small row is read."""
     try:
         log = spark.read.schema("build_id string, sequence bigint").json(f"{base}/_published")
-        newest = log.agg(F.max_by("build_id", "sequence").alias("build_id")).first()
+        newest = log.agg(F.max_by("build_id", F.struct("sequence", "build_id")).alias("build_id")).first()
     except AnalysisException:
         newest = None
     if newest is None or newest.build_id is None:
