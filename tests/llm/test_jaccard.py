@@ -10,7 +10,7 @@ import pytest
 from tests.llm.cases import documents, empty, rows, sentence
 
 from yearbook.llm import jaccard
-from yearbook.llm.jaccard import SignatureTree, components, linked, near_duplicates
+from yearbook.llm.jaccard import SignatureTree, bitmap, components, linked, near_duplicates, reachable
 
 
 def shingles(text):
@@ -63,7 +63,7 @@ def order(rows):
     return sorted(rows, key=lambda r: tuple((x is None, x or 0) for x in r))
 
 
-@pytest.mark.parametrize("sizes", [{}, {"CHUNK_SETS": 7, "FREQUENT": 0, "BUCKET_ROWS": 50}])
+@pytest.mark.parametrize("sizes", [{}, {"CHUNK_SETS": 7, "FREQUENT": 0, "BUCKET_ROWS": 50}, {"CHUNK_SETS": 7, "SIFT_SETS": 1}])
 def test_components_are_those_of_all_pairs(spark, monkeypatch, sizes):
     for name, value in sizes.items():
         monkeypatch.setattr(jaccard, name, value)
@@ -98,6 +98,20 @@ def test_tree_connects_what_links_connect(seed):
     assert all((label[i] == label[j]) == (want[i] == want[j]) for i in range(len(sets)) for j in range(i))
 
 
+def test_sifting_keeps_what_is_linked():
+    r = np.random.default_rng(7)
+    sets = []
+    for _ in range(40):
+        base = r.integers(0, 2**63, r.integers(3, 700)).astype(np.uint64)
+        for _ in range(4):
+            sets.append(np.unique(np.concatenate([base[r.random(len(base)) > r.choice([0, 0.05, 0.1])], r.integers(0, 2**63, r.integers(0, len(base) // 10 + 1)).astype(np.uint64)])))
+    sets = sorted((s for s in sets if len(s)), key=len)
+    label = reachable(np.array([len(s) for s in sets]), [np.frombuffer(bitmap(s), np.uint64) for s in sets])
+    pairs = [(i, j) for i in range(len(sets)) for j in range(i) if linked(sets[i], sets[j])]
+    assert len(pairs) > 40 and all(label[i] == label[j] for i, j in pairs)
+    assert len(set(label)) > 30
+
+
 def test_components_of_long_chains(spark):
     edges = [(i, i + 1) for i in range(0, 60)] + [(200, 100), (300, 200), (7, 300)]
     got = {r.node: r.label for r in components(spark.createDataFrame(edges, "a bigint, b bigint")).collect()}

@@ -6,12 +6,15 @@
    among their first ``n - ceil(0.8 n) + 1``. Sets that share such a shingle are put into
    the block of the smallest set id that has it; no pairs are made. Only shingles that two
    sets share leave a task.
-3. A block's sets form a signature tree: its nodes hold OR-combined bitmaps and size
+3. Blocks are sifted by small bitmaps, a bit or two for each shingle: sets whose bits and
+   sizes allow a link with another of the block stay, in a block of those they may reach.
+   Sets that only share a passage go here, before any whole set is moved.
+4. A block's sets form a signature tree: its nodes hold OR-combined bitmaps and size
    ranges, and two nodes are compared further only if their common bits and sizes allow
    the overlap, and if they are not all linked already. What remains is counted exactly.
    Large blocks are cut into chunks that share the block's first set; sets that are not
    linked with it there meet the other chunks as well.
-4. The links, a star for each linked group of a block, are contracted to components.
+5. The links, a star for each linked group of a block, are contracted to components.
 """
 
 from __future__ import annotations
@@ -35,6 +38,8 @@ CHUNK_SETS, CHUNK_SHINGLES = 2000, 4_000_000
 #: A shingle in more than this share of a sample of sets (one in ``SAMPLE``) is frequent.
 #: Which are known as frequent decides the work, never the result.
 FREQUENT, SAMPLE, MOST_FREQUENT = 0.001, 8, 50_000
+#: Larger blocks are not sifted but go to the trees as they are.
+SIFT_SETS = 20_000
 #: Frequent shingles are dealt to so many tasks each.
 SALTS = 64
 #: Prefix shingles in one bucket, about.
@@ -72,6 +77,42 @@ def prefix(shingles: np.ndarray, frequent: np.ndarray, rank: np.ndarray) -> np.n
     return shingles[:size]
 
 
+def bitmap(shingles: np.ndarray) -> bytes:
+    """A power of two of bits, as many as shingles or more."""
+    width = 1 << max(6, int(len(shingles) - 1).bit_length())
+    bits = np.zeros(width // 64, _U)
+    place = mixed(shingles) & _U(width - 1)
+    np.bitwise_or.at(bits, (place >> _U(6)).astype(np.int64), _U(1) << (place & _U(63)))
+    return bits.tobytes()
+
+
+def reachable(sizes: np.ndarray, maps: list[np.ndarray]) -> np.ndarray:
+    """Labels of sets, in ascending order of size: those that chains of possible links
+    connect have the same. A set whose bits another lacks lacks as many of its shingles."""
+    label = np.arange(len(sizes))
+    widths = np.array([len(m) for m in maps])
+    stacked = {w: np.stack([m for m in maps if len(m) == w]) for w in np.unique(widths)}
+    within = np.zeros(len(sizes), np.int64)
+    for w in stacked:
+        within[widths == w] = np.arange((widths == w).sum())
+    reach = np.searchsorted(100 * sizes, 10000 * sizes // PERCENT, "right")
+    for i in range(len(sizes)):
+        near = np.arange(i + 1, reach[i])
+        near = near[label[near] != label[i]]
+        for w in np.unique(widths[near]):
+            some = near[widths[near] == w]
+            other, own = stacked[w][within[some]], maps[i]
+            while other.shape[1] > len(own):  # half as wide: a bit stands for two
+                half = other.shape[1] // 2
+                other = other[:, :half] | other[:, half:]
+            both = np.bitwise_count(other & own).sum(axis=1)
+            most = np.minimum(sizes[i] - (np.bitwise_count(own).sum() - both), sizes[some] - (np.bitwise_count(other).sum(axis=1) - both))
+            for j in some[(100 + PERCENT) * most >= PERCENT * (sizes[i] + sizes[some])]:
+                if label[j] != label[i]:
+                    label[label == label[j]] = label[i]
+    return label
+
+
 class SignatureTree:
     """Some sets, in an order that brings similar ones together, and nodes over them."""
 
@@ -146,34 +187,37 @@ class SignatureTree:
 
 
 def shingle_rows(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """``(id, n, set_id, shingle, seen)``: a row for each document, and for each shingle
-    that a task has seen ``seen`` times in its sample of distinct sets, twice at least."""
+    """``(id, n, set_id, bits, shingle, seen)``: a row for each document, and for each
+    shingle that a task has seen ``seen`` times in its sample of distinct sets, twice at
+    least. ``bits`` stands with the first document of a set in a pass."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sample, known, kind = [], set(), None
+        sample, known, seen_now, kind = [], set(), set(), None
         for batch in passes(batches, 1):
-            sizes, ids = [], []
+            sizes, ids, bits = [], [], []
             for s in shingle_sets(texts_of(batch, 1), SHINGLE):
                 own = set_id(s)
                 sizes.append(len(s))
+                bits.append(bitmap(s) if len(s) and own not in seen_now else None)
+                seen_now.add(own)
                 ids.append(own)
                 if len(s) and own % SAMPLE == 0 and own not in known:
                     known.add(own)
                     sample.append(s)
             kind, none = batch.column(0).type, pa.nulls(len(ids), pa.int64())
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sizes, pa.int64()), pa.array(ids, pa.int64()), none, none], names=_ROW)
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sizes, pa.int64()), pa.array(ids, pa.int64()), pa.array(bits, pa.binary()), none, none], names=_ROW)
         if sample:
             shingles, seen = np.unique(np.concatenate(sample), return_counts=True)
             often = seen > 1
-            none = pa.nulls(int(often.sum()), pa.int64())
-            yield pa.RecordBatch.from_arrays([none.cast(kind), none, none, pa.array(shingles[often].view(np.int64)), pa.array(seen[often])], names=_ROW)
+            nulls = [pa.nulls(int(often.sum()), t) for t in (kind, pa.int64(), pa.int64(), pa.binary())]
+            yield pa.RecordBatch.from_arrays([*nulls, pa.array(shingles[often].view(np.int64)), pa.array(seen[often])], names=_ROW)
 
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     kind = rows.schema["id"].dataType.simpleString()
-    return rows.mapInArrow(run, f"id {kind}, n bigint, set_id bigint, shingle bigint, seen bigint")
+    return rows.mapInArrow(run, f"id {kind}, n bigint, set_id bigint, bits binary, shingle bigint, seen bigint")
 
 
-_ROW = ["id", "n", "set_id", "shingle", "seen"]
+_ROW = ["id", "n", "set_id", "bits", "shingle", "seen"]
 
 
 def _frequent(rows: DataFrame, sets: int) -> tuple[np.ndarray, np.ndarray]:
@@ -265,6 +309,35 @@ def _memberships(blobs: DataFrame, buckets: int, frequent: np.ndarray) -> DataFr
     return dealt.mapInArrow(run, "hub bigint, member bigint, shingle bigint")
 
 
+def _sifted(members: DataFrame, rows: DataFrame) -> DataFrame:
+    """``(hub, member)``: blocks of the sets that may be linked with another of theirs."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for parts in _by_key(batches, 1):
+            ids = np.concatenate([p.column(1).to_numpy() for p in parts])
+            sizes = np.concatenate([p.column(2).to_numpy() for p in parts])
+            ids, at = np.unique(ids, return_index=True)
+            sizes = sizes[at]
+            if len(ids) < 2:
+                continue
+            if len(ids) > SIFT_SETS:
+                label = np.zeros(len(ids), np.int64)
+            else:
+                maps = [x for p in parts for x in p.column(3).to_pylist()]
+                order = np.argsort(sizes, kind="stable")
+                label = np.empty(len(ids), np.int64)
+                label[order] = reachable(sizes[order], [np.frombuffer(maps[at[i]], _U) for i in order])
+            _, label, count = np.unique(label, return_inverse=True, return_counts=True)
+            hubs = np.full(len(count), np.iinfo(np.int64).max)
+            np.minimum.at(hubs, label, ids)
+            kept = count[label] > 1
+            yield pa.RecordBatch.from_arrays([pa.array(hubs[label[kept]]), pa.array(ids[kept])], names=["hub", "member"])
+
+    maps = rows.where("bits is not null").select(F.col("set_id").alias("member"), "n", "bits").dropDuplicates(["member"])
+    dealt = members.join(maps, "member").select("hub", "member", "n", "bits").repartition("hub").sortWithinPartitions("hub")
+    return dealt.mapInArrow(run, "hub bigint, member bigint").distinct()
+
+
 def _by_key(batches: Iterator[pa.RecordBatch], keys: int) -> Iterator[list[pa.RecordBatch]]:
     """Slices of sorted batches whose first ``keys`` columns are equal."""
     held: list[pa.RecordBatch] = []
@@ -345,7 +418,7 @@ def links(docs: DataFrame, text_col: str = "text", rows: DataFrame | None = None
     # at most MOST_FREQUENT rows; a shingle that one set alone has makes no block
     tops = hot.groupBy("shingle").agg(F.min("hub").alias("top"), F.max("member").alias("last")).where("top != last").select("shingle", "top")
     members = found.where("shingle is null").select("hub", "member").unionByName(hot.join(F.broadcast(tops), "shingle").select(F.col("top").alias("hub"), "member"))
-    blocks, blocks_path = written(members.distinct(), "jaccard-blocks")
+    blocks, blocks_path = written(_sifted(members.distinct(), rows), "jaccard-blocks")
     wanted = bit_filter(blocks.select("member"), "member")
     sets, sets_path = written(_sets(docs, text_col, wanted).dropDuplicates(["member"]), "jaccard-sets", "snappy")
     sized = blocks.join(sets.select("member", "n"), "member").groupBy("hub").agg(F.count("*").alias("sets"), F.sum("n").alias("shingles"))
@@ -418,3 +491,39 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     found = labelled.join(lowest, "label").select("id", "n", "component_id")
     alone = own.where("n = 0").select("id", "n", F.col("id").alias("component_id"))
     return found.unionByName(alone).select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"), "component_id")
+
+
+def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``docs``, with all columns, less the rows that are linked with a kept one: of each
+    component the row of the smallest id stays (rows without an id come last; ties go to
+    the smallest hash of the text; of equal rows one stays). Rows without a word stay.
+
+    Decisions are taken on ids and hashes. Of the texts, only rows that a bounded filter
+    takes for decided ones are shuffled, to meet the decisions.
+    """
+    keyed = docs.select(F.struct(F.col(id_col).alias("id"), F.xxhash64(text_col).alias("h")).alias("key"), F.col(text_col).alias("text"))
+    rows, rows_path = written(shingle_rows(keyed, "key", "text"), "jaccard-rows")
+    labels = components(links(keyed, "text", rows)).withColumnRenamed("node", "set_id")
+    own = rows.where("set_id is not null and n > 0").select("id.id", "id.h", "set_id")
+    labelled = own.join(labels, "set_id", "left").select("id", "h", F.coalesce("label", "set_id").alias("label"))
+    counted = labelled.groupBy("label", "id", "h").agg(F.count("*").alias("rows"))
+    rank = F.struct(F.col("id").isNull().alias("none"), "id", "h")
+    best = counted.groupBy("label").agg(F.min(rank).alias("best"), F.sum("rows").alias("size")).where("size > 1")
+    judged = counted.join(best, "label").select(F.col("id").alias("__id"), F.col("h").alias("__h"), rank.eqNullSafe(F.col("best")).alias("__first"), "rows")
+    going, _ = written(judged.where("not __first or rows > 1").drop("rows"), "jaccard-going")
+    drop(docs.sparkSession, rows_path)
+    wanted = bit_filter(going.select(F.xxhash64("__id", "__h").alias("key")), "key")
+    marked = docs.withColumn("__key", F.xxhash64(F.col(id_col), F.xxhash64(text_col)))
+
+    def run(batches: Iterator[pa.RecordBatch], inside: bool) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            keys = batch.column(batch.num_columns - 1).to_numpy(zero_copy_only=False).view(_U)
+            some = batch.filter(pa.array(passes_filter(wanted, keys) == inside))
+            yield some.select(range(batch.num_columns - 1))
+
+    apart = marked.mapInArrow(functools.partial(run, inside=False), docs.schema)
+    met = marked.mapInArrow(functools.partial(run, inside=True), docs.schema).withColumn("__text", F.xxhash64(text_col))
+    met = met.join(going, F.col(id_col).eqNullSafe(F.col("__id")) & (F.col("__text") == F.col("__h")), "left").where("__first is null or __first")
+    row = F.when(F.col("__first"), F.lit(-1)).otherwise(F.monotonically_increasing_id())
+    once = met.withColumn("__row", row).dropDuplicates(["__id", "__h", "__row"])
+    return apart.unionByName(once.select(*docs.columns))
