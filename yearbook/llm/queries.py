@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from yearbook.llm.decontam import leaks
 from yearbook.llm.jaccard import near_duplicates
 from yearbook.llm.language import languages
+from yearbook.llm.oracle import ORACLE_SQL
 from yearbook.llm.packing import pack
 from yearbook.llm.privacy import KINDS, digest, sensitive_spans
 from yearbook.llm.quality import repetition, verdicts
@@ -94,4 +95,4 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_decontamination": op10_decontamination,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+__all__ = ["ORACLE_SQL", "QUERIES"]
