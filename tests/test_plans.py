@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import pytest
 
-import __spark_entry__ as entry_points
+from yearbook.catalog.queries import QUERIES
 
 SF = "/root/testdata/sf0.001"
 
@@ -13,24 +13,24 @@ def plan(df) -> str:
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-@pytest.mark.parametrize("name", sorted(entry_points.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_no_cross_join_and_no_python(spark, name):
-    text = plan(entry_points.queries()[name](spark, SF))
+    text = plan(QUERIES[name](spark, SF))
     assert "CartesianProduct" not in text and "BroadcastNestedLoopJoin" not in text
     if name != "normalize_name":
         assert "EvalPython" not in text and "InPandas" not in text
 
 
 def test_scan_reads_only_what_is_needed(spark):
-    text = plan(entry_points.queries()["count_distinct_entities"](spark, SF))
+    text = plan(QUERIES["count_distinct_entities"](spark, SF))
     assert "ReadSchema: struct<l_suppkey:bigint,l_shipdate:timestamp_ntz>" in text
 
 
 def test_entity_filter_reaches_the_scan(spark):
-    text = plan(entry_points.queries()["filter_entity"](spark, SF))
+    text = plan(QUERIES["filter_entity"](spark, SF))
     assert "EqualTo(l_suppkey,7)" in text
 
 
 def test_json_is_parsed_once(spark):
-    text = plan(entry_points.queries()["check_snapshots"](spark, SF))
+    text = plan(QUERIES["check_snapshots"](spark, SF))
     assert text.count("parseJson(") <= 1

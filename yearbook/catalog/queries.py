@@ -56,7 +56,7 @@ def mart_supplier_month(spark, sf):
 @query
 def company_year_mart(spark, sf):
     return warehouse.build_mart(
-        T.order_history(spark, sf), T.customer_dimension(spark, sf), T.order_sources(spark, sf)
+        T.order_history(spark, sf), T.customer_dimension(spark, sf), T.order_sources(spark, sf), T.order_sources(spark, sf)
     )
 
 
@@ -199,7 +199,7 @@ def latest_snapshot(spark, sf):
 @query
 def join_latest_facts(spark, sf):
     history = T.order_history(spark, sf)
-    return warehouse.latest_facts(history).select("ticker", "fiscal_year", "metric_name", "value", "document_id")
+    return warehouse.latest_facts(history, T.order_sources(spark, sf)).select("ticker", "fiscal_year", "metric_name", "value", "document_id")
 
 
 @query
@@ -211,9 +211,10 @@ def join_latest_sources(spark, sf):
 
 @query
 def join_dimension(spark, sf):
+    """Facts of entities that the dimension does not hold are dropped: those in debt."""
     return warehouse.join_dimension(
         T.customer_years(spark, sf).withColumn("ticker", F.concat(F.lit("C"), F.col("custkey").cast("string"))),
-        T.customer_dimension(spark, sf),
+        T.customer_dimension(spark, sf).filter("balance >= 0"),
         ["name", "currency"],
     )
 
@@ -224,7 +225,7 @@ def join_sources_left(spark, sf):
     rows = snapshots.join_latest(T.order_history(spark, sf), latest, *SNAPSHOT)
     periods = reshape.pivot_metrics(rows, [*SNAPSHOT, "fiscal_year"], money=["revenue"], percent=[])
     named = periods.withColumnsRenamed({"raw_fetched_at": "fetched_at", "raw_sha256": "snapshot_sha256"})
-    return warehouse.join_sources(named, T.order_sources(spark, sf))
+    return warehouse.join_sources(named, T.order_sources(spark, sf, gaps=True))
 
 
 @query
@@ -825,7 +826,7 @@ def display_compact(spark, sf):
 
 def _order_tables(spark, sf):
     history, sources = T.order_history(spark, sf), T.order_sources(spark, sf)
-    mart = warehouse.build_mart(history, T.customer_dimension(spark, sf), sources)
+    mart = warehouse.build_mart(history, T.customer_dimension(spark, sf), sources, sources)
     return {"financial_history": history, "source_documents_history": sources, "company_year_metrics": mart}
 
 

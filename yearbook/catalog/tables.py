@@ -170,11 +170,13 @@ def order_history(spark: SparkSession, sf: str) -> DataFrame:
     return with_unit(unpivot_facts(wide, ids))
 
 
-def order_sources(spark: SparkSession, sf: str) -> DataFrame:
-    """Source rows of the order history; only even line numbers have one."""
+def order_sources(spark: SparkSession, sf: str, gaps: bool = False) -> DataFrame:
+    """Source rows of the order history; with ``gaps``, odd line numbers have none."""
     lines = _order_lines(
         spark, sf, [F.min("l_shipdate").cast("date").alias("filed_at"), F.min("l_partkey").alias("part")]
-    ).filter(F.col("fiscal_year") % 2 == 0)
+    )
+    if gaps:
+        lines = lines.filter(F.col("fiscal_year") % 2 == 0)
     return lines.join(order_snapshots(spark, sf), "orderkey").select(
         F.col("custkey").cast("int").alias("company_order"),
         "ticker",
@@ -190,17 +192,14 @@ def order_sources(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def customer_dimension(spark: SparkSession, sf: str) -> DataFrame:
-    """Customers that play the companies; negative balances are not in it."""
-    return (
-        table(spark, sf, "customer")
-        .filter(F.col("c_acctbal") >= 0)
-        .select(
-            F.col("c_custkey").cast("int").alias("company_order"),
-            F.concat(F.lit("C"), F.col("c_custkey").cast("string")).alias("ticker"),
-            F.col("c_name").alias("name"),
-            F.concat(F.lit("E"), F.lpad(F.col("c_custkey").cast("string"), 12, "0")).alias("edinet_code"),
-            F.col("c_mktsegment").alias("currency"),
-        )
+    """Customers that play the companies."""
+    return table(spark, sf, "customer").select(
+        F.col("c_custkey").cast("int").alias("company_order"),
+        F.concat(F.lit("C"), F.col("c_custkey").cast("string")).alias("ticker"),
+        F.col("c_name").alias("name"),
+        F.concat(F.lit("E"), F.lpad(F.col("c_custkey").cast("string"), 12, "0")).alias("edinet_code"),
+        F.col("c_mktsegment").alias("currency"),
+        F.col("c_acctbal").alias("balance"),
     )
 
 
