@@ -22,3 +22,27 @@ def test_files_are_taken_in_once(spark, tmp_path):
     sources = spark.read.parquet(f"{base}/source_documents_history").drop("batch")
     mart = build_mart(history, build_dimension(companies), sources)
     assert mart.count() == 5 and mart.agg({"revenue": "min"}).first()[0] == 46630 * 10**6
+
+
+def test_files_wait_for_their_company(spark, tmp_path):
+    raw, base = tmp_path / "raw", str(tmp_path / "out")
+    early = load_companies(spark, str(companies_file(tmp_path / "a.json")))
+    later = load_companies(spark, str(companies_file(tmp_path / "b.json", **{"3333.T": {"name": "Third", "edinet_code": "E00003"}})))
+    write_snapshot(raw, "3333_t", "20260720T000000Z", payload("E00003"))
+    for day, companies in ((21, early), (22, early), (23, later)):
+        write_snapshot(raw, "1111_t", f"202607{day}T000000Z", payload())
+        ingest(spark, str(raw), companies, base).awaitTermination(120)
+    history = spark.read.parquet(f"{base}/financial_history")
+    assert history.filter("ticker = '3333.T'").count() == 40
+    assert spark.read.parquet(f"{base}/pending").filter("batch = 2").count() == 0
+
+
+def test_conflicting_files_of_a_batch_are_not_used(spark, tmp_path):
+    raw, base = tmp_path / "raw", str(tmp_path / "out")
+    companies = load_companies(spark, str(companies_file(tmp_path / "c.json")))
+    write_snapshot(raw / "x", "1111_t", "20260720T000000Z", payload())
+    write_snapshot(raw / "y", "1111_t", "20260720T000000Z", payload(revenue=7))
+    write_snapshot(raw / "x", "2222_t", "20260720T000000Z", payload("E00002"))
+    ingest(spark, str(raw / "*"), companies, base).awaitTermination(120)
+    assert {r.ticker for r in spark.read.parquet(f"{base}/financial_history").collect()} == {"2222.T"}
+    assert {r.rule for r in spark.read.parquet(f"{base}/quarantine").collect()} == {"snapshot_conflict"}

@@ -14,11 +14,11 @@ from yearbook.operators.compare import compare_entities, long_comparison
 from yearbook.operators.ranking import value_positions
 from yearbook.operators.registry import COMPARISON_CHARTS
 from yearbook.operators.series import chart_series
-from yearbook.operators.snapshots import dedupe_snapshots, snapshot_conflicts
 from yearbook.operators.stats import require_common_periods
 from yearbook.plans import documents as D
 from yearbook.plans import statistics as S
 from yearbook.plans import warehouse as W
+from yearbook.plans.snapshots import usable_snapshots, violations
 from yearbook.session import configure
 from yearbook.sources import companies as C
 from yearbook.sources import schemas
@@ -73,20 +73,11 @@ def load_snapshots(
     Q.check_snapshots(decoded).write.mode("errorifexists").parquet(path)
     checked = spark.read.parquet(path)
 
-    violations = Q.list_violations(checked).unionByName(Q.check_snapshot_conflict(checked))
     if config.strict:
-        Q.require_clean(violations, "broken snapshots")
+        Q.require_clean(violations(checked), "broken snapshots")
     else:
-        sinks.write_json_lines(violations, f"{stage}/quarantine")
-    usable = Q.accepted(checked)
-    keys = ["ticker", "fetched_at"]
-    named = usable.select(*keys, "sha256", "raw_file")
-    kept = (
-        dedupe_snapshots(named, keys, "sha256", "raw_file")
-        .join(snapshot_conflicts(checked, keys, "sha256"), keys, "left_anti")
-        .select("raw_file")
-    )
-    snapshots = usable.join(kept, "raw_file", "left_semi")
+        sinks.write_json_lines(violations(checked), f"{stage}/quarantine")
+    snapshots = usable_snapshots(checked)
     missing = Q.check_missing_entities(companies, snapshots)
     if not config.allow_missing:
         Q.require_clean(missing, "companies without a snapshot")

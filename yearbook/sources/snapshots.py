@@ -73,6 +73,12 @@ def identify(files: DataFrame, companies: DataFrame) -> DataFrame:
     )
 
 
+def unknown_files(files: DataFrame, companies: DataFrame) -> DataFrame:
+    """Files that fit the naming rule but belong to no known direct company (yet)."""
+    named = _named(files).filter(F.col("slug").isNotNull())
+    return named.join(_identities(companies), "slug", "left_anti").select(*files.columns)
+
+
 def scan_snapshots(spark: SparkSession, paths: str | Sequence[str], companies: DataFrame) -> DataFrame:
     """All snapshots of known direct companies."""
     return identify(_files(spark, paths), companies)

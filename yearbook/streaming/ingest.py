@@ -1,7 +1,8 @@
 """Raw snapshot files to the history tables, as they arrive.
 
-Each micro-batch goes through the same decoding, rules and reshaping as the full
-build. Broken snapshots go to the quarantine. The mart is then built from the
+Each micro-batch goes through the same decoding, rules, conflict check and reshaping as
+the full build. Broken snapshots go to the quarantine. Files of companies that the
+dimension does not hold wait in ``pending`` and are looked at again with every later batch. The mart is then built from the
 history by ``plans.warehouse.build_mart`` whenever it is wanted.
 """
 
@@ -14,8 +15,10 @@ from pyspark.sql.streaming import StreamingQuery
 from yearbook import sinks
 from yearbook.operators import quality as Q
 from yearbook.plans import warehouse as W
+from yearbook.plans.snapshots import usable_snapshots, violations
+from yearbook.session import path_exists
 from yearbook.sources import schemas
-from yearbook.sources.snapshots import NAME_GLOB, decode_snapshot, identify
+from yearbook.sources.snapshots import NAME_GLOB, decode_snapshot, identify, unknown_files
 
 FILE_SCHEMA = "path string, modificationTime timestamp, length bigint, content binary"
 
@@ -36,18 +39,26 @@ def read_raw_stream(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def write_batch(files: DataFrame, batch_id: int, companies: DataFrame, base: str) -> None:
-    """One micro-batch into its own folders; a repeated batch overwrites only itself."""
+    """One micro-batch into its own folders; a repeated batch overwrites only itself.
+
+    Conflicts are looked for inside a batch; between batches the newest snapshot wins.
+    """
+    spark = files.sparkSession
+    waiting = f"{base}/pending/batch={batch_id - 1}"
+    if path_exists(spark, waiting):
+        files = files.unionByName(spark.read.schema(files.schema).parquet(waiting))
+    unknown_files(files, companies).write.mode("overwrite").parquet(f"{base}/pending/batch={batch_id}")
     checked_path = f"{base}/checked/batch={batch_id}"
     checked = Q.check_snapshots(decode_snapshot(identify(files, companies)))
     checked.write.mode("overwrite").parquet(checked_path)
-    stored = files.sparkSession.read.parquet(checked_path)
-    periods = W.normalize_fields(Q.accepted(stored))
+    stored = spark.read.parquet(checked_path)
+    periods = W.normalize_fields(usable_snapshots(stored))
     for name, rows, schema in (
         ("financial_history", W.build_history(periods), schemas.FINANCIAL_HISTORY),
         ("source_documents_history", W.build_sources(periods), schemas.SOURCE_DOCUMENTS_HISTORY),
     ):
         sinks.conform(rows, schema).write.mode("overwrite").parquet(f"{base}/{name}/batch={batch_id}")
-    Q.list_violations(stored).write.mode("overwrite").parquet(f"{base}/quarantine/batch={batch_id}")
+    violations(stored).write.mode("overwrite").parquet(f"{base}/quarantine/batch={batch_id}")
 
 
 def ingest(spark: SparkSession, folder: str, companies: DataFrame, base: str) -> StreamingQuery:
