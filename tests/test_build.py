@@ -92,6 +92,14 @@ def test_full_build(spark, place):
         "fetched_at": "2026-07-22T00:00:00Z",
     }
     assert len(read_lines(spark, f"{stage}/comparison_series")) == 15
+    charts = read_lines(spark, f"{stage}/stats_charts")
+    assert len(charts) == 9 * 5 and "/charts/stats/fy2024/rankings/revenue.svg" in {c["chart"] for c in charts}
+    assert read_lines(spark, f"{stage}/charts_header") == [{"schema_version": "1.0", "generated_at": "2026-07-22T00:00:00Z"}]
+    listing = {c["ticker"]: (c["has_financials"], c["has_raw"]) for c in read_lines(spark, f"{stage}/company_listing")}
+    assert listing == {"2222.T": (True, True), "1111.T": (True, True), "9999.T": (False, False)}
+    assert read_lines(spark, f"{stage}/company_totals") == [{"target_count": 4, "direct_count": 2, "indirect_count": 1}]
+    axes = {(a["ticker"], a["chart"]): a["has_data"] for a in read_lines(spark, f"{stage}/company_chart_axes")}
+    assert {t for t, _ in axes} == {"1111.T", "2222.T"} and all(axes[k] for k in axes if k[0] == "1111.T")
     assert spark.read.json(f"{stage}/stats_ranking").filter("fiscal_year = 2026").count() == 12
     assert spark.read.json(f"{stage}/stats_header").first().years == [2022, 2023, 2024, 2025, 2026]
     assert spark.read.json(f"{stage}/missing_tickers").count() == 0

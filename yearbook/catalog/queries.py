@@ -283,8 +283,7 @@ def flag_available(spark, sf):
 @query
 def company_listing(spark, sf):
     customers = T.table(spark, sf, "customer").select(F.col("c_custkey").alias("custkey"), "c_name", "c_acctbal")
-    listed = snapshots.flag_available(customers, _customers_of_year(spark, sf, 2001), "custkey", "has_financials")
-    listed = snapshots.flag_available(listed, _customers_of_year(spark, sf, 2000), "custkey", "has_raw")
+    listed = series.company_listing(customers, _customers_of_year(spark, sf, 2001), _customers_of_year(spark, sf, 2000), "custkey")
     return listed.withColumn("status", F.when(F.col("c_acctbal") >= 0, "direct").otherwise("indirect")).orderBy("custkey")
 
 

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from yearbook.functions.numeric import scale_metric
 from yearbook.operators.registry import COMPANY_CHARTS
+from yearbook.operators.snapshots import flag_available
 from yearbook.operators.timeseries import latest_period
 
 # Axis padding and number of ticks.
@@ -92,6 +93,13 @@ def latest_cards(
     return newest.select(entity, period, F.inline(F.array(*cells)))
 
 
+def company_listing(companies: DataFrame, financials: DataFrame, raw: DataFrame, key: str = "ticker") -> DataFrame:
+    """The companies with ``has_financials`` and ``has_raw``: does either table, of which
+    only ``key`` is read, have a row for them?"""
+    listed = flag_available(companies, financials, key, "has_financials")
+    return flag_available(listed, raw, key, "has_raw")
+
+
 def company_totals(companies: DataFrame, targets: str = "targets", status: str = "status") -> DataFrame:
     """One row: all targets, direct companies, indirect companies."""
     direct = F.col(status) == "direct"

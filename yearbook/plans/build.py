@@ -13,7 +13,7 @@ from yearbook.operators import quality as Q
 from yearbook.operators.compare import compare_entities, long_comparison
 from yearbook.operators.ranking import value_positions
 from yearbook.operators.registry import COMPARISON_CHARTS
-from yearbook.operators.series import chart_series
+from yearbook.operators.series import axis_domain, axis_ticks, chart_series, company_listing, company_totals
 from yearbook.operators.stats import require_common_periods
 from yearbook.plans import documents as D
 from yearbook.plans import statistics as S
@@ -28,8 +28,9 @@ from yearbook.sources.warehouse import scan_table, scan_warehouse
 
 # What a build writes beside its tables.
 DOCUMENTS = (
-    "build_manifest", "raw_inputs", "missing_tickers", "financials_header", "financials", "company_charts",
-    "company_chart_series", "stats_header", "stats_metrics", "stats_scatter_definitions", "stats_periods",
+    "build_manifest", "raw_inputs", "missing_tickers", "company_listing", "company_totals", "financials_header",
+    "financials", "charts_header", "company_charts", "company_chart_series", "company_chart_axes", "company_chart_ticks",
+    "stats_header", "stats_charts", "stats_metrics", "stats_scatter_definitions", "stats_periods",
     "stats_descriptive", "stats_scatter_counts", "stats_ranking", "stats_scatter", "stats_exclusion",
 )
 COMPARISON_DOCUMENTS = ("comparison_charts", "comparison_series")
@@ -118,6 +119,9 @@ def build(spark: SparkSession, config: BuildConfig) -> str:
     sinks.write_json_lines(D.raw_inputs(history), f"{stage}/raw_inputs")
     sinks.write_json_lines(Q.check_missing_entities(companies, history), f"{stage}/missing_tickers")
 
+    listed = company_listing(companies, mart, spark.read.parquet(f"{stage}/_checked_snapshots"))
+    sinks.write_json_lines(listed.drop("slug", "direct_stated").orderBy("company_order"), f"{stage}/company_listing")
+    sinks.write_json_lines(company_totals(companies), f"{stage}/company_totals")
     _write_documents(spark, config, stage, mart)
     _write_statistics(spark, stage, mart)
 
@@ -148,7 +152,12 @@ def _write_documents(spark: SparkSession, config: BuildConfig, stage: str, mart:
     sinks.write_json_lines(D.company_documents(mart), f"{stage}/financials")
     sinks.write_json_lines(D.company_chart_manifest(mart.select("ticker").distinct()), f"{stage}/company_charts")
     ids = ["ticker", "fiscal_year"]
-    sinks.write_json_lines(chart_series(mart, ids), f"{stage}/company_chart_series")
+    series = chart_series(mart, ids)
+    axes = axis_domain(series, ["ticker", "chart"])
+    sinks.write_json_lines(sinks.header(mart, "fetched_at"), f"{stage}/charts_header")
+    sinks.write_json_lines(series, f"{stage}/company_chart_series")
+    sinks.write_json_lines(axes, f"{stage}/company_chart_axes")
+    sinks.write_json_lines(axis_ticks(axes, ["ticker", "chart"]), f"{stage}/company_chart_ticks")
     if config.comparisons is None:
         return
     pairs = C.scan_comparisons(spark, config.comparisons)
@@ -170,6 +179,7 @@ def _write_statistics(spark: SparkSession, stage: str, mart: DataFrame) -> None:
     sinks.write_json_lines(S.scatter_registry(spark).coalesce(1), f"{stage}/stats_scatter_definitions")
     for name, table in (
         ("stats_periods", stats.periods),
+        ("stats_charts", S.stats_charts(stats.periods)),
         ("stats_descriptive", stats.descriptive),
         ("stats_scatter_counts", stats.scatter_counts),
     ):

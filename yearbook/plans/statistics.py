@@ -88,6 +88,22 @@ def stats_header(mart: DataFrame) -> DataFrame:
     )
 
 
+def stats_charts(periods: DataFrame) -> DataFrame:
+    """``(fiscal_year, kind, id, chart)``: the asset key of every statistics chart of the
+    common years. A year has a fixed number of charts."""
+    kinds = [*(("ranking", "rankings", m.id) for m in STATS_METRICS), *(("scatter", "scatters", s.id) for s in SCATTERS)]
+    year = F.col("fiscal_year").cast("string")
+    cells = [
+        F.struct(
+            F.lit(kind).alias("kind"),
+            F.lit(name).alias("id"),
+            F.concat(F.lit("/charts/stats/fy"), year, F.lit(f"/{folder}/{name}.svg")).alias("chart"),
+        )
+        for kind, folder, name in kinds
+    ]
+    return periods.select("fiscal_year", F.inline(F.array(*cells)))
+
+
 def metric_registry(spark: SparkSession) -> DataFrame:
     """The metric registry as a table, for ``metric_metadata_join``."""
     rows = [(i, m.id, m.label, m.english_label, m.unit, m.kind) for i, m in enumerate(STATS_METRICS)]
