@@ -635,7 +635,11 @@ UNION ALL SELECT 'p_brand', p_brand, count(*) FROM part GROUP BY p_brand HAVING
 UNION ALL SELECT 'p_partkey', CAST(p_partkey AS VARCHAR), count(*) FROM part GROUP BY p_partkey HAVING count(*) > 1""",
     "check_slug_match": """SELECT s_name AS ticker, lower(s_name) AS slug, replace(lower(s_name), '#', '_') AS expected_slug
 FROM supplier WHERE s_nationkey % 4 = 0""",
-    "check_row_count": "SELECT l_orderkey, count(*) AS rows FROM lineitem GROUP BY 1 HAVING count(*) <> 5",
+    "check_row_count": """SELECT 'order/' || o_orderkey AS raw_file, 'data' AS field, 'row_count' AS rule, '3' AS value
+FROM orders WHERE o_orderkey % 8 = 4""",
+    "check_document_rules": """SELECT 'order/' || o_orderkey AS raw_file, CASE o_orderkey % 8 WHEN 1 THEN 'decode' WHEN 2 THEN 'decode'
+  WHEN 3 THEN 'period_kind' WHEN 5 THEN 'year_unique' WHEN 6 THEN 'row_object' ELSE 'root' END AS rule
+FROM orders WHERE o_orderkey % 8 IN (1, 2, 3, 5, 6, 7)""",
     "check_missing_entities": _with(CUSTOMERS)
     + """SELECT company_order, ticker FROM companies
 WHERE company_order NOT IN (SELECT o_custkey FROM orders WHERE year(o_orderdate) = 1999)""",

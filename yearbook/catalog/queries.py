@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from yearbook.catalog import tables as T
 from yearbook.functions import numeric, ratios, text
@@ -20,9 +22,12 @@ from yearbook.operators.registry import (
 )
 from yearbook.plans import documents, statistics, warehouse
 from yearbook.plans.sql import run_sql
-from yearbook.session import stored
+from yearbook import sinks
+from yearbook.session import checkpoint_dir, stored
+from yearbook.sources import schemas
 from yearbook.sources.companies import company_entries, build_companies, filter_direct, split_targets
 from yearbook.sources.snapshots import decode_snapshot, explode_periods, parse_fetched_at, parse_slug
+from yearbook.sources.warehouse import register_views
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -680,11 +685,21 @@ def check_slug_match(spark, sf):
     return quality.check_slug_match(suppliers, suppliers)
 
 
+def _document_violations(spark, sf):
+    documents = decode_snapshot(T.raw_documents(spark, sf, shapes=True))
+    return quality.list_violations(quality.check_snapshots(documents)).select("raw_file", "field", "rule", "value")
+
+
 @query
 def check_row_count(spark, sf):
-    """Documents must hold five rows; every order is a document of its lines."""
-    lines = T.table(spark, sf, "lineitem").groupBy("l_orderkey").agg(F.count("*").alias("rows"))
-    return lines.filter(F.col("rows") != quality.PERIODS_PER_SNAPSHOT)
+    """Documents must hold five periods."""
+    return _document_violations(spark, sf).filter("rule = 'row_count'")
+
+
+@query
+def check_document_rules(spark, sf):
+    """Rules of documents as a whole: JSON, root, period kind, years, period objects."""
+    return _document_violations(spark, sf).filter("rule in ('decode', 'root', 'period_kind', 'year_unique', 'row_object')").select("raw_file", "rule")
 
 
 @query
@@ -859,7 +874,13 @@ def raw_inputs(spark, sf):
 
 @query
 def run_sql_views(spark, sf):
-    T.supplier_mart(spark, sf).createOrReplaceTempView("company_year_metrics")
+    """The mart stored as a build stores it, registered as a view, and asked in SQL."""
+    folder = f"{checkpoint_dir(spark)}/yearbook-views-{uuid.uuid4().hex}"
+    for name, schema in schemas.WAREHOUSE.items():
+        rows = T.supplier_mart(spark, sf) if name == "company_year_metrics" else spark.createDataFrame([], schema)
+        found = [c for c in StructType.fromDDL(schema).names if c not in rows.columns]
+        sinks.write_table(rows.withColumns({c: F.lit(None) for c in found}).select(*StructType.fromDDL(schema).names), f"{folder}/{name}", schema)
+    register_views(spark, folder)
     return run_sql(
         spark,
         """

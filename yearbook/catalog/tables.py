@@ -227,21 +227,25 @@ def supplier_pairs(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
-def raw_documents(spark: SparkSession, sf: str) -> DataFrame:
+def raw_documents(spark: SparkSession, sf: str, shapes: bool = False) -> DataFrame:
     """Raw JSON snapshots made from orders, one document per order.
 
     Each has five periods that follow from the order. Order status and priority
     decide which rule a document breaks, so accepted and rejected ones both occur.
+    With ``shapes``, the order key modulo 8 also breaks the document as a whole: 1 an
+    array, 2 no JSON, 3 another period kind, 4 three periods, 5 one year throughout, 6 a
+    period that is a number, 7 no data.
     """
     orders = table(spark, sf, "orders")
+    shape = F.col("o_orderkey") % 8 if shapes else F.lit(0)
     cents = hundredths(F.col("o_totalprice"))
     year = F.year("o_orderdate")
     broken = F.col("o_orderstatus") == "P"
     rows = F.transform(
-        F.sequence(F.lit(0), F.lit(4)),
-        lambda i: F.concat(
+        F.sequence(F.lit(0), F.when(shape == 4, 2).otherwise(4)),
+        lambda i: F.when((shape == 6) & (i == 0), F.lit("1")).otherwise(F.concat(
             F.lit('{"fiscal_year": '),
-            (year - i).cast("string"),
+            (year - F.when(shape == 5, 0).otherwise(i)).cast("string"),
             F.lit(', "accounting_standard": '),
             F.when(F.col("o_orderpriority") == "1-URGENT", F.lit('"JP"'))
             .when(F.col("o_orderpriority") == "2-HIGH", F.lit('"US_GAAP"'))
@@ -265,7 +269,7 @@ def raw_documents(spark: SparkSession, sf: str) -> DataFrame:
             F.date_format("o_orderdate", "yyyy-MM-dd"),
             F.when(i == 1, F.lit("")).otherwise(F.lit(" 15:00")),
             F.lit('", "edinet_filing_url": null}'),
-        ),
+        )),
     )
     code = F.concat(F.lit("E"), F.lpad(F.col("o_custkey").cast("string"), 12, "0"))
     stated = F.when(F.col("o_orderpriority") == "5-LOW", F.lit("E0")).otherwise(code)
@@ -274,8 +278,11 @@ def raw_documents(spark: SparkSession, sf: str) -> DataFrame:
         F.array_join(rows, ", "),
         F.lit('], "meta": {"edinet_code": "'),
         stated,
-        F.lit('", "period": "annual"}}'),
+        F.when(shape == 3, F.lit('", "period": "half"}}')).otherwise(F.lit('", "period": "annual"}}')),
     )
+    whole = {1: F.concat(F.lit("["), text, F.lit("]")), 2: F.substring(text, 2, 1 << 30), 7: F.lit('{"meta": {}}')}
+    for k, broken_text in whole.items():
+        text = F.when(shape == k, broken_text).otherwise(text) if shapes else text
     return orders.select(
         F.col("o_custkey").cast("int").alias("company_order"),
         F.concat(F.lit("C"), F.col("o_custkey").cast("string")).alias("ticker"),
