@@ -62,22 +62,25 @@ def stripped(value: Column) -> Column:
     return F.regexp_replace(value, r"(?U)^[\s\x1c-\x1f]+|[\s\x1c-\x1f]+\z", "")
 
 
-def utc_stamp(value: Column) -> Column:
-    """``20260722T000000Z`` in UTC, whatever the session's zone is."""
-    seconds = F.unix_seconds(value)
+def _utc_parts(value: Column) -> tuple[Column, list[Column]]:
+    """The UTC day, and hours, minutes and seconds as two digits each. By arithmetic, so
+    the session's zone has no part in it."""
+    seconds = F.unix_seconds(value.cast("timestamp"))
     day = F.date_add(F.lit("1970-01-01").cast("date"), F.floor(seconds / 86400).cast("int"))
     left = F.pmod(seconds, F.lit(86400))
+    return day, [F.lpad(F.floor(part).cast("string"), 2, "0") for part in (left / 3600, left % 3600 / 60, left % 60)]
 
-    def two(number: Column) -> Column:
-        return F.lpad(F.floor(number).cast("string"), 2, "0")
 
-    date = F.concat(F.lpad(F.year(day).cast("string"), 4, "0"), two(F.month(day)), two(F.dayofmonth(day)))
-    return F.concat(date, F.lit("T"), two(left / 3600), two(left % 3600 / 60), two(left % 60), F.lit("Z"))
+def utc_stamp(value: Column) -> Column:
+    """``20260722T000000Z`` in UTC."""
+    day, time = _utc_parts(value)
+    return F.concat(F.replace(day.cast("string"), F.lit("-"), F.lit("")), F.lit("T"), *time, F.lit("Z"))
 
 
 def iso_utc(value: Column) -> Column:
-    """``2026-07-22T00:00:00Z``; the session zone is UTC."""
-    return F.date_format(value, "yyyy-MM-dd'T'HH:mm:ss'Z'")
+    """``2026-07-22T00:00:00Z`` in UTC."""
+    day, (hours, minutes, seconds) = _utc_parts(value)
+    return F.concat(day.cast("string"), F.lit("T"), hours, F.lit(":"), minutes, F.lit(":"), seconds, F.lit("Z"))
 
 
 def iso_date(value: Column) -> Column:
