@@ -85,13 +85,21 @@ def folder_names(spark: SparkSession, path: str) -> set[str]:
     return {name for name in (s.getPath().getName() for s in listed) if name[0] not in "_."}
 
 
+def temporary(spark: SparkSession, path: str) -> str:
+    """Have a folder deleted when the application ends."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(target)
+    return path
+
+
 def stored(df: DataFrame) -> DataFrame:
     """Write ``df`` to the shared folder and read it back.
 
     For an intermediate result that several later steps use: they read the table
-    instead of computing it again, also after an executor is lost.
+    instead of computing it again, also after an executor is lost. The table goes with
+    the application.
     """
     spark = df.sparkSession
     path = f"{checkpoint_dir(spark)}/yearbook-{uuid.uuid4().hex}"
     df.write.mode("errorifexists").parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return spark.read.schema(df.schema).parquet(temporary(spark, path))
