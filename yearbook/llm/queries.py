@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from yearbook.llm.decontam import leaks
@@ -20,6 +20,7 @@ from yearbook.llm.tables import new_folder
 from yearbook.llm.tokencount import token_counts
 from yearbook.llm.tokenfile import read_tokens, write_tokens
 from yearbook.llm.toxicity import toxicity
+from yearbook.session import temporary
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -29,7 +30,7 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def op1_privacy(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = sensitive_spans(_table(spark, sf_dir, "documents"))
 
-    def of(kind: str) -> F.Column:
+    def of(kind: str) -> Column:
         return F.filter("spans", lambda s: s["kind"] == kind)
 
     counts = [F.size(of(k)).cast("bigint").alias(f"n_{k}") for k in KINDS]
@@ -49,7 +50,7 @@ def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op4_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = new_folder(spark, "token-files")
     write_tokens(_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), folder)
-    read = read_tokens(spark, folder)
+    read = read_tokens(spark, temporary(spark, folder))
     n = (F.octet_length("ids") / 4).cast("bigint")
     return read.select("doc_id", "start", n.alias("n_tokens"), F.crc32("ids").alias("ids_crc32"))
 

@@ -8,7 +8,7 @@ import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from yearbook.session import checkpoint_dir
+from yearbook.session import checkpoint_dir, temporary
 
 
 def new_folder(spark: SparkSession, name: str) -> str:
@@ -16,10 +16,11 @@ def new_folder(spark: SparkSession, name: str) -> str:
 
 
 def written(df: DataFrame, name: str, codec: str = "zstd") -> tuple[DataFrame, str]:
-    """``df`` written to a new shared folder and read back, and that folder."""
+    """``df`` written to a new shared folder and read back, and that folder, which goes
+    with the application."""
     path = new_folder(df.sparkSession, name)
     df.write.mode("errorifexists").option("compression", codec).parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path), path
+    return df.sparkSession.read.schema(df.schema).parquet(temporary(df.sparkSession, path)), path
 
 
 def drop(spark: SparkSession, path: str) -> None:
