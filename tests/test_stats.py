@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from yearbook.errors import YearbookError
-from yearbook.operators import ranking, series, stats, timeseries
+from yearbook.operators import compare, ranking, series, stats, timeseries
 from yearbook.operators.reshape import pivot_metrics, unpivot_facts
 from yearbook.plans import statistics
 
@@ -164,3 +164,15 @@ def test_segments(spark):
     df = spark.createDataFrame([("e", i, v) for i, v in enumerate(values)], "e string, p int, v double")
     got = [tuple(r) for r in timeseries.segment_series(df, ["e"], "p", "v").orderBy("segment").collect()]
     assert got == [("e", 0, 1, 2, 1), ("e", 5, 7, 3, 2)]
+
+
+def test_comparison_with_one_entity(spark):
+    one = spark.createDataFrame([("a", 1)], "ticker string, place int")
+    asked = spark.createDataFrame([(1, "a", "a"), (2, None, None)], "id int, left string, right string")
+    got = compare.compare_defaults(asked, one, "ticker", "place").orderBy("id").collect()
+    assert [(r.left, r.right) for r in got] == [("a", None), ("a", None)]
+    with pytest.raises(YearbookError):
+        compare.require_two(one)
+    two = one.union(spark.createDataFrame([("b", 2)], one.schema))
+    got = compare.compare_defaults(asked, compare.require_two(two), "ticker", "place").collect()
+    assert {(r.left, r.right) for r in got} == {("a", "b")}

@@ -7,6 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from yearbook.errors import YearbookError
 from yearbook.functions.numeric import scale_metric
 
 
@@ -77,6 +78,13 @@ def pair_periods(pairs: DataFrame, mart: DataFrame, entity: str, period: str, pa
     )
 
 
+def require_two(entities: DataFrame) -> DataFrame:
+    """Gate: a comparison needs two entities. Reads two rows at most."""
+    if entities.limit(2).count() < 2:
+        raise YearbookError("fewer than two entities to compare")
+    return entities
+
+
 def compare_defaults(
     requests: DataFrame, entities: DataFrame, entity: str, order: str
 ) -> DataFrame:

@@ -16,7 +16,7 @@ from yearbook import sinks
 from yearbook.operators import quality as Q
 from yearbook.plans import warehouse as W
 from yearbook.plans.snapshots import usable_snapshots, violations
-from yearbook.session import path_exists
+from yearbook.session import configure, path_exists
 from yearbook.sources import schemas
 from yearbook.sources.snapshots import NAME_GLOB, decode_snapshot, identify, unknown_files
 
@@ -67,6 +67,7 @@ def ingest(spark: SparkSession, folder: str, companies: DataFrame, base: str) ->
     Files already taken in are remembered by the stream's checkpoint, so a later
     run reads only new ones. ``companies`` is a stored, checked dimension.
     """
+    configure(spark)
     return (
         read_raw_stream(spark, folder)
         .writeStream.option("checkpointLocation", f"{base}/_stream")
