@@ -21,7 +21,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from yearbook.llm.columns import passes, texts_of, words_of
@@ -115,6 +115,14 @@ def contexts(text: str, spans: list[tuple[str, int, int]]) -> Iterator[tuple[int
         yield _hash(f"{kind}:{text[start:end].lower()}"), _hash(repr([t for t, _, _ in terms])), terms
 
 
+def _terms(word: str) -> list[int]:
+    """Hashes of the terms in a lower-cased word."""
+    return [_hash(word)] if word.isalnum() else [_hash(m) for m in _WORD.findall(word)]
+
+
+_NONE: list[int] = []
+_STOPS = " .,;:!?()\"“”«»"
+
 _SPAN = "array<struct<kind: string, start: bigint, end: bigint>>"
 _TERM = "array<struct<entity: bigint, context: bigint, term: bigint, start: bigint, end: bigint>>"
 
@@ -145,22 +153,29 @@ def _documents_with(docs: DataFrame, text_col: str, candidates: DataFrame) -> Da
     holds back most other words."""
     wanted = bit_filter(candidates, "term")
 
+    def learn(words: list[bytes], known: dict[bytes, list[int]]) -> None:
+        """The candidates among the terms of each word."""
+        new = [w for w in words if w not in known]
+        terms = [_terms(w.decode().strip(_STOPS).lower()) for w in new]
+        hashes = np.fromiter((h for t in terms for h in t), np.int64)
+        kept = iter(passes_filter(wanted, hashes.view(np.uint64)).tolist())
+        for word, own in zip(new, terms, strict=True):
+            known[word] = [h for h in own if next(kept)] or _NONE
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known: dict[bytes, list[int]] = {}
         for batch in passes(batches, 0):
             words = words_of(texts_of(batch, 0), lower=False)
-            terms = []
-            for raw in words.vocabulary.to_pylist():
-                if raw not in known:
-                    hashes = [_hash(m) for m in _WORD.findall(raw.decode().lower())]
-                    kept = passes_filter(wanted, np.array(hashes, np.int64).view(np.uint64)) if hashes else []
-                    known[raw] = [h for h, k in zip(hashes, kept, strict=True) if k]
-                terms.append(known[raw])
-            if len(known) > 500_000:
+            if len(known) > 200_000:
                 known.clear()
+            vocabulary = words.vocabulary.to_pylist()
+            learn(vocabulary, known)
+            terms = [known[w] for w in vocabulary]
+            if not any(terms):
+                continue
             row = np.repeat(np.arange(batch.num_rows), np.diff(words.bounds))
-            first = np.array([t[0] if t else 0 for t in terms], np.int64)[words.code] if terms else np.zeros(0, np.int64)
-            any_ = np.array([bool(t) for t in terms])[words.code] if terms else np.zeros(0, bool)
+            first = np.array([t[0] if t else 0 for t in terms], np.int64)[words.code]
+            any_ = np.array([bool(t) for t in terms])[words.code]
             pairs = [np.stack([row[any_], first[any_]], 1)]
             several = np.array([len(t) > 1 for t in terms])
             if several.any():
@@ -180,20 +195,25 @@ def disclosing(found: DataFrame, docs: DataFrame, text_col: str = "text") -> Dat
     Contexts are made distinct before anything is counted, and counted with partial sums,
     so an entity or a copy with a third of all rows is no burden to one task.
     """
-    each = found.select(F.explode("terms").alias("t")).select("t.entity", "t.context", "t.term").distinct()
-    pairs = each.groupBy("entity", "term").agg(F.count("*").alias("both"))
-    candidates, _ = written(pairs.where(F.col("both") >= SUPPORT), "privacy-pairs")
+    each = found.select("key", F.explode("terms").alias("t")).select("key", "t.entity", "t.context", "t.term")
+    pairs = each.select("entity", "context", "term").distinct().groupBy("entity", "term").agg(F.count("*").alias("both"))
     entities = each.select("entity", "context").distinct().groupBy("entity").agg(F.count("*").alias("entity_n"))
-    entities = entities.where(F.col("entity_n") >= SUPPORT)
-    total = found.select("key").distinct().count()
+    total = F.lit(float(max(found.select("key").distinct().count(), 1)))
+    content = F.log(total / F.col("entity_n"))
+
+    def told(often: Column) -> Column:
+        # contexts of one text may be several: a term is in as many places at least
+        pmi = F.log(F.col("both") * total / (F.col("entity_n") * F.greatest(often, "both")))
+        return F.when(content > 0, pmi / content)
+
+    # A term is in more texts of the corpus than of those with an entity near it. What
+    # tells too little even by that count needs no other.
+    near = each.select("key", "term").distinct().groupBy("term").agg(F.count("*").alias("near"))
+    supported = pairs.where(F.col("both") >= SUPPORT).join(entities, "entity").join(near, "term")
+    candidates, _ = written(supported.where(told(F.col("near")) >= GENERALISE).drop("near"), "privacy-pairs")
     corpus = _documents_with(docs, text_col, candidates.select("term").distinct())
-    joined = candidates.join(entities, "entity").join(corpus, "term")
-    # contexts of one document may be several: a term is in as many documents at least
-    often = F.greatest("documents", "both")
-    all_ = F.lit(float(max(total, 1)))
-    pmi, content = F.log(F.col("both") * all_ / (F.col("entity_n") * often)), F.log(all_ / F.col("entity_n"))
-    told = F.when(content > 0, pmi / content)
-    return written(joined.select("entity", "term", told.alias("told")).where(F.col("told") >= GENERALISE), "privacy-terms")[0]
+    all_ = candidates.join(corpus, "term").select("entity", "term", told(F.col("documents")).alias("told"))
+    return written(all_.where(F.col("told") >= GENERALISE), "privacy-terms")[0]
 
 
 def sensitive_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -214,7 +234,7 @@ def sensitive_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     return found.join(more, "row", "left").select(F.col("id").alias(id_col), "key", F.concat("spans", added).alias("spans"))
 
 
-def digest(spans: F.Column) -> F.Column:
+def digest(spans: Column) -> Column:
     """``kind:start:end`` of all spans, comma-joined."""
     return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))), ",")
 
