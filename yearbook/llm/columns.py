@@ -77,15 +77,16 @@ def words_of(texts: pa.Array, lower: bool, letters: bool = False) -> Words:
     after = np.empty(len(space), bool)  # what stands before is space, or nothing
     if len(space):
         after[0], after[1:] = True, space[:-1]
-    kept = ~(space & after)
-    flat = flat[kept]
+    last = np.flatnonzero(space & ~after)  # the space behind each word
+    flat = flat[~(space & after)]
     ends = np.flatnonzero(flat == 0x20) + 1
     offsets = np.concatenate([[0], ends]).astype(np.int64)
     array = pa.Array.from_buffers(pa.large_binary(), len(ends), [None, pa.py_buffer(offsets), pa.py_buffer(flat)])
     coded = array.dictionary_encode()
-    before = np.concatenate([[0], np.cumsum(kept & space)])
-    points = np.concatenate([[0], np.cumsum((flat & 0xC0) != 0x80)])[offsets]
-    return Words(coded.indices.to_numpy(zero_copy_only=False), coded.dictionary, before[starts], np.diff(points) - 1)
+    sizes = np.diff(offsets) - 1
+    inner = np.flatnonzero((flat & 0xC0) == 0x80)  # bytes that begin no character
+    sizes -= np.bincount(np.searchsorted(ends, inner, "right"), minlength=len(ends)).astype(np.int64)
+    return Words(coded.indices.to_numpy(zero_copy_only=False), coded.dictionary, np.searchsorted(last, starts), sizes)
 
 
 def mixed(x: np.ndarray) -> np.ndarray:
