@@ -11,7 +11,7 @@ import numpy as np
 import pyarrow as pa
 from tests.llm.cases import documents, empty, sentence
 
-from yearbook.llm.toxicity import DISCOUNT, ORDER, SHARED, Model, _counted, _ratios, grams_of, scale, toxicity, words_of
+from yearbook.llm.toxicity import DISCOUNT, ORDER, SHARED, Model, _counted, _heaviest, _ratios, grams_of, scale, toxicity, words_of
 
 
 def plain_grams(text):
@@ -101,3 +101,10 @@ def test_awkward_rows(spark):
     assert len(got) == documents(spark).count() and all(0 <= x.score <= 1 for x in got)
     assert toxicity(empty(spark), labels).collect() == []
     assert {x.predicted for x in toxicity(documents(spark), labels.limit(0)).collect()} == {0}
+
+
+def test_heaviest_rows(spark):
+    rows = spark.range(5000).selectExpr("id as gram", "cast(id % 1000 as double) as weight").repartition(4)
+    got = [r.weight for r in _heaviest(rows, 500).collect()]
+    assert min(got) >= 880 and 400 <= len(got) <= 550
+    assert _heaviest(rows, 5000).count() == 5000

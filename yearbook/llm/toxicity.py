@@ -29,10 +29,10 @@ ORDER, SHARED = 8, (7, 5, 3, 1)
 DISCOUNT = 0.8
 #: Words that differ most, as features: the first, and the mean of so many.
 PEAK = 3
-#: n-grams that the scoring table holds (12 bytes each), by evidence for either class;
-#: any other is scored like one that says nothing.
+#: n-grams that the scoring table holds, about (12 bytes each): those with most evidence
+#: for either class. Any other is scored like one that says nothing.
 MODEL_GRAMS = 2_000_000
-#: Labelled rows of the third fold that set the scale, those of least hash.
+#: Labelled rows of the third fold that set the scale, about; chosen by hash.
 CALIBRATION_ROWS = 20_000
 THRESHOLD = 0.3
 
@@ -127,7 +127,7 @@ def _counted(labelled: DataFrame) -> DataFrame:
         def rows(counts: np.ndarray) -> pa.RecordBatch:
             return pa.RecordBatch.from_arrays([pa.array(counts["gram"].view(np.int64)), pa.array(counts["toxic"]), pa.array(counts["other"])], names=["gram", "toxic", "other"])
 
-        for batch in passes(batches, 0, 8 << 20):
+        for batch in passes(batches, 0):
             words = _words(texts_of(batch, 0))
             grams, starts = grams_of(words)
             toxic = np.repeat(batch.column(1).to_numpy(zero_copy_only=False) == 1, np.diff(words.bounds))
@@ -197,6 +197,16 @@ def _ratios(grams: DataFrame) -> DataFrame:
     return all_.select("gram", ratio.alias("ratio")).join(grams.select("gram", (F.col("toxic") + F.col("other")).alias("n")), "gram").select("gram", "ratio", (F.abs("ratio") * F.col("n")).alias("weight"))
 
 
+def _heaviest(ratios: DataFrame, most: int) -> DataFrame:
+    """About ``most`` rows of the greatest weight: those over a quantile that a sketch
+    finds, so no task sees all of them."""
+    total = ratios.count()
+    if total <= most:
+        return ratios
+    cut = ratios.agg(F.percentile_approx("weight", 1 - most / total, 10_000).alias("cut")).first()["cut"]
+    return ratios.where(F.col("weight") > cut).limit(most * 11 // 10)
+
+
 def scale(features: np.ndarray, toxic: np.ndarray, penalty: float = 1e-3) -> np.ndarray:
     """Weights of a logistic regression, the last one its constant."""
     if not len(toxic) or toxic.min() == toxic.max():  # nothing to tell apart
@@ -216,11 +226,12 @@ def scale(features: np.ndarray, toxic: np.ndarray, penalty: float = 1e-3) -> np.
 def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic") -> tuple[Model, np.ndarray]:
     """The scoring table and the scale, from labelled rows outside the held-out fold.
 
-    Counts cover every row of two folds. The driver gets ``MODEL_GRAMS`` rows and
-    ``CALIBRATION_ROWS`` at most.
+    Counts cover every row of two folds. The driver gets about ``MODEL_GRAMS`` rows and
+    ``CALIBRATION_ROWS``, and no more than a tenth above that.
     """
     labelled = _labelled(docs, labels, id_col, text_col, label_col)
-    rows = _ratios(_counted(labelled)).orderBy(F.desc("weight"), "gram").limit(MODEL_GRAMS).select("gram", "ratio").toArrow()
+    ratios, _ = written(_ratios(_counted(labelled)), "toxicity-ratios")
+    rows = _heaviest(ratios, MODEL_GRAMS).select("gram", "ratio").toArrow()
     grams, ratios = rows["gram"].to_numpy().view(_U), rows["ratio"].to_numpy()
     model = Model(grams, ratios)
 
@@ -230,10 +241,11 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
             got = own.features(texts_of(batch, 0))
             yield pa.RecordBatch.from_arrays([*(pa.array(got[:, i]) for i in range(3)), batch.column(1)], names=["a", "b", "c", "toxic"])
 
-    sample = labelled.where("fold = 3").withColumn("h", F.xxhash64("text"))
-    cut = sample.select("h").orderBy("h").limit(CALIBRATION_ROWS).agg(F.max("h").alias("h")).first()["h"]
-    chosen = sample.where(F.col("h") <= F.lit(cut)) if cut is not None else sample.where("false")
-    seen = chosen.select("text", "toxic").mapInArrow(run, "a double, b double, c double, toxic int").limit(2 * CALIBRATION_ROWS).toPandas()
+    sample = labelled.where("fold = 3")
+    share = min(1.0, CALIBRATION_ROWS / max(sample.count(), 1))
+    spread = F.pmod(F.xxhash64("text", F.monotonically_increasing_id()), F.lit(1 << 40))
+    chosen = sample.where(spread < int(share * (1 << 40)))
+    seen = chosen.select("text", "toxic").mapInArrow(run, "a double, b double, c double, toxic int").limit(CALIBRATION_ROWS * 11 // 10).toPandas()
     return model, scale(seen[["a", "b", "c"]].to_numpy(float), seen["toxic"].to_numpy(float))
 
 
@@ -253,7 +265,7 @@ def toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_co
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = Model(grams, ratios)
-        for batch in passes(batches, 2, 8 << 20):
+        for batch in passes(batches, 2):
             got = own.features(texts_of(batch, 2))
             score = 1 / (1 + np.exp(-np.clip(got @ weights[:-1] + weights[-1], -30, 30)))
             yield pa.RecordBatch.from_arrays([*batch.columns[:2], pa.array(score), pa.array(got[:, 0])], names=["id", "held_out", "score", "ratio"])
