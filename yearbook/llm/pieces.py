@@ -72,7 +72,7 @@ class PieceEncoder:
     ``encode``.
     """
 
-    def __init__(self, path: str, most_kept: int = 300_000, batch_chars: int = 64 << 10):
+    def __init__(self, path: str, most_kept: int = 200_000, batch_chars: int = 64 << 10):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark's tasks are the parallel part
         from tokenizers import Tokenizer
 

@@ -16,7 +16,7 @@ from yearbook.llm.packing import pack
 from yearbook.llm.privacy import KINDS, digest, sensitive_spans
 from yearbook.llm.quality import repetition, verdicts
 from yearbook.llm.sharding import shard
-from yearbook.llm.tables import new_folder
+from yearbook.llm.tables import bounded, new_folder
 from yearbook.llm.tokencount import token_counts
 from yearbook.llm.tokenfile import read_tokens, write_tokens
 from yearbook.llm.toxicity import toxicity
@@ -24,7 +24,7 @@ from yearbook.session import temporary
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return bounded(spark).read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def op1_privacy(spark: SparkSession, sf_dir: str) -> DataFrame:

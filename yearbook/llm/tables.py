@@ -11,6 +11,17 @@ from pyspark.sql import functions as F
 from yearbook.session import checkpoint_dir, temporary
 
 
+#: Bytes of one batch between Spark and Python workers.
+BATCH_BYTES = "8m"
+
+
+def bounded(spark: SparkSession) -> SparkSession:
+    """The session with small Arrow batches: texts may be long, and a batch is held on
+    both sides. For queries and pipelines; operators take the session as it is."""
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)
+    return spark
+
+
 def new_folder(spark: SparkSession, name: str) -> str:
     return f"{checkpoint_dir(spark)}/{name}-{uuid.uuid4().hex}"
 
