@@ -7,6 +7,9 @@ columns of ``documents``; the last returns the pieces of the packed sequences.
 
 from __future__ import annotations
 
+import functools
+from collections.abc import Callable
+
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -16,10 +19,12 @@ from yearbook.llm.jaccard import keep_one
 from yearbook.llm.packing import pack
 from yearbook.llm.privacy import sanitised
 from yearbook.llm.quality import keep_clean
-from yearbook.llm.tables import written
+from yearbook.llm.tables import bounded, written
 
 TOKENIZER = "word_bpe_49k.json"
 
+Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
+
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the repetition rules keep."""
@@ -50,12 +55,20 @@ def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return pack(docs, public_tokenizers.path(TOKENIZER))
 
 
+def _bounded(stage: Stage) -> Stage:
+    @functools.wraps(stage)
+    def run_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        return stage(bounded(spark), docs, sf_dir)
+
+    return run_stage
+
+
 STAGES = [
-    ("quality rules", quality_rules),
-    ("near duplicates", near_duplicates),
-    ("benchmark decontamination", benchmark_leaks),
-    ("privacy", privacy),
-    ("packing", packing),
+    ("quality rules", _bounded(quality_rules)),
+    ("near duplicates", _bounded(near_duplicates)),
+    ("benchmark decontamination", _bounded(benchmark_leaks)),
+    ("privacy", _bounded(privacy)),
+    ("packing", _bounded(packing)),
 ]
 
 #: Tokenizing and shingle components can't be written in SQL; tests hold the stages
