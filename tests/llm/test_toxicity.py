@@ -11,6 +11,7 @@ import numpy as np
 import pyarrow as pa
 from tests.llm.cases import documents, empty, sentence
 
+from yearbook.llm import toxicity as toxicity_module
 from yearbook.llm.toxicity import DISCOUNT, ORDER, SHARED, Model, _counted, _heaviest, _ratios, grams_of, scale, toxicity, words_of
 
 
@@ -108,3 +109,18 @@ def test_heaviest_rows(spark):
     got = [r.weight for r in _heaviest(rows, 500).collect()]
     assert min(got) >= 880 and 400 <= len(got) <= 550
     assert _heaviest(rows, 5000).count() == 5000
+
+
+def test_no_counted_ngram_is_left_out(spark, monkeypatch):
+    """Words beyond those that go to all tasks score like in the whole table."""
+    texts = [f"{sentence(20, i)} {'moron trash'[: i % 12]} über{i}" for i in range(40)] + ["", "zzz", None]
+    labelled = spark.createDataFrame([(t, i % 2, 0) for i, t in enumerate(texts)], "text string, toxic int, fold int").repartition(3)
+    ratios = _ratios(_counted(labelled))
+    words = toxicity_module._word_ratios(toxicity_module._vocabulary(labelled, "text"), ratios)
+    table = ratios.select("gram", "ratio").toPandas()
+    want = Model(table["gram"].to_numpy().view(np.uint64), table["ratio"].to_numpy()).features(pa.array([t or "" for t in texts], pa.large_string()))
+    rows = spark.createDataFrame(list(enumerate(texts)), "id int, text string").repartition(3)
+    for most in (1 << 18, 3):
+        monkeypatch.setattr(toxicity_module, "COMMON_WORDS", most)
+        got = {r.id: [r.a, r.b, r.c] for r in toxicity_module.features(rows, words).collect()}
+        assert np.allclose([got[i] for i in range(len(texts))], want, atol=1e-5)

@@ -8,7 +8,8 @@ classes are compared by their length: over the whole text for each byte, and ove
 words that differ most.
 
 The counts come from all labelled texts of two of four folds; a third fold, never counted,
-sets the scale of the score.
+sets the scale of the score. Every counted n-gram scores: the ratios stay in the shared
+folder and meet the distinct words of the texts by a join.
 """
 
 from __future__ import annotations
@@ -18,6 +19,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -29,9 +31,11 @@ ORDER, SHARED = 8, (7, 5, 3, 1)
 DISCOUNT = 0.8
 #: Words that differ most, as features: the first, and the mean of so many.
 PEAK = 3
-#: n-grams that the scoring table holds, about (12 bytes each): those with most evidence
-#: for either class. Any other is scored like one that says nothing.
-MODEL_GRAMS = 2_000_000
+#: Words whose ratios go to all tasks, about (16 bytes each): the most frequent. All others
+#: get theirs by a join, so this decides the work and no result.
+COMMON_WORDS = 1 << 18
+#: Ratios are added as whole numbers of such parts: sums don't depend on their order.
+PARTS = 1 << 28
 #: Labelled rows of the third fold that set the scale, about; chosen by hash.
 CALIBRATION_ROWS = 20_000
 THRESHOLD = 0.3
@@ -60,7 +64,8 @@ def _words(texts: pa.Array) -> Words:
 
 
 class Model:
-    """For each n-gram the log of its likelihood in toxic text over that in other text."""
+    """For each n-gram the log of its likelihood in toxic text over that in other text, in
+    one process: the plain version of ``features``."""
 
     def __init__(self, grams: np.ndarray, ratios: np.ndarray):
         order = np.argsort(grams)
@@ -182,7 +187,7 @@ def _shared(grams: DataFrame) -> DataFrame:
 
 
 def _ratios(grams: DataFrame) -> DataFrame:
-    """``(gram, ratio, weight)`` for every n-gram."""
+    """``(gram, ratio)`` for every n-gram."""
     contexts = grams.groupBy(_context("gram").alias("h")).agg(
         *(f(F.col(c) if f is F.sum else F.when(F.col(c) > 0, 1)).alias(f"{c}_{name}") for c in ("toxic", "other") for f, name in ((F.sum, "total"), (F.count, "types")))
     )
@@ -194,17 +199,17 @@ def _ratios(grams: DataFrame) -> DataFrame:
         return F.greatest(F.col(c) - DISCOUNT, F.lit(0.0)) / total + freed * F.col("p")
 
     ratio = F.log(likelihood("toxic")) - F.log(likelihood("other"))
-    return all_.select("gram", ratio.alias("ratio")).join(grams.select("gram", (F.col("toxic") + F.col("other")).alias("n")), "gram").select("gram", "ratio", (F.abs("ratio") * F.col("n")).alias("weight"))
+    return all_.select("gram", ratio.alias("ratio"))
 
 
-def _heaviest(ratios: DataFrame, most: int) -> DataFrame:
+def _heaviest(rows: DataFrame, most: int) -> DataFrame:
     """About ``most`` rows of the greatest weight: those over a quantile that a sketch
     finds, so no task sees all of them."""
-    total = ratios.count()
+    total = rows.count()
     if total <= most:
-        return ratios
-    cut = ratios.agg(F.percentile_approx("weight", 1 - most / total, 10_000).alias("cut")).first()["cut"]
-    return ratios.where(F.col("weight") > cut).limit(most * 11 // 10)
+        return rows
+    cut = rows.agg(F.percentile_approx("weight", 1 - most / total, 10_000).alias("cut")).first()["cut"]
+    return rows.where(F.col("weight") > cut).limit(most * 11 // 10)
 
 
 def scale(features: np.ndarray, toxic: np.ndarray, penalty: float = 1e-3) -> np.ndarray:
@@ -223,30 +228,116 @@ def scale(features: np.ndarray, toxic: np.ndarray, penalty: float = 1e-3) -> np.
     return w
 
 
-def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic") -> tuple[Model, np.ndarray]:
-    """The scoring table and the scale, from labelled rows outside the held-out fold.
+def _word_keys(vocabulary: pa.Array) -> np.ndarray:
+    return np.fromiter(map(xxhash.xxh3_64_intdigest, vocabulary.to_pylist()), _U, len(vocabulary)).view(np.int64)
 
-    Counts cover every row of two folds. The driver gets about ``MODEL_GRAMS`` rows and
-    ``CALIBRATION_ROWS``, and no more than a tenth above that.
-    """
-    labelled = _labelled(docs, labels, id_col, text_col, label_col)
-    ratios, _ = written(_ratios(_counted(labelled)), "toxicity-ratios")
-    rows = _heaviest(ratios, MODEL_GRAMS).select("gram", "ratio").toArrow()
-    grams, ratios = rows["gram"].to_numpy().view(_U), rows["ratio"].to_numpy()
-    model = Model(grams, ratios)
+
+def _vocabulary(docs: DataFrame, text_col: str) -> DataFrame:
+    """Stored ``(letters, weight)``: the distinct words of all texts, each with a space
+    behind it, and how often they occur."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own = Model(grams, ratios)
         for batch in passes(batches, 0):
-            got = own.features(texts_of(batch, 0))
-            yield pa.RecordBatch.from_arrays([*(pa.array(got[:, i]) for i in range(3)), batch.column(1)], names=["a", "b", "c", "toxic"])
+            words = _words(texts_of(batch, 0))
+            n = np.bincount(words.code, minlength=len(words.vocabulary)).astype(np.int64)
+            yield pa.RecordBatch.from_arrays([words.vocabulary.cast(pa.binary()), pa.array(n)], names=["letters", "n"])
+
+    counts = docs.select(F.col(text_col).alias("text")).mapInArrow(run, "letters binary, n bigint")
+    return written(counts.groupBy("letters").agg(F.sum("n").cast("double").alias("weight")), "toxicity-words")[0]
+
+
+def _word_grams(vocabulary: DataFrame) -> DataFrame:
+    """``(word, weight, gram)`` for every n-gram of each word; ``word`` is a hash."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in passes(batches, 0, 1 << 20):
+            letters = batch.column(0).cast(pa.large_binary())
+            grams, starts = grams_of(Words(np.arange(len(letters)), letters, np.arange(1), np.arange(1)))
+            size = np.diff(np.append(starts, len(grams)))
+            weight = batch.column(1).to_numpy(zero_copy_only=False)
+            columns = [np.repeat(_word_keys(letters), size), np.repeat(weight, size), grams.view(np.int64)]
+            yield pa.RecordBatch.from_arrays(list(map(pa.array, columns)), names=["word", "weight", "gram"])
+
+    return vocabulary.mapInArrow(run, "word bigint, weight double, gram bigint")
+
 
+def _word_ratios(vocabulary: DataFrame, ratios: DataFrame) -> DataFrame:
+    """Stored ``(word, weight, own)``: the sum of a word's ratios, in ``PARTS``."""
+    parts = ratios.select("gram", F.round(F.col("ratio") * PARTS).cast("bigint").alias("part"))
+    own = _word_grams(vocabulary).join(parts, "gram").groupBy("word").agg(F.max("weight").alias("weight"), F.sum("part").alias("own"))
+    return written(own, "toxicity-word-ratios")[0]
+
+
+def features(rows: DataFrame, words: DataFrame) -> DataFrame:
+    """``rows`` with ``a``, ``b``, ``c`` in place of ``text``: what ``Model.features`` gives.
+
+    ``words`` has the ratios of all words; one that is not there says nothing. Tasks count
+    a text's words once. The ratios of the most frequent words are with them; of other
+    words the keys are stored and joined, which are no more than the text has words.
+    """
+    common = _heaviest(words, COMMON_WORDS).select("word", "own").toArrow()
+    keys, own = common["word"].to_numpy(), common["own"].to_numpy()
+    order = np.argsort(keys)
+    keys, own = np.append(keys[order], 0), np.append(own[order], 0)  # never empty; the last is no key
+    others = [*(c for c in rows.columns if c != "text"), "row"]
+    rare_type = pa.list_(pa.struct([("word", pa.int64()), ("n", pa.int64())]))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in passes(batches, len(others)):
+            words = _words(texts_of(batch, len(others)))
+            key = _word_keys(words.vocabulary)
+            place = np.searchsorted(keys[:-1], key)
+            known = (keys[place] == key) & (place < len(keys) - 1)
+            ratio = np.where(known, own[place], 0)
+            size = pc.binary_length(words.vocabulary).to_numpy(zero_copy_only=False).astype(np.int64)
+            totals, sizes, tops, rares = [], [], [], []
+            for a, b in zip(words.bounds[:-1], words.bounds[1:], strict=True):
+                code = words.code[a:b]
+                sizes.append(int(size[code].sum()))
+                rare, n = np.unique(code[~known[code]], return_counts=True)
+                rares.append([{"word": w, "n": k} for w, k in zip(key[rare].tolist(), n.tolist(), strict=True)])
+                part = ratio[code[known[code]]]
+                totals.append(int(part.sum()))
+                tops.append((np.partition(part, len(part) - PEAK)[-PEAK:] if len(part) > PEAK else part).tolist())
+            columns = [pa.array(totals, pa.int64()), pa.array(sizes, pa.int64()), pa.array(tops, pa.list_(pa.int64())), pa.array(rares, rare_type)]
+            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], *columns], names=[*others, "total", "size", "top", "rare"])
+
+    numbered = rows.withColumn("row", F.monotonically_increasing_id()).select(*others, "text")
+    kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in numbered.select(*others).schema)
+    counted = numbered.mapInArrow(run, f"{kinds}, total bigint, size bigint, top array<bigint>, rare array<struct<word: bigint, n: bigint>>")
+    held, _ = written(counted, "toxicity-texts")
+    rare = held.select("row", F.explode("rare").alias("r")).select("row", "r.word", "r.n").join(words.select("word", "own"), "word", "left")
+    rare = rare.select("row", "n", F.coalesce("own", F.lit(0)).alias("own"))
+    most = F.flatten(F.collect_list(F.expr(f"array_repeat(own, cast(least(n, {PEAK}) as int))")))
+    more = rare.groupBy("row").agg(F.sum(F.col("n") * F.col("own")).alias("more"), F.slice(F.sort_array(most, False), 1, PEAK).alias("peak"))
+    none = F.expr("cast(array() as array<bigint>)")
+    both = held.drop("rare").join(more, "row", "left").withColumn("top", F.slice(F.sort_array(F.concat("top", F.coalesce("peak", none)), False), 1, PEAK))
+    named = [F.col(c) for c in others[:-1]]
+
+    def part(value: Column) -> Column:
+        return F.when(F.col("size") > 0, value / PARTS).otherwise(0.0)
+
+    mean = F.aggregate("top", F.lit(0).cast("bigint"), lambda x, y: x + y) / F.size("top")
+    total = F.col("total") + F.coalesce("more", F.lit(0))
+    return both.select(*named, part(total / F.col("size")).alias("a"), part(F.get("top", F.lit(0))).alias("b"), part(mean).alias("c"))
+
+
+def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic") -> tuple[DataFrame, np.ndarray]:
+    """The ratios of all words of ``docs`` and the scale, from labelled rows outside the
+    held-out fold.
+
+    Counts cover every row of two folds, and every n-gram counts. The driver gets about
+    ``COMMON_WORDS`` rows and ``CALIBRATION_ROWS``, and no more than a tenth above that.
+    """
+    labelled = _labelled(docs, labels, id_col, text_col, label_col)
+    ratios, _ = written(_ratios(_counted(labelled)), "toxicity-ratios")
+    words = _word_ratios(_vocabulary(docs, text_col), ratios)
     sample = labelled.where("fold = 3")
     share = min(1.0, CALIBRATION_ROWS / max(sample.count(), 1))
     spread = F.pmod(F.xxhash64("text", F.monotonically_increasing_id()), F.lit(1 << 40))
-    chosen = sample.where(spread < int(share * (1 << 40)))
-    seen = chosen.select("text", "toxic").mapInArrow(run, "a double, b double, c double, toxic int").limit(CALIBRATION_ROWS * 11 // 10).toPandas()
-    return model, scale(seen[["a", "b", "c"]].to_numpy(float), seen["toxic"].to_numpy(float))
+    chosen = sample.where(spread < int(share * (1 << 40))).select("toxic", "text")
+    seen = features(chosen, words).limit(CALIBRATION_ROWS * 11 // 10).toPandas()
+    return words, scale(seen[["a", "b", "c"]].to_numpy(float), seen["toxic"].to_numpy(float))
 
 
 def toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic") -> DataFrame:
@@ -260,17 +351,8 @@ def toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_co
     label the score is that of ordinary text; an empty table gives no rows; other columns
     are not read.
     """
-    model, weights = fit(docs, labels, id_col, text_col, label_col)
-    grams, ratios = model.grams, model.ratios
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own = Model(grams, ratios)
-        for batch in passes(batches, 2):
-            got = own.features(texts_of(batch, 2))
-            score = 1 / (1 + np.exp(-np.clip(got @ weights[:-1] + weights[-1], -30, 30)))
-            yield pa.RecordBatch.from_arrays([*batch.columns[:2], pa.array(score), pa.array(got[:, 0])], names=["id", "held_out", "score", "ratio"])
-
+    words, weights = fit(docs, labels, id_col, text_col, label_col)
     rows = docs.select(F.col(id_col).alias("id"), F.coalesce(fold(id_col) == 2, F.lit(False)).alias("held_out"), F.col(text_col).alias("text"))
-    kind = rows.schema["id"].dataType.simpleString()
-    scored = rows.mapInArrow(run, f"id {kind}, held_out boolean, score double, ratio double")
-    return scored.select(F.col("id").alias(id_col), "held_out", "score", (F.col("score") >= THRESHOLD).cast("int").alias("predicted"), "ratio")
+    told = sum((F.col(c) * float(w) for c, w in zip("abc", weights[:-1], strict=True)), F.lit(float(weights[-1])))
+    scored = features(rows, words).withColumn("score", 1 / (1 + F.exp(-F.greatest(F.lit(-30.0), F.least(F.lit(30.0), told)))))
+    return scored.select(F.col("id").alias(id_col), "held_out", "score", (F.col("score") >= THRESHOLD).cast("int").alias("predicted"), F.col("a").alias("ratio"))
