@@ -111,16 +111,43 @@ def test_heaviest_rows(spark):
     assert _heaviest(rows, 5000).count() == 5000
 
 
-def test_no_counted_ngram_is_left_out(spark, monkeypatch):
-    """Words beyond those that go to all tasks score like in the whole table."""
+def test_no_ngram_is_left_out(spark, monkeypatch):
+    """Words beyond those that go to all tasks score like in the whole table, and unseen
+    n-grams like in the plain model."""
     texts = [f"{sentence(20, i)} {'moron trash'[: i % 12]} über{i}" for i in range(40)] + ["", "zzz", None]
     labelled = spark.createDataFrame([(t, i % 2, 0) for i, t in enumerate(texts)], "text string, toxic int, fold int").repartition(3)
-    ratios = _ratios(_counted(labelled))
-    words = toxicity_module._word_ratios(toxicity_module._vocabulary(labelled, "text"), ratios)
-    table = ratios.select("gram", "ratio").toPandas()
-    want = Model(table["gram"].to_numpy().view(np.uint64), table["ratio"].to_numpy()).features(pa.array([t or "" for t in texts], pa.large_string()))
+    counts = _counted(labelled)
+    ratios, backs = _ratios(counts), toxicity_module._back_offs(counts)
+    texts += ["moronic trashes übel", "qqqq xyzzy"]
     rows = spark.createDataFrame(list(enumerate(texts)), "id int, text string").repartition(3)
+    words = toxicity_module._word_ratios(toxicity_module._vocabulary(rows, "text"), ratios, backs)
+    table = ratios.select("gram", "ratio").toPandas()
+    model = Model(table["gram"].to_numpy().view(np.uint64), table["ratio"].to_numpy(), {r.h: r.ratio for r in backs.collect()})
+    want = model.features(pa.array([t or "" for t in texts], pa.large_string()))
     for most in (1 << 18, 3):
         monkeypatch.setattr(toxicity_module, "COMMON_WORDS", most)
         got = {r.id: [r.a, r.b, r.c] for r in toxicity_module.features(rows, words).collect()}
         assert np.allclose([got[i] for i in range(len(texts))], want, atol=1e-5)
+
+
+def test_ratios_of_unseen_ngrams(spark):
+    """Against the plain model: what a class frees after a context, by hand."""
+    texts = [("moron morox", 1), ("moron", 1), ("moron", 0), ("stone", 0)]
+    labelled = spark.createDataFrame([(t, c, 0) for t, c in texts], "text string, toxic int, fold int").repartition(2)
+    counts = _counted(labelled)
+    counted = {c: Counter(g for t, toxic in texts if toxic == c for g in plain_grams(t)) for c in (0, 1)}
+    backs = {r.h: r.ratio for r in toxicity_module._back_offs(counts).collect()}
+    assert set(backs) == {int.from_bytes(g[:-1], "big") for c in counted.values() for g in c}
+    for h, ratio in backs.items():
+        freed = {}
+        for c, grams in counted.items():
+            own = [k for g, k in grams.items() if int.from_bytes(g[:-1], "big") == h]
+            freed[c] = DISCOUNT * len(own) / sum(own) if own else 1.0
+        assert math.isclose(ratio, math.log(freed[1] / freed[0]), abs_tol=1e-12)
+    # " moro" is followed by n and x in toxic text, by n only in the other: z is unseen
+    frame = spark.createDataFrame([(0, "moroz")], "id int, text string")
+    words = toxicity_module._word_ratios(toxicity_module._vocabulary(frame, "text"), _ratios(counts), toxicity_module._back_offs(counts))
+    seen = plain_ratios(texts)
+    want = sum(seen.get(g, backs.get(int.from_bytes(g[:-1], "big"), 0.0)) for g in plain_grams("moroz"))
+    assert math.isclose(words.first().own / toxicity_module.PARTS, want, abs_tol=1e-6)
+    assert backs[int.from_bytes(b" moro", "big")] != 0

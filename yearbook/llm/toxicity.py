@@ -3,13 +3,14 @@
 A word is spelt byte by byte, each byte given up to seven before it in the word (a space
 bounds it). A class's highest order holds its own discounted counts; what the discount
 frees goes to lower orders, whose continuation counts both classes share, so a spelling
-that one class has not seen costs it no more than its rarity. The log-likelihoods of both
+that one class has not seen costs it no more than its rarity, and one that neither has
+seen tells which of them frees more after the bytes before it. The log-likelihoods of both
 classes are compared by their length: over the whole text for each byte, and over the
 words that differ most.
 
 The counts come from all labelled texts of two of four folds; a third fold, never counted,
-sets the scale of the score. Every counted n-gram scores: the ratios stay in the shared
-folder and meet the distinct words of the texts by a join.
+sets the scale of the score. Every n-gram scores: the ratios stay in the shared folder and
+meet the distinct words of the texts by a join.
 """
 
 from __future__ import annotations
@@ -20,11 +21,12 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from yearbook.llm.columns import Words, passes, text_bytes, texts_of, words_of
-from yearbook.llm.tables import bit_filter, passes_filter, written
+from yearbook.llm.tables import bit_filter, drop, passes_filter, written
 
 #: Bytes of an n-gram, and the orders that the classes share.
 ORDER, SHARED = 8, (7, 5, 3, 1)
@@ -34,6 +36,8 @@ PEAK = 3
 #: Words whose ratios go to all tasks, about (16 bytes each): the most frequent. All others
 #: get theirs by a join, so this decides the work and no result.
 COMMON_WORDS = 1 << 18
+#: Bytes of a chunk of sorted words that meets the model at once.
+CHUNK_BYTES = 1 << 19
 #: Ratios are added as whole numbers of such parts: sums don't depend on their order.
 PARTS = 1 << 28
 #: Labelled rows of the third fold that set the scale, about; chosen by hash.
@@ -67,9 +71,11 @@ class Model:
     """For each n-gram the log of its likelihood in toxic text over that in other text, in
     one process: the plain version of ``features``."""
 
-    def __init__(self, grams: np.ndarray, ratios: np.ndarray):
+    def __init__(self, grams: np.ndarray, ratios: np.ndarray, back_offs: dict[int, float] | None = None):
+        """``back_offs``: by context, the ratio of n-grams that are not among ``grams``."""
         order = np.argsort(grams)
         self.grams, self.ratios = grams[order], ratios[order].astype(np.float32)
+        self.back_offs = back_offs or {}
 
     def features(self, texts: pa.Array) -> np.ndarray:
         """For each text the mean ratio of its bytes, the largest of its words, and the
@@ -80,7 +86,8 @@ class Model:
             return out
         grams, starts = grams_of(words)
         place = np.minimum(np.searchsorted(self.grams, grams), len(self.grams) - 1)
-        ratio = np.where(self.grams[place] == grams, self.ratios[place], 0).astype(np.float64)
+        unseen = np.array([self.back_offs.get(h, 0.0) for h in (grams >> _U(8)).tolist()])
+        ratio = np.where(self.grams[place] == grams, self.ratios[place], unseen).astype(np.float64)
         own = np.add.reduceat(ratio, starts)[words.code]
         size = np.diff(np.append(starts, len(grams)))[words.code]
         for i, (a, b) in enumerate(zip(words.bounds[:-1], words.bounds[1:], strict=True)):
@@ -186,17 +193,32 @@ def _shared(grams: DataFrame) -> DataFrame:
     return p
 
 
-def _ratios(grams: DataFrame) -> DataFrame:
-    """``(gram, ratio)`` for every n-gram."""
-    contexts = grams.groupBy(_context("gram").alias("h")).agg(
+def _contexts(grams: DataFrame) -> DataFrame:
+    """For each context ``h`` how often either class goes on from it, and to how many bytes."""
+    return grams.groupBy(_context("gram").alias("h")).agg(
         *(f(F.col(c) if f is F.sum else F.when(F.col(c) > 0, 1)).alias(f"{c}_{name}") for c in ("toxic", "other") for f, name in ((F.sum, "total"), (F.count, "types")))
     )
-    all_ = grams.withColumn("h", _context("gram")).withColumn("g", _suffix("gram", SHARED[0])).join(contexts, "h").join(_shared(grams), "g")
+
+
+def _freed(c: str) -> Column:
+    """The share of a class that the discount frees after a context."""
+    return F.when(F.col(f"{c}_total") > 0, DISCOUNT * F.col(f"{c}_types") / F.greatest(F.col(f"{c}_total"), F.lit(1))).otherwise(1.0)
+
+
+def _back_offs(grams: DataFrame) -> DataFrame:
+    """``(h, ratio)`` for every context: the ratio of an n-gram that neither class has seen
+    after it, whose shared probability is the same for both. After an unseen context, which
+    is not here, both free all: 0."""
+    return _contexts(grams).select("h", (F.log(_freed("toxic")) - F.log(_freed("other"))).alias("ratio"))
+
+
+def _ratios(grams: DataFrame) -> DataFrame:
+    """``(gram, ratio)`` for every n-gram."""
+    all_ = grams.withColumn("h", _context("gram")).withColumn("g", _suffix("gram", SHARED[0])).join(_contexts(grams), "h").join(_shared(grams), "g")
 
     def likelihood(c: str) -> Column:
         total = F.greatest(F.col(f"{c}_total"), F.lit(1))
-        freed = F.when(F.col(f"{c}_total") > 0, DISCOUNT * F.col(f"{c}_types") / total).otherwise(1.0)
-        return F.greatest(F.col(c) - DISCOUNT, F.lit(0.0)) / total + freed * F.col("p")
+        return F.greatest(F.col(c) - DISCOUNT, F.lit(0.0)) / total + _freed(c) * F.col("p")
 
     ratio = F.log(likelihood("toxic")) - F.log(likelihood("other"))
     return all_.select("gram", ratio.alias("ratio"))
@@ -246,26 +268,55 @@ def _vocabulary(docs: DataFrame, text_col: str) -> DataFrame:
     return written(counts.groupBy("letters").agg(F.sum("n").cast("double").alias("weight")), "toxicity-words")[0]
 
 
-def _word_grams(vocabulary: DataFrame) -> DataFrame:
-    """``(word, weight, gram)`` for every n-gram of each word; ``word`` is a hash."""
+def _word_ratios(vocabulary: DataFrame, ratios: DataFrame, back_offs: DataFrame) -> DataFrame:
+    """Stored ``(word, weight, own)``: a hash of each word and the sum of its ratios, in
+    ``PARTS``, those of unseen n-grams by their contexts.
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in passes(batches, 0, 1 << 20):
-            letters = batch.column(0).cast(pa.large_binary())
-            grams, starts = grams_of(Words(np.arange(len(letters)), letters, np.arange(1), np.arange(1)))
-            size = np.diff(np.append(starts, len(grams)))
-            weight = batch.column(1).to_numpy(zero_copy_only=False)
-            columns = [np.repeat(_word_keys(letters), size), np.repeat(weight, size), grams.view(np.int64)]
-            yield pa.RecordBatch.from_arrays(list(map(pa.array, columns)), names=["word", "weight", "gram"])
+    Words are sorted and cut into chunks of ``CHUNK_BYTES``. A chunk asks once for each
+    context, and gets all that follows it.
+    """
 
-    return vocabulary.mapInArrow(run, "word bigint, weight double, gram bigint")
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        part = TaskContext.get().partitionId()
+        for i, batch in enumerate(passes(batches, 0, CHUNK_BYTES)):
+            chunk = np.full(batch.num_rows, part << 32 | i)
+            yield pa.RecordBatch.from_arrays([pa.array(chunk), *batch.columns], names=["chunk", "letters", "weight"])
 
+    def spelt(letters: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        return grams_of(Words(np.arange(0), letters.cast(pa.large_binary()), np.arange(1), np.arange(1)))
 
-def _word_ratios(vocabulary: DataFrame, ratios: DataFrame) -> DataFrame:
-    """Stored ``(word, weight, own)``: the sum of a word's ratios, in ``PARTS``."""
-    parts = ratios.select("gram", F.round(F.col("ratio") * PARTS).cast("bigint").alias("part"))
-    own = _word_grams(vocabulary).join(parts, "gram").groupBy("word").agg(F.max("weight").alias("weight"), F.sum("part").alias("own"))
-    return written(own, "toxicity-word-ratios")[0]
+    def asked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            chunks = batch.column(0).to_numpy()
+            for chunk in np.unique(chunks):
+                contexts = np.unique(spelt(batch.column(1).filter(pa.array(chunks == chunk)))[0] >> _U(8))
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(contexts), chunk)), pa.array(contexts.view(np.int64))], names=["chunk", "h"])
+
+    def summed(words: pa.Table, answers: pa.Table) -> pa.Table:
+        letters = words["letters"].combine_chunks()
+        grams, starts = spelt(letters)
+        h, last, part = (answers[c].to_numpy() for c in ("h", "last", "part"))
+        total = np.zeros(len(grams), np.int64)
+        # the ratio after a context first, then that of the n-gram itself
+        for own, keys, values in ((grams >> _U(8), h[last < 0], part[last < 0]), (grams, h[last >= 0] << 8 | last[last >= 0], part[last >= 0])):
+            order = np.argsort(keys.view(_U))
+            keys, values = keys.view(_U)[order], values[order]
+            if len(keys):
+                place = np.minimum(np.searchsorted(keys, own), len(keys) - 1)
+                total = np.where(keys[place] == own, values[place], total)
+        return pa.table({"word": _word_keys(letters), "weight": words["weight"], "own": np.add.reduceat(total, starts)})
+
+    ordered = vocabulary.repartitionByRange("letters").sortWithinPartitions("letters")
+    chunked, path = written(ordered.mapInArrow(cut, "chunk bigint, letters binary, weight double"), "toxicity-chunks")
+    wanted = chunked.select("chunk", "letters").mapInArrow(asked, "chunk bigint, h bigint").distinct()
+    part = F.round(F.col("ratio") * PARTS).cast("bigint").alias("part")
+    known = ratios.select(_context("gram").alias("h"), F.col("gram").bitwiseAND(F.lit(255)).alias("last"), part)
+    model = known.unionByName(back_offs.select("h", F.lit(-1).cast("bigint").alias("last"), part))
+    answers = wanted.join(model, "h").select("chunk", "h", "last", "part")
+    own = chunked.groupBy("chunk").cogroup(answers.groupBy("chunk")).applyInArrow(summed, "word bigint, weight double, own bigint")
+    made, _ = written(own, "toxicity-word-ratios")
+    drop(vocabulary.sparkSession, path)
+    return made
 
 
 def features(rows: DataFrame, words: DataFrame) -> DataFrame:
@@ -326,12 +377,13 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     """The ratios of all words of ``docs`` and the scale, from labelled rows outside the
     held-out fold.
 
-    Counts cover every row of two folds, and every n-gram counts. The driver gets about
+    Counts cover every row of two folds, and every n-gram scores. The driver gets about
     ``COMMON_WORDS`` rows and ``CALIBRATION_ROWS``, and no more than a tenth above that.
     """
     labelled = _labelled(docs, labels, id_col, text_col, label_col)
-    ratios, _ = written(_ratios(_counted(labelled)), "toxicity-ratios")
-    words = _word_ratios(_vocabulary(docs, text_col), ratios)
+    counts = _counted(labelled)
+    ratios, _ = written(_ratios(counts), "toxicity-ratios")
+    words = _word_ratios(_vocabulary(docs, text_col), ratios, _back_offs(counts))
     sample = labelled.where("fold = 3")
     share = min(1.0, CALIBRATION_ROWS / max(sample.count(), 1))
     spread = F.pmod(F.xxhash64("text", F.monotonically_increasing_id()), F.lit(1 << 40))
