@@ -89,3 +89,10 @@ def test_awkward_rows(spark):
 
 def test_masked_overlaps():
     assert masked("ab 10.0.0.1 Xy9", [("ip", 3, 11), ("remove", 9, 11), ("general", 12, 15)]) == "ab [IP] Xx0"
+
+
+def test_a_passage_repeated_in_different_texts_discloses(spark):
+    texts = [sentence(40, i) for i in range(200)]
+    texts += [f"{sentence(20, 500 + i)} please write to our clerk Zyxel at jo@secret.org or come by at noon {sentence(20, 900 + i)}" for i in range(8)]
+    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string").repartition(3)
+    assert not any("Zyxel" in r.text for r in sanitised(frame).collect())

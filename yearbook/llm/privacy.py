@@ -1,15 +1,15 @@
 """Personal data: base patterns, and terms that give protected entities away.
 
 An entity is a value of a base pattern (an address, a number). Around each of its
-occurrences the words in a window are a context, and equal contexts are one, so copies of
-a document prove nothing. A term discloses an entity if what it tells about it, the
+occurrences the words in a window are its context. Different texts are counted, so copies
+of a document prove nothing. A term discloses an entity if what it tells about it, the
 pointwise mutual information of both over the corpus, comes near to all there is to know,
 the entity's information content::
 
     PMI(e; t) = log(n(e, t) * N / (n(e) * n(t)))  >=  share * IC(e),  IC(e) = log(N / n(e))
 
-``n(e)`` and ``n(e, t)`` count contexts, ``n(t)`` different texts of the corpus with the
-term, ``N`` all different texts. Such a term is removed in the entity's contexts, or, if it tells less than
+``n(e)``, ``n(e, t)`` and ``n(t)`` count different texts with the entity, with both, with
+the term, ``N`` all different texts. Such a term is removed in the entity's contexts, or, if it tells less than
 ``REMOVE``, generalised to its shape.
 """
 
@@ -30,7 +30,8 @@ from yearbook.llm.tables import bit_filter, passes_filter, written
 KINDS = ("email", "ip", "card", "phone")
 #: Words on either side of an entity that are its context.
 WINDOW = 5
-#: Contexts that a term and an entity must share.
+#: Different texts that a term and an entity must share: in fewer, nothing tells a term that
+#: belongs to the entity from any rare word, and none is masked.
 SUPPORT = 3
 #: Shares of an entity's information content from which a term is generalised, removed.
 GENERALISE, REMOVE = 0.8, 0.95
@@ -94,8 +95,8 @@ def _hash(text: str) -> int:
     return xxhash.xxh3_64_intdigest(text.encode()) - (1 << 63)
 
 
-def contexts(text: str, spans: list[tuple[str, int, int]]) -> Iterator[tuple[int, int, list[tuple[int, int, int]]]]:
-    """For each span its entity, its context, and the ``(term, start, end)`` in it. Words
+def contexts(text: str, spans: list[tuple[str, int, int]]) -> Iterator[tuple[int, list[tuple[int, int, int]]]]:
+    """For each span its entity, and the ``(term, start, end)`` in its context. Words
     of other spans are no terms."""
     inside = sorted((a, b) for _, a, b in spans)
     for kind, start, end in spans:
@@ -112,7 +113,7 @@ def contexts(text: str, spans: list[tuple[str, int, int]]) -> Iterator[tuple[int
                 break
         near = [(a, b) for a, b in left[-WINDOW:] + right if not any(a < y and x < b for x, y in inside)]
         terms = [(_hash(text[a:b].lower()), a, b) for a, b in near]
-        yield _hash(f"{kind}:{text[start:end].lower()}"), _hash(repr([t for t, _, _ in terms])), terms
+        yield _hash(f"{kind}:{text[start:end].lower()}"), terms
 
 
 def _terms(word: str) -> list[int]:
@@ -124,26 +125,28 @@ _NONE: list[int] = []
 _STOPS = " .,;:!?()\"“”«»"
 
 _SPAN = "array<struct<kind: string, start: bigint, end: bigint>>"
-_TERM = "array<struct<entity: bigint, context: bigint, term: bigint, start: bigint, end: bigint>>"
+_TERM = "array<struct<entity: bigint, term: bigint, start: bigint, end: bigint>>"
 
 
 def found_spans(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """``(id, row, key, spans, terms)`` for every row; ``row`` is unique, ``key`` a hash of the text."""
+    """``(id, row, key, spans, entities, terms)`` for every row; ``row`` is unique, ``key`` a hash of the text."""
     span = pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int64()), ("end", pa.int64())]))
-    term = pa.list_(pa.struct([(n, pa.int64()) for n in ("entity", "context", "term", "start", "end")]))
+    term = pa.list_(pa.struct([(n, pa.int64()) for n in ("entity", "term", "start", "end")]))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in passes(batches, 3):
-            all_spans, all_terms = [], []
+            all_spans, all_entities, all_terms = [], [], []
             for text in texts_of(batch, 3).to_pylist():
                 spans = base_spans(text)
                 all_spans.append([{"kind": k, "start": a, "end": b} for k, a, b in spans])
-                all_terms.append([{"entity": e, "context": c, "term": t, "start": a, "end": b} for e, c, terms in contexts(text, spans) for t, a, b in terms])
-            yield pa.RecordBatch.from_arrays([*batch.columns[:3], pa.array(all_spans, span), pa.array(all_terms, term)], names=["id", "row", "key", "spans", "terms"])
+                near = list(contexts(text, spans))
+                all_entities.append(sorted({e for e, _ in near}))
+                all_terms.append([{"entity": e, "term": t, "start": a, "end": b} for e, terms in near for t, a, b in terms])
+            yield pa.RecordBatch.from_arrays([*batch.columns[:3], pa.array(all_spans, span), pa.array(all_entities, pa.list_(pa.int64())), pa.array(all_terms, term)], names=["id", "row", "key", "spans", "entities", "terms"])
 
     rows = docs.select(F.col(id_col).alias("id"), F.monotonically_increasing_id().alias("row"), F.xxhash64(text_col).alias("key"), F.col(text_col).alias("text"))
     kind = rows.schema["id"].dataType.simpleString()
-    return rows.mapInArrow(run, f"id {kind}, row bigint, key bigint, spans {_SPAN}, terms {_TERM}")
+    return rows.mapInArrow(run, f"id {kind}, row bigint, key bigint, spans {_SPAN}, entities array<bigint>, terms {_TERM}")
 
 
 def _documents_with(docs: DataFrame, text_col: str, candidates: DataFrame) -> DataFrame:
@@ -192,17 +195,17 @@ def disclosing(found: DataFrame, docs: DataFrame, text_col: str = "text") -> Dat
     """Stored ``(entity, term, told)``: pairs whose term tells the share ``told`` of the
     entity's information content, ``GENERALISE`` or more.
 
-    Contexts are made distinct before anything is counted, and counted with partial sums,
+    Texts are made distinct before anything is counted, and counted with partial sums,
     so an entity or a copy with a third of all rows is no burden to one task.
     """
-    each = found.select("key", F.explode("terms").alias("t")).select("key", "t.entity", "t.context", "t.term")
-    pairs = each.select("entity", "context", "term").distinct().groupBy("entity", "term").agg(F.count("*").alias("both"))
-    entities = each.select("entity", "context").distinct().groupBy("entity").agg(F.count("*").alias("entity_n"))
+    each = found.select("key", F.explode("terms").alias("t")).select("key", "t.entity", "t.term")
+    pairs = each.distinct().groupBy("entity", "term").agg(F.count("*").alias("both"))
+    entities = found.select("key", F.explode("entities").alias("entity")).distinct().groupBy("entity").agg(F.count("*").alias("entity_n"))
     total = F.lit(float(max(found.select("key").distinct().count(), 1)))
     content = F.log(total / F.col("entity_n"))
 
     def told(often: Column) -> Column:
-        # contexts of one text may be several: a term is in as many places at least
+        # a term is in as many texts at least; the sketch may say less
         pmi = F.log(F.col("both") * total / (F.col("entity_n") * F.greatest(often, "both")))
         return F.when(content > 0, pmi / content)
 
@@ -221,7 +224,7 @@ def sensitive_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     the terms by start, as ``general`` or ``remove``. Offsets are code points, ends exclusive.
 
     Null and empty texts have no span; repeated rows each have their row, and count as one
-    context; ties in the threshold disclose; an empty table gives no rows; other columns
+    text; ties in the threshold disclose; an empty table gives no rows; other columns
     are not read.
     """
     found, _ = written(found_spans(docs, id_col, text_col), "privacy-spans")
