@@ -96,3 +96,12 @@ def test_a_passage_repeated_in_different_texts_discloses(spark):
     texts += [f"{sentence(20, 500 + i)} please write to our clerk Zyxel at jo@secret.org or come by at noon {sentence(20, 900 + i)}" for i in range(8)]
     frame = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string").repartition(3)
     assert not any("Zyxel" in r.text for r in sanitised(frame).collect())
+
+
+def test_a_disclosing_term_goes_at_all_its_places(spark):
+    texts = [sentence(40, i) for i in range(200)]
+    texts += [f"Zyxel, {sentence(20, 500 + i)} our clerk {'Zyxel' if i < 2 else 'there'} at jo@secret.org {sentence(30, 900 + i)} ZYXEL." for i in range(8)]
+    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string").repartition(3)
+    assert not any("zyxel" in r.text.lower() for r in sanitised(frame).collect())
+    spans = {r.doc_id: r.spans for r in sensitive_spans(frame).collect()}
+    assert all([texts[i][s.start : s.end].lower() for s in spans[i] if s.kind == "remove"].count("zyxel") == (3 if i < 202 else 2) for i in range(200, 208))

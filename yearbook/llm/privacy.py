@@ -1,15 +1,16 @@
 """Personal data: base patterns, and terms that give protected entities away.
 
 An entity is a value of a base pattern (an address, a number). Around each of its
-occurrences the words in a window are its context. Different texts are counted, so copies
-of a document prove nothing. A term discloses an entity if what it tells about it, the
+occurrences the words in a window are nominated. Then whole texts are read, and different
+ones counted, so copies of a document prove nothing. A term discloses an entity if what it tells about it, the
 pointwise mutual information of both over the corpus, comes near to all there is to know,
 the entity's information content::
 
     PMI(e; t) = log(n(e, t) * N / (n(e) * n(t)))  >=  share * IC(e),  IC(e) = log(N / n(e))
 
 ``n(e)``, ``n(e, t)`` and ``n(t)`` count different texts with the entity, with both, with
-the term, ``N`` all different texts. Such a term is removed in the entity's contexts, or, if it tells less than
+the term, ``N`` all different texts. Such a term is
+removed wherever it stands in a text that holds the entity, or, if it tells less than
 ``REMOVE``, generalised to its shape.
 """
 
@@ -28,7 +29,7 @@ from yearbook.llm.columns import passes, texts_of, words_of
 from yearbook.llm.tables import bit_filter, passes_filter, written
 
 KINDS = ("email", "ip", "card", "phone")
-#: Words on either side of an entity that are its context.
+#: Words on either side of an entity that are nominated as terms.
 WINDOW = 5
 #: Different texts that a term and an entity must share: in fewer, nothing tells a term that
 #: belongs to the entity from any rare word, and none is masked.
@@ -95,6 +96,15 @@ def _hash(text: str) -> int:
     return xxhash.xxh3_64_intdigest(text.encode()) - (1 << 63)
 
 
+def occurrences(text: str, spans: list[tuple[str, int, int]]) -> Iterator[tuple[int, int, int]]:
+    """``(term, start, end)`` of all words outside the spans."""
+    at = 0
+    for a, b in [*sorted((a, b) for _, a, b in spans), (len(text), len(text))]:
+        for m in _WORD.finditer(text, at, max(at, a)):
+            yield _hash(m[0].lower()), *m.span()
+        at = max(at, b)
+
+
 def contexts(text: str, spans: list[tuple[str, int, int]]) -> Iterator[tuple[int, list[tuple[int, int, int]]]]:
     """For each span its entity, and the ``(term, start, end)`` in its context. Words
     of other spans are no terms."""
@@ -191,32 +201,58 @@ def _documents_with(docs: DataFrame, text_col: str, candidates: DataFrame) -> Da
     return held.groupBy("term").agg(F.approx_count_distinct("key", 0.02).alias("documents"))
 
 
-def disclosing(found: DataFrame, docs: DataFrame, text_col: str = "text") -> DataFrame:
+def _places(found: DataFrame, docs: DataFrame, text_col: str, candidates: DataFrame, entities: DataFrame) -> DataFrame:
+    """Stored ``(key, term, start, end)``: all places of candidate terms in texts that hold
+    one of their entities (and of others that a bounded filter lets through)."""
+    keys = found.select("key", F.explode("entities").alias("entity")).join(entities, "entity", "left_semi").select("key")
+    holding, wanted = bit_filter(keys, "key"), bit_filter(candidates, "term")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in batches:
+            near = passes_filter(holding, whole.column(1).to_numpy(zero_copy_only=False).view(np.uint64))
+            for batch in passes(iter([whole.filter(pa.array(near))]), 0):
+                rows = []
+                for key, text in zip(batch.column(1).to_pylist(), texts_of(batch, 0).to_pylist(), strict=True):
+                    rows += [(key, *o) for o in occurrences(text, base_spans(text))]
+                columns = np.array(rows, np.int64).reshape(-1, 4)
+                columns = columns[passes_filter(wanted, np.ascontiguousarray(columns[:, 1]).view(np.uint64))]
+                yield pa.RecordBatch.from_arrays([pa.array(columns[:, i]) for i in range(4)], names=["key", "term", "start", "end"])
+
+    texts = docs.select(F.col(text_col).alias("text"), F.xxhash64(text_col).alias("key"))
+    places = texts.mapInArrow(run, "key bigint, term bigint, start bigint, end bigint")
+    return written(places.join(candidates.select("term").distinct(), "term", "left_semi").distinct().select("key", "term", "start", "end"), "privacy-places")[0]
+
+
+def disclosing(found: DataFrame, docs: DataFrame, text_col: str = "text") -> tuple[DataFrame, DataFrame]:
     """Stored ``(entity, term, told)``: pairs whose term tells the share ``told`` of the
-    entity's information content, ``GENERALISE`` or more.
+    entity's information content, ``GENERALISE`` or more; and ``_places``.
 
     Texts are made distinct before anything is counted, and counted with partial sums,
-    so an entity or a copy with a third of all rows is no burden to one task.
+    so an entity or a copy with a third of all rows is no burden to one task. Entities and
+    terms meet by text, so what is joined grows with the texts, not with an entity's rows.
     """
+    held = found.select("key", F.explode("entities").alias("entity")).distinct()
     each = found.select("key", F.explode("terms").alias("t")).select("key", "t.entity", "t.term")
-    pairs = each.distinct().groupBy("entity", "term").agg(F.count("*").alias("both"))
-    entities = found.select("key", F.explode("entities").alias("entity")).distinct().groupBy("entity").agg(F.count("*").alias("entity_n"))
+    entities = held.groupBy("entity").agg(F.count("*").alias("entity_n")).where(F.col("entity_n") >= SUPPORT)
     total = F.lit(float(max(found.select("key").distinct().count(), 1)))
     content = F.log(total / F.col("entity_n"))
 
-    def told(often: Column) -> Column:
+    def told(both: Column, often: Column) -> Column:
         # a term is in as many texts at least; the sketch may say less
-        pmi = F.log(F.col("both") * total / (F.col("entity_n") * F.greatest(often, "both")))
+        pmi = F.log(both * total / (F.col("entity_n") * F.greatest(often, both)))
         return F.when(content > 0, pmi / content)
 
-    # A term is in more texts of the corpus than of those with an entity near it. What
-    # tells too little even by that count needs no other.
+    # A term is in more texts of the corpus than of those with an entity near it, and with
+    # an entity in no more than this one is. What tells too little even so needs no other.
     near = each.select("key", "term").distinct().groupBy("term").agg(F.count("*").alias("near"))
-    supported = pairs.where(F.col("both") >= SUPPORT).join(entities, "entity").join(near, "term")
-    candidates, _ = written(supported.where(told(F.col("near")) >= GENERALISE).drop("near"), "privacy-pairs")
-    corpus = _documents_with(docs, text_col, candidates.select("term").distinct())
-    all_ = candidates.join(corpus, "term").select("entity", "term", told(F.col("documents")).alias("told"))
-    return written(all_.where(F.col("told") >= GENERALISE), "privacy-terms")[0]
+    nominated = each.select("entity", "term").distinct().join(entities, "entity").join(near, "term")
+    candidates, _ = written(nominated.where(told(F.col("entity_n"), F.col("near")) >= GENERALISE).drop("near"), "privacy-pairs")
+    places = _places(found, docs, text_col, candidates, candidates.select("entity").distinct())
+    pairs = held.join(candidates, "entity", "left_semi").join(places.select("key", "term").distinct(), "key").groupBy("entity", "term").agg(F.count("*").alias("both"))
+    supported, _ = written(candidates.join(pairs, ["entity", "term"]).where((F.col("both") >= SUPPORT) & (told(F.col("both"), F.col("both")) >= GENERALISE)), "privacy-supported")
+    corpus = _documents_with(docs, text_col, supported.select("term").distinct())
+    all_ = supported.join(corpus, "term").select("entity", "term", told(F.col("both"), F.col("documents")).alias("told"))
+    return written(all_.where(F.col("told") >= GENERALISE), "privacy-terms")[0], places
 
 
 def sensitive_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -228,13 +264,14 @@ def sensitive_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     are not read.
     """
     found, _ = written(found_spans(docs, id_col, text_col), "privacy-spans")
-    pairs = disclosing(found, docs, text_col)
-    each = found.select("row", F.explode("terms").alias("t")).select("row", "t.*")
+    pairs, places = disclosing(found, docs, text_col)
+    held = found.select("key", F.explode("entities").alias("entity")).distinct()
     kind = F.when(F.max("told") >= REMOVE, "remove").otherwise("general")
-    hits = each.join(pairs, ["entity", "term"]).groupBy("row", "start", "end").agg(kind.alias("kind"))
-    more = hits.groupBy("row").agg(F.sort_array(F.collect_list(F.struct("start", "end", "kind"))).alias("more"))
+    told = held.join(pairs, "entity", "left_semi").join(places.select("key", "term").distinct(), "key").join(pairs, ["entity", "term"])
+    hits = places.join(told.groupBy("key", "term").agg(kind.alias("kind")), ["key", "term"])
+    more = hits.groupBy("key").agg(F.sort_array(F.collect_list(F.struct("start", "end", "kind"))).alias("more"))
     added = F.transform(F.coalesce("more", F.expr("array()").cast("array<struct<start: bigint, end: bigint, kind: string>>")), lambda x: F.struct(x["kind"].alias("kind"), x["start"].alias("start"), x["end"].alias("end")))
-    return found.join(more, "row", "left").select(F.col("id").alias(id_col), "key", F.concat("spans", added).alias("spans"))
+    return found.join(more, "key", "left").select(F.col("id").alias(id_col), "key", F.concat("spans", added).alias("spans"))
 
 
 def digest(spans: Column) -> Column:
