@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from yearbook.llm import urls
 from yearbook.llm.quality import LINE_SHARE, MIN_WORDS, NGRAM_SHARES, SYMBOL_SHARE
 
 _SPACE = r"[ \t\n\x0B\x0C\r]"
@@ -109,8 +110,70 @@ SELECT doc_id, item_id, n_shared, n_item, n_shared / n_item AS containment
 FROM hits JOIN sizes ON sizes.row = item JOIN numbered ON numbered.row = item JOIN docs ON docs.row = doc
 WHERE 100 * n_shared >= 80 * n_item"""
 
+
+
+def _url_level(d: int) -> str:
+    """CTEs that grow the templates by the segment at level ``d`` (from 0)."""
+
+    def differ(a: str, of_a: str, b: str, of_b: str) -> str:
+        na, nb = f"greatest({of_a}, 1)", f"greatest({of_b}, 1)"
+        return f"abs({a} / {na} - ({b}) / {nb}) > {urls.BOUND} * (1 / sqrt({na}) + 1 / sqrt({nb}))"
+
+    apart = f"{differ('b', 'l', 'bb - b', 'll - l')} OR {differ('e', 'n', 'ee - e', 'nn - n')}"
+    return f"""children{d} AS (
+  SELECT host, template, parts[{d + 1}] AS part, sum(n)::BIGINT AS n, sum(l)::BIGINT AS l, sum(b)::BIGINT AS b, coalesce(sum(n) FILTER (len(parts) = {d + 1}), 0)::BIGINT AS e
+  FROM tree{d} WHERE len(parts) > {d} GROUP BY ALL
+), beside{d} AS (
+  SELECT *, count(*) OVER w AS k, (sum(n) OVER w)::BIGINT AS nn, (sum(l) OVER w)::BIGINT AS ll, (sum(b) OVER w)::BIGINT AS bb, (sum(e) OVER w)::BIGINT AS ee
+  FROM children{d} WINDOW w AS (PARTITION BY host, template)
+), named{d} AS (
+  SELECT host, template, part, CASE WHEN (k > {urls.FANOUT} AND n * {urls.FANOUT} < nn) OR (l > 0 AND ll > l AND NOT ({apart})) THEN '?' ELSE part END AS name FROM beside{d}
+), tree{d + 1} AS (
+  SELECT t.host, shape, parts, n, l, b, t.template || coalesce('/' || name, '') AS template
+  FROM tree{d} t LEFT JOIN named{d} c ON t.host = c.host AND t.template = c.template AND t.parts[{d + 1}] = c.part
+)"""
+
+
+def _url_filters(rules: list[tuple[str, str, str]]) -> str:
+    def pick(field: str) -> str:
+        whens = "".join(
+            f" WHEN (host = '{h}' OR ends_with(host, '.{h}')) AND starts_with(path, '{p}') THEN '{v if field == 'verdict' else h + p}'"
+            for v, h, p in sorted(rules, key=lambda r: (-len(r[1] + r[2]), -len(r[1])))
+        )
+        return f"CASE{whens} END"
+
+    n, m = urls.DEPTH, urls.WEIGHT
+    return f"""WITH rests AS (
+  SELECT page_id, CASE WHEN instr(url, '://') > 0 THEN substr(url, instr(url, '://') + 3) ELSE '' END AS rest FROM pages
+), hosts AS (
+  SELECT page_id, translate(regexp_extract(rest, '^([^/?#]*)([^?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+    regexp_extract(rest, '^([^/?#]*)([^?#]*)', 2) AS path FROM rests
+), ruled AS (
+  SELECT *, regexp_replace(path, '[0-9]+', '#', 'g') AS shape, {pick('rule')} AS rule, {pick('verdict')} AS ruled FROM hosts
+), counted AS (
+  SELECT host, shape, count(*) AS n, count(ruled) AS l, count(*) FILTER (ruled = 'block') AS b,
+    CASE WHEN shape = '' THEN [] ELSE string_split(substr(shape, 2), '/') END AS all_parts FROM ruled GROUP BY host, shape
+), tree0 AS (
+  SELECT host, shape, n, l, b, '' AS template,
+    CASE WHEN len(all_parts) <= {n} THEN all_parts ELSE list_append(all_parts[1:{n - 1}], array_to_string(all_parts[{n}:], '/')) END AS parts FROM counted
+), {", ".join(_url_level(d) for d in range(n))}, shares AS (
+  SELECT coalesce(sum(b)::BIGINT / nullif(sum(l)::BIGINT, 0), 0) AS share FROM counted
+), shapes AS (
+  SELECT shape, sum(l)::BIGINT AS sl, sum(b)::BIGINT AS sb FROM counted GROUP BY shape
+), pure AS (
+  SELECT host, template, (sum(b)::BIGINT + {m} * ((sum(sb)::BIGINT + {m} * any_value(share)) / (sum(sl)::BIGINT + {m}))) / (sum(l)::BIGINT + {m}) AS purity
+  FROM tree{n} JOIN shapes USING (shape), shares GROUP BY host, template
+)
+SELECT page_id, host, path, rule, coalesce(ruled, CASE WHEN purity >= {urls.REJECT} THEN 'block' ELSE 'allow' END) AS verdict, template, purity
+FROM ruled JOIN tree{n} USING (host, shape) JOIN pure USING (host, template)"""
+
+
+# The registered query's rules: fixed values.
+_URL_RULES = [("allow", "com", "/"), ("block", "example.com", "/en/"), ("allow", "www.example.com", "/en/"), ("block", "net", "/es/"), ("block", "net", "/fr/")]
+
 ORACLE_SQL: dict[str, str] = {
     "op5_quality": _quality(),
     "op8_jaccard_join": _JACCARD,
     "op10_decontamination": _LEAKS,
+    "op12_url_filters": _url_filters(_URL_RULES),
 }

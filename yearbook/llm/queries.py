@@ -20,6 +20,7 @@ from yearbook.llm.tables import bounded, new_folder
 from yearbook.llm.tokencount import token_counts
 from yearbook.llm.tokenfile import read_tokens, write_tokens
 from yearbook.llm.toxicity import toxicity
+from yearbook.llm.urls import Rule, judge_urls
 from yearbook.session import temporary
 
 
@@ -83,6 +84,20 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return leaks(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
 
 
+#: The rules of ``op12_url_filters``.
+URL_RULES = (
+    Rule("allow", "com", "/"),
+    Rule("block", "example.com", "/en/"),
+    Rule("allow", "www.example.com", "/en/"),
+    Rule("block", "net", "/es/"),
+    Rule("block", "net", "/fr/"),
+)
+
+
+def op12_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return judge_urls(_table(spark, sf_dir, "pages"), URL_RULES)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_privacy": op1_privacy,
     "op2_packing": op2_packing,
@@ -94,6 +109,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_jaccard_join": op8_jaccard_join,
     "op9_token_counts": op9_token_counts,
     "op10_decontamination": op10_decontamination,
+    "op12_url_filters": op12_url_filters,
 }
 
 __all__ = ["ORACLE_SQL", "QUERIES"]
