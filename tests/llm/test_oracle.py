@@ -21,7 +21,7 @@ def connection():
 
 def test_every_operator_and_the_pipeline_are_registered():
     numbers = sorted(int(m[1]) for name in QUERIES if (m := re.match(r"op(\d+)_", name)))
-    assert numbers == list(range(1, 11))
+    assert numbers == list(range(1, 14))
     assert {*QUERIES, "pipeline"} <= set(entry_points.queries()) and set(ORACLE_SQL) <= set(entry_points.oracle_sql())
 
 

@@ -8,6 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from yearbook.llm.conversations import damaged, digests, repair
 from yearbook.llm.decontam import leaks
 from yearbook.llm.jaccard import near_duplicates
 from yearbook.llm.language import languages
@@ -21,6 +22,7 @@ from yearbook.llm.tokencount import token_counts
 from yearbook.llm.tokenfile import read_tokens, write_tokens
 from yearbook.llm.toxicity import toxicity
 from yearbook.llm.urls import Rule, judge_urls
+from yearbook.llm.whitening import quantised, whiten
 from yearbook.session import temporary
 
 
@@ -84,6 +86,21 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return leaks(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
 
 
+def _beside(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
+    """Left join on a key that may be null."""
+    other = right.withColumnRenamed(key, "other_key")
+    return left.join(other, left[key].eqNullSafe(other["other_key"]), "left").drop("other_key")
+
+
+def op11_conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = _table(spark, sf_dir, "conversations")
+    report, repaired = repair(damaged(rows))
+    found = _beside(_beside(rows.select("conv_id").distinct(), report, "conv_id"), digests(repaired), "conv_id")
+    counts = [F.coalesce(c, F.lit(0).cast("bigint")).alias(c) for c in ("gaps", "blank", "duplicate", "truncated", "illegal", "cost")]
+    nothing = F.sha2(F.lit("").cast("binary"), 256)
+    return found.select("conv_id", *counts, F.coalesce("audit", F.lit("")).alias("audit"), F.coalesce("repaired_sha256", nothing).alias("repaired_sha256"))
+
+
 #: The rules of ``op12_url_filters``.
 URL_RULES = (
     Rule("allow", "com", "/"),
@@ -98,6 +115,10 @@ def op12_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judge_urls(_table(spark, sf_dir, "pages"), URL_RULES)
 
 
+def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whiten(quantised(_table(spark, sf_dir, "embeddings")))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_privacy": op1_privacy,
     "op2_packing": op2_packing,
@@ -109,7 +130,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_jaccard_join": op8_jaccard_join,
     "op9_token_counts": op9_token_counts,
     "op10_decontamination": op10_decontamination,
+    "op11_conversations": op11_conversations,
     "op12_url_filters": op12_url_filters,
+    "op13_whitening": op13_whitening,
 }
 
 __all__ = ["ORACLE_SQL", "QUERIES"]
