@@ -4,12 +4,13 @@ from __future__ import annotations
 
 import datetime
 import json
+from concurrent.futures import ThreadPoolExecutor
 
 import pytest
 from pyspark.sql import functions as F
 
 from tests.fixtures import MILLION, SERIES, companies_file, payload, period, write_json, write_snapshot
-from yearbook import sinks
+from yearbook import session, sinks
 from yearbook.errors import YearbookError
 from yearbook.operators import inspection, quality
 from yearbook.plans.build import BuildConfig, build, load_companies
@@ -87,7 +88,7 @@ def test_full_build(spark, place):
             "revenue_yoy_pct": None, "operating_margin_pct": 20.5974, "free_cash_flow": 8734 * MILLION, "revenue_cagr_3y_pct": None,
         },
         "source_document": {
-            "document_id": "S2022", "document_type": "annual_securities_report", "filed_at": "2022-06-30", "url": "https://example.com/2022",
+            "document_id": "filing-22/A", "document_type": "annual_securities_report", "filed_at": "2022-06-30", "url": "https://filings.invalid/annual?y=2022",
         },
         "fetched_at": "2026-07-22T00:00:00Z",
     }
@@ -256,6 +257,7 @@ def test_companies(spark, tmp_path):
 @pytest.mark.parametrize(
     "entry",
     [{"name": " ", "edinet_code": "E00003"}, {"name": "X", "edinet_code": "00003"}, {"name": "X", "edinet_code": "E00003", "status": "other"},
+     {"name": "X", "edinet_code": "E00003", "avg_salary_fiscal_year": 3000000000}, {"name": "X", "edinet_code": "E00003", "avg_salary_man": 1e400},
      {"name": "X", "edinet_code": "E00003", "avg_salary_man": True}, {"name": "X", "edinet_code": "E00003", "avg_salary_fiscal_year": 2024.5}, "text"],
 )
 def test_bad_company(spark, tmp_path, entry):
@@ -319,6 +321,74 @@ def test_landing(spark, tmp_path):
     assert quality.accepted(quality.check_snapshots(S.decode_snapshot(landed))).count() == 1
 
 
+def test_two_writers_of_one_key(spark, tmp_path):
+    """Both begin at once; one lands, the other is told, and nothing is there twice."""
+    path = str(tmp_path / "landing")
+    at = datetime.datetime(2026, 7, 22, tzinfo=datetime.timezone.utc)
+
+    def land(i: int) -> str:
+        new = spark.createDataFrame([("1111_t", "financials", at, bytearray(b"%d" % i)), (f"own_{i}", "financials", at, bytearray(b"x"))], RAW_LANDING)
+        try:
+            sinks.land_raw(new, path)
+        except YearbookError as refused:
+            return str(refused)
+        return "landed"
+
+    with ThreadPoolExecutor(3) as pool:
+        told = sorted(pool.map(land, range(3)))
+    assert told[2] == "landed" and all("not overwritten" in t for t in told[:2])
+    rows = spark.read.schema(RAW_LANDING).parquet(path).collect()
+    assert len(rows) == 2 and len({r.slug for r in rows}) == 2 and not (tmp_path / "landing" / "_lock").exists()
+
+
+def test_a_lock_that_is_held(spark, tmp_path):
+    path = str(tmp_path / "held" / "_lock")
+    assert session.create_exclusively(spark, path, "someone") and not session.create_exclusively(spark, path, "me")
+    assert session.read_small(spark, path) == "someone"
+    with pytest.raises(YearbookError, match="held by someone"), session.exclusive(spark, path, wait=0.3):
+        raise AssertionError("not reached")
+    with ThreadPoolExecutor(8) as pool:
+        made = list(pool.map(lambda i: session.create_exclusively(spark, str(tmp_path / "one"), str(i)), range(24)))
+    assert sum(made) == 1 and session.read_small(spark, str(tmp_path / "one")) == str(made.index(True))
+
+
+def test_builds_published_at_once(spark, tmp_path):
+    base = str(tmp_path)
+    with ThreadPoolExecutor(6) as pool:
+        numbers = list(pool.map(lambda i: sinks.publish_staged(spark, base, f"b{i}"), range(6)))
+    assert sorted(numbers) == [1, 2, 3, 4, 5, 6]
+    assert W.published_path(spark, base) == f"{base}/v=b{numbers.index(6)}"
+    with ThreadPoolExecutor(4) as pool:
+
+        def swap(i: int) -> int | None:
+            try:
+                return sinks.publish_staged(spark, base, f"c{i}", after=6)
+            except YearbookError:
+                return None
+
+        got = list(pool.map(swap, range(4)))
+    assert sorted(n for n in got if n) == [7] and W.published_path(spark, base) == f"{base}/v=c{got.index(7)}"
+
+
+def test_newest_files_are_chosen_by_name(spark, tmp_path, monkeypatch):
+    """Only chosen files are named to Spark, some at a time; odd folder names are no patterns."""
+    raw = tmp_path / "raw [1] {a}, b"
+    for stamp in ("20260101T000000Z", "20260301T000000Z", "20260201T000000Z"):
+        write_snapshot(raw, "1111_t", stamp, payload(revenue=int(stamp[4:8])))
+        write_snapshot(raw, "2222_t", stamp, payload("E00002"))
+    write_snapshot(raw, "2222_t", "20261301T000000Z", "impossible date")
+    write_snapshot(raw, "unknown", "20270101T000000Z", "{}")
+    companies = load_companies(spark, str(companies_file(tmp_path / "c.json")))
+    named, files = [], S._files
+    monkeypatch.setattr(S, "_files", lambda spark, paths: named.append(paths) or files(spark, paths))
+    found = S.scan_latest_snapshots(spark, str(tmp_path / "raw*"), companies, paths_per_read=1)
+    want = {f"{slug}__financials__20260301T000000Z.json" for slug in ("1111_t", "2222_t")}
+    assert {r.file_name for r in found.collect()} == want and found.filter("ticker = '1111.T'").first().content.find(b"301") > 0
+    assert len(named) == 2 and all(len(batch) == 1 for batch in named)
+    nobody = S.scan_latest_snapshots(spark, str(tmp_path / "raw*"), companies.limit(0))
+    assert nobody.count() == 0
+
+
 def test_non_finite_is_refused(spark, tmp_path):
     df = spark.createDataFrame([(float("nan"),)], "x double")
     with pytest.raises(Exception, match="not finite"):

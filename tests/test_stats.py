@@ -112,15 +112,39 @@ def test_approximate_quantiles(spark):
     assert abs(row.median - 501) <= 1 and abs(row.q1 - 251) <= 1
 
 
+def parts_of(df) -> list[int]:
+    """The sizes of the ranges that are sorted by themselves."""
+    return [r["count"] for r in ranking.spread_values(df, ["g"], "value").groupBy("part").count().collect()]
+
+
 @pytest.mark.parametrize("low, high", [(0.0, 0.0004), (1.7e9, 1.7e9 + 500_000), (-100.04, -100.0)])
 def test_values_that_lie_close_are_spread(spark, low, high):
-    """The parts that are sorted by themselves are many, and the places are exact."""
+    """The ranges that are sorted by themselves are many and even, and the places are exact."""
     n = 60_000
     df = spark.range(n).select(F.lit("g").alias("g"), (F.lit(low) + F.col("id") * F.lit((high - low) / n)).alias("value"))
     positions = ranking.value_positions(df, ["g"], "value")
     assert [r.less for r in positions.orderBy("value").select("less").collect()] == list(range(n))
-    spread = ranking.spread_values(df, ["g"], "value").groupBy("bucket", "part").count().agg(F.max("count"), F.count("*")).first()
-    assert spread[0] < 10 * ranking.VALUES_PER_PART and spread[1] > 20
+    sizes = parts_of(df)
+    assert len(sizes) > 20 and max(sizes) < 4 * n / len(sizes)
+
+
+@pytest.mark.parametrize("far", [100.0, 1000.0, 10_000.0, 1e300])
+def test_one_far_value_does_not_crowd_the_others(spark, far):
+    """Half a million values within a second, and one long after."""
+    n = 500_000
+    close = spark.range(n).select(F.lit("g").alias("g"), (1.7e9 + F.col("id") / n).alias("value"))
+    df = close.union(spark.createDataFrame([("g", 1.7e9 + far), ("h", 1.0)], close.schema))
+    sizes = parts_of(df)
+    assert sum(sizes) == df.select("g", "value").distinct().count() and max(sizes) < 4 * sum(sizes) / len(sizes)
+
+
+def test_groups_that_span_ranges_and_null_groups(spark):
+    rows = [(g, float(v)) for g, n in (("a", 5000), (None, 300), ("b", 1)) for v in range(n)] + [("c", None), ("a", None), ("a", 7.0)]
+    df = spark.createDataFrame(rows, "g string, value double").repartition(5)
+    got = {(r.g, r.value): (r.ties, r.less, r.total) for r in ranking.value_positions(df, ["g"], "value").collect()}
+    assert len(got) == 5301 and got["a", 7.0] == (2, 7, 5001) and got["a", 8.0] == (1, 9, 5001) and got[None, 299.0] == (1, 299, 300) and got["b", 0.0] == (1, 0, 1)
+    described = {r.g: (r["count"], r.missing, r["max"]) for r in stats.describe_metrics(df, ["g"]).collect()}
+    assert described == {"a": (5001, 1, 4999.0), None: (300, 0, 299.0), "b": (1, 0, 0.0), "c": (0, 1, None)}
 
 
 def test_not_a_number_is_missing(spark):

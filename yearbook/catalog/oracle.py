@@ -691,3 +691,100 @@ FROM orders""",
     "run_sql_views": _with(supplier_mart(), NEWEST_MART)
     + "SELECT ticker, fiscal_year, revenue, operating_margin_pct FROM fresh",
 }
+
+# Files ---------------------------------------------------------------------------
+
+NATIONS = """nats AS (
+  SELECT n_nationkey::BIGINT AS k, n_name AS ticker, lower(n_name) AS slug, n_regionkey <> 4 AS direct,
+    'E' || lpad(CAST(n_nationkey AS VARCHAR), 5, '0') AS edinet_code, (SELECT max(n_nationkey) FROM nation)::BIGINT - n_nationkey AS company_order
+  FROM nation),
+nyears AS (
+  SELECT c_nationkey::BIGINT AS k, year(o_orderdate)::BIGINT AS y, sum(c)::BIGINT AS revenue,
+    sum(CASE WHEN o_orderstatus = 'F' THEN c END)::BIGINT AS operating_income,
+    sum(CASE WHEN o_orderstatus = 'O' THEN c END)::BIGINT AS net_income, count(*) AS total_assets, sum(o_custkey)::BIGINT AS equity,
+    sum(CASE WHEN o_orderpriority = '1-URGENT' THEN c END)::BIGINT AS operating_cash_flow,
+    -sum(CASE WHEN o_orderpriority = '5-LOW' THEN c END)::BIGINT AS investing_cash_flow
+  FROM (SELECT *, CAST(CAST(o_totalprice AS DECIMAL(12,2)) * 100 AS BIGINT) AS c FROM orders JOIN customer ON c_custkey = o_custkey)
+  GROUP BY 1, 2),
+grid AS (
+  SELECT nats.*, s.i AS snap, (SELECT min(year(o_orderdate)) FROM orders)::BIGINT + 2 * s.i + p.i AS fiscal_year
+  FROM nats CROSS JOIN range(0, 2) AS s(i) CROSS JOIN range(0, 5) AS p(i) WHERE nats.k <> 3),
+nrows AS (
+  SELECT grid.*, nyears.* EXCLUDE (k, y), CASE WHEN total_assets IS NOT NULL THEN (total_assets % 1000) / 10.0::DOUBLE END AS roe_pct,
+    CASE grid.k % 3 WHEN 0 THEN 'JGAAP' WHEN 1 THEN 'IFRS' ELSE 'UNKNOWN' END AS accounting_standard,
+    'N' || grid.k || '-' || fiscal_year AS document_id, (fiscal_year + 1) || '-06-30' AS filed_at
+  FROM grid LEFT JOIN nyears ON nyears.k = grid.k AND nyears.y = grid.fiscal_year),
+bodies AS (
+  SELECT k, any_value(ticker) AS ticker, any_value(slug) AS slug, any_value(edinet_code) AS edinet_code, any_value(direct) AS direct,
+    any_value(company_order) AS company_order, snap, any_value(slug) || '__financials__' || (2002 + snap) || '0115T000000Z.json' AS file_name,
+    (2002 + snap) || '-01-15T00:00:00Z' AS fetched_at,
+    '{"data": [' || string_agg('{"fiscal_year": ' || fiscal_year || ', "accounting_standard": '
+      || CASE k % 3 WHEN 0 THEN '"JP"' WHEN 1 THEN '"IFRS"' ELSE 'null' END
+      || ', "revenue": ' || coalesce(CAST(revenue AS VARCHAR), 'null') || ', "operating_income": ' || coalesce(CAST(operating_income AS VARCHAR), 'null')
+      || ', "net_income": ' || coalesce(CAST(net_income AS VARCHAR), 'null') || ', "total_assets": ' || coalesce(CAST(total_assets AS VARCHAR), 'null')
+      || ', "shareholders_equity": ' || coalesce(CAST(equity AS VARCHAR), 'null') || ', "cf_operating": ' || coalesce(CAST(operating_cash_flow AS VARCHAR), 'null')
+      || ', "cf_investing": ' || coalesce(CAST(investing_cash_flow AS VARCHAR), 'null')
+      || ', "roe_official": ' || coalesce('0.' || lpad(CAST(total_assets % 1000 AS VARCHAR), 3, '0'), 'null') || ', "doc_id": "' || document_id
+      || '", "submit_date": "' || filed_at || ' 15:00", "edinet_filing_url": null}', ', ' ORDER BY fiscal_year)
+      || '], "meta": {"edinet_code": "' || any_value(edinet_code) || '", "period": "annual"}}' AS body
+  FROM nrows GROUP BY k, snap),
+files AS (SELECT *, sha256(body) AS sha, strlen(body) AS bytes FROM bodies),
+found AS (
+  SELECT nrows.*, files.file_name, files.sha, (2002 + nrows.snap) || '-01-15 00:00:00' AS fetched_at
+  FROM nrows JOIN files USING (k, snap) WHERE nrows.direct)"""
+
+NATION_MART = f"""{NATIONS},
+stepped AS (
+  SELECT *, lag(revenue, 1) OVER s AS prev1, lag(revenue, 3) OVER s AS prev3
+  FROM found WHERE snap = 1 WINDOW s AS (PARTITION BY ticker ORDER BY fiscal_year)),
+mart AS (SELECT * EXCLUDE (prev1, prev3), ticker AS name, {YOY}, {MARGIN}, {FCF}, {CAGR} FROM stepped)"""
+
+_SHOWN = "ticker, slug, edinet_code, file_name, fetched_at, sha AS sha256, bytes"
+
+ORACLE_SQL |= {
+    "scan_snapshots": _with(NATIONS) + f"SELECT {_SHOWN} FROM files WHERE direct",
+    "snapshot_fingerprint": _with(NATIONS) + "SELECT k AS nation, snap AS snapshot, sha AS sha256 FROM files",
+    "scan_latest_snapshots": _with(NATIONS) + f"SELECT {_SHOWN} FROM files WHERE direct AND snap = 1",
+    "scan_explicit_inputs": _with(NATIONS) + f"SELECT {_SHOWN} FROM files WHERE direct AND snap = 0",
+    "scan_companies": _with(NATIONS) + "SELECT company_order, ticker, edinet_code FROM nats",
+    "build_dimension": _with(NATIONS)
+    + """SELECT company_order, ticker, ticker AS name, edinet_code, 'JPY' AS currency,
+  CASE WHEN direct THEN 'direct' ELSE 'indirect' END AS status, CAST(k AS VARCHAR) AS tier, 'listed' AS listing_status,
+  k + 0.5::DOUBLE AS avg_salary_man, 2000 + k AS avg_salary_fiscal_year FROM nats""",
+    "scan_fallback": _with(NATIONS) + "SELECT company_order, ticker FROM nats",
+    "scan_comparisons": _with(NATIONS)
+    + """SELECT pair_order, 'pair-' || pair_order AS id, ticker AS "left", following AS "right"
+FROM (SELECT ticker, row_number() OVER o - 1 AS pair_order, lead(ticker) OVER o AS following FROM nats WHERE direct AND k <> 3 WINDOW o AS (ORDER BY k DESC))
+WHERE following IS NOT NULL""",
+    "land_raw": _with(NATIONS) + f"SELECT {_SHOWN}, (SELECT count(*) FROM files) AS landed FROM files WHERE direct",
+    "scan_warehouse": _with(NATIONS)
+    + "SELECT * FROM ("
+    + _facts("found", "company_order, ticker, fiscal_year, accounting_standard, true AS consolidated, document_id, fetched_at AS raw_fetched_at, sha AS raw_sha256, file_name AS raw_file")
+    + ")",
+    "stored_sources": _with(NATIONS)
+    + """SELECT company_order, ticker, fiscal_year, document_id, 'annual_securities_report' AS document_type, filed_at, CAST(NULL AS VARCHAR) AS url,
+  fetched_at AS raw_fetched_at, sha AS raw_sha256, file_name AS raw_file FROM found""",
+    "write_mart": _with(NATION_MART)
+    + f"""SELECT company_order, ticker, name, edinet_code, 'JPY' AS currency, fiscal_year, CAST(NULL AS VARCHAR) AS fiscal_year_end, accounting_standard,
+  true AS consolidated, {NAMES}, revenue_yoy_pct, operating_margin_pct, free_cash_flow, revenue_cagr_3y_pct, document_id AS source_document_id,
+  'annual_securities_report' AS source_document_type, filed_at AS source_filed_at, CAST(NULL AS VARCHAR) AS source_url, fetched_at, sha AS snapshot_sha256
+FROM mart""",
+    "scan_mart": _with(NATION_MART) + "SELECT company_order, fiscal_year, ticker, revenue FROM mart",
+    "write_company_documents": _with(NATION_MART)
+    + """SELECT ticker, edinet_code, row_number() OVER (PARTITION BY ticker ORDER BY fiscal_year) - 1 AS place, fiscal_year, revenue, roe_pct, revenue_yoy_pct,
+  document_id, filed_at, '2003-01-15T00:00:00Z' AS fetched_at FROM mart""",
+    "write_stats_documents": _with(NATION_MART, "long AS (" + _long("ticker, fiscal_year") + ")") + _describe("fiscal_year, metric", "long"),
+    "write_ranking": _with(NATION_MART, "long AS (" + _long("ticker, name, fiscal_year") + ")") + _ranked("long"),
+    "write_manifest": _with(NATIONS)
+    + """SELECT '1.0' AS schema_version, '2003-01-15T00:00:00Z' AS generated_at, (SELECT count(*) FROM files WHERE direct) AS snapshot_count,
+  (SELECT count(*) * 8 FROM found) AS financial_fact_count, (SELECT count(*) FROM found) AS source_document_count,
+  (SELECT count(*) FROM found WHERE snap = 1) AS latest_company_year_count, 'NATION_3' AS missing_ticker""",
+    "write_lineage": _with(NATIONS) + "SELECT ticker, file_name AS raw_file, fetched_at, sha AS sha256 FROM files WHERE direct",
+    "publish_staged": _with(NATIONS, "facts AS (" + _facts("found", "fiscal_year") + ")")
+    + "SELECT metric_name, count(*) AS facts, 2::BIGINT AS number FROM facts WHERE fiscal_year >= 1998 GROUP BY metric_name",
+    "export_tsv": _with(NATION_MART) + "SELECT ticker, fiscal_year, revenue, revenue_yoy_pct FROM mart",
+    "match_entity_exact": "SELECT '70' AS sec_code, 'E00007' AS edinet_code FROM supplier WHERE s_suppkey = 7",
+    "check_nonempty": "SELECT n_name AS ticker FROM nation",
+    "check_snapshot_time": """SELECT 'order/' || o_orderkey AS raw_file, 'file_name' AS field, 'c__financials__20010230T000000Z.json' AS value
+FROM orders WHERE o_orderkey % 10 = 7""",
+}

@@ -3,13 +3,13 @@
 from __future__ import annotations
 
 import uuid
-from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from yearbook.catalog import files  # noqa: F401  (registers its queries)
 from yearbook.catalog import tables as T
+from yearbook.catalog.registry import QUERIES, query
 from yearbook.functions import numeric, ratios, text
 from yearbook.functions import variants as V
 from yearbook.operators import compare, inspection, quality, ranking, reshape, series, snapshots, stats, timeseries
@@ -29,22 +29,11 @@ from yearbook.sources.companies import company_entries, build_companies, filter_
 from yearbook.sources.snapshots import decode_snapshot, explode_periods, parse_fetched_at, parse_slug
 from yearbook.sources.warehouse import register_views
 
-Query = Callable[[SparkSession, str], DataFrame]
-QUERIES: dict[str, Query] = {}
+__all__ = ["QUERIES"]
 
 SNAPSHOT = ("ticker", "raw_fetched_at", "raw_sha256")
 
 
-def query(function: Query) -> Query:
-    """Register a query under its function name, with plain result types."""
-
-    def run(spark: SparkSession, sf: str) -> DataFrame:
-        return T.plain(function(spark, sf))
-
-    QUERIES[function.__name__] = run
-    return function
-
-
 # Marts ---------------------------------------------------------------------------
 
 
@@ -60,9 +49,7 @@ def mart_supplier_month(spark, sf):
 
 @query
 def company_year_mart(spark, sf):
-    return warehouse.build_mart(
-        T.order_history(spark, sf), T.customer_dimension(spark, sf), T.order_sources(spark, sf), T.order_sources(spark, sf)
-    )
+    return _order_tables(spark, sf)["company_year_metrics"]
 
 
 @query
@@ -203,8 +190,9 @@ def latest_snapshot(spark, sf):
 
 @query
 def join_latest_facts(spark, sf):
-    history = T.order_history(spark, sf)
-    return warehouse.latest_facts(history, T.order_sources(spark, sf)).select("ticker", "fiscal_year", "metric_name", "value", "document_id")
+    periods = T.stored_order_periods(spark, sf)
+    found = warehouse.latest_facts(T.order_history(spark, sf, periods), periods)
+    return found.select("ticker", "fiscal_year", "metric_name", "value", "document_id")
 
 
 @query
@@ -227,10 +215,11 @@ def join_dimension(spark, sf):
 @query
 def join_sources_left(spark, sf):
     latest = snapshots.latest_snapshot(T.order_snapshots(spark, sf), *SNAPSHOT)
-    rows = snapshots.join_latest(T.order_history(spark, sf), latest, *SNAPSHOT)
+    stored_periods = T.stored_order_periods(spark, sf)
+    rows = snapshots.join_latest(T.order_history(spark, sf, stored_periods), latest, *SNAPSHOT)
     periods = reshape.pivot_metrics(rows, [*SNAPSHOT, "fiscal_year"], money=["revenue"], percent=[])
     named = periods.withColumnsRenamed({"raw_fetched_at": "fetched_at", "raw_sha256": "snapshot_sha256"})
-    return warehouse.join_sources(named, T.order_sources(spark, sf, gaps=True))
+    return warehouse.join_sources(named, T.order_sources(spark, sf, gaps=True, periods=stored_periods))
 
 
 @query
@@ -492,7 +481,7 @@ def compare_defaults(spark, sf):
         F.when(F.col("l_linenumber") > 1, name(F.col("l_suppkey") * (F.col("l_linenumber") - 2))).alias("left"),
         name(F.col("l_linenumber") * F.col("l_linenumber") - 4).alias("right"),
     )
-    return compare.compare_defaults(requests, entities, "ticker", "company_order")
+    return compare.compare_defaults(requests, entities, "ticker", "company_order", two=True)
 
 
 @query
@@ -839,7 +828,9 @@ def display_compact(spark, sf):
 
 
 def _order_tables(spark, sf):
-    history, sources = T.order_history(spark, sf), T.order_sources(spark, sf)
+    """History, sources and mart over one stored table of periods."""
+    periods = T.stored_order_periods(spark, sf)
+    history, sources = T.order_history(spark, sf, periods), T.order_sources(spark, sf, periods=periods)
     mart = warehouse.build_mart(history, T.customer_dimension(spark, sf), sources, sources)
     return {"financial_history": history, "source_documents_history": sources, "company_year_metrics": mart}
 

@@ -142,19 +142,15 @@ def order_snapshots(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
-def _order_lines(spark: SparkSession, sf: str, aggregates: list[Column]) -> DataFrame:
-    """Order lines summed per (order, line number); line numbers play the periods."""
-    return (
+def order_periods(spark: SparkSession, sf: str) -> DataFrame:
+    """One row per order and line number, which plays the period: the eight metrics, the
+    snapshot, and what the source rows need."""
+    lines = (
         table(spark, sf, "lineitem")
         .groupBy(F.col("l_orderkey").alias("orderkey"), F.col("l_linenumber").alias("fiscal_year"))
-        .agg(*aggregates)
+        .agg(*line_sums(), F.min("l_shipdate").cast("date").alias("filed_at"), F.min("l_partkey").alias("part"))
     )
-
-
-def order_history(spark: SparkSession, sf: str) -> DataFrame:
-    """All orders of all customers in the schema of the long fact table."""
-    lines = with_roe(_order_lines(spark, sf, line_sums()))
-    wide = lines.join(order_snapshots(spark, sf), "orderkey").select(
+    return with_roe(lines).join(order_snapshots(spark, sf), "orderkey").select(
         F.col("custkey").cast("int").alias("company_order"),
         "ticker",
         "fiscal_year",
@@ -165,29 +161,40 @@ def order_history(spark: SparkSession, sf: str) -> DataFrame:
         "raw_sha256",
         F.concat(F.lit("order/"), F.col("orderkey").cast("string")).alias("raw_file"),
         *FACT_METRICS,
+        "filed_at",
+        F.concat(F.lit("part/"), F.col("part").cast("string")).alias("url"),
     )
+
+
+def stored_order_periods(spark: SparkSession, sf: str) -> DataFrame:
+    """The periods as a stored table, for queries that make both facts and sources of them:
+    order lines and orders are then read once."""
+    return stored(order_periods(spark, sf))
+
+
+def order_history(spark: SparkSession, sf: str, periods: DataFrame | None = None) -> DataFrame:
+    """All orders of all customers in the schema of the long fact table."""
+    wide = (order_periods(spark, sf) if periods is None else periods).drop("filed_at", "url")
     ids = [c for c in wide.columns if c not in FACT_METRICS]
     return with_unit(unpivot_facts(wide, ids))
 
 
-def order_sources(spark: SparkSession, sf: str, gaps: bool = False) -> DataFrame:
+def order_sources(spark: SparkSession, sf: str, gaps: bool = False, periods: DataFrame | None = None) -> DataFrame:
     """Source rows of the order history; with ``gaps``, odd line numbers have none."""
-    lines = _order_lines(
-        spark, sf, [F.min("l_shipdate").cast("date").alias("filed_at"), F.min("l_partkey").alias("part")]
-    )
+    rows = order_periods(spark, sf) if periods is None else periods
     if gaps:
-        lines = lines.filter(F.col("fiscal_year") % 2 == 0)
-    return lines.join(order_snapshots(spark, sf), "orderkey").select(
-        F.col("custkey").cast("int").alias("company_order"),
+        rows = rows.filter(F.col("fiscal_year") % 2 == 0)
+    return rows.select(
+        "company_order",
         "ticker",
         "fiscal_year",
-        F.concat(F.lit("D"), F.col("orderkey").cast("string")).alias("document_id"),
+        "document_id",
         F.lit(DOCUMENT_TYPE).alias("document_type"),
         "filed_at",
-        F.concat(F.lit("part/"), F.col("part").cast("string")).alias("url"),
+        "url",
         "raw_fetched_at",
         "raw_sha256",
-        F.concat(F.lit("order/"), F.col("orderkey").cast("string")).alias("raw_file"),
+        "raw_file",
     )
 
 

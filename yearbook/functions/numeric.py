@@ -7,7 +7,9 @@ that scale first.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from decimal import Decimal
+from typing import NamedTuple
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -73,6 +75,34 @@ def exact_mean(value: Column) -> Column:
     return F.when(largest == float("inf"), infinite).when(largest < _MEAN_LIMIT, exact).otherwise(F.avg(number))
 
 
+class CountedMean(NamedTuple):
+    """A mean in steps: aggregates over (value, ties) rows, each with the aggregate that
+    merges it, and the mean from the merged ones and the number of values."""
+
+    parts: dict[str, tuple[Column, Callable[[Column], Column]]]
+    mean: Callable[[Column], Column]
+
+
+def counted_mean(value: Column, ties: Column) -> CountedMean:
+    """``exact_mean`` over distinct values that occur ``ties`` times, null for no value. An
+    infinite value gives an infinite mean, for the caller to refuse."""
+    number = value.cast("double")
+    held = F.when(F.abs(number) < _MEAN_LIMIT, value).cast(_MEAN_TYPE)
+    parts = {
+        "sum_largest": (F.max(F.abs(number)), F.max),
+        "sum_held": (F.sum((held * ties.cast("decimal(19,0)")).cast("decimal(38,6)")), F.sum),
+        "sum_double": (F.sum(number * ties), F.sum),
+    }
+
+    def mean(count: Column) -> Column:
+        largest = F.col("sum_largest")
+        exact = F.col("sum_held").cast("double") / count
+        far = F.when(largest == float("inf"), largest).otherwise(F.col("sum_double") / count)
+        return F.when(count > 0, F.when(largest < _MEAN_LIMIT, exact).otherwise(far))
+
+    return CountedMean(parts, mean)
+
+
 def in_millions(value: Column) -> Column:
     """Whole money units to millions, as double."""
     return value.cast("double") / F.lit(1000000.0)

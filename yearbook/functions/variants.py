@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql.types import DataType, DoubleType, IntegralType
 
 from yearbook.functions.numeric import round4
 
@@ -123,6 +124,16 @@ def is_optional_text(value: Column) -> Column:
     return scalar_is_optional_text(scalar(value))
 
 
+def fits(value: Column, kind: DataType) -> Column:
+    """Whether a column of that type holds the JSON number: an integer token in range, or a
+    finite number."""
+    if isinstance(kind, IntegralType):
+        return is_integer(value) & F.try_variant_get(value, "$", kind.simpleString()).isNotNull()
+    if isinstance(kind, DoubleType):
+        return is_number(value) & _finite(scalar(value))
+    raise TypeError(f"no rule for {kind.simpleString()}")
+
+
 def as_text(value: Column) -> Column:
     return F.when(token(value) == "STRING", F.try_variant_get(value, "$", "string"))
 

@@ -86,15 +86,17 @@ def require_two(entities: DataFrame) -> DataFrame:
 
 
 def compare_defaults(
-    requests: DataFrame, entities: DataFrame, entity: str, order: str
+    requests: DataFrame, entities: DataFrame, entity: str, order: str, *, two: bool = False
 ) -> DataFrame:
     """Fill in ``(left, right)`` of page requests.
 
     Left is the requested entity if known, else the first. Right is the requested
     one if known and not equal to left, else the first entity that is not left.
     The first two entities are one row, read as scalar subqueries. With one entity there
-    is nothing to compare it with: right is null.
+    is nothing to compare it with: right is null, or the job ends if ``two`` asks for the gate.
     """
+    if two:
+        require_two(entities)
     first_two = entities.orderBy(order).limit(2)
     first = first_two.agg(F.min_by(entity, order)).scalar()
     second = first_two.agg(F.max_by(entity, order)).scalar()

@@ -12,12 +12,14 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from yearbook.errors import YearbookError
 from yearbook.functions import variants as V
 from yearbook.functions.text import normalize_name, stripped, ticker_slug
 from yearbook.operators.compare import pair_periods
 from yearbook.operators.snapshots import anti_missing_entity, flag_available, snapshot_conflicts
+from yearbook.sources.schemas import DIM_COMPANIES
 
 # Raw field behind each stored money metric. Equity comes from the
 # shareholders' part, never from net assets.
@@ -226,13 +228,14 @@ def company_rules(meta: Column, ticker: Column) -> list[Column]:
     name, code = V.field(meta, "$.name"), V.field(meta, "$.edinet_code")
     status = V.field(meta, "$.status")
     salary, salary_year = V.field(meta, "$.avg_salary_man"), V.field(meta, "$.avg_salary_fiscal_year")
+    stored = StructType.fromDDL(DIM_COMPANIES)  # what the dimension can hold
     whole = V.is_object(meta)
     checks = [
         (F.length(stripped(V.as_text(name))) > 0, "name", "name", name),
         (V.as_text(code).rlike(CODE_PATTERN), "code", "edinet_code", code),
         (status.isNull() | V.as_text(status).isin(*STATUSES), "status", "status", status),
-        (V.is_missing(salary) | V.is_number(salary), "salary", "avg_salary_man", salary),
-        (V.is_missing(salary_year) | V.is_integer(salary_year), "salary_year", "avg_salary_fiscal_year", salary_year),
+        (V.is_missing(salary) | V.fits(salary, stored["avg_salary_man"].dataType), "salary", "avg_salary_man", salary),
+        (V.is_missing(salary_year) | V.fits(salary_year, stored["avg_salary_fiscal_year"].dataType), "salary_year", "avg_salary_fiscal_year", salary_year),
     ]
     return [
         unless(whole, violation("company_object", "company", _text(meta))),

@@ -5,14 +5,15 @@ share of all rows, so a window per group would sort it in one task. Instead:
 
 1. equal values are counted first, partly before the shuffle, so a value that
    fills a third of the rows becomes one row;
-2. every value falls into a bucket on a logarithmic scale, and a bucket with many
-   distinct values is cut between its own smallest and largest one, so values that lie
-   close together are spread as well. Only the bucket totals of a group are summed in
-   order;
-3. inside a bucket the distinct values are summed in order.
-
-The place of a value is the total of the buckets before it plus the count inside
-its bucket. Buckets only spread the work: the result is exact for any data. NaN counts as
+2. the distinct values are dealt out by ranges of (group, value). Where the ranges are
+   cut is taken from a sample of the data, so each holds about as many values, however
+   these are spread: close together, far out, or in one group. The dealt values are stored,
+   as a second pass must find the same ranges;
+3. inside a range the values of a group are summed in order, and the totals of a group's
+   ranges, of which there are few, are summed in order too.
+
+The place of a value is the total of the ranges before it plus the count inside
+its range. Ranges only spread the work: the result is exact for any data. NaN counts as
 missing.
 """
 
@@ -23,15 +24,11 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-# Buckets are this fine on a logarithmic scale, half a thousandth of the value. The
-# largest double is about e**710, so one group has at most 2 * 710 * 2048 (2.9
-# million) bucket totals, usually some tens of thousands.
-BUCKETS_PER_E_FOLD = 2048
+from yearbook.functions.numeric import counted_mean
+from yearbook.session import stored
 
-# A bucket is cut into parts of about so many distinct values.
-VALUES_PER_PART = 1000
-
-_INFINITE = 1 << 40
+# Ranges for each task of a shuffle, so that ranges dealt to tasks by hash come out even.
+RANGES_PER_TASK = 4
 
 
 def known(value: Column) -> Column:
@@ -40,69 +37,51 @@ def known(value: Column) -> Column:
     return F.when(~F.isnan(number), number)
 
 
-def _bucket(value: Column) -> Column:
-    finite = F.abs(value) < float("inf")
-    size = F.when(finite, F.floor(F.log1p(F.when(finite, F.abs(value))) * BUCKETS_PER_E_FOLD)).otherwise(_INFINITE)
-    # Declared never null, or the join on the bucket would add a null filter to one of
-    # its two sides and the shuffle of the counted values could not be shared.
-    return F.coalesce(F.when(value < 0, -size).otherwise(size), F.lit(0))
-
-
 def spread_values(df: DataFrame, group: Sequence[str], value: str) -> DataFrame:
-    """``(*group, value, ties, bucket, part)``: distinct values, and where they are sorted."""
-    counted = (
-        df.withColumn(value, known(F.col(value)))
-        .filter(F.col(value).isNotNull())
-        .groupBy(*group, value)
-        .agg(F.count("*").alias("ties"))
-        .withColumn("bucket", _bucket(F.col(value)))
-    )
-    # Smallest, largest and number of values are exact, so every use cuts alike.
-    spans = counted.groupBy(*group, "bucket").agg(
-        F.min(value).alias("low"), F.max(value).alias("high"), F.ceil(F.count("*") / VALUES_PER_PART).alias("parts")
-    )
-    share = (F.col(value) - F.col("low")) / (F.col("high") - F.col("low"))
-    part = F.when((F.col("parts") > 1) & (F.col("high") > F.col("low")), F.floor(share * F.col("parts"))).otherwise(F.lit(0))
-    return counted.join(spans, [*group, "bucket"]).withColumn("part", part).drop("low", "high", "parts")
+    """``(*group, value, ties, part)``: distinct values and the range that each is in.
 
+    A stored table. Missing values are one row of a group, with a null value.
+    """
+    counted = df.withColumn(value, known(F.col(value))).groupBy(*group, value).agg(F.count("*").alias("ties"))
+    ranges = RANGES_PER_TASK * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return stored(counted.repartitionByRange(ranges, *group, value).withColumn("part", F.spark_partition_id()))
 
-def value_positions(df: DataFrame, group: Sequence[str], value: str) -> DataFrame:
-    """One row per distinct non-null value of a group.
 
-    Returns ``(*group, value, ties, less, total)``: how many rows hold the value,
-    how many hold a smaller one, and how many non-null rows the group has.
-    """
-    counted = spread_values(df, group, value)
+def described_positions(df: DataFrame, group: Sequence[str], value: str) -> DataFrame:
+    """``value_positions`` with the rows of missing values (null ``less``), and beside each
+    value the ``mean`` of its group: all that a description of the groups needs."""
+    placed = spread_values(df, group, value)
     in_group = Window.partitionBy(*group)
-    before = in_group.orderBy("bucket", "part").rowsBetween(Window.unboundedPreceding, -1)
-    buckets = (
-        counted.groupBy(*group, "bucket", "part")
-        .agg(F.sum("ties").alias("bucket_ties"))
+    before = in_group.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    ties = F.when(F.col(value).isNotNull(), F.col("ties"))
+    sums = counted_mean(F.col(value), ties)
+    ranges = (
+        placed.groupBy(*group, "part")
+        .agg(F.coalesce(F.sum(ties), F.lit(0)).alias("range_ties"), *(made.alias(name) for name, (made, _) in sums.parts.items()))
         .withColumns(
             {
-                "below_bucket": F.coalesce(F.sum("bucket_ties").over(before), F.lit(0)),
-                "total": F.sum("bucket_ties").over(in_group),
+                "below_range": F.coalesce(F.sum("range_ties").over(before), F.lit(0)),
+                "total": F.sum("range_ties").over(in_group),
+                **{name: merge(F.col(name)).over(in_group) for name, (_, merge) in sums.parts.items()},
             }
         )
-        .drop("bucket_ties")
+        .withColumn("mean", sums.mean(F.col("total")))
+        .select(*[F.col(c).alias(f"of_{c}") for c in (*group, "part")], "below_range", "total", "mean")
     )
+    in_range = Window.partitionBy(*group, "part").orderBy(F.asc_nulls_first(value)).rowsBetween(Window.unboundedPreceding, -1)
+    summed = placed.withColumn("below_in_range", F.coalesce(F.sum(ties).over(in_range), F.lit(0)))
+    same = [F.col(c).eqNullSafe(F.col(f"of_{c}")) for c in group]
+    less = F.when(F.col(value).isNotNull(), F.col("below_range") + F.col("below_in_range"))
+    return summed.join(ranges, [*same, F.col("part") == F.col("of_part")]).select(*group, value, "ties", less.alias("less"), "total", "mean")
 
-    in_bucket = (
-        Window.partitionBy(*group, "bucket", "part")
-        .orderBy(value)
-        .rowsBetween(Window.unboundedPreceding, -1)
-    )
-    return (
-        counted.withColumn("below_in_bucket", F.coalesce(F.sum("ties").over(in_bucket), F.lit(0)))
-        .join(buckets, [*group, "bucket", "part"])
-        .select(
-            *group,
-            value,
-            "ties",
-            (F.col("below_bucket") + F.col("below_in_bucket")).alias("less"),
-            "total",
-        )
-    )
+
+def value_positions(df: DataFrame, group: Sequence[str], value: str) -> DataFrame:
+    """One row per distinct non-null value of a group.
+
+    Returns ``(*group, value, ties, less, total)``: how many rows hold the value,
+    how many hold a smaller one, and how many non-null rows the group has.
+    """
+    return described_positions(df, group, value).filter(F.col(value).isNotNull()).drop("mean")
 
 
 def rank_metric(
@@ -122,7 +101,7 @@ def rank_metric(
     """
     if positions is None:
         positions = value_positions(df, group, value)
-    ranks = positions.select(
+    ranks = positions.filter(F.col(value).isNotNull()).select(
         *group,
         F.col(value).alias("ranked_value"),
         (F.col("total") - F.col("less") - F.col("ties") + 1).alias(rank),
@@ -151,9 +130,15 @@ def quantiles(
     positions: DataFrame, group: Sequence[str], value: str, shares: dict[str, float]
 ) -> DataFrame:
     """Exact quantiles from ``value_positions``, linear between the two neighbours and
-    counted from the nearer one.
+    counted from the nearer one. One aggregation."""
+    picks, results = quantile_columns(value, shares)
+    return positions.groupBy(*group).agg(*picks).select(*group, *results)
 
-    One aggregation: the value at place p is the one with less <= p < less + ties.
+
+def quantile_columns(value: str, shares: dict[str, float]) -> tuple[list[Column], list[Column]]:
+    """Aggregates over positions, and the quantiles made from them.
+
+    The value at place p is the one with less <= p < less + ties.
     """
 
     def at(place: Column) -> Column:
@@ -173,4 +158,4 @@ def quantiles(
         step = high_value - low_value
         nearer = F.when(part < 0.5, low_value + step * part).otherwise(high_value - step * (1 - part))
         results.append(nearer.alias(name))
-    return positions.groupBy(*group).agg(*picks).select(*group, *results)
+    return picks, results

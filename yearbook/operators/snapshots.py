@@ -46,11 +46,19 @@ def join_latest(
 def dedupe_snapshots(
     snapshots: DataFrame, keys: Sequence[str], digest: str, order: str
 ) -> DataFrame:
-    """One row per (keys, hash): the one with the smallest ``order`` value."""
+    """One row per (keys, hash): the one with the smallest ``order`` value.
+
+    A hash count finds the keys that occur more than once. The rows of the others stay as they
+    are; only those of repeated keys go through the minimum over a struct, which sorts.
+    """
     kept = [*keys, digest]
     others = [c for c in snapshots.columns if c not in kept]
+    counted = snapshots.groupBy(*kept).agg(F.count("*").alias("copies")).filter("copies > 1")
+    repeated = counted.select(*[F.col(c).alias(f"repeated_{c}") for c in kept])
+    same = [F.col(c).eqNullSafe(F.col(f"repeated_{c}")) for c in kept]
     first = F.min_by(F.struct(*others), F.col(order))
-    return snapshots.groupBy(*kept).agg(first.alias("kept")).select(*kept, "kept.*")
+    chosen = snapshots.join(repeated, same, "left_semi").groupBy(*kept).agg(first.alias("kept")).select(*kept, "kept.*")
+    return snapshots.join(repeated, same, "left_anti").select(*kept, *others).unionByName(chosen)
 
 
 def snapshot_conflicts(snapshots: DataFrame, keys: Sequence[str], digest: str) -> DataFrame:

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from yearbook.errors import YearbookError
 from yearbook.functions.numeric import exact_mean, round4, scale_metric
-from yearbook.operators.ranking import known, quantiles, value_positions
+from yearbook.operators.ranking import described_positions, known, quantile_columns
 from yearbook.operators.registry import SCATTERS, STATS_METRICS, Metric, Scatter
 
 QUARTILES = {"q1": 0.25, "median": 0.5, "q3": 0.75}
@@ -55,23 +55,26 @@ def describe_metrics(
 ) -> DataFrame:
     """Count, missing, mean, median, sample deviation, min, quartiles and max.
 
+    All of them come from the counted distinct values, so ``long`` is read once; pass
+    ``positions`` (``ranking.described_positions``) to reuse a stored table.
+
     Nulls and NaN count as missing and are left out of the rest; results have four
     decimals; a single value has no deviation; infinity fails the job. Quantiles are exact unless
     ``approx`` asks for one-pass sketches.
     """
-    if dict(long.dtypes)[value] in ("double", "float"):
-        long = long.withColumn(value, known(F.col(value)))
-    v = F.col(value)
-    basic = [
-        F.count(v).alias("count"),
-        (F.count("*") - F.count(v)).alias("missing"),
-        round4(F.when(F.count(v) > 0, exact_mean(v))).alias("mean"),
-        round4(F.stddev_samp(v)).alias("stddev"),
-        round4(F.min(v)).alias("min"),
-        round4(F.max(v)).alias("max"),
-    ]
     names = ["count", "missing", "mean", "median", "stddev", "min", "q1", "q3", "max"]
+    v = F.col(value)
     if approx:
+        if dict(long.dtypes)[value] in ("double", "float"):
+            long = long.withColumn(value, known(v))
+        basic = [
+            F.count(v).alias("count"),
+            (F.count("*") - F.count(v)).alias("missing"),
+            round4(F.when(F.count(v) > 0, exact_mean(v))).alias("mean"),
+            round4(F.stddev_samp(v)).alias("stddev"),
+            round4(F.min(v)).alias("min"),
+            round4(F.max(v)).alias("max"),
+        ]
         sketch = F.percentile_approx(v, list(QUARTILES.values()), 10000)
         out = long.groupBy(*group).agg(*basic, sketch.alias("sketch"))
         for place, name in enumerate(QUARTILES):
@@ -79,10 +82,32 @@ def describe_metrics(
         return out.select(*group, *names)
 
     if positions is None:
-        positions = value_positions(long, group, value)
-    quarters = quantiles(positions, group, value, QUARTILES)
-    rounded = quarters.select(*group, *[round4(F.col(q)).alias(q) for q in QUARTILES])
-    return long.groupBy(*group).agg(*basic).join(rounded, list(group), "left").select(*group, *names)
+        positions = described_positions(long, group, value)
+    there = v.isNotNull()
+    off = v - F.col("mean")
+    picks, quarters = quantile_columns(value, QUARTILES)
+    described = positions.groupBy(*group).agg(
+        F.coalesce(F.sum(F.when(there, F.col("ties"))), F.lit(0)).alias("count"),
+        F.coalesce(F.sum(F.when(~there, F.col("ties"))), F.lit(0)).alias("missing"),
+        F.max("mean").alias("group_mean"),
+        F.sum(off * off * F.col("ties")).alias("squares"),
+        F.min(v).alias("lowest"),
+        F.max(v).alias("highest"),
+        *picks,
+    )
+    mean = F.col("group_mean")
+    infinite = F.raise_error(F.lit("an infinite value has no mean")).cast("double")
+    deviation = F.when(F.col("count") > 1, F.sqrt(F.col("squares") / (F.col("count") - 1)))
+    return described.select(
+        *group,
+        "count",
+        "missing",
+        round4(F.when(F.abs(mean) < float("inf"), mean).when(mean.isNotNull(), infinite)).alias("mean"),
+        round4(deviation).alias("stddev"),
+        round4(F.col("lowest")).alias("min"),
+        round4(F.col("highest")).alias("max"),
+        *quarters,
+    ).select(*group, "count", "missing", "mean", *[round4(F.col(q)).alias(q) if q in QUARTILES else F.col(q) for q in names[3:]])
 
 
 def scatter_reason(x: Column, y: Column, x_scale: Column) -> Column:

@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import BooleanType, DataType, DateType, NumericType, TimestampNTZType, TimestampType
 
 from yearbook.functions.ratios import free_cash_flow, operating_margin, revenue_cagr, revenue_yoy
 
@@ -60,10 +61,24 @@ def add_derived_metrics(
 
 
 def latest_period(df: DataFrame, entity: str, period: str) -> DataFrame:
-    """The row of the newest period of each entity, as a maximum (no sort)."""
-    others = [c for c in df.columns if c != entity]
-    newest = F.max_by(F.struct(*others), F.col(period))
-    return df.groupBy(entity).agg(newest.alias("newest")).select(entity, "newest.*")
+    """The row of the newest period of each entity; one row each, no sort.
+
+    Columns of fixed width are picked by a hash aggregate, all from one row. If there
+    are others, such as text, the newest periods are found by a hash aggregate and joined back;
+    a period that occurs twice against the grain of a series keeps both rows then.
+    """
+    others = [c for c in df.columns if c not in (entity, period)]
+    if all(_fixed_width(df.schema[c].dataType) for c in (*others, period)):
+        picked = [F.max_by(F.col(c), F.col(period)).alias(c) for c in others]
+        return df.groupBy(entity).agg(F.max(period).alias(period), *picked).select(*df.columns)
+    newest = df.groupBy(entity).agg(F.max(period).alias("newest")).withColumnRenamed(entity, "of_entity")
+    same = F.col(entity).eqNullSafe(F.col("of_entity")) & F.col(period).eqNullSafe(F.col("newest"))
+    return df.join(newest, same, "left_semi")
+
+
+def _fixed_width(kind: DataType) -> bool:
+    """Whether a hash aggregate can hold a value of that type."""
+    return isinstance(kind, (NumericType, BooleanType, DateType, TimestampType, TimestampNTZType))
 
 
 def segment_series(

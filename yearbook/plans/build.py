@@ -11,7 +11,7 @@ from yearbook import sinks
 from yearbook.errors import YearbookError
 from yearbook.operators import quality as Q
 from yearbook.operators.compare import compare_entities, long_comparison
-from yearbook.operators.ranking import value_positions
+from yearbook.operators.ranking import described_positions
 from yearbook.operators.registry import COMPARISON_CHARTS
 from yearbook.operators.series import axis_domain, axis_ticks, chart_series, company_listing, company_totals
 from yearbook.operators.stats import require_common_periods
@@ -172,7 +172,7 @@ def _write_statistics(spark: SparkSession, stage: str, mart: DataFrame) -> None:
     """Long statistics tables, split by year so that a page reads one year only."""
     require_common_periods(S.common_rows(mart))
     path = f"{stage}/_value_positions"
-    value_positions(S.common_long(mart), S.GROUP, "value").write.mode("errorifexists").parquet(path)
+    described_positions(S.common_long(mart), S.GROUP, "value").write.mode("errorifexists").parquet(path)
     stats = S.statistics(mart, positions=spark.read.parquet(path))
     sinks.write_json_lines(S.stats_header(mart), f"{stage}/stats_header")
     sinks.write_json_lines(S.metric_registry(spark).coalesce(1), f"{stage}/stats_metrics")

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from yearbook.functions.numeric import round4
 from yearbook.functions.text import iso_utc
-from yearbook.operators.ranking import rank_metric, value_positions
+from yearbook.operators.ranking import described_positions, rank_metric
 from yearbook.operators.registry import DEFAULT_RANKING, DEFAULT_SCATTER, SCATTERS, STATS_METRICS
 from yearbook.operators.reshape import long_metrics
 from yearbook.operators.stats import (
@@ -50,13 +50,13 @@ def common_long(mart: DataFrame) -> DataFrame:
 def statistics(mart: DataFrame, positions: DataFrame | None = None) -> Statistics:
     """Everything the statistics page shows, for every metric and plot at once.
 
-    Pass a stored ``value_positions(common_long(mart), GROUP, "value")`` to share
+    Pass a stored ``described_positions(common_long(mart), GROUP, "value")`` to share
     the sorted values between the quantiles and the ranks.
     """
     rows = common_rows(mart)
     long = common_long(mart)
     if positions is None:
-        positions = value_positions(long, GROUP, "value")
+        positions = described_positions(long, GROUP, "value")
     ranked = rank_metric(long, GROUP, "value", positions=positions)
     points = scatter_points(rows, ["fiscal_year", "company_order", "ticker", "name"])
     return Statistics(

@@ -3,14 +3,21 @@
 from __future__ import annotations
 
 import atexit
+import contextlib
 import functools
 import os
 import shutil
 import tempfile
+import time
 import uuid
+from collections.abc import Iterator
 
+from py4j.java_gateway import JavaObject
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession
 
+from yearbook.errors import YearbookError
+
 # Settings that change results or plans. All are runtime settings, so they can be
 # applied to a session that somebody else started.
 RUNTIME_CONF = {
@@ -72,6 +79,72 @@ def _scratch() -> str:
     return folder
 
 
+def _file_system(spark: SparkSession, path: str) -> tuple[JavaObject, JavaObject]:
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark._jsc.hadoopConfiguration()), target
+
+
+def create_exclusively(spark: SparkSession, path: str, text: str) -> bool:
+    """Create a small file with that text, unless it is there. Of several callers at once
+    exactly one is told that it did.
+
+    Stores create a file that must not exist in one step. A local file system looks first
+    and creates then, so there the file is written under another name and linked.
+    """
+    files, target = _file_system(spark, path)
+    body = bytearray(text, "utf-8")
+    try:
+        if files.makeQualified(target).toUri().getScheme() != "file":
+            out = files.create(target, False)
+            out.write(body)
+            out.close()
+            return True
+        nio = spark._jvm.java.nio.file
+        place = nio.Paths.get(files.makeQualified(target).toUri())
+        nio.Files.createDirectories(place.getParent(), spark._sc._gateway.new_array(nio.attribute.FileAttribute, 0))
+        draft = place.resolveSibling(f".{uuid.uuid4().hex}")
+        nio.Files.write(draft, body, spark._sc._gateway.new_array(nio.OpenOption, 0))
+        try:
+            nio.Files.createLink(place, draft)
+        finally:
+            nio.Files.deleteIfExists(draft)
+    except Py4JJavaError as failed:
+        if "AlreadyExists" in failed.java_exception.getClass().getSimpleName():
+            return False
+        raise
+    return True
+
+
+def read_small(spark: SparkSession, path: str) -> str:
+    """The text of a small file."""
+    files, target = _file_system(spark, path)
+    stream = files.open(target)
+    try:
+        return spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+
+
+@contextlib.contextmanager
+def exclusive(spark: SparkSession, path: str, wait: float = 60.0) -> Iterator[None]:
+    """Hold the file ``path`` as a lock; wait for another holder at most ``wait`` seconds.
+
+    A writer that dies leaves its lock. The error says whose it is, and to delete the file if that
+    one is gone: nothing here guesses.
+    """
+    owner = f"{spark.sparkContext.applicationId} {uuid.uuid4().hex}"
+    until = time.monotonic() + wait
+    while not create_exclusively(spark, path, owner):
+        if time.monotonic() > until:
+            raise YearbookError(f"{path} is held by {read_small(spark, path)}; delete it if that writer is gone")
+        time.sleep(0.1)
+    try:
+        yield
+    finally:
+        files, target = _file_system(spark, path)
+        files.delete(target, False)
+
+
 def path_exists(spark: SparkSession, path: str) -> bool:
     """Whether a folder or file is there, in any store that Spark reads."""
     target = spark._jvm.org.apache.hadoop.fs.Path(path)

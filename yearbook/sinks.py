@@ -16,7 +16,7 @@ from pyspark.sql.types import ArrayType, DataType, DoubleType, FloatType, MapTyp
 
 from yearbook.errors import YearbookError
 from yearbook.functions.text import iso_utc
-from yearbook.session import folder_names, path_exists, stored
+from yearbook.session import create_exclusively, exclusive, folder_names, path_exists, stored
 from yearbook.sources.schemas import RAW_LANDING
 
 # Versions written into documents.
@@ -88,12 +88,14 @@ def export_tsv(df: DataFrame, path: str) -> None:
     df.write.mode("errorifexists").csv(path, sep="\t", header=True, nullValue="", emptyValue="")
 
 
-def land_raw(new: DataFrame, path: str) -> None:
+def land_raw(new: DataFrame, path: str, wait: float = 60.0) -> None:
     """Append raw bodies ``(slug, kind, fetched_at, body)``, never over an existing key.
 
     Gates: fetch times carry a zone; no key is repeated or already landed. The rows are
-    stored first, so those that are checked are those that are written. One writer at a
-    time: the check and the append are two steps.
+    stored first, so those that are checked are those that are written. Check and append
+    are done under the lock ``_lock`` of the table, so of two writers of one key the second
+    finds it landed. One lock for all keys, as two of Spark's appends to a folder at once
+    can remove each other's files; a writer waits for it at most ``wait`` seconds.
     """
     if not isinstance(new.schema["fetched_at"].dataType, TimestampType):
         raise YearbookError("fetched_at needs a time zone")
@@ -103,12 +105,12 @@ def land_raw(new: DataFrame, path: str) -> None:
     twice = named.groupBy(*keys).agg(F.count("*").alias("n")).filter("n > 1")
     if not twice.isEmpty():
         raise YearbookError("a key occurs twice in one landing")
-    if path_exists(spark, path):
+    with exclusive(spark, f"{path}/_lock", wait):
         landed = spark.read.schema(RAW_LANDING).parquet(path)
         clash = named.join(landed.select(*keys), keys, "left_semi").select("slug", "kind", "fetched_at")
         if found := clash.limit(1).collect():
             raise YearbookError(f"already landed, not overwritten: {found[0].asDict()}")
-    conform(named, RAW_LANDING).write.mode("append").option("compression", "zstd").parquet(path)
+        conform(named, RAW_LANDING).write.mode("append").option("compression", "zstd").parquet(path)
 
 
 def check_complete(
@@ -133,22 +135,24 @@ def check_complete(
             raise YearbookError(f"{table} has {rows} rows, expected {counts[table]}")
 
 
-def publish_staged(spark: SparkSession, base: str, build_id: str) -> None:
-    """Make a finished build the one readers see.
+def publish_staged(spark: SparkSession, base: str, build_id: str, after: int | None = None) -> int:
+    """Make a finished build the one readers see; returns its number.
 
-    A build is staged under ``v=<build id>``. Publishing appends one row to the
-    publication log, a single file, so readers see all of a build or none of it.
-    An earlier build stays readable until the row is there.
+    A build is staged under ``v=<build id>``. Publishing creates one file, named by the
+    next number and holding the build's id, that must not be there yet. So readers see all of a
+    build or none of it, and of two builds at once each gets a number of its own; the higher
+    one is read. With ``after`` only the number that follows it will do: the build fails if
+    another one was published since that was the newest.
     """
+    while True:
+        number = (published_number(spark, base) if after is None else after) + 1
+        if create_exclusively(spark, f"{base}/_published/{number:012d}", build_id):
+            return number
+        if after is not None:
+            raise YearbookError(f"another build was published after number {after}")
+
+
+def published_number(spark: SparkSession, base: str) -> int:
+    """The number of the newest published build, 0 if there is none."""
     log = f"{base}/_published"
-    schema = "build_id string, sequence bigint"
-    last = 0
-    if path_exists(spark, log):
-        last = spark.read.schema(schema).json(log).agg(F.max("sequence")).first()[0] or 0
-    row = spark.createDataFrame([(build_id, last + 1)], schema).coalesce(1)
-    row.write.mode("append").json(log)
-    # Another build may have taken the number meanwhile; readers then take the larger id.
-    same = spark.read.schema(schema).json(log).where(F.col("sequence") == last + 1)
-    first = same.agg(F.max("build_id")).first()[0]
-    if first != build_id:
-        raise YearbookError(f"{first} was published at the same time; publish {build_id} again")
+    return max((int(n) for n in folder_names(spark, log) if n.isdigit()), default=0) if path_exists(spark, log) else 0

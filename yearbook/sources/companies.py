@@ -7,10 +7,12 @@ from collections.abc import Sequence
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from yearbook.errors import YearbookError
 from yearbook.functions import variants as V
 from yearbook.functions.text import stripped, ticker_slug
+from yearbook.sources.schemas import DIM_COMPANIES
 
 # Defaults of the dimension.
 CURRENCY = "JPY"
@@ -37,8 +39,13 @@ def scan_companies(spark: SparkSession, path: str) -> DataFrame:
 
 
 def build_companies(entries: DataFrame) -> DataFrame:
-    """Typed company rows with defaults; one row per (checked) entry."""
+    """Typed company rows with defaults; one row per (checked) entry. A number that the
+    dimension can't hold fails the job, as the rules let none through."""
     meta = F.col("meta")
+    stored = StructType.fromDDL(DIM_COMPANIES)
+
+    def number(name: str):
+        return F.variant_get(meta, f"$.{name}", stored[name].dataType.simpleString()).alias(name)
 
     def text(name: str):
         return F.try_variant_get(meta, f"$.{name}", "string")
@@ -54,8 +61,8 @@ def build_companies(entries: DataFrame) -> DataFrame:
         F.coalesce(text("status"), F.lit(DEFAULT_STATUS)).alias("status"),
         F.coalesce(text("tier"), F.lit("")).alias("tier"),
         F.coalesce(text("listing_status"), F.lit(DEFAULT_LISTING)).alias("listing_status"),
-        F.try_variant_get(meta, "$.avg_salary_man", "double").alias("avg_salary_man"),
-        F.try_variant_get(meta, "$.avg_salary_fiscal_year", "int").alias("avg_salary_fiscal_year"),
+        number("avg_salary_man"),
+        number("avg_salary_fiscal_year"),
         ticker_slug(F.col("ticker")).alias("slug"),
         split_targets(targets, name).alias("targets"),
         F.coalesce(text("note"), F.lit("")).alias("note"),

@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import itertools
+import re
+import uuid
+from collections.abc import Iterator, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -11,8 +14,12 @@ from yearbook.errors import YearbookError
 from yearbook.functions import variants as V
 from yearbook.functions.text import ticker_slug, utc_stamp
 from yearbook.operators.quality import data_rows
+from yearbook.session import checkpoint_dir, temporary
 from yearbook.sources.schemas import RAW_LANDING
 
+# Files named to one read of Spark; the driver holds the names of one read at a time.
+PATHS_PER_READ = 5000
+
 # The file naming rule.
 NAME_GLOB = "*__financials__*.json"
 NAME_PATTERN = r"^([a-z0-9_]+)__financials__(\d{8}T\d{6}Z)\.json$"
@@ -84,16 +91,40 @@ def scan_snapshots(spark: SparkSession, paths: str | Sequence[str], companies: D
     return identify(_files(spark, paths), companies)
 
 
-def scan_latest_snapshots(spark: SparkSession, paths: str | Sequence[str], companies: DataFrame) -> DataFrame:
-    """The newest snapshot file per slug; wrong names and dates are skipped.
+def newest_files(spark: SparkSession, paths: str | Sequence[str], companies: DataFrame) -> DataFrame:
+    """``(slug, path)``: the newest snapshot file of each known direct company, by name.
+
+    Wrong names and dates are skipped. Only the listing is read; files without their content
+    are not opened. The maxima are over times, so they hash; of files with one slug and
+    time the last path is taken.
+    """
+    listed = spark.read.format("binaryFile").option("pathGlobFilter", NAME_GLOB).load([paths] if isinstance(paths, str) else list(paths))
+    names = _named(listed.select("path", F.col("_metadata.file_name").alias("file_name"))).filter(F.col("fetched_at").isNotNull())
+    known = names.join(_identities(companies).select("slug"), "slug", "left_semi").select("slug", "fetched_at", "path")
+    newest = known.groupBy("slug").agg(F.max("fetched_at").alias("fetched_at"))
+    return known.join(newest, ["slug", "fetched_at"], "left_semi").groupBy("slug").agg(F.max("path").alias("path"))
+
+
+def _batches(paths: Iterator[str], size: int) -> Iterator[list[str]]:
+    while batch := list(itertools.islice(paths, size)):
+        yield batch
+
+
+def scan_latest_snapshots(spark: SparkSession, paths: str | Sequence[str], companies: DataFrame, paths_per_read: int = PATHS_PER_READ) -> DataFrame:
+    """The newest snapshot file of each known direct company, chosen by name before any body
+    is read.
 
-    The newest file is picked from names alone, but the scan of bodies is pruned by
-    folder only. With many snapshots, land them (``sinks.land_raw``) and read the landing
-    table, whose keys are columns beside the bodies.
+    The chosen files are read ``paths_per_read`` at a time into a stored table, so the bytes read
+    follow the number of companies, not of snapshots, and the driver holds one read's names.
     """
-    names = _named(_files(spark, paths).drop("content")).filter(F.col("fetched_at").isNotNull())
-    newest = names.groupBy("slug").agg(F.max_by("raw_file", "fetched_at").alias("raw_file"))
-    return scan_snapshots(spark, paths, companies).join(newest, ["slug", "raw_file"], "left_semi")
+    folder = f"{checkpoint_dir(spark)}/yearbook-newest-{uuid.uuid4().hex}"
+    chosen = (row.path for row in newest_files(spark, paths, companies).select("path").toLocalIterator())
+    schema = "raw_file string, file_name string, content binary"
+    spark.createDataFrame([], schema).write.parquet(temporary(spark, folder))
+    for batch in _batches(chosen, paths_per_read):
+        plain = [re.sub(r"([\\\[\]{}*?,])", r"\\\1", path) for path in batch]  # a path, not a pattern
+        _files(spark, plain).write.mode("append").parquet(folder)
+    return identify(spark.read.schema(schema).parquet(folder), companies)
 
 
 def scan_explicit_inputs(spark: SparkSession, paths: Sequence[str], companies: DataFrame) -> DataFrame:

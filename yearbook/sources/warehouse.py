@@ -2,24 +2,21 @@
 
 from __future__ import annotations
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from yearbook.errors import YearbookError
+from yearbook.session import folder_names, path_exists, read_small
 from yearbook.sources.schemas import VIEWS, WAREHOUSE
 
 
 def published_path(spark: SparkSession, base: str) -> str:
-    """Folder of the newest published build. One small row is read."""
-    try:
-        log = spark.read.schema("build_id string, sequence bigint").json(f"{base}/_published")
-        newest = log.agg(F.max_by("build_id", F.struct("sequence", "build_id")).alias("build_id")).first()
-    except AnalysisException:
-        newest = None
-    if newest is None or newest.build_id is None:
-        raise YearbookError(f"nothing is published under {base}")
-    return f"{base}/v={newest.build_id}"
+    """Folder of the newest published build. One listing and one small file are read."""
+    log = f"{base}/_published"
+    names = folder_names(spark, log) if path_exists(spark, log) else set()
+    for name in sorted((n for n in names if n.isdigit()), key=int, reverse=True):
+        if build_id := read_small(spark, f"{log}/{name}"):  # empty: its writer hasn't closed it
+            return f"{base}/v={build_id}"
+    raise YearbookError(f"nothing is published under {base}")
 
 
 def scan_table(spark: SparkSession, folder: str, table: str) -> DataFrame:
