@@ -37,6 +37,24 @@ def test_files_wait_for_their_company(spark, tmp_path):
     assert spark.read.parquet(f"{base}/pending").filter("batch = 2").count() == 0
 
 
+def test_waiting_files_come_with_their_company_alone(spark, tmp_path):
+    """No new file: adding the company brings what waits, once; the rest goes on waiting."""
+    raw, base = tmp_path / "raw", str(tmp_path / "out")
+    third, fourth = {"name": "Third", "edinet_code": "E00003"}, {"name": "Fourth", "edinet_code": "E00004"}
+    dimensions = [{}, {"3333.T": third}, {"3333.T": third}, {"3333.T": third, "4444.T": fourth}]
+    write_snapshot(raw, "3333_t", "20260720T000000Z", payload("E00003"))
+    write_snapshot(raw, "4444_t", "20260720T000000Z", payload("E00004"))
+    counts = []
+    for i, entries in enumerate(dimensions):
+        companies = load_companies(spark, str(companies_file(tmp_path / f"{i}.json", **entries)))
+        ingest(spark, str(raw), companies, base).awaitTermination(120)
+        counts.append(spark.read.parquet(f"{base}/financial_history").count())
+    write_snapshot(raw, "1111_t", "20260721T000000Z", payload())
+    ingest(spark, str(raw), companies, base).awaitTermination(120)
+    history = spark.read.parquet(f"{base}/financial_history")
+    assert counts == [0, 40, 40, 80] and history.count() == 120 and history.select("ticker").distinct().count() == 3
+
+
 def test_conflicting_files_of_a_batch_are_not_used(spark, tmp_path):
     raw, base = tmp_path / "raw", str(tmp_path / "out")
     companies = load_companies(spark, str(companies_file(tmp_path / "c.json")))

@@ -145,8 +145,11 @@ def order_snapshots(spark: SparkSession, sf: str) -> DataFrame:
 def order_periods(spark: SparkSession, sf: str) -> DataFrame:
     """One row per order and line number, which plays the period: the eight metrics, the
     snapshot, and what the source rows need."""
+    # Few lines share a key, so summing before the shuffle would only fill memory. Dealt by
+    # order, the sums and the join with the orders need no other shuffle of the lines.
     lines = (
         table(spark, sf, "lineitem")
+        .repartition("l_orderkey")
         .groupBy(F.col("l_orderkey").alias("orderkey"), F.col("l_linenumber").alias("fiscal_year"))
         .agg(*line_sums(), F.min("l_shipdate").cast("date").alias("filed_at"), F.min("l_partkey").alias("part"))
     )
