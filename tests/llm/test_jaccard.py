@@ -116,3 +116,66 @@ def test_components_of_long_chains(spark):
     edges = [(i, i + 1) for i in range(0, 60)] + [(200, 100), (300, 200), (7, 300)]
     got = {r.node: r.label for r in components(spark.createDataFrame(edges, "a bigint, b bigint")).collect()}
     assert got == dict.fromkeys([*range(61), 100, 200, 300], 0)
+
+
+def templated(n: int, words: int, own: int, seed: int = 1):
+    """Texts with one passage in common and some words of their own: similar, under the limit."""
+    r = random.Random(seed)
+    base = [f"t{i}" for i in range(words - own)]
+    return [" ".join([*base, *(f"o{r.randrange(10**9)}" for _ in range(own))]) for _ in range(n)]
+
+
+def test_large_block_of_nearly_similar_sets_takes_seconds():
+    """A chunk pair of sets at 0.74: nothing is linked, and no pair is looked at by itself."""
+    import time
+
+    from yearbook.llm.columns import shingle_sets
+    import pyarrow as pa
+
+    sets = list(shingle_sets(pa.array(templated(4000, 104, 16), pa.large_string()), 5))
+    a, b = sets[0], sets[1]
+    both = len(np.intersect1d(a, b))
+    assert 0.70 < both / (len(a) + len(b) - both) < 0.80
+    start = time.perf_counter()
+    tree = SignatureTree(sets, 0)
+    label = tree.connect()
+    assert len(set(label.tolist())) == len(sets) and time.perf_counter() - start < 30
+
+
+def test_cut_blocks_find_what_all_pairs_find(spark, monkeypatch):
+    """A templated block over several chunks, with linked pairs far from its first set."""
+    monkeypatch.setattr(jaccard, "CHUNK_SETS", 40)
+    monkeypatch.setattr(jaccard, "SIFT_SETS", 50)
+    texts = templated(150, 60, 14)
+    r = random.Random(5)
+    for t in r.sample(texts, 30):  # near copies of some
+        own = t.split()
+        own[-1] = f"z{r.randrange(10**6)}"
+        texts.append(" ".join(own))
+    texts += [t + " more words here" for t in r.sample(texts, 10)]
+    pairs = list(enumerate(texts, 7))
+    r.shuffle(pairs)
+    frame = spark.createDataFrame(pairs, "doc_id bigint, text string").repartition(4)
+    assert order(map(tuple, near_duplicates(frame).collect())) == order(brute(pairs))
+
+
+def test_chunks_are_bounded(spark, monkeypatch):
+    monkeypatch.setattr(jaccard, "CHUNK_SETS", 100)
+    rows_ = [(1, i, 100 + i % 3) for i in range(5000)] + [(1, 10_000 + i, 5 + i) for i in range(800)] + [(2, i, 50) for i in range(30)]
+    frame = spark.createDataFrame(rows_, "hub bigint, member bigint, n bigint")
+    got = jaccard._chunked(frame).groupBy("hub", "chunk").agg({"member": "count", "n": "max"}).collect()
+    counts = [r["count(member)"] for r in got]
+    assert sum(counts) == len(rows_) and max(counts) <= 250 and len([r for r in got if r.hub == 2]) == 1
+
+
+def test_clashing_names(spark):
+    from yearbook.llm.jaccard import keep_one
+
+    texts = family(1, 12, 80, 2) + [None, "", "a b"]
+    rows_ = [(i, t, 1, 2, 3, True, 4, "x", "y", 5) for i, t in enumerate(texts)] * 2
+    frame = spark.createDataFrame(rows_, "doc_id bigint, text string, __key bigint, __id bigint, __h bigint, __first boolean, __row bigint, doc string, `key` string, salt int")
+    got = keep_one(frame)
+    assert got.columns == frame.columns
+    linked_ = {c for _, _, c in brute(list(enumerate(texts[:12])))}
+    kept = [r.doc_id for r in got.collect()]
+    assert sorted(set(kept)) == sorted({*linked_, 12, 13, 14}) and kept.count(14) == 1 and kept.count(12) == 2

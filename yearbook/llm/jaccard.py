@@ -12,8 +12,9 @@
 4. A block's sets form a signature tree: its nodes hold OR-combined bitmaps and size
    ranges, and two nodes are compared further only if their common bits and sizes allow
    the overlap, and if they are not all linked already. What remains is counted exactly.
-   Large blocks are cut into chunks that share the block's first set; sets that are not
-   linked with it there meet the other chunks as well.
+   Large blocks are cut by size into chunks that share the block's first set. Sets that are
+   not linked with it there are guests: chunks of guests meet the chunks of the block whose
+   sizes allow a link, each pair of chunks in a group of its own.
 5. The links, a star for each linked group of a block, are contracted to components.
 """
 
@@ -25,21 +26,25 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from yearbook.llm.columns import mixed, passes, shingle_sets, texts_of
-from yearbook.llm.tables import bit_filter, drop, passes_filter, written
+from yearbook.llm.tables import attach, bit_filter, drop, passes_filter, written
 
 SHINGLE = 5
 PERCENT = 80
-#: Sets of one block that one task compares, and their shingles.
-CHUNK_SETS, CHUNK_SHINGLES = 2000, 4_000_000
+#: Sets of one chunk of a block, and their shingles, about.
+CHUNK_SETS, CHUNK_SHINGLES = 2000, 2_000_000
+#: Sizes of one band of a block differ by less than this factor.
+BAND = 1.02
 #: A shingle in more than this share of a sample of sets (one in ``SAMPLE``) is frequent.
 #: Which are known as frequent decides the work, never the result.
 FREQUENT, SAMPLE, MOST_FREQUENT = 0.001, 8, 50_000
 #: Larger blocks are not sifted but go to the trees as they are.
-SIFT_SETS = 20_000
+SIFT_SETS = 4000
+#: Shingles of sampled sets, and prefix shingles, that a task holds before it passes them on.
+HELD_SAMPLE, HELD_PREFIX = 1 << 20, 1 << 18
 #: Frequent shingles are dealt to so many tasks each.
 SALTS = 64
 #: Prefix shingles in one bucket, about.
@@ -114,71 +119,109 @@ def reachable(sizes: np.ndarray, maps: list[np.ndarray]) -> np.ndarray:
 
 
 class SignatureTree:
-    """Some sets, in an order that brings similar ones together, and nodes over them."""
+    """Some sets, in an order that brings similar ones together, and nodes over them.
 
-    FAN = 8
+    A leaf holds ``LEAF`` sets, a node ``FAN`` nodes of the level below. Each has the OR of
+    its sets' bitmaps and the range of their sizes.
+    """
+
+    FAN, LEAF = 8, 64
+    #: Bits for each shingle of a set, and bytes of all bitmaps of one tree: wide bitmaps tell
+    #: sets that are nearly similar enough from those that are.
+    SPREAD, MAP_BYTES = 32, 48 << 20
 
     def __init__(self, sets: list[np.ndarray], first: int):
         """``first`` is the set that the others are compared with before all else."""
         self.order = sorted(range(len(sets)), key=lambda i: (i != first, sets[i][:1].tolist(), len(sets[i])))
         self.sets = [sets[i] for i in self.order]
         self.sizes = np.array([len(s) for s in self.sets])
-        self.width = 1 << int(np.clip(np.ceil(np.log2(4 * self.sizes.max())), 8, 20))
-        bits = np.zeros((len(sets), self.width // 64), np.uint64)
-        for i, s in enumerate(self.sets):
+        most = max(256, 8 * self.MAP_BYTES // len(sets))
+        self.width = 1 << int(min(np.ceil(np.log2(max(256, self.SPREAD * np.median(self.sizes)))), np.floor(np.log2(most))))
+        self.bits = np.zeros((len(sets), self.width // 64), np.uint64)
+        for row, s in zip(self.bits, self.sets, strict=True):
             place = mixed(s) & _U(self.width - 1)
-            np.bitwise_or.at(bits[i], (place >> _U(6)).astype(np.int64), _U(1) << (place & _U(63)))
+            np.bitwise_or.at(row, (place >> _U(6)).astype(np.int64), _U(1) << (place & _U(63)))
         # shingles of a set that share a bit with another of its own
-        excess = self.sizes - np.bitwise_count(bits).sum(axis=1)
-        self.levels = [(bits, self.sizes, self.sizes, excess)]
+        self.excess = self.sizes - np.bitwise_count(self.bits).sum(axis=1)
+        self.levels = [self._above((self.bits, self.sizes, self.sizes, self.excess), self.LEAF)]
         while len(self.levels[-1][1]) > 1:
-            b, low, high, e = self.levels[-1]
-            at = np.arange(0, len(low), self.FAN)
-            self.levels.append((np.bitwise_or.reduceat(b, at, axis=0), np.minimum.reduceat(low, at), np.maximum.reduceat(high, at), np.maximum.reduceat(e, at)))
+            self.levels.append(self._above(self.levels[-1], self.FAN))
         self.label = np.arange(len(sets))
 
-    def _span(self, level: int, i: int) -> slice:
-        return slice(i * self.FAN**level, (i + 1) * self.FAN**level)
+    @staticmethod
+    def _above(level: tuple, fan: int) -> tuple:
+        bits, low, high, excess = level
+        at = np.arange(0, len(low), fan)
+        return np.bitwise_or.reduceat(bits, at, axis=0), np.minimum.reduceat(low, at), np.maximum.reduceat(high, at), np.maximum.reduceat(excess, at)
 
-    def _possible(self, level: int, i: int, others: np.ndarray) -> np.ndarray:
-        """Which of ``others``, nodes of the same level, may hold a set linked with one in node i."""
-        bits, low, high, excess = self.levels[level]
-        at_most = np.bitwise_count(bits[others] & bits[i]).sum(axis=1) + np.minimum(excess[others], excess[i])
-        sizes = (100 * high[others] >= PERCENT * low[i]) & (100 * high[i] >= PERCENT * low[others])
-        needed = PERCENT * (low[others] + low[i])  # (100 + PERCENT) * overlap >= PERCENT * (sum of sizes)
-        return sizes & ((100 + PERCENT) * at_most >= needed)
+    def _span(self, level: int, i: int) -> slice:
+        size = self.LEAF * self.FAN**level
+        return slice(i * size, (i + 1) * size)
+
+    @staticmethod
+    def _possible(level: tuple, one: tuple, others: np.ndarray) -> np.ndarray:
+        """Which of ``others``, of one level, may hold a set linked with one of ``one``."""
+        bits, low, high, excess = level
+        own, least, most, off = one
+        sizes = (100 * high[others] >= PERCENT * least) & (100 * most >= PERCENT * low[others])
+        near = others[sizes]
+        at_most = np.bitwise_count(bits[near] & own).sum(axis=1) + np.minimum(excess[near], off)
+        needed = PERCENT * (low[near] + least)  # (100 + PERCENT) * overlap >= PERCENT * (sum of sizes)
+        sizes[sizes] = (100 + PERCENT) * at_most >= needed
+        return sizes
 
     def _join(self, i: int, j: int) -> None:
         self.label[self.label == self.label[j]] = self.label[i]
 
+    def _linked(self, i: int, others: np.ndarray) -> np.ndarray:
+        """Which of ``others`` set i is linked with, exactly."""
+        if len(others) <= 4:
+            return np.array([linked(self.sets[i], self.sets[j]) for j in others], bool)
+        own, sizes = self.sets[i], self.sizes[others]
+        flat = np.concatenate([self.sets[j] for j in others])
+        hit = own[np.minimum(np.searchsorted(own, flat), len(own) - 1)] == flat
+        both = np.add.reduceat(hit.astype(np.int64), np.cumsum(sizes) - sizes)
+        return 100 * both >= PERCENT * (sizes + len(own) - both)
+
+    def _compare(self, a: slice, b: slice, wanted: np.ndarray) -> None:
+        """Join what is linked between two leaves."""
+        level = (self.bits, self.sizes, self.sizes, self.excess)
+        for i in range(*a.indices(len(self.sets))):
+            others = np.arange(*b.indices(len(self.sets)))
+            others = others[(others > i) | (a != b)]
+            others = others[(self.label[others] != self.label[i]) & (wanted[others] | wanted[i])]
+            others = others[self._possible(level, (self.bits[i], self.sizes[i], self.sizes[i], self.excess[i]), others)]
+            while len(others):  # one link joins all that the other is joined with
+                some, others = others[:16], others[16:]
+                for j in some[self._linked(i, some)]:
+                    if self.label[j] != self.label[i]:
+                        self._join(i, j)
+                others = others[self.label[others] != self.label[i]]
+
     def connect(self, wanted: np.ndarray | None = None) -> np.ndarray:
         """Labels: sets that links connect have the same. ``wanted``: only links of which
         one end at least is among these are looked for."""
-        for j in range(1, len(self.sets)):
-            if linked(self.sets[0], self.sets[j]):
-                self._join(0, j)
-        if (self.label == self.label[0]).all():
-            return self.label
+        rest = np.arange(1, len(self.sets))
+        for j in rest[self._linked(0, rest)] if len(rest) else ():
+            self._join(0, j)
         wanted = np.ones(len(self.sets), bool) if wanted is None else wanted[self.order]
-        top = len(self.levels) - 1
-        stack = [(top, 0, 0)]
+        stack = [(len(self.levels) - 1, 0, 0)]
         while stack:
             level, i, j = stack.pop()
             a, b = self._span(level, i), self._span(level, j)
-            if not (wanted[a].any() or wanted[b].any()) or (self.label[a] == self.label[a][0]).all() and (self.label[b] == self.label[a][0]).all():
+            one = self.label[a][0]
+            if not (wanted[a].any() or wanted[b].any()) or (self.label[a] == one).all() and (self.label[b] == one).all():
                 continue
             if level == 0:
-                if linked(self.sets[i], self.sets[j]):
-                    self._join(i, j)
+                self._compare(a, b, wanted)
                 continue
-            size = len(self.levels[level - 1][1])
+            below = self.levels[level - 1]
+            size = len(below[1])
             left = np.arange(i * self.FAN, min((i + 1) * self.FAN, size))
             right = np.arange(j * self.FAN, min((j + 1) * self.FAN, size))
             for x in left:
                 others = right[right >= x] if i == j else right
-                if level == 1:
-                    others = others[(others != x) & (self.label[others] != self.label[x]) & (wanted[others] | wanted[x])]
-                for y in others[self._possible(level - 1, x, others)] if len(others) else ():
+                for y in others[self._possible(below, tuple(part[x] for part in below), others)]:
                     stack.append((level - 1, int(x), int(y)))
         return self.label
 
@@ -192,7 +235,14 @@ def shingle_rows(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     least. ``bits`` stands with the first document of a set in a pass."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sample, known, seen_now, kind = [], set(), set(), None
+        sample, held, known, seen_now, kind = [], 0, set(), set(), None
+
+        def sampled() -> pa.RecordBatch:
+            shingles, seen = np.unique(np.concatenate(sample), return_counts=True)
+            often = seen > 1
+            nulls = [pa.nulls(int(often.sum()), t) for t in (kind, pa.int64(), pa.int64(), pa.binary())]
+            return pa.RecordBatch.from_arrays([*nulls, pa.array(shingles[often].view(np.int64)), pa.array(seen[often])], names=_ROW)
+
         for batch in passes(batches, 1):
             sizes, ids, bits = [], [], []
             for s in shingle_sets(texts_of(batch, 1), SHINGLE):
@@ -204,13 +254,14 @@ def shingle_rows(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
                 if len(s) and own % SAMPLE == 0 and own not in known:
                     known.add(own)
                     sample.append(s)
+                    held += len(s)
             kind, none = batch.column(0).type, pa.nulls(len(ids), pa.int64())
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sizes, pa.int64()), pa.array(ids, pa.int64()), pa.array(bits, pa.binary()), none, none], names=_ROW)
+            if held > HELD_SAMPLE:
+                yield sampled()
+                sample, held = [], 0
         if sample:
-            shingles, seen = np.unique(np.concatenate(sample), return_counts=True)
-            often = seen > 1
-            nulls = [pa.nulls(int(often.sum()), t) for t in (kind, pa.int64(), pa.int64(), pa.binary())]
-            yield pa.RecordBatch.from_arrays([*nulls, pa.array(shingles[often].view(np.int64)), pa.array(seen[often])], names=_ROW)
+            yield sampled()
 
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     kind = rows.schema["id"].dataType.simpleString()
@@ -262,7 +313,7 @@ def _prefix_blobs(docs: DataFrame, text_col: str, frequent: np.ndarray, rank: np
                     known.add(own)
                     held.append((prefix(s, frequent, rank), len(s), own))
                     size += len(held[-1][0])
-            if size > 1 << 20:
+            if size > HELD_PREFIX:
                 yield flush()
                 held, size = [], 0
         if held:
@@ -310,7 +361,8 @@ def _memberships(blobs: DataFrame, buckets: int, frequent: np.ndarray) -> DataFr
 
 
 def _sifted(members: DataFrame, rows: DataFrame) -> DataFrame:
-    """``(hub, member)``: blocks of the sets that may be linked with another of theirs."""
+    """``(hub, member)``: blocks of the sets that may be linked with another of theirs.
+    Blocks over ``SIFT_SETS`` are known by their counts and never gathered."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for parts in _by_key(batches, 1):
@@ -320,22 +372,23 @@ def _sifted(members: DataFrame, rows: DataFrame) -> DataFrame:
             sizes = sizes[at]
             if len(ids) < 2:
                 continue
-            if len(ids) > SIFT_SETS:
-                label = np.zeros(len(ids), np.int64)
-            else:
-                maps = [x for p in parts for x in p.column(3).to_pylist()]
-                order = np.argsort(sizes, kind="stable")
-                label = np.empty(len(ids), np.int64)
-                label[order] = reachable(sizes[order], [np.frombuffer(maps[at[i]], _U) for i in order])
+            maps = [x for p in parts for x in p.column(3).to_pylist()]
+            order = np.argsort(sizes, kind="stable")
+            label = np.empty(len(ids), np.int64)
+            label[order] = reachable(sizes[order], [np.frombuffer(maps[at[i]], _U) for i in order])
             _, label, count = np.unique(label, return_inverse=True, return_counts=True)
             hubs = np.full(len(count), np.iinfo(np.int64).max)
             np.minimum.at(hubs, label, ids)
             kept = count[label] > 1
             yield pa.RecordBatch.from_arrays([pa.array(hubs[label[kept]]), pa.array(ids[kept])], names=["hub", "member"])
 
+    counts = members.groupBy("hub").agg(F.count("*").alias("sets"))
+    large = counts.where(F.col("sets") > SIFT_SETS).select("hub")
     maps = rows.where("bits is not null").select(F.col("set_id").alias("member"), "n", "bits").dropDuplicates(["member"])
-    dealt = members.join(maps, "member").select("hub", "member", "n", "bits").repartition("hub").sortWithinPartitions("hub")
-    return dealt.mapInArrow(run, "hub bigint, member bigint").distinct()
+    few = members.join(large, "hub", "left_anti").join(maps, "member")
+    dealt = few.select("hub", "member", "n", "bits").repartition("hub").sortWithinPartitions("hub")
+    sifted = dealt.mapInArrow(run, "hub bigint, member bigint").distinct()
+    return sifted.unionByName(members.join(large, "hub", "left_semi").select("hub", "member"))
 
 
 def _by_key(batches: Iterator[pa.RecordBatch], keys: int) -> Iterator[list[pa.RecordBatch]]:
@@ -379,33 +432,61 @@ def _sets(docs: DataFrame, text_col: str, wanted: np.ndarray) -> DataFrame:
 
 
 def _connect(batches: Iterator[pa.RecordBatch], rest: bool) -> Iterator[pa.RecordBatch]:
-    """Stars of links in each (hub, chunk), and the members not linked with the hub.
+    """Stars of links in each (hub, chunk, other chunk), and the members not linked with the hub.
 
-    ``rest``: the rows with ``guest`` come from other chunks and are the ones whose links
-    are looked for.
+    ``rest``: links are looked for of which one end at least is a guest.
     """
-    for parts in _by_key(batches, 2):
-        ids = np.concatenate([p.column(2).to_numpy() for p in parts])
-        sets = [np.frombuffer(x, _U) for p in parts for x in p.column(3).to_pylist()]
-        guest = np.concatenate([p.column(4).to_numpy(zero_copy_only=False) for p in parts])
-        ids, at = np.unique(ids, return_index=True)
-        sets, guest, hub = [sets[i] for i in at], guest[at], parts[0].column(0)[0].as_py()
+    for parts in _by_key(batches, 3):
+        ids = np.concatenate([p.column(3).to_numpy() for p in parts])
+        sets = [np.frombuffer(x, _U) for p in parts for x in p.column(4).to_pylist()]
+        guest = np.concatenate([p.column(5).to_numpy(zero_copy_only=False) for p in parts])
+        at = np.lexsort((~guest, ids))  # a set that is both is a guest
+        at = at[np.diff(ids[at], prepend=ids[at[0]] - 1) != 0]
+        ids, sets, guest, hub = ids[at], [sets[i] for i in at], guest[at], parts[0].column(0)[0].as_py()
         if len(ids) < 2:
             continue
-        tree = SignatureTree(sets, int(np.flatnonzero(ids == hub)[0]))
+        tree = SignatureTree(sets, int(np.flatnonzero(ids == hub)[0]) if not rest else 0)
         label = tree.connect(guest if rest else None)
-        ordered = ids[tree.order]  # the hub is the first, and the smallest
+        ordered = ids[tree.order]
         least = np.full(len(ids), np.iinfo(np.int64).max)
         np.minimum.at(least, label, ordered)
         star = least[label] != ordered
         a, b, left = least[label][star], ordered[star], np.zeros(int(star.sum()), bool)
-        if not rest:
+        if not rest:  # the hub is the first of the order
             alone = ordered[label != label[0]]
             a, b = np.concatenate([a, np.full(len(alone), hub)]), np.concatenate([b, alone])
             left = np.concatenate([left, np.ones(len(alone), bool)])
         yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b), pa.array(left)], names=["a", "b", "left"])
 
 
+def _chunked(members: DataFrame) -> DataFrame:
+    """``(hub, member, n, chunk)`` of ``members (hub, member, n)``.
+
+    Chunks go by size. A block's sets fall into bands of nearly equal size, which are
+    counted; consecutive small bands share a chunk, and a large band is dealt to several. A
+    block has at most some hundred bands, whatever the number of its sets.
+    """
+    band = F.floor(F.log(F.col("n").cast("double")) / float(np.log(BAND))).cast("int")
+    banded = members.withColumn("band", band)
+    bands = banded.groupBy("hub", "band").agg(F.count("*").alias("sets"), F.sum("n").alias("shingles"))
+    weight = F.greatest(F.col("sets") / CHUNK_SETS, F.col("shingles") / CHUNK_SHINGLES)
+    before = Window.partitionBy("hub").orderBy("band").rowsBetween(Window.unboundedPreceding, -1)
+    bands = bands.withColumn("parts", F.ceil(weight).cast("int")).withColumn("at", F.floor(F.coalesce(F.sum(weight).over(before), F.lit(0.0))))
+    bands = bands.select("hub", "band", "parts", F.when(F.col("parts") > 1, -1 - F.col("band")).otherwise(F.col("at")).cast("bigint").alias("at"))
+    dealt = attach(banded, bands, ["hub", "band"], ["member"])
+    part = F.pmod(F.xxhash64("member"), F.col("parts"))
+    return dealt.select("hub", "member", "n", (F.col("at") * (1 << 24) + part).alias("chunk"))
+
+
+_GROUP = ["hub", "chunk", "other"]
+
+
+def _compared(placed: DataFrame, sets: DataFrame, rest: bool) -> DataFrame:
+    rows = placed.join(sets.select("member", "shingles"), "member").select(*_GROUP, "member", "shingles", "guest")
+    dealt = rows.repartition(*_GROUP).sortWithinPartitions(*_GROUP)
+    return dealt.mapInArrow(functools.partial(_connect, rest=rest), "a bigint, b bigint, left boolean")
+
+
 def links(docs: DataFrame, text_col: str = "text", rows: DataFrame | None = None) -> DataFrame:
     """Stored ``(a, b)``: links between set ids that connect exactly what all links do."""
     if rows is None:
@@ -418,37 +499,32 @@ def links(docs: DataFrame, text_col: str = "text", rows: DataFrame | None = None
     # at most MOST_FREQUENT rows; a shingle that one set alone has makes no block
     tops = hot.groupBy("shingle").agg(F.min("hub").alias("top"), F.max("member").alias("last")).where("top != last").select("shingle", "top")
     members = found.where("shingle is null").select("hub", "member").unionByName(hot.join(F.broadcast(tops), "shingle").select(F.col("top").alias("hub"), "member"))
-    blocks, blocks_path = written(_sifted(members.distinct(), rows), "jaccard-blocks")
+    members, members_path = written(members.distinct(), "jaccard-members")
+    blocks, blocks_path = written(_sifted(members, rows), "jaccard-blocks")
     wanted = bit_filter(blocks.select("member"), "member")
     sets, sets_path = written(_sets(docs, text_col, wanted).dropDuplicates(["member"]), "jaccard-sets", "snappy")
-    sized = blocks.join(sets.select("member", "n"), "member").groupBy("hub").agg(F.count("*").alias("sets"), F.sum("n").alias("shingles"))
-    chunks = F.greatest(F.ceil(F.col("sets") / CHUNK_SETS), F.ceil(F.col("shingles") / CHUNK_SHINGLES)).cast("int")
-    sized, sized_path = written(sized.where("sets > 1").select("hub", chunks.alias("chunks")), "jaccard-sized")
-    own = F.pmod(F.xxhash64("member"), F.col("chunks")).cast("int")
-    every = F.sequence(F.lit(0), F.col("chunks") - 1)
-    placed = blocks.join(sized, "hub").withColumn("chunk", F.explode(F.when(F.col("member") == F.col("hub"), every).otherwise(F.array(own)))).withColumn("guest", F.lit(False))
-    first = _compared(placed, sets, False)
-    first, first_path = written(first, "jaccard-first")
-    # sets of a cut block that are not linked with its hub meet the other chunks
-    left = first.where("left").select(F.col("a").alias("hub"), F.col("b").alias("member")).distinct().join(sized.where("chunks > 1"), "hub")
-    guests = left.withColumn("chunk", F.explode(every)).where(F.col("chunk") != own).withColumn("guest", F.lit(True))
-    hosts = placed.join(left.select("hub").distinct(), "hub", "left_semi")
-    second = _compared(hosts.select(*_PLACE).unionByName(guests.select(*_PLACE)), sets, True)
+    chunked, chunked_path = written(_chunked(blocks.join(sets.select("member", "n"), "member")), "jaccard-chunks")
+    ranges, ranges_path = written(chunked.groupBy("hub", "chunk").agg(F.count("*").alias("sets"), F.min("n").alias("low"), F.max("n").alias("high")), "jaccard-ranges")
+    # every chunk with its block's first set, which may be in another chunk
+    first_too = ranges.select("hub", "chunk", F.col("hub").alias("member"))
+    placed = chunked.select("hub", "chunk", "member").unionByName(first_too).distinct().withColumn("other", F.col("chunk")).withColumn("guest", F.lit(False))
+    first, first_path = written(_compared(placed, sets, False), "jaccard-first")
+    # sets of a cut block that are not linked with its first set meet the other chunks
+    cut = ranges.groupBy("hub").agg(F.count("*").alias("chunks")).where("chunks > 1").select("hub")
+    left = first.where("left").select(F.col("a").alias("hub"), F.col("b").alias("member")).distinct().join(cut, "hub", "left_semi")
+    guests, guests_path = written(_chunked(left.join(sets.select("member", "n"), "member")), "jaccard-guests")
+    guest_ranges = guests.groupBy("hub", "chunk").agg(F.min("n").alias("guest_low"), F.max("n").alias("guest_high"))
+    fit = (100 * F.col("guest_high") >= PERCENT * F.col("low")) & (100 * F.col("high") >= PERCENT * F.col("guest_low"))
+    pairs, pairs_path = written(guest_ranges.join(ranges.select("hub", F.col("chunk").alias("other"), "low", "high"), "hub").where(fit).select(*_GROUP), "jaccard-pairs")
+    met = guests.select("hub", "chunk", "member").join(pairs, ["hub", "chunk"]).select(*_GROUP, "member", F.lit(True).alias("guest"))
+    hosts = chunked.select("hub", F.col("chunk").alias("other"), "member").join(pairs, ["hub", "other"]).select(*_GROUP, "member", F.lit(False).alias("guest"))
+    second = _compared(met.unionByName(hosts), sets, True)
     out, _ = written(first.where("not left").select("a", "b").unionByName(second.select("a", "b")).distinct(), "jaccard-links")
-    for path in (found_path, blocks_path, sets_path, sized_path, first_path):
+    for path in (found_path, members_path, blocks_path, sets_path, chunked_path, ranges_path, first_path, guests_path, pairs_path):
         drop(docs.sparkSession, path)
     return out
 
 
-_PLACE = ["hub", "chunk", "member", "guest"]
-
-
-def _compared(placed: DataFrame, sets: DataFrame, rest: bool) -> DataFrame:
-    rows = placed.join(sets, "member").select("hub", "chunk", "member", "shingles", "guest")
-    dealt = rows.repartition("hub", "chunk").sortWithinPartitions("hub", "chunk")
-    return dealt.mapInArrow(functools.partial(_connect, rest=rest), "a bigint, b bigint, left boolean")
-
-
 def components(edges: DataFrame) -> DataFrame:
     """Stored ``(node, label)`` for every node of ``edges (a, b)``: the smallest node that
     edges reach. Each round passes the smallest label along edges and then follows labels
@@ -456,14 +532,17 @@ def components(edges: DataFrame) -> DataFrame:
     both = edges.select("a", "b").unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
     labels, path = written(both.groupBy(F.col("a").alias("node")).agg(F.least(F.min("b"), F.col("node")).alias("label")), "labels")
     while True:
-        near = edges.join(labels.select(F.col("node").alias("a"), F.col("label").alias("la")), "a").join(labels.select(F.col("node").alias("b"), F.col("label").alias("lb")), "b")
+        # a star's middle may have most edges, and a label most nodes: both are dealt to several tasks
+        near = attach(edges, labels.select(F.col("node").alias("a"), F.col("label").alias("la")), ["a"], ["b"])
+        near = near.join(labels.select(F.col("node").alias("b"), F.col("label").alias("lb")), "b")
         low = F.least("la", "lb")
         # both ends, and the labels they had, learn the smaller label
         told = near.where("la != lb").select(F.explode(F.array("a", "b", "la", "lb")).alias("node"), low.alias("new"))
         told = told.groupBy("node").agg(F.min("new").alias("new"))
         moved = labels.join(told, "node", "left").select("node", F.least("label", F.coalesce("new", "label")).alias("label"), F.col("label").alias("was"))
-        jumped = moved.alias("x").join(moved.select(F.col("node").alias("top"), F.col("label").alias("higher")).alias("y"), F.col("x.label") == F.col("y.top"), "left")
-        after, after_path = written(jumped.select("x.node", F.least(F.col("x.label"), F.coalesce("y.higher", "x.label")).alias("label"), "x.was"), "labels")
+        # every label is a node itself
+        jumped = attach(moved, moved.select(F.col("node").alias("label"), F.col("label").alias("higher")), ["label"], ["node"])
+        after, after_path = written(jumped.select("node", F.least("label", "higher").alias("label"), "was"), "labels")
         changed = after.where("label != was").limit(1).count()
         drop(edges.sparkSession, path)
         labels, path = after.select("node", "label"), after_path
@@ -485,14 +564,23 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     """
     rows, _ = written(shingle_rows(docs, id_col, text_col), "jaccard-rows")
     labels = components(links(docs, text_col, rows))
-    own = rows.where("set_id is not null").select("id", "n", "set_id")
-    labelled = own.where("n > 0").join(labels.withColumnRenamed("node", "set_id"), "set_id", "left").select("id", "n", F.coalesce("label", "set_id").alias("label"))
-    lowest = labelled.groupBy("label").agg(F.min("id").alias("component_id"))
-    found = labelled.join(lowest, "label").select("id", "n", "component_id")
+    own = rows.where("set_id is not null").select("id", "n", "set_id").withColumn("row", F.monotonically_increasing_id())
+    sets = own.where("n > 0").groupBy("set_id").agg(F.min("id").alias("lowest"))
+    told = _labelled(sets, labels)
+    lowest = told.groupBy("label").agg(F.min("lowest").alias("component_id"))
+    told = attach(told, lowest, ["label"], ["set_id"]).select("set_id", "component_id")
+    found = attach(own.where("n > 0"), told, ["set_id"], ["row"]).select("id", "n", "component_id")
     alone = own.where("n = 0").select("id", "n", F.col("id").alias("component_id"))
     return found.unionByName(alone).select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"), "component_id")
 
 
+def _labelled(sets: DataFrame, labels: DataFrame) -> DataFrame:
+    """Stored: ``sets``, one row for each, with their component's ``label``; a set without
+    links is its own."""
+    found = sets.join(labels.withColumnRenamed("node", "set_id"), "set_id", "left")
+    return written(found.withColumn("label", F.coalesce("label", "set_id")), "jaccard-labels")[0]
+
+
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``docs``, with all columns, less the rows that are linked with a kept one: of each
     component the row of the smallest id stays (rows without an id come last; ties go to
@@ -501,29 +589,35 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     Decisions are taken on ids and hashes. Of the texts, only rows that a bounded filter
     takes for decided ones are shuffled, to meet the decisions.
     """
-    keyed = docs.select(F.struct(F.col(id_col).alias("id"), F.xxhash64(text_col).alias("h")).alias("key"), F.col(text_col).alias("text"))
+    id_, text_ = F.col(id_col), F.col(text_col)
+    keyed = docs.select(F.struct(id_.alias("id"), F.xxhash64(text_).alias("h")).alias("key"), text_.alias("text"))
     rows, rows_path = written(shingle_rows(keyed, "key", "text"), "jaccard-rows")
-    labels = components(links(keyed, "text", rows)).withColumnRenamed("node", "set_id")
-    own = rows.where("set_id is not null and n > 0").select("id.id", "id.h", "set_id")
-    labelled = own.join(labels, "set_id", "left").select("id", "h", F.coalesce("label", "set_id").alias("label"))
-    counted = labelled.groupBy("label", "id", "h").agg(F.count("*").alias("rows"))
+    labels = components(links(keyed, "text", rows))
+    counted = rows.where("set_id is not null and n > 0").groupBy("set_id", F.col("id.id").alias("id"), F.col("id.h").alias("h")).agg(F.count("*").alias("rows"))
+    counted, counted_path = written(counted, "jaccard-counted")
     rank = F.struct(F.col("id").isNull().alias("none"), "id", "h")
-    best = counted.groupBy("label").agg(F.min(rank).alias("best"), F.sum("rows").alias("size")).where("size > 1")
-    judged = counted.join(best, "label").select(F.col("id").alias("__id"), F.col("h").alias("__h"), rank.eqNullSafe(F.col("best")).alias("__first"), "rows")
-    going, _ = written(judged.where("not __first or rows > 1").drop("rows"), "jaccard-going")
-    drop(docs.sparkSession, rows_path)
-    wanted = bit_filter(going.select(F.xxhash64("__id", "__h").alias("key")), "key")
-    marked = docs.withColumn("__key", F.xxhash64(F.col(id_col), F.xxhash64(text_col)))
+    told = _labelled(counted.groupBy("set_id").agg(F.min(rank).alias("best"), F.sum("rows").alias("size")), labels)
+    best = told.groupBy("label").agg(F.min("best").alias("best"), F.sum("size").alias("size")).where("size > 1")
+    best = attach(told.select("set_id", "label"), best, ["label"], ["set_id"]).select("set_id", "best")
+    judged = attach(counted, best, ["set_id"], ["id", "h"]).select("id", "h", rank.eqNullSafe(F.col("best")).alias("first"), "rows")
+    going, _ = written(judged.where("not first or rows > 1").drop("rows"), "jaccard-going")
+    for path in (rows_path, counted_path):
+        drop(docs.sparkSession, path)
+    wanted = bit_filter(going.select(F.xxhash64("id", "h").alias("key")), "key")
+    # The caller's row is one struct, so no name of its columns can clash with ours.
+    whole = F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("doc")
+    marked = docs.select(whole, F.xxhash64(id_, F.xxhash64(text_)).alias("key"))
+    schema = marked.schema
 
     def run(batches: Iterator[pa.RecordBatch], inside: bool) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            keys = batch.column(batch.num_columns - 1).to_numpy(zero_copy_only=False).view(_U)
-            some = batch.filter(pa.array(passes_filter(wanted, keys) == inside))
-            yield some.select(range(batch.num_columns - 1))
-
-    apart = marked.mapInArrow(functools.partial(run, inside=False), docs.schema)
-    met = marked.mapInArrow(functools.partial(run, inside=True), docs.schema).withColumn("__text", F.xxhash64(text_col))
-    met = met.join(going, F.col(id_col).eqNullSafe(F.col("__id")) & (F.col("__text") == F.col("__h")), "left").where("__first is null or __first")
-    row = F.when(F.col("__first"), F.lit(-1)).otherwise(F.monotonically_increasing_id())
-    once = met.withColumn("__row", row).dropDuplicates(["__id", "__h", "__row"])
-    return apart.unionByName(once.select(*docs.columns))
+            keys = batch.column(1).to_numpy(zero_copy_only=False).view(_U)
+            yield batch.filter(pa.array(passes_filter(wanted, keys) == inside))
+
+    apart = marked.mapInArrow(functools.partial(run, inside=False), schema).select("doc.*")
+    met = marked.mapInArrow(functools.partial(run, inside=True), schema)
+    met = met.select("doc", F.col("doc")[id_col].alias("doc_id"), F.xxhash64(F.col("doc")[text_col]).alias("doc_h"))
+    met = met.join(going, F.col("doc_id").eqNullSafe(F.col("id")) & (F.col("doc_h") == F.col("h")), "left").where("first is null or first")
+    row = F.when(F.col("first"), F.lit(-1)).otherwise(F.monotonically_increasing_id())
+    once = met.withColumn("row", row).dropDuplicates(["id", "h", "row"])
+    return apart.unionByName(once.select("doc.*"))

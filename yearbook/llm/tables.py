@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Sequence
 
 import numpy as np
 from pyspark.sql import DataFrame, SparkSession
@@ -11,6 +12,8 @@ from pyspark.sql import functions as F
 from yearbook.session import checkpoint_dir, temporary
 
 
+#: Parts that a key of a join is dealt to.
+SALTS = 64
 #: Bytes of one batch between Spark and Python workers.
 BATCH_BYTES = "8m"
 
@@ -40,6 +43,39 @@ def drop(spark: SparkSession, path: str) -> None:
     target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
 
 
+class Scratch:
+    """Tables that are stored for a while and dropped together."""
+
+    def __init__(self, spark: SparkSession) -> None:
+        self.spark, self.paths = spark, []
+
+    def store(self, df: DataFrame, name: str, codec: str = "zstd") -> DataFrame:
+        df, path = written(df, name, codec)
+        self.paths.append(path)
+        return df
+
+    def drop(self) -> None:
+        for path in self.paths:
+            drop(self.spark, path)
+        self.paths = []
+
+
+def kept(df: DataFrame, name: str, codec: str = "zstd") -> DataFrame:
+    """``df`` stored until the application ends."""
+    return written(df, name, codec)[0]
+
+
+def attach(rows: DataFrame, table: DataFrame, keys: Sequence[str], salt: Sequence[str]) -> DataFrame:
+    """``rows`` with the columns of ``table``, which has one row for each key.
+
+    The keys that occur are first joined with the table, once for each of ``SALTS`` parts of
+    a key's rows; rows then meet their part. So no key's rows are all in one task.
+    """
+    dealt = rows.withColumn("salt", F.pmod(F.xxhash64(*salt), F.lit(SALTS)))
+    parts = dealt.select(*keys, "salt").distinct().join(table, list(keys))
+    return dealt.join(parts, [*keys, "salt"]).drop("salt")
+
+
 def bit_filter(keys: DataFrame, column: str, bits: int = 1 << 25) -> np.ndarray:
     """Which places of a table of ``bits`` the hashes in ``column`` (bigint) take.
 

@@ -26,7 +26,7 @@ from typing import NamedTuple
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from yearbook.llm.tables import written
+from yearbook.llm.tables import attach, written
 
 #: Levels of a tree; the last one takes the rest of a path as one segment.
 DEPTH = 8
@@ -36,8 +36,6 @@ FANOUT = 16
 BOUND = 1.3581
 #: Pseudo-URLs of each smoothing, and the smoothed purity from which a template is blocked.
 WEIGHT, REJECT = 2.0, 0.75
-#: Parts that a key of a join is dealt to.
-SALTS = 64
 #: A template with more than one in so many URLs is joined by broadcast: at most as many rows.
 HOT = 512
 
@@ -74,17 +72,6 @@ def fitting(rules: Sequence[Rule], host: Column, path: Column, pick: str) -> Col
     return found
 
 
-def attach(rows: DataFrame, table: DataFrame, keys: Sequence[str], salt: Sequence[str]) -> DataFrame:
-    """``rows`` with the columns of ``table``, which has one row for each key.
-
-    The keys that occur are first joined with the table, once for each of ``SALTS`` parts of
-    a key's rows; rows then meet their part. So no key's rows are all in one task.
-    """
-    dealt = rows.withColumn("salt", F.pmod(F.xxhash64(*salt), F.lit(SALTS)))
-    parts = dealt.select(*keys, "salt").distinct().join(table, list(keys))
-    return dealt.join(parts, [*keys, "salt"]).drop("salt")
-
-
 def _differ(a: str, of_a: str, b: str, of_b: str) -> Column:
     """Whether the shares a / of_a and b / of_b are further apart than chance explains."""
     na, nb = (F.greatest(F.col(c), F.lit(1)) for c in (of_a, of_b))
