@@ -9,6 +9,7 @@ from collections import defaultdict
 import pytest
 from tests.llm.cases import documents, empty, rows
 
+from yearbook.llm import sharding
 from yearbook.llm.sharding import best_fit_decreasing, fewest_bytes, shard
 
 
@@ -69,5 +70,38 @@ def test_groups_stay_whole_and_sizes_near(spark):
     few = shard(frame, shards=None, capacity=50_000).collect()
     check(few, list(enumerate(texts)))
     assert len({r.shard for r in few}) <= sum(size.values()) / 50_000 * 1.05 + 1
-    with pytest.raises(ValueError):
+    with pytest.raises(ValueError):  # a row of 45 bytes
         shard(frame, shards=None, capacity=20).collect()
+
+
+def test_small_shards_are_packed_group_by_group(spark):
+    texts = [f"{i:05} " * r for i, r in enumerate(random.Random(3).choices([13, 15, 16, 17, 18], k=20_000))]  # 79 to 109 bytes
+    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string").repartition(5)
+    for capacity in (150, 1200):
+        got = shard(frame, shards=None, capacity=capacity).collect()
+        check(got, list(enumerate(texts)))
+        size = defaultdict(int)
+        for r in got:
+            size[r.shard] += r.size
+        assert max(size.values()) <= capacity and sorted(size) == list(range(len(size)))
+        assert len(size) == best_fit_decreasing([len(t) + 1 for t in texts], capacity)[1]
+
+
+@pytest.mark.parametrize("most", [{"shards": 40}, {"shards": None, "capacity": 3000}])
+def test_ranges_of_shards(spark, monkeypatch, most):
+    monkeypatch.setattr(sharding, "DRIVER_ITEMS", 100)
+    monkeypatch.setattr(sharding, "RANGE_ITEMS", 500)
+    texts = [f"text {i} " * (1 + i % 9) for i in range(3000)] + ["copy me"] * 600
+    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string").repartition(5)
+    got = shard(frame, **most).collect()
+    check(got, list(enumerate(texts)), most["shards"])
+    size, where = defaultdict(int), defaultdict(set)
+    for r in got:
+        size[r.shard] += r.size
+        where[texts[r.doc_id]].add(r.shard)
+    total = sum(size.values())
+    if most["shards"]:
+        assert len(size) == 40 and max(size.values()) < 1.3 * total / 40
+    else:
+        assert max(size.values()) <= 3000 and len(size) <= total / 3000 * 1.05 + 8
+    assert all(len(s) == 1 for t, s in where.items() if t != "copy me")

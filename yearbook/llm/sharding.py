@@ -1,23 +1,31 @@
 """Sharding: best-fit-decreasing packing of whole groups into shards of one capacity.
 
-Groups of equal keys stay together. Large groups are items of their own; small ones ride
-in bundles, whole groups that share a hash. So the packing works on a bounded number of
-items (``ITEMS`` bundles, and at most ``ITEMS`` groups over a bundle's fair size),
-whatever the corpus holds. A group over a shard's capacity fits no shard and is cut into
-the fewest pieces that do.
+Groups of equal keys stay together. Groups over one ``FINE``-th of a shard are items of
+their own; smaller ones ride in bundles of about that size, whole groups that share a hash,
+so a shard has some hundred items at least to choose from, and where shards are so small that
+there is nothing to bundle, every group is an item. A bundle that came out larger than a shard is
+taken apart again. So any set of groups that fit shards is packed. A group over a shard's
+capacity fits no shard and is cut into the fewest pieces that do.
+
+Up to ``DRIVER_ITEMS`` items are packed in one place. More are first dealt by hash to
+ranges of about ``RANGE_ITEMS`` items, and each range is packed into shards of its own in a task;
+what that can cost is one shard not full for each range.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
+import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from yearbook.llm.tables import written
+from yearbook.llm.tables import attach, written
 
-#: Bundles of small groups; also how fine groups count as large.
-ITEMS = 8192
+#: Items of a shard, about: small groups are bundled up to this share of it.
+FINE = 512
+#: Items that are packed on the driver, and in one task where there are more.
+DRIVER_ITEMS, RANGE_ITEMS = 200_000, 50_000
 
 
 class Capacities:
@@ -118,7 +126,8 @@ def shard(docs: DataFrame, shards: int | None = 16, capacity: int | None = None,
     shards of that many bytes. ``slot`` numbers a shard's rows from 0 without gaps.
 
     Null and empty texts have size 1 and are one group; repeated rows each have a slot; an
-    empty table gives no rows; other columns are not read. Texts are read once and never
+    empty table gives no rows; other columns are not read. With ``capacity``, a row over it
+    fits no shard and is an error. Texts are read once and never
     shuffled: the groups are counted by a digest, with partial sums, so a group of any
     number of rows is no burden to one task.
     """
@@ -130,29 +139,65 @@ def shard(docs: DataFrame, shards: int | None = 16, capacity: int | None = None,
         F.unhex(F.md5(text)).alias("digest"), F.monotonically_increasing_id().alias("row"),
     )
     rows, _ = written(measured, "shard-rows")
-    groups = rows.groupBy("digest", "size").agg(F.count("*").alias("n"))
     total = rows.agg(F.sum("size").alias("total")).first()["total"] or 0
     room = capacity or max(1, -(-total // shards))
-    large = max(1, total // ITEMS)
-    whole = F.col("n") * F.col("size")
-    named, _ = written(groups.where((whole > large) | (whole > room)).select("digest", "size", (whole > room).alias("over")), "shard-large")
-    if named.count() > ITEMS + total // room:  # each has more than one of the two bounds
-        raise AssertionError("more large groups than the total allows")
-    known = rows.join(F.broadcast(named), ["digest", "size"], "left")
-    bundle = F.concat(F.lit("b"), F.pmod(F.xxhash64("digest"), F.lit(ITEMS)).cast("string"))
-    fitting = known.where(~F.coalesce("over", F.lit(False)))
-    fitting = fitting.withColumn("item", F.when(F.col("over").isNull(), bundle).otherwise(F.concat(F.lit("g"), F.hex("digest"))))
+    items_of = _items(rows, total, room)
+    sizes, _ = written(items_of.groupBy("item").agg(F.sum("size").alias("size")), "shard-sizes")
+    if sizes.count() <= DRIVER_ITEMS:
+        found = sizes.orderBy("item").toPandas()
+        each = [int(x) for x in found["size"]]
+        bins = fewest_bytes(each, shards) if shards else best_fit_decreasing(each, capacity)[0]
+        places = rows.sparkSession.createDataFrame(list(zip(found["item"].tolist(), bins, strict=True)), "item string, shard int")
+        placed = items_of.join(F.broadcast(places), "item")
+    else:
+        placed = attach(items_of, _by_ranges(sizes, total, shards, capacity), ["item"], ["row"])
+    return _numbered(placed.select("id", "size", "text_crc32", "row", "shard"), "shard").select(F.col("id").alias(id_col), "size", "text_crc32", "shard", "slot")
+
+
+def _items(rows: DataFrame, total: int, room: int) -> DataFrame:
+    """Stored ``(id, size, text_crc32, row, item)``: which item each row belongs to."""
+    fine = room // FINE
+    bundles = max(1, total // max(1, fine))
+    groups, _ = written(rows.groupBy("digest", "size").agg(F.count("*").alias("n")).withColumn("whole", F.col("n") * F.col("size")), "shard-groups")
+    own = F.concat(F.lit("g"), F.hex("digest"), F.lit("-"), F.col("size").cast("string"))
+    bundle = F.pmod(F.xxhash64("digest"), F.lit(bundles))
+    small = groups.where(F.col("whole") <= fine).withColumn("bundle", bundle)
+    # hardly ever: groups of a bundle that is larger than a shard are items of their own
+    heavy = small.groupBy("bundle").agg(F.sum("whole").alias("bundled")).where(F.col("bundled") > room).select("bundle", F.lit(True).alias("heavy"))
+    rides = small.join(heavy, "bundle", "left").withColumn("item", F.when(F.col("heavy"), own).otherwise(F.concat(F.lit("b"), F.col("bundle").cast("string"))))
+    alone = groups.where(F.col("whole") > fine).withColumn("item", own)
+    named = rides.select("digest", "size", "item", F.lit(False).alias("over")).unionByName(alone.select("digest", "size", "item", (F.col("whole") > room).alias("over")))
+    known = attach(rows, named, ["digest", "size"], ["row"])
+    columns = ["id", "size", "text_crc32", "row", "item"]
     # a group that no shard can hold: its rows are numbered, so many rows make a piece
     cut = _numbered(known.where("over"), "digest").withColumn("piece", F.floor(F.col("slot") / F.greatest(F.lit(1), F.floor(F.lit(room) / F.col("size")))))
-    cut = cut.withColumn("item", F.concat_ws("-", F.lit("p"), F.hex("digest"), F.col("piece").cast("string")))
-    columns = ["id", "size", "text_crc32", "row", "item"]
-    items_of, _ = written(fitting.select(*columns).unionByName(cut.select(*columns)), "shard-items")
-    items = items_of.groupBy("item").agg(F.sum("size").alias("size")).orderBy("item").toPandas()  # 3 * ITEMS rows or so
-    sizes = [int(x) for x in items["size"]]
-    bins = fewest_bytes(sizes, shards) if shards else best_fit_decreasing(sizes, capacity)[0]
-    places = rows.sparkSession.createDataFrame(list(zip(items["item"].tolist(), bins, strict=True)), "item string, shard int")
-    placed = items_of.join(F.broadcast(places), "item").select("id", "size", "text_crc32", "row", "shard")
-    return _numbered(placed, "shard").select(F.col("id").alias(id_col), "size", "text_crc32", "shard", "slot")
+    cut = cut.withColumn("item", F.concat_ws("-", "item", F.col("piece").cast("string")))
+    return written(known.where("not over").select(*columns).unionByName(cut.select(*columns)), "shard-items")[0]
+
+
+def _by_ranges(sizes: DataFrame, total: int, shards: int | None, capacity: int | None) -> DataFrame:
+    """Stored ``(item, shard)``: items dealt to ranges by hash, each range packed by a task into
+    shards of its own. Given ``shards``, a range gets its part of them."""
+    ranges = -(-sizes.count() // RANGE_ITEMS)
+    if shards:
+        ranges = min(ranges, shards)
+
+    def packed(items: pd.DataFrame) -> pd.DataFrame:
+        items = items.sort_values("item")
+        each = [int(x) for x in items["size"]]
+        r = int(items["range"].iloc[0])
+        own = (r + 1) * shards // ranges - r * shards // ranges if shards else None
+        bins = fewest_bytes(each, own) if shards else best_fit_decreasing(each, capacity)[0]
+        return pd.DataFrame({"item": items["item"], "range": items["range"], "bin": bins})
+
+    dealt = sizes.withColumn("range", F.pmod(F.xxhash64("item"), F.lit(ranges)).cast("int"))
+    found, _ = written(dealt.groupBy("range").applyInPandas(packed, "item string, range int, bin int"), "shard-bins")
+    if shards:
+        first = F.floor(F.col("range") * F.lit(shards) / F.lit(ranges))
+        return found.select("item", (first + F.col("bin")).cast("int").alias("shard"))
+    before = Window.orderBy("range").rowsBetween(Window.unboundedPreceding, -1)  # a row for each range
+    used = found.groupBy("range").agg((F.max("bin") + 1).alias("used")).select("range", F.coalesce(F.sum("used").over(before), F.lit(0)).alias("first"))
+    return found.join(F.broadcast(used), "range").select("item", (F.col("first") + F.col("bin")).cast("int").alias("shard"))
 
 
 def _numbered(rows: DataFrame, by: str) -> DataFrame:
