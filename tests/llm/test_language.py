@@ -7,7 +7,7 @@ import random
 import numpy as np
 from tests.llm.cases import documents, empty
 
-from yearbook.llm.language import fit_rows, languages
+from yearbook.llm.language import FIT_BYTES, LANDMARKS, RIDGE, fit_rows, languages
 
 SYLLABLES = {
     "aa": ["ka", "to", "mi", "ra", "shi", "ne", "u"], "bb": ["tsch", "ein", "ung", "äch", "ver", "heit", "keit"],
@@ -58,3 +58,51 @@ def test_awkward_rows(spark):
     assert languages(empty(spark)).collect() == []
     bare = documents(spark).drop("lang").selectExpr("*", "cast(null as string) lang")
     assert {r.lang_pred for r in languages(bare).collect()} == {"und"}
+
+
+def plain_kernel_ridge(texts, labels, alphabet):
+    """Scores of the rows by the definition: kernels with the landmarks, the square root of
+    their inverse, and weighted least squares for each language."""
+    sets = [set(alphabet.grams(t).tolist()) for t in texts]
+    names = sorted(set(labels))
+    marks = [i for g in names for i in [j for j, x in enumerate(labels) if x == g][:LANDMARKS]]
+    k = np.array([[len(a & sets[m]) / np.sqrt(len(a) * len(sets[m])) for m in marks] for a in sets])
+    values, vectors = np.linalg.eigh(k[marks])
+    z = k @ vectors @ np.diag(1 / np.sqrt(np.maximum(values, 1e-6))) @ vectors.T
+    out = []
+    for g in names:
+        y = np.array([1.0 if x == g else -1.0 for x in labels])
+        w = np.where(y > 0, 0.5 / (y > 0).mean(), 0.5 / (y < 0).mean())
+        x = np.c_[z, np.ones(len(z))]
+        rows_, side = np.sqrt(w)[:, None] * x, np.sqrt(w) * y
+        penalty = np.sqrt(RIDGE * len(y)) * np.eye(x.shape[1])
+        penalty[-1, -1] = np.sqrt(1e-9)
+        solved, *_ = np.linalg.lstsq(np.r_[rows_, penalty], np.r_[side, np.zeros(x.shape[1])], rcond=None)
+        out.append(x @ solved)
+    return np.stack(out, 1)
+
+
+def test_fit_is_kernel_ridge_regression():
+    texts, labels = zip(*[(t, g) for _, t, g in rows()[:200] if g], strict=True)
+    model = fit_rows(list(texts), list(labels))
+    want = plain_kernel_ridge(texts, labels, model.alphabet)
+    assert np.allclose(model.scores(list(texts)), want, atol=2e-3)
+    assert (model.scores(list(texts)).argmax(axis=1) == want.argmax(axis=1)).all()
+
+
+def test_every_language_is_learned(spark):
+    """Seventy languages, some rare, one of long texts only."""
+    r, out = random.Random(9), []
+    syllables = {f"l{k:02}": ["".join(r.choices("abcdefghijklmnopqrstuvwxyz", k=3)) for _ in range(5)] for k in range(70)}
+    for i in range(2400):
+        lang = f"l{i % 70:02}" if i < 1400 else r.choice([f"l{k:02}" for k in range(20)])
+        words = 9000 if lang == "l66" else 40
+        if lang == "l66" and i > 700:
+            continue
+        out.append((i, " ".join("".join(r.choices(syllables[lang], k=2)) for _ in range(words)), lang))
+    frame = spark.createDataFrame(out, "doc_id bigint, text string, lang string").repartition(4)
+    assert min(len(t) for _, t, g in out if g == "l66") > FIT_BYTES
+    got = {x.doc_id: x for x in languages(frame).collect()}
+    assert {x.lang_pred for x in got.values()} == set(syllables)
+    held = [(g, got[i].lang_pred) for i, _, g in out if got[i].held_out]
+    assert sum(a == b for a, b in held) > 0.95 * len(held)

@@ -22,12 +22,14 @@ from pyspark.sql import functions as F
 from yearbook.llm.columns import passes, texts_of
 from yearbook.llm.tables import written
 
-#: Labelled rows of each language that the fit uses, those of least hash, and the
-#: longest text among them, in bytes; bounds of the fit only.
-FIT_ROWS, FIT_BYTES = 500, 20_000
-#: Languages that are learned, the most frequent ones.
-FIT_LANGUAGES = 64
-LANDMARKS = 64
+#: Labelled rows of one language that the fit uses at most, those of least hash, and of all
+#: languages together; with many languages each has its part of them, ``LEAST_ROWS`` at least.
+FIT_ROWS, ALL_ROWS, LEAST_ROWS = 500, 8000, 4
+#: The longest text among them, in bytes; a language without a shorter one is learned from its
+#: shortest texts.
+FIT_BYTES = 20_000
+#: Landmarks of one language, and of all together; each has one at least.
+LANDMARKS, ALL_LANDMARKS = 64, 1024
 RIDGE = 1e-3
 #: Characters with a code of their own; all others share ``OTHERS`` codes.
 ALPHABET, OTHERS = 96, 16
@@ -95,12 +97,16 @@ class Classifier:
 def fit_rows(texts: list[str], labels: list[str]) -> Classifier:
     """Landmarks, Nystroem features and kernel ridge regression, on the given rows."""
     languages = sorted(set(labels))
+    landmarks = max(1, min(LANDMARKS, ALL_LANDMARKS // len(languages)))
     characters = np.frombuffer("".join(texts).lower().encode("utf-32-le", "surrogatepass"), np.uint32)
     points, counts = np.unique(characters, return_counts=True)
     letters = np.array([chr(p).isalpha() for p in points], bool)
     points, counts = points[letters], counts[letters]
     alphabet = Alphabet(points[np.lexsort((points, -counts))[:ALPHABET]])
-    chosen = [i for g in languages for i in [j for j, x in enumerate(labels) if x == g][:LANDMARKS]]
+    rows_of: dict[str, list[int]] = {g: [] for g in languages}
+    for i, g in enumerate(labels):
+        rows_of[g].append(i)
+    chosen = [i for g in languages for i in rows_of[g][:landmarks]]
     sets = [alphabet.grams(t) for t in texts]
     known = np.unique(np.concatenate([sets[i] for i in chosen]))
     place = np.zeros(alphabet.size + alphabet.size**2 + alphabet.size**3, np.int32)
@@ -116,14 +122,19 @@ def fit_rows(texts: list[str], labels: list[str]) -> Classifier:
     values, vectors = np.linalg.eigh(kernel[chosen])
     root = vectors / np.sqrt(np.maximum(values, 1e-6)) @ vectors.T
     features = kernel @ root
-    target = np.where(np.array(labels)[:, None] == np.array(languages)[None, :], 1.0, -1.0)
-    share = (target > 0).mean(axis=0)  # each side of a language weighs the same
+    # Each side of a language weighs the same, so its normal matrix is that of all rows and that
+    # of its own rows, each times a weight.
+    x = np.c_[features, np.ones(len(features))]
+    ridge = RIDGE * len(texts) * np.diag([*np.ones(features.shape[1]), 0.0]) + 1e-9 * np.eye(x.shape[1])
+    all_, sums = x.T @ x, x.sum(axis=0)
     weights, constants = [], []
-    for k in range(len(languages)):
-        w = np.where(target[:, k] > 0, 0.5 / share[k], 0.5 / max(1 - share[k], 1e-9)) if 0 < share[k] < 1 else np.ones(len(texts))
-        x = np.c_[features, np.ones(len(features))]
-        g = x.T @ (x * w[:, None]) + RIDGE * len(texts) * np.diag([*np.ones(features.shape[1]), 0.0]) + 1e-9 * np.eye(x.shape[1])
-        solved = np.linalg.solve(g, x.T @ (w * target[:, k]))
+    for g in languages:
+        own = x[rows_of[g]]
+        share = len(own) / len(x)
+        inside, outside = (0.5 / share, 0.5 / (1 - share)) if share < 1 else (1.0, 1.0)
+        squares, ones = own.T @ own, own.sum(axis=0)
+        normal = inside * squares + outside * (all_ - squares) + ridge
+        solved = np.linalg.solve(normal, inside * ones - outside * (sums - ones))
         weights.append(root @ solved[:-1])
         constants.append(solved[-1])
     folded = (presence / norms[chosen][:, None]).T @ np.stack(weights, 1)
@@ -135,21 +146,27 @@ def fold(id_col: str) -> Column:
 
 
 def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> Classifier | None:
-    """A classifier from at most ``FIT_ROWS`` rows of each of ``FIT_LANGUAGES`` languages,
-    outside the held-out fold; None where no row is labelled. The different texts of each
-    language are counted over all rows; only rows under a hash bound, a little more than
-    are used, are moved."""
-    rows = docs.where(F.col(lang_col).isNotNull() & (fold(id_col) != 0) & (F.octet_length(text_col) <= FIT_BYTES) & F.col(text_col).rlike(r"\p{L}"))
-    rows = rows.select(F.col(lang_col).cast("string").alias("lang"), F.col(text_col).alias("text"), F.pmod(F.xxhash64(text_col), F.lit(1 << 40)).alias("h"))
-    counts = rows.groupBy("lang").agg(F.approx_count_distinct("h").alias("n")).orderBy(F.desc("n"), "lang").limit(FIT_LANGUAGES).collect()
-    if not counts:
+    """A classifier of every language that a row outside the held-out fold is labelled with;
+    None where none is. The different texts of each language are counted over all rows;
+    only rows under a hash bound, a little more than are used, are moved."""
+    rows = docs.where(F.col(lang_col).isNotNull() & (fold(id_col) != 0) & F.col(text_col).rlike(r"\p{L}"))
+    rows = rows.select(
+        F.col(lang_col).cast("string").alias("lang"), F.col(text_col).alias("text"),
+        F.octet_length(text_col).alias("bytes"), F.pmod(F.xxhash64(text_col), F.lit(1 << 40)).alias("h"),
+    )
+    short = F.col("bytes") <= FIT_BYTES
+    counts = rows.groupBy("lang").agg(F.approx_count_distinct(F.when(short, F.col("h"))).alias("n"), F.min("bytes").alias("least"))
+    counts, _ = written(counts, "language-counts")  # a row for each language
+    number = counts.count()
+    if not number:
         return None
-    bound = F.lit(None)
-    for r in counts:
-        bound = F.when(F.col("lang") == r.lang, min(1 << 40, int((1 << 40) * 2.0 * FIT_ROWS / r.n))).otherwise(bound)
-    near, _ = written(rows.where(F.col("h") < bound).dropDuplicates(["lang", "h"]), "language-rows")
+    most = max(LEAST_ROWS, min(FIT_ROWS, ALL_ROWS // number))
+    bound = F.when(F.col("n") > 0, F.least(F.lit(1 << 40), F.floor(F.lit((1 << 40) * 2.0 * most) / F.col("n"))))
+    wanted = rows.join(F.broadcast(counts.select("lang", "least", bound.alias("bound"))), "lang")
+    near = wanted.where(F.when(F.col("bound").isNull(), F.col("bytes") == F.col("least")).otherwise(short & (F.col("h") < F.col("bound"))))
+    near, _ = written(near.select("lang", "text", "h").dropDuplicates(["lang", "h"]), "language-rows")
     first = Window.partitionBy("lang").orderBy("h", "text")
-    sample = near.withColumn("nth", F.row_number().over(first)).where(F.col("nth") <= FIT_ROWS).orderBy("lang", "nth").select("lang", "text").collect()
+    sample = near.withColumn("nth", F.row_number().over(first)).where(F.col("nth") <= most).orderBy("lang", "nth").select("lang", "text").collect()
     return fit_rows([r.text for r in sample], [r.lang for r in sample])
 
 
