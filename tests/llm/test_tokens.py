@@ -12,7 +12,7 @@ from tests.llm.cases import documents, empty, key, rows
 from tokenizers import Tokenizer
 
 from yearbook.llm.packing import pack, sequences
-from yearbook.llm.pieces import PieceEncoder
+from yearbook.llm.pieces import PieceEncoder, WholeEncoder, cuts_are_safe, encoder
 from yearbook.llm.tokencount import token_counts
 
 WORD, BYTE = public_tokenizers.path("word_bpe_49k.json"), public_tokenizers.path("byte_bpe_50k.json")
@@ -70,3 +70,46 @@ def test_pack_cuts_one_stream(spark):
     assert sorted(found) == want and not held
     assert {r.sequence_id: len(r.ids) // 4 for r in sequences(pieces).collect()} == {s: sum(n for _, n in p) for s, p in by_sequence.items()}
     assert pack(empty(spark), WORD).collect() == []
+
+
+def other_files(folder):
+    """Tokenizer files whose texts can't be cut as BPE's can."""
+    from tokenizers import AddedToken, decoders, models, normalizers, pre_tokenizers
+
+    vocab = [("<unk>", 0.0), ("\u2581", -2.0), ("\u2581the", -3.0), ("th", -4.0), ("e", -4.0), ("\u2581house", -5.0), (",", -3.0), ("\u2581of\u2581", -2.5), ("h", -6.0), ("o", -6.0), ("u", -6.0), ("s", -6.0)]
+    unigram = Tokenizer(models.Unigram(vocab, unk_id=0))
+    unigram.pre_tokenizer, unigram.decoder = pre_tokenizers.Metaspace(split=False), decoders.Metaspace()
+    letters = {c: i for i, c in enumerate(["[UNK]", *map(chr, range(97, 123)), *("##" + chr(c) for c in range(97, 123)), "the", "##ou"])}
+    pieces = Tokenizer(models.WordPiece(letters, unk_token="[UNK]"))
+    pieces.normalizer, pieces.pre_tokenizer = normalizers.Lowercase(), pre_tokenizers.BertPreTokenizer()
+    spaced = Tokenizer.from_file(BYTE)
+    spaced.add_tokens([AddedToken("the house", normalized=False)])
+    grabbing = Tokenizer.from_file(BYTE)
+    grabbing.add_special_tokens([AddedToken("<x>", lstrip=True)])
+    out = []
+    for name, tokenizer in (("unigram", unigram), ("wordpiece", pieces), ("spaced", spaced), ("grabbing", grabbing)):
+        out.append(f"{folder}/{name}.json")
+        tokenizer.save(out[-1])
+    return out
+
+
+def test_other_kinds_are_encoded_whole(tmp_path):
+    texts = [r[1] or "" for r in rows()] + ["the house of the house, the", " the  house <x> of"]
+    for path in other_files(tmp_path):
+        assert not cuts_are_safe(path)
+        whole = Tokenizer.from_file(path)
+        counts, ids = encoder(path)(pa.array(texts, pa.large_string()))
+        want = [whole.encode(t, add_special_tokens=False).ids for t in texts]
+        assert counts.tolist() == list(map(len, want)) and ids.tolist() == [i for w in want for i in w]
+    assert cuts_are_safe(WORD) and cuts_are_safe(BYTE)
+
+
+def test_sentencepiece_files(spark):
+    import sentencepiece
+
+    path = public_tokenizers.path("piece_bpe_32k.model")
+    library = sentencepiece.SentencePieceProcessor(model_file=path)
+    got = token_counts(documents(spark).repartition(3), path)
+    want = [(d, len((t or "").encode()), len(library.encode(t or "")), len(library.encode(t or "")) > 2048) for d, t, *_ in rows()]
+    assert sorted(map(tuple, got.collect()), key=key) == sorted(want, key=key)
+    assert WholeEncoder(path, batch_chars=50)(pa.array(["a b", "", "c"] * 30, pa.large_string()))[0].tolist() == [len(library.encode(t)) for t in ["a b", "", "c"] * 30]

@@ -6,11 +6,15 @@ and between an ASCII letter and a stop. Byte-level BPE and lower-casing BPE with
 both split there before any merge, the special tokens hold no such place (checked), and
 Unicode normalisation composes nothing with it. So
 the ids of a text are the ids of its pieces, one after the other, however long it is.
+
+Other tokenizers (other models, other splitting, special tokens that a cut could part,
+SentencePiece files) encode whole texts with their library.
 """
 
 from __future__ import annotations
 
 import functools
+import json
 import os
 from array import array
 from collections.abc import Iterable, Iterator
@@ -79,9 +83,6 @@ class PieceEncoder:
         self.encoder = Tokenizer.from_file(path)
         self.encoder.no_truncation()
         self.encoder.no_padding()
-        for token in self.encoder.get_added_tokens_decoder().values():
-            if token.lstrip or token.rstrip or token.content.isalpha() or set(token.content.encode()) & set(_SPACES + _STOPS):
-                raise ValueError(f"texts can't be cut safely beside the special token {token.content!r}")
         self.most_kept, self.batch_chars = most_kept, batch_chars
         self.kept, self.old = _Kept(), _Kept()
         self.letters: dict[int, str | None] = {}  # what the pre-tokenizer makes of a letter
@@ -159,7 +160,92 @@ class PieceEncoder:
         return totals, np.array(self.kept.ids, np.uint32)[place]
 
 
+def _types(part: dict | list | None) -> set[str]:
+    """The types named anywhere in a part of a tokenizer file."""
+    if isinstance(part, list):
+        return set().union(*map(_types, part)) if part else set()
+    if not isinstance(part, dict):
+        return set()
+    return ({part["type"]} if isinstance(part.get("type"), str) else set()).union(*map(_types, part.values()))
+
+
+# What is known to split before white space and stops, and not to reach across them.
+_SPLITTERS = {"Sequence", "Split", "ByteLevel"}
+_NORMALISERS = {"Sequence", "NFC", "NFD", "NFKC", "NFKD", "Lowercase", "Replace"}
+_SAMPLE = "ab Cd, ef.\ngh\tij; kl  mn! op? qr: st"
+
+
+def cuts_are_safe(path: str) -> bool:
+    """Whether texts may be encoded in pieces with this file: BPE without chance, known
+    stages, every cut of a sample a split of the pre-tokenizer, and no special token that a cut
+    could part or whose surroundings it takes."""
+    from tokenizers import Tokenizer
+
+    with open(path, encoding="utf-8") as file:
+        parts = json.load(file)
+    model = parts["model"]
+    if model.get("type", "BPE") != "BPE" or "merges" not in model or model.get("dropout"):
+        return False
+    if not parts.get("pre_tokenizer") or not _types(parts["pre_tokenizer"]) <= _SPLITTERS or not _types(parts.get("normalizer")) <= _NORMALISERS:
+        return False
+    tokenizer = Tokenizer.from_file(path)
+    for token in tokenizer.get_added_tokens_decoder().values():
+        if token.lstrip or token.rstrip or token.content.isalpha() or set(token.content.encode()) & set(_SPACES + _STOPS):
+            return False
+    data = np.frombuffer(_SAMPLE.encode(), np.uint8)
+    at = cuts(data, np.array([0, len(data)]))
+    pieces = [_SAMPLE[a:b] for a, b in zip(at, [*at[1:], len(_SAMPLE)], strict=True)]
+
+    def split(text: str) -> list[str]:
+        normal = tokenizer.normalizer.normalize_str(text) if tokenizer.normalizer else text
+        return [part for part, _ in tokenizer.pre_tokenizer.pre_tokenize_str(normal)]
+
+    return split(_SAMPLE) == [part for piece in pieces for part in split(piece)]
+
+
+class WholeEncoder:
+    """Whole texts through the library, ``batch_chars`` of them in a call."""
+
+    def __init__(self, path: str, batch_chars: int = 1 << 20):
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
+        self.batch_chars = batch_chars
+        if path.endswith(".model"):
+            import sentencepiece
+
+            processor = sentencepiece.SentencePieceProcessor(model_file=path)
+            self.encode = lambda texts: processor.encode(texts, num_threads=1)
+        else:
+            from tokenizers import Tokenizer
+
+            tokenizer = Tokenizer.from_file(path)
+            tokenizer.no_truncation()
+            tokenizer.no_padding()
+            self.encode = lambda texts: [e.ids for e in tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def __call__(self, texts: pa.Array, with_ids: bool = True) -> tuple[np.ndarray, np.ndarray]:
+        """As ``PieceEncoder``."""
+        counts, ids, batch, size = [], [], [], 0
+
+        def flush() -> None:
+            for own in self.encode(batch):
+                counts.append(len(own))
+                if with_ids:
+                    ids.append(np.array(own, np.uint32))
+            batch.clear()
+
+        for text in texts.to_pylist():
+            if batch and size + len(text) > self.batch_chars:
+                flush()
+                size = 0
+            batch.append(text)
+            size += len(text)
+        if batch:
+            flush()
+        return np.array(counts, np.int64), np.concatenate(ids) if ids else np.zeros(0, np.uint32)
+
+
 @functools.lru_cache(maxsize=2)
-def encoder(path: str) -> PieceEncoder:
-    """One encoder for each file and Python worker."""
-    return PieceEncoder(path)
+def encoder(path: str) -> PieceEncoder | WholeEncoder:
+    """One encoder for each file and Python worker: in pieces where the file allows it.
+    Files of SentencePiece end in ``.model``."""
+    return PieceEncoder(path) if not path.endswith(".model") and cuts_are_safe(path) else WholeEncoder(path)

@@ -19,8 +19,9 @@ PASS_BYTES = 8 << 20
 def token_counts(docs: DataFrame, tokenizer: str, limit: int = 2048, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``(id, n_bytes, n_tokens, over_limit)`` for every row of ``docs``.
 
-    ``tokenizer`` is the path of a byte-level or lower-casing BPE file (pieces.py says
-    which cuts that allows) that every executor has. Counts hold neither begin nor end
+    ``tokenizer`` is the path of a file that every executor has: a ``.json`` of the
+    tokenizers library, or a ``.model`` of SentencePiece. Byte-level and lower-casing BPE is
+    encoded in pieces (``pieces.py``), any other kind whole. Counts hold neither begin nor end
     tokens; special strings inside a text count as the library's default has it.
 
     One narrow job, no shuffle: batches are dealt by bytes of text, long texts are cut at
