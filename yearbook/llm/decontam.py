@@ -132,11 +132,13 @@ def leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_co
     return out.select(F.col("id").alias(id_col), F.col("item").alias(item_col), "n_shared", "n_item", (F.col("n_shared") / F.col("n_item")).alias("containment"))
 
 
-def keep_unleaked(docs: DataFrame, benchmark: DataFrame, text_col: str = "text") -> DataFrame:
+def keep_unleaked(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text") -> DataFrame:
     """The rows of ``docs``, with all columns, that hold no test item. A filter beside the
-    text: no join, and repeated rows are judged each for itself."""
+    text: no join, and repeated rows are judged each for itself. Null, empty and blank
+    texts hold nothing and stay; ties in the threshold go; items without a word are in nothing; of
+    an empty table nothing is left, and against an empty benchmark all stays."""
     place = docs.columns.index(text_col)
-    for index in indexes(benchmark):
+    for index in indexes(benchmark, item_col, item_text_col):
 
         def run(batches: Iterator[pa.RecordBatch], index: Index = index) -> Iterator[pa.RecordBatch]:
             for batch in passes(batches, place):

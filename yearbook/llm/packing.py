@@ -98,7 +98,8 @@ def pack(docs: DataFrame, tokenizer: str, end_id: int = 1, length: int = 2048, i
 
 def sequences(pieces: DataFrame) -> DataFrame:
     """``(sequence_id, ids)``: the pieces put together. A sequence has ``length`` tokens
-    at most, so a group is bounded however many documents there are."""
+    at most, so a group is bounded however many documents there are. Equal pieces have
+    places of their own; without pieces there are no rows."""
     joined = F.array_sort(F.collect_list(F.struct("offset", "ids")))
     grouped = pieces.groupBy("sequence_id").agg(joined.alias("parts"))
     return grouped.select("sequence_id", F.aggregate("parts", F.lit(b""), lambda a, x: F.concat(a, x["ids"])).alias("ids"))

@@ -138,7 +138,8 @@ def keep_clean(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     """The rows of ``docs`` that the rules keep, with all columns.
 
     The verdict is a column beside the text, so no join is needed and repeated rows are
-    judged each for itself.
+    judged each for itself. Null, empty and blank texts have too few words and go; shares
+    that equal a limit stay; an empty table gives an empty one.
     """
 
     def judge(texts: pa.Array) -> pa.Array:
