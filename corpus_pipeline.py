@@ -27,22 +27,22 @@ Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the repetition rules keep."""
+    """Documents that the repetition rules keep. Null, empty and blank texts go; each repeated row is judged for itself; an empty table stays empty."""
     return keep_clean(docs)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of linked ones, that of the smallest id."""
+    """One document of each group of linked ones, that of the smallest id; of equal rows one. Null and blank texts link with nothing and stay; an empty table stays empty."""
     return keep_one(docs)
 
 
 def benchmark_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that hold no item of the table ``benchmark``."""
+    """Documents that hold no item of the table ``benchmark``. Null and blank texts hold none; repeated rows go or stay together; empty tables are taken."""
     return keep_unleaked(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 
 def privacy(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents, personal data and what gives it away masked; ``n_chars`` follows."""
+    """All documents, personal data and what gives it away masked; ``n_chars`` follows. Null texts stay null; repeated rows stay; an empty table stays empty."""
     masked = sanitised(docs)
     if "n_chars" in docs.columns:
         kind = docs.schema["n_chars"].dataType
@@ -51,7 +51,7 @@ def privacy(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pieces of sequences of 2048 tokens, with their token ids."""
+    """Pieces of sequences of 2048 tokens, with their token ids. Null and empty texts are the end id alone; repeated rows are documents of their own; an empty table has no pieces."""
     return pack(docs, public_tokenizers.path(TOKENIZER))
 
 
