@@ -12,6 +12,7 @@ from tests.llm.test_decontam import brute as plain_leaks
 from tests.llm.test_jaccard import brute as plain_components
 from tests.llm.test_jaccard import family
 from tests.llm.test_privacy import plain as plain_spans
+from tests.llm.test_privacy import plain_decisions, plain_terms
 from tests.llm.test_quality import brute as plain_quality
 from tokenizers import Tokenizer
 
@@ -63,9 +64,10 @@ def test_run(spark, tmp_path):
     left = [r for r in left if r[0] not in hit]
     assert hit == {1000} and 20 < len(left) < len(own) - 15
     whole = Tokenizer.from_file(public_tokenizers.path("word_bpe_49k.json"))
-    want = Counter()
+    want, decisions = Counter(), plain_decisions([r[1] for r in left])
+    assert any(plain_terms(r[1], decisions) for r in left)
     for r in left:
-        ids = [*whole.encode(masked(r[1], plain_spans(r[1])), add_special_tokens=False).ids, 1]
+        ids = [*whole.encode(masked(r[1], plain_spans(r[1]) + [*plain_terms(r[1], decisions)]), add_special_tokens=False).ids, 1]
         want[(r[0], len(ids), zlib.crc32(b"".join(i.to_bytes(4, "little") for i in ids)))] += 1
     docs = {}
     for p in sorted(pieces, key=lambda p: (p.doc_id, p.start)):

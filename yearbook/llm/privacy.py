@@ -6,10 +6,12 @@ ones counted, so copies of a document prove nothing. A term discloses an entity
 pointwise mutual information of both over the corpus, comes near to all there is to know,
 the entity's information content::
 
-    PMI(e; t) = log(n(e, t) * N / (n(e) * n(t)))  >=  share * IC(e),  IC(e) = log(N / n(e))
+    PMI(e; t) = log((n(e, t) - d) * N / (n(e) * n(t)))  >=  share * IC(e),  IC(e) = log(N / n(e))
 
 ``n(e)``, ``n(e, t)`` and ``n(t)`` count different texts with the entity, with both, with
-the term, ``N`` all different texts. Such a term is
+the term, ``N`` all different texts; all counts are exact. ``d`` discounts what a few texts
+seem to say: a term that shares one text with an entity and is in no other tells less than one
+that shares many. Such a term is
 removed wherever it stands in a text that holds the entity, or, if it tells less than
 ``REMOVE``, generalised to its shape.
 """
@@ -31,9 +33,8 @@ from yearbook.llm.tables import bit_filter, passes_filter, written
 KINDS = ("email", "ip", "card", "phone")
 #: Words on either side of an entity that are nominated as terms.
 WINDOW = 5
-#: Different texts that a term and an entity must share: in fewer, nothing tells a term that
-#: belongs to the entity from any rare word, and none is masked.
-SUPPORT = 3
+#: Texts that are taken off those which a term and an entity share.
+DISCOUNT = 0.5
 #: Shares of an entity's information content from which a term is generalised, removed.
 GENERALISE, REMOVE = 0.8, 0.95
 
@@ -111,13 +112,13 @@ def contexts(text: str, spans: list[tuple[str, int, int]]) -> Iterator[tuple[int
     inside = sorted((a, b) for _, a, b in spans)
     for kind, start, end in spans:
         left, right, reach = [], [], 64
-        while len(left) < WINDOW:  # a longer stretch only where words are long
+        while len(left) < WINDOW:  # a longer stretch where words are long; its first word may be cut
             low = max(0, start - reach)
             left = [m.span() for m in _WORD.finditer(text, low, start)][1 if low else 0 :]
-            if not low or reach > 4096:
+            if not low:
                 break
             reach *= 4
-        for m in _WORD.finditer(text, end, min(len(text), end + 4096)):
+        for m in _WORD.finditer(text, end):
             right.append(m.span())
             if len(right) == WINDOW:
                 break
@@ -160,10 +161,9 @@ def found_spans(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
 
 
 def _documents_with(docs: DataFrame, text_col: str, candidates: DataFrame) -> DataFrame:
-    """``(term, documents)``: how many different texts of the corpus hold each candidate,
-    by a sketch of their hashes (to 2 %), so that copies count once here as well and a
-    frequent term moves no more than its sketch. Whole texts are read; a bounded filter
-    holds back most other words."""
+    """``(term, documents)``: how many different texts of the corpus hold each candidate.
+    Whole texts are read; a bounded filter holds back most other words. Copies are made one
+    by (term, text), so a frequent term is dealt to many tasks."""
     wanted = bit_filter(candidates, "term")
 
     def learn(words: list[bytes], known: dict[bytes, list[int]]) -> None:
@@ -198,7 +198,7 @@ def _documents_with(docs: DataFrame, text_col: str, candidates: DataFrame) -> Da
             yield pa.RecordBatch.from_arrays([pa.array(own[:, 1]), batch.column(1).take(pa.array(own[:, 0]))], names=["term", "key"])
 
     held = docs.select(F.col(text_col).alias("text"), F.xxhash64(text_col).alias("key")).mapInArrow(run, "term bigint, key bigint")
-    return held.groupBy("term").agg(F.approx_count_distinct("key", 0.02).alias("documents"))
+    return held.distinct().groupBy("term").agg(F.count("*").alias("documents"))
 
 
 def _places(found: DataFrame, docs: DataFrame, text_col: str, candidates: DataFrame, entities: DataFrame) -> DataFrame:
@@ -233,13 +233,12 @@ def disclosing(found: DataFrame, docs: DataFrame, text_col: str = "text") -> tup
     """
     held = found.select("key", F.explode("entities").alias("entity")).distinct()
     each = found.select("key", F.explode("terms").alias("t")).select("key", "t.entity", "t.term")
-    entities = held.groupBy("entity").agg(F.count("*").alias("entity_n")).where(F.col("entity_n") >= SUPPORT)
+    entities = held.groupBy("entity").agg(F.count("*").alias("entity_n"))
     total = F.lit(float(max(found.select("key").distinct().count(), 1)))
     content = F.log(total / F.col("entity_n"))
 
     def told(both: Column, often: Column) -> Column:
-        # a term is in as many texts at least; the sketch may say less
-        pmi = F.log(both * total / (F.col("entity_n") * F.greatest(often, both)))
+        pmi = F.log((both - DISCOUNT) * total / (F.col("entity_n") * F.greatest(often, both)))
         return F.when(content > 0, pmi / content)
 
     # A term is in more texts of the corpus than of those with an entity near it, and with
@@ -248,8 +247,13 @@ def disclosing(found: DataFrame, docs: DataFrame, text_col: str = "text") -> tup
     nominated = each.select("entity", "term").distinct().join(entities, "entity").join(near, "term")
     candidates, _ = written(nominated.where(told(F.col("entity_n"), F.col("near")) >= GENERALISE).drop("near"), "privacy-pairs")
     places = _places(found, docs, text_col, candidates, candidates.select("entity").distinct())
-    pairs = held.join(candidates, "entity", "left_semi").join(places.select("key", "term").distinct(), "key").groupBy("entity", "term").agg(F.count("*").alias("both"))
-    supported, _ = written(candidates.join(pairs, ["entity", "term"]).where((F.col("both") >= SUPPORT) & (told(F.col("both"), F.col("both")) >= GENERALISE)), "privacy-supported")
+    texts = places.select("key", "term").distinct()
+    pairs = held.join(candidates, "entity", "left_semi").join(texts, "key").groupBy("entity", "term").agg(F.count("*").alias("both"))
+    # a term is in more texts of the corpus than of those with an entity: most that tell too
+    # little are known by these, and needn't be counted in the others
+    known = texts.groupBy("term").agg(F.count("*").alias("known"))
+    supported = candidates.join(pairs, ["entity", "term"]).join(known, "term").where(told(F.col("both"), F.greatest("both", "known")) >= GENERALISE)
+    supported, _ = written(supported.drop("known"), "privacy-supported")
     corpus = _documents_with(docs, text_col, supported.select("term").distinct())
     all_ = supported.join(corpus, "term").select("entity", "term", told(F.col("both"), F.col("documents")).alias("told"))
     return written(all_.where(F.col("told") >= GENERALISE), "privacy-terms")[0], places
@@ -308,20 +312,23 @@ def sanitised(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -
     without such terms need none. ``n_chars``, if there, is left as it is.
     """
     spans = sensitive_spans(docs, id_col, text_col)
-    terms = spans.select(F.col("key").alias("__key"), F.filter("spans", lambda s: s["kind"].isin("general", "remove")).alias("__terms"))
-    by_text = terms.where(F.size("__terms") > 0).groupBy("__key").agg(F.first("__terms").alias("__terms"))
-    columns, place = docs.columns, docs.columns.index(text_col)
-    joined = docs.withColumn("__key", F.xxhash64(text_col)).join(by_text, "__key", "left").select(*columns, "__terms")
+    hidden = spans.select(F.col("key").alias("of"), F.filter("spans", lambda s: s["kind"].isin("general", "remove")).alias("terms"))
+    by_text = hidden.where(F.size("terms") > 0).groupBy("of").agg(F.first("terms").alias("terms"))
+    # The caller's row is one struct, so no name of its columns can clash with ours.
+    whole = F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("doc")
+    keyed = docs.select(whole, F.xxhash64(F.col(text_col)).alias("key"))
+    joined = keyed.join(by_text, F.col("key") == F.col("of"), "left").select("doc", "terms", F.col("doc")[text_col].alias("text"))
+    fields, place = [f.name for f in docs.schema.fields], docs.columns.index(text_col)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in passes(batches, place):
+        for batch in passes(batches, 2):
             texts = []
-            for text, terms in zip(batch.column(place).to_pylist(), batch.column(len(columns)).to_pylist(), strict=True):
+            for text, terms in zip(batch.column(2).to_pylist(), batch.column(1).to_pylist(), strict=True):
                 if text:
                     text = masked(text, base_spans(text) + [(t["kind"], t["start"], t["end"]) for t in terms or []])
                 texts.append(text)
-            out = list(batch.columns[:-1])
+            out = batch.column(0).flatten()
             out[place] = pa.array(texts, out[place].type)
-            yield pa.RecordBatch.from_arrays(out, names=columns)
+            yield pa.RecordBatch.from_arrays([pa.StructArray.from_arrays(out, fields)], names=["doc"])
 
-    return joined.mapInArrow(run, docs.schema)
+    return joined.mapInArrow(run, joined.select("doc").schema).select("doc.*")
