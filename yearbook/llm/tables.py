@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import uuid
 from collections.abc import Sequence
 
@@ -58,6 +59,14 @@ class Scratch:
         for path in self.paths:
             drop(self.spark, path)
         self.paths = []
+        release(self.spark)
+
+
+def release(spark: SparkSession) -> None:
+    """Have the shuffle files of finished jobs removed. Spark's cleaner does that when the
+    driver collects garbage, which it asks for by itself every half hour only."""
+    gc.collect()
+    spark._jvm.System.gc()
 
 
 def kept(df: DataFrame, name: str, codec: str = "zstd") -> DataFrame:

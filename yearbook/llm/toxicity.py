@@ -15,7 +15,7 @@ meet the distinct words of the texts by a join.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -26,7 +26,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from yearbook.llm.columns import Words, passes, text_bytes, texts_of, words_of
-from yearbook.llm.tables import bit_filter, drop, passes_filter, written
+from yearbook.llm.tables import Scratch, bit_filter, drop, kept, passes_filter, release, written
 
 #: Bytes of an n-gram, and the orders that the classes share.
 ORDER, SHARED = 8, (7, 5, 3, 1)
@@ -46,6 +46,9 @@ THRESHOLD = 0.3
 
 _U = np.uint64
 
+#: How a function stores a table that it reads more than once: ``kept``, or for a while.
+Store = Callable[[DataFrame, str], DataFrame]
+
 
 def grams_of(words: Words) -> tuple[np.ndarray, np.ndarray]:
     """The n-grams of the distinct words, and where each word's begin."""
@@ -103,7 +106,7 @@ def fold(id_col: str) -> Column:
     return F.crc32(F.col(id_col).cast("string")) % 4
 
 
-def _labelled(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, label_col: str) -> DataFrame:
+def _labelled(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, label_col: str, store: Store = kept) -> DataFrame:
     """Stored ``(text, toxic, fold)`` of rows with a label outside the held-out fold. Texts
     without one are held back by a bounded filter before the shuffle."""
     known = labels.where(F.col(label_col).isNotNull() & (fold(id_col) != 2)).groupBy(F.col(id_col).alias("id")).agg(F.max(label_col).cast("int").alias("toxic"))
@@ -117,10 +120,10 @@ def _labelled(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, la
     rows = docs.where(F.col(id_col).isNotNull()).select(F.col(id_col).alias("id"), F.xxhash64(F.col(id_col)).alias("key"), F.col(text_col).alias("text"))
     kind = rows.schema["id"].dataType.simpleString()
     near = rows.mapInArrow(run, f"id {kind}, key bigint, text string")
-    return written(near.join(known, "id").select("text", "toxic", fold("id").alias("fold")), "toxicity-rows")[0]
+    return store(near.join(known, "id").select("text", "toxic", fold("id").alias("fold")), "toxicity-rows")
 
 
-def _counted(labelled: DataFrame) -> DataFrame:
+def _counted(labelled: DataFrame, store: Store = kept) -> DataFrame:
     """Stored ``(gram, toxic, other)``: how often each n-gram occurs in either class, over
     all rows of the first two folds."""
 
@@ -157,7 +160,7 @@ def _counted(labelled: DataFrame) -> DataFrame:
             yield rows(summed())
 
     counts = labelled.where("fold in (0, 1)").select("text", "toxic").mapInArrow(run, "gram bigint, toxic bigint, other bigint")
-    return written(counts.groupBy("gram").agg(F.sum("toxic").alias("toxic"), F.sum("other").alias("other")), "toxicity-grams")[0]
+    return store(counts.groupBy("gram").agg(F.sum("toxic").alias("toxic"), F.sum("other").alias("other")), "toxicity-grams")
 
 
 _COUNT = np.dtype([("gram", "<u8"), ("toxic", "<i8"), ("other", "<i8")])
@@ -171,12 +174,12 @@ def _context(gram: str) -> Column:
     return F.shiftrightunsigned(gram, 8)
 
 
-def _shared(grams: DataFrame) -> DataFrame:
+def _shared(grams: DataFrame, store: Store = kept) -> DataFrame:
     """``(g, p)``: Kneser-Ney probability of the last byte of each n-gram of the highest
     shared order, by how many longer n-grams end in it, in either class."""
     tables, above = [], grams.select(F.col("gram").alias("g"))
     for n in SHARED:
-        above, _ = written(above.groupBy(_suffix("g", n).alias("g")).agg(F.count("*").alias("c")), f"toxicity-order{n}")
+        above = store(above.groupBy(_suffix("g", n).alias("g")).agg(F.count("*").alias("c")), f"toxicity-order{n}")
         tables.append((n, above))
     p = None
     for n, table in reversed(tables):
@@ -212,9 +215,9 @@ def _back_offs(grams: DataFrame) -> DataFrame:
     return _contexts(grams).select("h", (F.log(_freed("toxic")) - F.log(_freed("other"))).alias("ratio"))
 
 
-def _ratios(grams: DataFrame) -> DataFrame:
+def _ratios(grams: DataFrame, store: Store = kept) -> DataFrame:
     """``(gram, ratio)`` for every n-gram."""
-    all_ = grams.withColumn("h", _context("gram")).withColumn("g", _suffix("gram", SHARED[0])).join(_contexts(grams), "h").join(_shared(grams), "g")
+    all_ = grams.withColumn("h", _context("gram")).withColumn("g", _suffix("gram", SHARED[0])).join(_contexts(grams), "h").join(_shared(grams, store), "g")
 
     def likelihood(c: str) -> Column:
         total = F.greatest(F.col(f"{c}_total"), F.lit(1))
@@ -254,7 +257,7 @@ def _word_keys(vocabulary: pa.Array) -> np.ndarray:
     return np.fromiter(map(xxhash.xxh3_64_intdigest, vocabulary.to_pylist()), _U, len(vocabulary)).view(np.int64)
 
 
-def _vocabulary(docs: DataFrame, text_col: str) -> DataFrame:
+def _vocabulary(docs: DataFrame, text_col: str, store: Store = kept) -> DataFrame:
     """Stored ``(letters, weight)``: the distinct words of all texts, each with a space
     behind it, and how often they occur."""
 
@@ -265,7 +268,7 @@ def _vocabulary(docs: DataFrame, text_col: str) -> DataFrame:
             yield pa.RecordBatch.from_arrays([words.vocabulary.cast(pa.binary()), pa.array(n)], names=["letters", "n"])
 
     counts = docs.select(F.col(text_col).alias("text")).mapInArrow(run, "letters binary, n bigint")
-    return written(counts.groupBy("letters").agg(F.sum("n").cast("double").alias("weight")), "toxicity-words")[0]
+    return store(counts.groupBy("letters").agg(F.sum("n").cast("double").alias("weight")), "toxicity-words")
 
 
 def _word_ratios(vocabulary: DataFrame, ratios: DataFrame, back_offs: DataFrame) -> DataFrame:
@@ -308,6 +311,7 @@ def _word_ratios(vocabulary: DataFrame, ratios: DataFrame, back_offs: DataFrame)
 
     ordered = vocabulary.repartitionByRange("letters").sortWithinPartitions("letters")
     chunked, path = written(ordered.mapInArrow(cut, "chunk bigint, letters binary, weight double"), "toxicity-chunks")
+    release(vocabulary.sparkSession)
     wanted = chunked.select("chunk", "letters").mapInArrow(asked, "chunk bigint, h bigint").distinct()
     part = F.round(F.col("ratio") * PARTS).cast("bigint").alias("part")
     known = ratios.select(_context("gram").alias("h"), F.col("gram").bitwiseAND(F.lit(255)).alias("last"), part)
@@ -316,20 +320,26 @@ def _word_ratios(vocabulary: DataFrame, ratios: DataFrame, back_offs: DataFrame)
     own = chunked.groupBy("chunk").cogroup(answers.groupBy("chunk")).applyInArrow(summed, "word bigint, weight double, own bigint")
     made, _ = written(own, "toxicity-word-ratios")
     drop(vocabulary.sparkSession, path)
+    release(vocabulary.sparkSession)
     return made
 
 
-def features(rows: DataFrame, words: DataFrame) -> DataFrame:
+def most_frequent(words: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """Keys and ratios of the most frequent words, sorted by key; behind them one that is no key."""
+    common = _heaviest(words, COMMON_WORDS).select("word", "own").toArrow()
+    keys, own = common["word"].to_numpy(), common["own"].to_numpy()
+    order = np.argsort(keys)
+    return np.append(keys[order], 0), np.append(own[order], 0)
+
+
+def features(rows: DataFrame, words: DataFrame, common: tuple[np.ndarray, np.ndarray] | None = None, store: Store = kept) -> DataFrame:
     """``rows`` with ``a``, ``b``, ``c`` in place of ``text``: what ``Model.features`` gives.
 
     ``words`` has the ratios of all words; one that is not there says nothing. Tasks count
-    a text's words once. The ratios of the most frequent words are with them; of other
-    words the keys are stored and joined, which are no more than the text has words.
+    a text's words once. The ratios of the most frequent words (``common``) are with them;
+    of other words the keys are stored and joined, which are no more than the text has words.
     """
-    common = _heaviest(words, COMMON_WORDS).select("word", "own").toArrow()
-    keys, own = common["word"].to_numpy(), common["own"].to_numpy()
-    order = np.argsort(keys)
-    keys, own = np.append(keys[order], 0), np.append(own[order], 0)  # never empty; the last is no key
+    keys, own = common or most_frequent(words)
     others = [*(c for c in rows.columns if c != "text"), "row"]
     rare_type = pa.list_(pa.struct([("word", pa.int64()), ("n", pa.int64())]))
 
@@ -356,7 +366,7 @@ def features(rows: DataFrame, words: DataFrame) -> DataFrame:
     numbered = rows.withColumn("row", F.monotonically_increasing_id()).select(*others, "text")
     kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in numbered.select(*others).schema)
     counted = numbered.mapInArrow(run, f"{kinds}, total bigint, size bigint, top array<bigint>, rare array<struct<word: bigint, n: bigint>>")
-    held, _ = written(counted, "toxicity-texts")
+    held = store(counted, "toxicity-texts")
     rare = held.select("row", F.explode("rare").alias("r")).select("row", "r.word", "r.n").join(words.select("word", "own"), "word", "left")
     rare = rare.select("row", "n", F.coalesce("own", F.lit(0)).alias("own"))
     most = F.flatten(F.collect_list(F.expr(f"array_repeat(own, cast(least(n, {PEAK}) as int))")))
@@ -373,23 +383,29 @@ def features(rows: DataFrame, words: DataFrame) -> DataFrame:
     return both.select(*named, part(total / F.col("size")).alias("a"), part(F.get("top", F.lit(0))).alias("b"), part(mean).alias("c"))
 
 
-def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic") -> tuple[DataFrame, np.ndarray]:
-    """The ratios of all words of ``docs`` and the scale, from labelled rows outside the
-    held-out fold.
+def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic") -> tuple[DataFrame, tuple[np.ndarray, np.ndarray], np.ndarray]:
+    """The ratios of all words of ``docs``, those of the most frequent ones, and the scale,
+    from labelled rows outside the held-out fold.
 
-    Counts cover every row of two folds, and every n-gram scores. The driver gets about
+    Tables are dropped with their last reader; the ratios of the words stay. Counts cover every row of two folds, and every n-gram scores. The driver gets about
     ``COMMON_WORDS`` rows and ``CALIBRATION_ROWS``, and no more than a tenth above that.
     """
-    labelled = _labelled(docs, labels, id_col, text_col, label_col)
-    counts = _counted(labelled)
-    ratios, _ = written(_ratios(counts), "toxicity-ratios")
-    words = _word_ratios(_vocabulary(docs, text_col), ratios, _back_offs(counts))
+    orders, model, learned = (Scratch(docs.sparkSession) for _ in range(3))
+    labelled = _labelled(docs, labels, id_col, text_col, label_col, learned.store)
+    counts = _counted(labelled, model.store)
+    release(docs.sparkSession)
+    ratios = model.store(_ratios(counts, orders.store), "toxicity-ratios")
+    orders.drop()
+    words = _word_ratios(_vocabulary(docs, text_col, model.store), ratios, _back_offs(counts))
+    model.drop()
+    common = most_frequent(words)
     sample = labelled.where("fold = 3")
     share = min(1.0, CALIBRATION_ROWS / max(sample.count(), 1))
     spread = F.pmod(F.xxhash64("text", F.monotonically_increasing_id()), F.lit(1 << 40))
     chosen = sample.where(spread < int(share * (1 << 40))).select("toxic", "text")
-    seen = features(chosen, words).limit(CALIBRATION_ROWS * 11 // 10).toPandas()
-    return words, scale(seen[["a", "b", "c"]].to_numpy(float), seen["toxic"].to_numpy(float))
+    seen = features(chosen, words, common, learned.store).limit(CALIBRATION_ROWS * 11 // 10).toPandas()
+    learned.drop()
+    return words, common, scale(seen[["a", "b", "c"]].to_numpy(float), seen["toxic"].to_numpy(float))
 
 
 def toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic") -> DataFrame:
@@ -403,8 +419,8 @@ def toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_co
     label the score is that of ordinary text; an empty table gives no rows; other columns
     are not read.
     """
-    words, weights = fit(docs, labels, id_col, text_col, label_col)
+    words, common, weights = fit(docs, labels, id_col, text_col, label_col)
     rows = docs.select(F.col(id_col).alias("id"), F.coalesce(fold(id_col) == 2, F.lit(False)).alias("held_out"), F.col(text_col).alias("text"))
     told = sum((F.col(c) * float(w) for c, w in zip("abc", weights[:-1], strict=True)), F.lit(float(weights[-1])))
-    scored = features(rows, words).withColumn("score", 1 / (1 + F.exp(-F.greatest(F.lit(-30.0), F.least(F.lit(30.0), told)))))
+    scored = features(rows, words, common).withColumn("score", 1 / (1 + F.exp(-F.greatest(F.lit(-30.0), F.least(F.lit(30.0), told)))))
     return scored.select(F.col("id").alias(id_col), "held_out", "score", (F.col("score") >= THRESHOLD).cast("int").alias("predicted"), F.col("a").alias("ratio"))
