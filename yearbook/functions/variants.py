@@ -96,6 +96,17 @@ def scalar_is_money(s: Column) -> Column:
     return scalar_is_ratio(s) & (scalar_is_missing(s) | F.coalesce(integral & fits, F.lit(False)))
 
 
+# Kinds of whole numbers that fit, whatever the digits; trailing zeros are no digits here.
+_WHOLE_KINDS = tuple(f"DECIMAL({digits},0)" for digits in range(1, 19))
+
+
+def is_plain_money(value: Column) -> Column:
+    """The usual forms of what ``scalar_is_money`` lets through, told by their kind and at
+    most one number. False says nothing."""
+    kind = F.coalesce(token(value), F.lit("VOID"))
+    return kind.isin("VOID", *_WHOLE_KINDS) | ((kind == "BIGINT") & (F.abs(as_double(value)) < 9.2233720368547e18))
+
+
 def scalar_is_optional_text(s: Column) -> Column:
     return scalar_is_missing(s) | scalar_is_text(s)
 

@@ -69,10 +69,20 @@ def data_rows(payload: Column) -> Column:
     return F.try_variant_get(payload, "$.data", "array<variant>")
 
 
+def members(payload: Column, path: str, names: Sequence[str]) -> Column:
+    """The rows of an array as structs of the named members, each a VARIANT or null where it
+    is absent. A row that is no object is null. One pass over each row, whatever the number of names."""
+    return F.try_variant_get(payload, path, f"array<{_members(names)}>")
+
+
+def _members(names: Sequence[str]) -> str:
+    return "struct<" + ", ".join(f"`{name}`: variant" for name in names) + ">"
+
+
 def _snapshot_rules(n: int) -> list[Column]:
     """Rules of the document as a whole, over the columns ``check_snapshots`` prepares."""
-    is_root = F.coalesce(F.col("_root").startswith("OBJECT"), F.lit(False))
-    shaped = F.coalesce(F.col("_data").startswith("ARRAY") & F.col("_meta").startswith("OBJECT"), F.lit(False))
+    is_root = F.col("_document").isNotNull()
+    shaped = F.col("_document.data").isNotNull() & F.col("_document.meta").isNotNull()
     years = F.array_compact(F.transform("_rows", lambda r: r["year"]))
     return [
         unless(F.col("fetched_at").isNotNull(), violation("snapshot_time", "file_name", F.col("file_name"))),
@@ -105,74 +115,73 @@ def _snapshot_rules(n: int) -> list[Column]:
 
 CHECKED_FIELDS = (*MONEY_FIELDS.values(), *RATIO_FIELDS.values(), *TEXT_FIELDS, "fiscal_year")
 
+# Members by rule: their names, the test of a scalar, the name of the rule.
+FIELD_RULES = (
+    (tuple(MONEY_FIELDS.values()), V.scalar_is_money, "money"),
+    (tuple(RATIO_FIELDS.values()), V.scalar_is_ratio, "ratio"),
+    (TEXT_FIELDS, V.scalar_is_optional_text, "optional_string"),
+)
 
-def _members(row: Column) -> Column:
-    """The checked members of a period row, each looked up once."""
-    return F.struct(
-        row.alias("row"), *[V.field(row, f"$.{name}").alias(name) for name in CHECKED_FIELDS]
-    )
-
-
-def _fields(members: Column) -> Column:
-    """The members with token and number, as one struct."""
-    return F.struct(
-        V.token(members["row"]).startswith("OBJECT").alias("is_object"),
-        members["row"].alias("row"),
-        *[V.scalar(members[name]).alias(name) for name in CHECKED_FIELDS],
-    )
+# What ``check_snapshots`` looks at, taken out of the payload in one pass.
+DOCUMENT = f"struct<data: array<{_members(CHECKED_FIELDS)}>, meta: {_members(('edinet_code', 'period'))}>"
 
 
 def _with_year(fields: Column) -> Column:
     year = fields["fiscal_year"]
     # null, and so a violation, where the stored type cannot hold it
-    value = F.when(V.scalar_is_integer(year), F.try_variant_get(year["value"], "$", "int").cast("bigint"))
+    value = F.when(V.token(year) == "BIGINT", F.try_variant_get(year, "$", "int").cast("bigint"))
     return F.struct(value.alias("year"), fields.alias("f"))
 
 
-def _row_rules(row: Column) -> list[Column]:
+def _is_clean(row: Column) -> Column:
+    """Whether a row breaks no rule."""
+    fields, clean = row["f"], row["f"].isNotNull() & row["year"].isNotNull()
+    for names, check, rule in FIELD_RULES:
+        for name in names:
+            passed = check(V.scalar(fields[name]))
+            clean = clean & (V.is_plain_money(fields[name]) | passed if rule == "money" else passed)
+    return clean
+
+
+def _row_rules(row: Column, position: Column) -> list[Column]:
     fields, year = row["f"], row["year"]
-    whole = F.coalesce(fields["is_object"], F.lit(False))
+    whole = fields.isNotNull()
     rules = [
-        unless(whole, violation("row_object", "data", _text(fields["row"]))),
+        unless(whole, violation("row_object", "data", _text(F.get(data_rows(F.col("payload")), position)))),
         F.when(
             whole & year.isNull(),
-            violation("year_type", "fiscal_year", _text(fields["fiscal_year"]["value"])),
+            violation("year_type", "fiscal_year", _text(fields["fiscal_year"])),
         ),
     ]
-    for names, check, rule in (
-        (MONEY_FIELDS.values(), V.scalar_is_money, "money"),
-        (RATIO_FIELDS.values(), V.scalar_is_ratio, "ratio"),
-        (TEXT_FIELDS, V.scalar_is_optional_text, "optional_string"),
-    ):
+    for names, check, rule in FIELD_RULES:
         for name in names:
-            broken = violation(rule, name, _text(fields[name]["value"]), year)
-            rules.append(F.when(whole & ~check(fields[name]), broken))
+            broken = violation(rule, name, _text(fields[name]), year)
+            rules.append(F.when(whole & ~check(V.scalar(fields[name])), broken))
     return rules
 
 
 def check_snapshots(decoded: DataFrame, periods: int = PERIODS_PER_SNAPSHOT) -> DataFrame:
     """Add a ``violations`` array to decoded snapshots; empty means accepted.
 
-    Expects ``payload``, ``edinet_code``, ``fetched_at`` and ``file_name``. Each
-    member of the payload is read once; the rules work on the extracted parts.
+    Expects ``payload``, ``edinet_code``, ``fetched_at`` and ``file_name``. The payload
+    is read once; the rules work on the extracted parts. A period row is first asked
+    whether it is clean; the violations of each rule are made for the others only.
     """
-    payload = F.col("payload")
-    fields = F.transform(F.transform(data_rows(payload), _members), _fields)
-    parts = decoded.withColumns(
+    document, meta = F.col("_document"), F.col("_document.meta")
+    nothing = F.array().cast(f"array<{VIOLATION}>")
+    parts = decoded.withColumn("_document", F.try_variant_get("payload", "$", DOCUMENT)).withColumns(
         {
-            "_root": V.token(payload),
-            "_data": V.token(V.field(payload, "$.data")),
-            "_meta": V.token(V.field(payload, "$.meta")),
-            "_code": V.scalar(V.field(payload, "$.meta.edinet_code")),
-            "_code_text": F.try_variant_get(payload, "$.meta.edinet_code", "string"),
-            "_period": V.scalar(V.field(payload, "$.meta.period")),
-            "_period_text": F.try_variant_get(payload, "$.meta.period", "string"),
-            "_rows": F.transform(fields, _with_year),
+            "_code": V.scalar(meta["edinet_code"]),
+            "_code_text": F.try_variant_get(meta["edinet_code"], "$", "string"),
+            "_period": V.scalar(meta["period"]),
+            "_period_text": F.try_variant_get(meta["period"], "$", "string"),
+            "_rows": F.transform(document["data"], _with_year),
         }
     )
     of_snapshot = F.array_compact(F.array(*_snapshot_rules(periods)))
-    of_rows = F.flatten(F.transform("_rows", lambda r: F.array_compact(F.array(*_row_rules(r)))))
-    nothing = F.array().cast(f"array<{VIOLATION}>")
+    of_rows = F.flatten(
+        F.transform("_rows", lambda r, i: F.when(_is_clean(r), nothing).otherwise(F.array_compact(F.array(*_row_rules(r, i)))))
+    )
     found = F.concat(of_snapshot, F.coalesce(of_rows, nothing))
     # The one-element generator keeps a later filter on the result above it. Pushed
     # down, the filter would carry a copy of every rule and parse the JSON for each.
