@@ -9,11 +9,10 @@ from pyspark.sql import functions as F
 
 from yearbook.functions import variants as V
 from yearbook.functions.text import normalize_filed_at, normalize_standard
-from yearbook.operators.quality import MONEY_FIELDS, RATIO_FIELDS
+from yearbook.operators.quality import MONEY_FIELDS, RATIO_FIELDS, members
 from yearbook.operators.reshape import pivot_metrics, unpivot_facts, with_unit
 from yearbook.operators.snapshots import join_latest, latest_snapshot
 from yearbook.operators.timeseries import add_derived_metrics
-from yearbook.sources.snapshots import explode_periods
 
 # Fixed value: the only document type there is.
 DOCUMENT_TYPE = "annual_securities_report"
@@ -33,12 +32,12 @@ def normalize_fields(snapshots: DataFrame) -> DataFrame:
         "submit_date",
         "edinet_filing_url",
     ]
-    fields = explode_periods(snapshots, keys).select(
-        *keys, *[V.field(F.col("row"), f"$.{name}").alias(f"_{name}") for name in wanted]
-    )
+    # The outer form, because Spark copies the input of the plain one into a filter.
+    rows = F.posexplode_outer(members(F.col("payload"), "$.data", wanted)).alias("position", "row")
+    fields = snapshots.select(*keys, rows).filter(F.col("position").isNotNull())
 
     def value(name: str):
-        return F.col(f"_{name}")
+        return F.col("row")[name]
 
     return fields.select(
         "company_order",
