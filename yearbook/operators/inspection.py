@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from yearbook.functions import variants as V
-from yearbook.operators.quality import MONEY_FIELDS, RATIO_FIELDS, SOURCE_FIELDS, data_rows
+from yearbook.operators.quality import MONEY_FIELDS, RATIO_FIELDS, SOURCE_FIELDS, data_rows, members
 
 INSPECTED_FIELDS = (*MONEY_FIELDS.values(), *RATIO_FIELDS.values())
 
@@ -20,19 +20,12 @@ def year_order(years: Column) -> Column:
     )
 
 
-def _members(row: Column) -> Column:
-    names = [*INSPECTED_FIELDS, *SOURCE_FIELDS, "accounting_standard"]
+def _inspected(row: Column) -> Column:
     return F.struct(
-        F.try_variant_get(row, "$.fiscal_year", "int").alias("year"),
-        *[V.field(row, f"$.{name}").alias(name) for name in names],
-    )
-
-
-def _inspected(members: Column) -> Column:
-    return F.struct(
-        members["year"].alias("year"),
-        V.as_text(members["accounting_standard"]).alias("standard"),
-        *[V.scalar(members[name]).alias(name) for name in (*INSPECTED_FIELDS, *SOURCE_FIELDS)],
+        F.try_variant_get(row["fiscal_year"], "$", "int").alias("year"),
+        V.as_text(row["accounting_standard"]).alias("standard"),
+        *[V.scalar_is_missing(V.scalar(row[name])).alias(f"{name}_missing") for name in (*INSPECTED_FIELDS, *SOURCE_FIELDS)],
+        *[V.scalar_is_zero(V.scalar(row[name])).alias(f"{name}_zero") for name in INSPECTED_FIELDS],
     )
 
 
@@ -42,11 +35,13 @@ def inspect_snapshots(decoded: DataFrame, keys: Sequence[str] = ("raw_file", "ti
     Years stay in file order; standards are distinct in first-seen order; the
     three maps go from field to the years concerned.
     """
-    parts = decoded.select(*keys, F.transform(F.transform(data_rows(F.col("payload")), _members), _inspected).alias("_rows"))
+    names = (*INSPECTED_FIELDS, *SOURCE_FIELDS, "accounting_standard", "fiscal_year")
+    rows = members(F.col("payload"), "$.data", names)
+    parts = decoded.select(*keys, F.transform(rows, _inspected).alias("_rows"))
 
-    def report(fields: Sequence[str], holds) -> Column:
+    def report(fields: Sequence[str], kind: str) -> Column:
         def years(name: str) -> Column:
-            return F.transform(F.filter("_rows", lambda r: holds(r[name])), lambda r: r["year"])
+            return F.transform(F.filter("_rows", lambda r: r[f"{name}_{kind}"]), lambda r: r["year"])
 
         return F.map_from_arrays(
             F.array(*[F.lit(f) for f in fields]), F.array(*[years(f) for f in fields])
@@ -59,9 +54,9 @@ def inspect_snapshots(decoded: DataFrame, keys: Sequence[str] = ("raw_file", "ti
         years.alias("fiscal_years"),
         year_order(years).alias("year_order"),
         F.array_distinct(F.array_compact(standards)).alias("accounting_standards"),
-        report(INSPECTED_FIELDS, V.scalar_is_missing).alias("missing_values"),
-        report(INSPECTED_FIELDS, V.scalar_is_zero).alias("zero_values"),
-        report(SOURCE_FIELDS, V.scalar_is_missing).alias("missing_source_values"),
+        report(INSPECTED_FIELDS, "missing").alias("missing_values"),
+        report(INSPECTED_FIELDS, "zero").alias("zero_values"),
+        report(SOURCE_FIELDS, "missing").alias("missing_source_values"),
     )
 
 
