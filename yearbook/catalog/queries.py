@@ -734,7 +734,7 @@ def filter_direct_companies(spark, sf):
 @query
 def check_companies(spark, sf):
     """Dimension entries made from customers; segments decide what is wrong."""
-    customers = T.table(spark, sf, "customer")
+    customers = T.dealt(T.table(spark, sf, "customer"), "c_custkey", "c_name")
     meta = F.concat(
         F.lit('{"name": "'),
         F.when(F.col("c_mktsegment") == "AUTOMOBILE", F.lit(" ")).otherwise(F.col("c_name")),
@@ -753,7 +753,7 @@ def check_companies(spark, sf):
         F.col("c_custkey").alias("company_order"), F.col("c_name").alias("ticker"), F.try_parse_json(meta).alias("meta")
     )
     checked = quality.check_companies(entries)
-    return checked.select("ticker", F.inline("violations")).drop("fiscal_year", "value")
+    return quality.list_violations(checked, ["ticker"]).drop("fiscal_year", "value")
 
 
 # Scalars -------------------------------------------------------------------------
