@@ -89,3 +89,36 @@ def test_members_of_periods_are_read_in_one_pass(decoded):
     assert one_pass(report)
     row = report.collect()[0]
     assert row.fiscal_years == [2001, 2002] and row.missing_values["revenue"] == [2002] and row.zero_values["revenue"] == []
+
+
+@pytest.fixture
+def order_lines(spark, tmp_path):
+    """Two customers with three orders each, two lines an order; the last order has no line."""
+    orders = [(k, k % 2, "F", 10.0 * k, dt.datetime(1997, 1, 1 + k), "1-URGENT") for k in range(7)]
+    lines = [(k, 1, 1, n, 2.0, 10.0 * k + n, 0.1, 0.0, "N", "F", dt.datetime(1997, 2, n)) for k in range(6) for n in (1, 2)]
+    found = {
+        "orders": (orders, "o_orderkey long, o_custkey long, o_orderstatus string, o_totalprice double, o_orderdate timestamp_ntz, o_orderpriority string"),
+        "lineitem": (lines, "l_orderkey long, l_partkey long, l_suppkey long, l_linenumber int, l_quantity double, l_extendedprice double, l_discount double, l_tax double, l_returnflag string, l_linestatus string, l_shipdate timestamp_ntz"),
+        "customer": ([(k, f"Customer#{k}", 1, 1.0, "BUILDING") for k in range(2)], "c_custkey long, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string"),
+    }
+    for name, (rows, schema) in found.items():
+        spark.createDataFrame(rows, schema).write.parquet(f"{tmp_path}/{name}.parquet")
+    return str(tmp_path)
+
+
+def test_tasks_for_order_lines_grow_with_the_table(spark, order_lines, monkeypatch):
+    size = tables.stored_bytes(spark, f"{order_lines}/lineitem.parquet")
+    monkeypatch.setattr(tables, "LINE_BYTES_PER_TASK", size // 30)
+    text = tables.order_periods(spark, order_lines)._jdf.queryExecution().executedPlan().toString()
+    assert "REPARTITION_BY_NUM" in text and tables.line_tasks(spark, order_lines) >= 30
+
+
+@pytest.mark.parametrize("name", ["company_year_mart", "nest_periods", "manifest_counts", "join_sources_left"])
+def test_older_orders_are_dropped_before_there_are_facts(spark, order_lines, monkeypatch, name):
+    kept, stored = [], tables.stored
+    monkeypatch.setattr(tables, "stored", lambda df: kept.append(stored(df)) or kept[-1])
+    found = QUERIES[name](spark, order_lines).collect()
+    assert {r.document_id for r in kept[-1].collect()} == ({"D5"} if name == "join_sources_left" else {"D4", "D5"})
+    assert len(found) == {"company_year_mart": 4, "nest_periods": 4, "manifest_counts": 1, "join_sources_left": 2}[name]
+    if name == "manifest_counts":
+        assert found[0].asDict() == {"snapshot_count": 6, "financial_fact_count": 96, "source_document_count": 12, "latest_company_year_count": 4}

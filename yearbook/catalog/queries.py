@@ -214,12 +214,11 @@ def join_dimension(spark, sf):
 
 @query
 def join_sources_left(spark, sf):
-    latest = snapshots.latest_snapshot(T.order_snapshots(spark, sf), *SNAPSHOT)
-    stored_periods = T.stored_order_periods(spark, sf)
-    rows = snapshots.join_latest(T.order_history(spark, sf, stored_periods), latest, *SNAPSHOT)
+    newest = T.newest_order_periods(T.order_periods(spark, sf), T.order_snapshots(spark, sf))
+    rows = T.order_history(spark, sf, newest)
     periods = reshape.pivot_metrics(rows, [*SNAPSHOT, "fiscal_year"], money=["revenue"], percent=[])
     named = periods.withColumnsRenamed({"raw_fetched_at": "fetched_at", "raw_sha256": "snapshot_sha256"})
-    return warehouse.join_sources(named, T.order_sources(spark, sf, gaps=True, periods=stored_periods))
+    return warehouse.join_sources(named, T.order_sources(spark, sf, gaps=True, periods=newest))
 
 
 @query
@@ -828,10 +827,12 @@ def display_compact(spark, sf):
 
 
 def _order_tables(spark, sf):
-    """History, sources and mart over one stored table of periods."""
+    """History, sources and mart over one stored table of periods; the mart over the newest ones."""
     periods = T.stored_order_periods(spark, sf)
     history, sources = T.order_history(spark, sf, periods), T.order_sources(spark, sf, periods=periods)
-    mart = warehouse.build_mart(history, T.customer_dimension(spark, sf), sources, sources)
+    newest = T.newest_order_periods(periods)
+    found = T.order_sources(spark, sf, periods=newest)
+    mart = warehouse.build_mart(T.order_history(spark, sf, newest), T.customer_dimension(spark, sf), found, found)
     return {"financial_history": history, "source_documents_history": sources, "company_year_metrics": mart}
 
 
