@@ -107,18 +107,19 @@ def order_lines(spark, tmp_path):
 
 
 def test_tasks_for_order_lines_grow_with_the_table(spark, order_lines, monkeypatch):
-    size = tables.stored_bytes(spark, f"{order_lines}/lineitem.parquet")
-    monkeypatch.setattr(tables, "LINE_BYTES_PER_TASK", size // 30)
+    lines = tables.table(spark, order_lines, "lineitem")
+    assert tables.line_tasks(lines) == spark.sparkContext.defaultParallelism
+    monkeypatch.setattr(tables, "LINES_PER_TASK", 1)
     text = tables.order_periods(spark, order_lines)._jdf.queryExecution().executedPlan().toString()
-    assert "REPARTITION_BY_NUM" in text and tables.line_tasks(spark, order_lines) >= 30
+    assert tables.line_tasks(lines) == 12 and "12), REPARTITION_BY_NUM" in text
 
 
-@pytest.mark.parametrize("name", ["company_year_mart", "nest_periods", "manifest_counts", "join_sources_left"])
+@pytest.mark.parametrize("name", ["company_year_mart", "nest_periods", "manifest_counts", "join_sources_left", "join_latest_facts"])
 def test_older_orders_are_dropped_before_there_are_facts(spark, order_lines, monkeypatch, name):
     kept, stored = [], tables.stored
-    monkeypatch.setattr(tables, "stored", lambda df: kept.append(stored(df)) or kept[-1])
+    monkeypatch.setattr(tables, "stored", lambda df: kept.append(stored(df)) or kept[-1])  # the newest orders' lines
     found = QUERIES[name](spark, order_lines).collect()
-    assert {r.document_id for r in kept[-1].collect()} == ({"D5"} if name == "join_sources_left" else {"D4", "D5"})
-    assert len(found) == {"company_year_mart": 4, "nest_periods": 4, "manifest_counts": 1, "join_sources_left": 2}[name]
+    assert {r.o_orderkey for r in kept[-1].collect()} == ({5} if name == "join_sources_left" else {4, 5})
+    assert len(found) == {"company_year_mart": 4, "nest_periods": 4, "manifest_counts": 1, "join_sources_left": 2, "join_latest_facts": 32}[name]
     if name == "manifest_counts":
         assert found[0].asDict() == {"snapshot_count": 6, "financial_fact_count": 96, "source_document_count": 12, "latest_company_year_count": 4}

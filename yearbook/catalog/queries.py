@@ -190,7 +190,7 @@ def latest_snapshot(spark, sf):
 
 @query
 def join_latest_facts(spark, sf):
-    periods = T.stored_order_periods(spark, sf)
+    periods = T.newest_order_periods(T.order_lines(spark, sf))
     found = warehouse.latest_facts(T.order_history(spark, sf, periods), periods)
     return found.select("ticker", "fiscal_year", "metric_name", "value", "document_id")
 
@@ -214,7 +214,7 @@ def join_dimension(spark, sf):
 
 @query
 def join_sources_left(spark, sf):
-    newest = T.newest_order_periods(T.order_periods(spark, sf), T.order_snapshots(spark, sf))
+    newest = T.newest_order_periods(T.order_lines(spark, sf), T.table(spark, sf, "orders"))
     rows = T.order_history(spark, sf, newest)
     periods = reshape.pivot_metrics(rows, [*SNAPSHOT, "fiscal_year"], money=["revenue"], percent=[])
     named = periods.withColumnsRenamed({"raw_fetched_at": "fetched_at", "raw_sha256": "snapshot_sha256"})
@@ -827,10 +827,10 @@ def display_compact(spark, sf):
 
 
 def _order_tables(spark, sf):
-    """History, sources and mart over one stored table of periods; the mart over the newest ones."""
-    periods = T.stored_order_periods(spark, sf)
+    """History, sources and mart over one stored table of order lines; the mart over the newest orders."""
+    lines = stored(T.order_lines(spark, sf))
+    periods, newest = T.as_periods(lines), T.newest_order_periods(lines)
     history, sources = T.order_history(spark, sf, periods), T.order_sources(spark, sf, periods=periods)
-    newest = T.newest_order_periods(periods)
     found = T.order_sources(spark, sf, periods=newest)
     mart = warehouse.build_mart(T.order_history(spark, sf, newest), T.customer_dimension(spark, sf), found, found)
     return {"financial_history": history, "source_documents_history": sources, "company_year_metrics": mart}

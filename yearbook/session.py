@@ -151,12 +151,6 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return target.getFileSystem(spark._jsc.hadoopConfiguration()).exists(target)
 
 
-def stored_bytes(spark: SparkSession, path: str) -> int:
-    """Bytes of a file, or of all files in a folder."""
-    files, target = _file_system(spark, path)
-    return files.getContentSummary(target).getLength()
-
-
 def folder_names(spark: SparkSession, path: str) -> set[str]:
     """Names in a folder; those with a leading underscore or dot are Spark's or private."""
     target = spark._jvm.org.apache.hadoop.fs.Path(path)
