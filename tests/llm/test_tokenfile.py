@@ -49,3 +49,13 @@ def test_files_hold_every_document_in_order(spark, tmp_path, monkeypatch):
         at += len(ids)
     nothing = write_tokens(empty(spark), BYTE, f"file://{tmp_path}/empty")
     assert read_tokens(spark, nothing).collect() == []
+
+
+@pytest.mark.parametrize(("end_id", "width"), [(0, 2), (70_000, 4)])
+def test_ids_take_two_bytes_where_they_fit(spark, tmp_path, end_id, width):
+    plain = tokenfile._tokenised(documents(spark), BYTE, end_id, "doc_id", "text").where("seq >= 0").select("n", "tokens").collect()
+    assert plain and all(len(r.tokens) == width * r.n for r in plain)
+    folder = write_tokens(documents(spark), BYTE, f"file://{tmp_path}/files", end_id)
+    whole, texts = Tokenizer.from_file(BYTE), {r[0]: r[1] for r in rows()}
+    for r in read_tokens(spark, folder).collect():
+        assert np.frombuffer(r.ids, "<u4").tolist() == [*whole.encode(texts[r.doc_id] or "", add_special_tokens=False).ids, end_id]

@@ -113,3 +113,29 @@ def test_sentencepiece_files(spark):
     want = [(d, len((t or "").encode()), len(library.encode(t or "")), len(library.encode(t or "")) > 2048) for d, t, *_ in rows()]
     assert sorted(map(tuple, got.collect()), key=key) == sorted(want, key=key)
     assert WholeEncoder(path, batch_chars=50)(pa.array(["a b", "", "c"] * 30, pa.large_string()))[0].tolist() == [len(library.encode(t)) for t in ["a b", "", "c"] * 30]
+
+
+def test_pieces_seen_before_are_not_encoded_again(monkeypatch):
+    encoded, own = [], PieceEncoder._encode
+
+    def counting(self, pieces):
+        encoded.append(len(pieces))
+        return own(self, pieces)
+
+    monkeypatch.setattr(PieceEncoder, "_encode", counting)
+    encoder = PieceEncoder(BYTE)
+    texts = [pa.array([" ".join(f"{c}{i}" for i in range(210_000))], pa.large_string()) for c in "xy"]
+    first = encoder(texts[0])
+    encoder(texts[1])
+    again = encoder(texts[0])
+    assert encoded == [210_000, 210_000, 0]
+    assert (again[0] == first[0]).all() and (again[1] == first[1]).all()
+
+
+def test_most_used_pieces_stay():
+    encoder, whole = PieceEncoder(BYTE, most_kept=50), Tokenizer.from_file(BYTE)
+    for k in range(9):
+        text = " often seen" + "".join(f" w{k}-{i}" for i in range(30))
+        assert encoder(pa.array([text, "", " often"], pa.large_string()))[1].tolist() == [*whole.encode(text).ids, *whole.encode(" often").ids]
+        assert len(encoder.pieces) <= 50 + 32
+        assert {" often", " seen"} <= set(encoder.pieces[:25].to_pylist())

@@ -14,10 +14,11 @@ SentencePiece files) encode whole texts with their library.
 from __future__ import annotations
 
 import functools
+import itertools
 import json
 import os
 from array import array
-from collections.abc import Iterable, Iterator
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -52,31 +53,26 @@ def cuts(data: np.ndarray, starts: np.ndarray) -> np.ndarray:
     return np.flatnonzero(cut)
 
 
-class _Kept:
-    """Encoded pieces: token ids end to end, and where each piece's are."""
-
-    def __init__(self) -> None:
-        self.place: dict[str, int] = {}
-        self.start = array("q", [0])
-        self.ids = array("I")
-
-    def add(self, piece: str, ids: Iterable[int]) -> None:
-        self.place[piece] = len(self.start) - 1
-        self.ids.extend(ids)
-        self.start.append(len(self.ids))
+def _runs(first: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+    """The places of runs, one after the other: where each starts, and how long it is."""
+    ends = np.cumsum(lengths)
+    place = np.repeat(first - ends + lengths, lengths)
+    place += np.arange(len(place))
+    return place
 
 
 class PieceEncoder:
     """Encodes pieces with one tokenizer file and keeps what it has encoded.
 
-    At most ``most_kept`` pieces are kept twice over: a full store becomes the old one,
-    from which pieces that come again move on. ``batch_chars`` bounds the text of one call
-    of the library. Pieces that are one word of letters go through the library's stages
-    (normaliser, pre-tokenizer, model) directly, many words in a call; all others through
-    ``encode``.
+    The pieces kept are an Arrow array, so one dictionary encoding tells which pieces of a call
+    are known, and only the others become Python texts. Beyond ``most_kept`` those stay that came
+    in most calls, most used first; a call of few pieces looks only at the first of them, two for
+    each of its own. ``batch_chars`` bounds the text of one call of the library. Pieces that are
+    one word of letters go through the library's stages (normaliser, pre-tokenizer, model)
+    directly, many words in a call; all others through ``encode``.
     """
 
-    def __init__(self, path: str, most_kept: int = 200_000, batch_chars: int = 64 << 10):
+    def __init__(self, path: str, most_kept: int = 600_000, batch_chars: int = 64 << 10):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark's tasks are the parallel part
         from tokenizers import Tokenizer
 
@@ -84,7 +80,9 @@ class PieceEncoder:
         self.encoder.no_truncation()
         self.encoder.no_padding()
         self.most_kept, self.batch_chars = most_kept, batch_chars
-        self.kept, self.old = _Kept(), _Kept()
+        self.pieces = pa.array([], pa.large_string())
+        self.start, self.ids = np.zeros(1, np.int64), np.zeros(0, np.uint32)  # ids end to end, and where each piece's are
+        self.calls = np.zeros(0, np.int64)  # that each piece came in, halved when pieces go
         self.letters: dict[int, str | None] = {}  # what the pre-tokenizer makes of a letter
         self.lead = self._split(" a")[: -len(self._split("a"))]  # and of the space before a word
 
@@ -93,51 +91,67 @@ class PieceEncoder:
         parts = self.encoder.pre_tokenizer.pre_tokenize_str(text)
         return parts[0][0] if len(parts) == 1 else None
 
-    def _batches(self, pieces: list[str]) -> Iterator[list[str]]:
+    def _batches(self, pieces: list[str], places: list[int]) -> Iterator[list[int]]:
         batch, size = [], 0
-        for piece in pieces:
-            if batch and size + len(piece) > self.batch_chars:
+        for i in places:
+            if batch and size + len(pieces[i]) > self.batch_chars:
                 yield batch
                 batch, size = [], 0
-            batch.append(piece)
-            size += len(piece)
+            batch.append(i)
+            size += len(pieces[i])
         if batch:
             yield batch
 
-    def _encode(self, pieces: list[str]) -> None:
-        words, others = [], []
-        for p in pieces:
-            (words if p[0] == " " and p[1:].isalpha() else others).append(p)
-        normalizer, tokenize, add, lead = self.encoder.normalizer, self.encoder.model.tokenize, self.kept.add, self.lead
-        for batch in self._batches(words):
-            joined = "".join(batch)
-            split = (normalizer.normalize_str(joined) if normalizer else joined).split(" ")[1:]
-            for c in set(joined).union(*split):
+    def _encode(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The number of tokens of each piece, and all ids in order."""
+        words, others, done, sizes, ids = [], [], array("q"), array("q"), array("I")
+        for i, p in enumerate(pieces):
+            (words if p[0] == " " and p[1:].isalpha() else others).append(i)
+
+        def add(batch: list[int], own: list[list[int]]) -> None:
+            done.extend(batch)
+            sizes.extend(map(len, own))
+            ids.extend(itertools.chain.from_iterable(own))
+
+        normalizer, tokenize, lead = self.encoder.normalizer, self.encoder.model.tokenize, self.lead
+        for batch in self._batches(pieces, words):
+            joined = "".join([pieces[i] for i in batch])
+            normal = normalizer.normalize_str(joined) if normalizer else joined
+            for c in set(joined).union(normal):
                 if ord(c) not in self.letters and c != " ":
                     self.letters[ord(c)] = self._split(c) if c.isalpha() else None
             odd = {chr(c) for c, made in self.letters.items() if made is None}
-            if len(split) != len(batch) or odd & set("".join(split)):  # a letter the tokenizer does not take as one
+            if normal.count(" ") != len(batch) or odd & set(normal):  # a letter the tokenizer does not take as one
                 others += batch
                 continue
-            for piece, word in zip(batch, split, strict=True):
-                add(piece, [t.id for t in tokenize(lead + word.translate(self.letters))])
-        for batch in self._batches(others):
-            for piece, encoding in zip(batch, self.encoder.encode_batch_fast(batch, add_special_tokens=False), strict=True):
-                add(piece, encoding.ids)
-
-    def _lookup(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """Where the ids of each piece are in the store, and how many."""
-        if len(self.kept.place) > self.most_kept:
-            self.old, self.kept = self.kept, _Kept()
-        place, old = self.kept.place, self.old
-        missing = [p for p in pieces if p not in place]
-        for p in missing:
-            if (i := old.place.get(p)) is not None:
-                self.kept.add(p, old.ids[old.start[i] : old.start[i + 1]])
-        self._encode([p for p in missing if p not in old.place])
-        at = np.fromiter(map(place.__getitem__, pieces), np.int64, len(pieces))
-        start = np.array(self.kept.start, np.int64)
-        return start[at], start[at + 1] - start[at]
+            add(batch, [[t.id for t in tokenize(lead + word)] for word in normal.translate(self.letters).split(" ")[1:]])
+        for batch in self._batches(pieces, others):
+            add(batch, [e.ids for e in self.encoder.encode_batch_fast([pieces[i] for i in batch], add_special_tokens=False)])
+        order, counts = np.argsort(np.array(done, np.int64)), np.array(sizes, np.int64)
+        first = np.cumsum(counts) - counts
+        return counts[order], np.array(ids, np.uint32)[_runs(first[order], counts[order])]
+
+    def _shrink(self, most: int) -> None:
+        """Keep the pieces that came in most calls; of equals the first."""
+        kept = np.argsort(-self.calls, kind="stable")[:most]
+        counts = np.diff(self.start)[kept]
+        self.pieces, self.ids = self.pieces.take(pa.array(kept)), self.ids[_runs(self.start[kept], counts)]
+        self.start, self.calls = np.append(0, np.cumsum(counts)), self.calls[kept] >> 1
+
+    def _lookup(self, pieces: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Where the ids of each piece are among some ids, how many, and those ids."""
+        if len(self.pieces) > self.most_kept:
+            self._shrink(self.most_kept // 2)
+        known = min(len(self.pieces), 2 * len(pieces))
+        coded = pa.chunked_array([self.pieces[:known], pieces]).dictionary_encode().chunks[-1]
+        code = coded.indices.to_numpy(zero_copy_only=False)
+        counts, own = self._encode(coded.dictionary[known:].to_pylist())
+        start = np.append(self.start[: known + 1], self.start[known] + np.cumsum(counts))
+        ids = np.append(self.ids[: self.start[known]], own)
+        if known == len(self.pieces):
+            self.pieces, self.start, self.ids = coded.dictionary, start, ids
+            self.calls = np.append(self.calls, np.zeros(len(counts), np.int64)) + (np.bincount(code, minlength=len(coded.dictionary)) > 0)
+        return start[code], np.diff(start)[code], ids
 
     def __call__(self, texts: pa.Array, with_ids: bool = True) -> tuple[np.ndarray, np.ndarray]:
         """The number of tokens of each text, and all ids in order (none if not asked for)."""
@@ -147,17 +161,10 @@ class PieceEncoder:
         at = cuts(data, starts)
         offsets = np.append(at, len(data)).astype(np.int64)
         pieces = pa.Array.from_buffers(pa.large_string(), len(at), [None, pa.py_buffer(offsets), pa.py_buffer(np.ascontiguousarray(data))])
-        coded = pieces.dictionary_encode()
-        first, counts = self._lookup(coded.dictionary.to_pylist())
-        code = coded.indices.to_numpy(zero_copy_only=False)
-        lengths = counts[code]
+        first, lengths, ids = self._lookup(pieces)
         ends = np.concatenate([[0], np.cumsum(lengths)])
         totals = np.diff(ends[np.searchsorted(at, starts)])
-        if not with_ids:
-            return totals, np.zeros(0, np.uint32)
-        place = np.repeat(first[code] - ends[:-1], lengths)
-        place += np.arange(ends[-1])
-        return totals, np.array(self.kept.ids, np.uint32)[place]
+        return totals, ids[_runs(first, lengths)] if with_ids else np.zeros(0, np.uint32)
 
 
 def _types(part: dict | list | None) -> set[str]:

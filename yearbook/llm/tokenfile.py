@@ -144,7 +144,8 @@ def decode(model: Model, blocks: list[dict], payload: bytes) -> np.ndarray:
 
 def _tokenised(docs: DataFrame, tokenizer: str, end_id: int, id_col: str, text_col: str) -> DataFrame:
     """Segments with plain ids, in ascending order of ids inside and across partitions,
-    and for each partition a row of its token counts (``seq`` -1)."""
+    and for each partition a row of its token counts (``seq`` -1). Ids of a segment take two
+    bytes each where all of them fit."""
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     kind = rows.schema["id"].dataType
     schema = T.StructType(
@@ -157,6 +158,9 @@ def _tokenised(docs: DataFrame, tokenizer: str, end_id: int, id_col: str, text_c
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         doc_ids, sizes, held, size, part, seq, at, counted = [], [], [], 0, 0, 0, 0, np.zeros(0, np.int64)
 
+        def plain(tokens: np.ndarray) -> bytes:
+            return tokens.astype("<u2" if tokens.max() < 1 << 16 else "<u4").tobytes()
+
         def row(seq: int, n: int, doc_ids: list, sizes: list, tokens: bytes, counts: bytes | None) -> pa.RecordBatch:
             values = (part, seq, at, n, doc_ids, sizes, tokens, counts)
             return pa.RecordBatch.from_pylist([dict(zip(schema.names, values, strict=True))], schema=arrow)
@@ -175,10 +179,10 @@ def _tokenised(docs: DataFrame, tokenizer: str, end_id: int, id_col: str, text_c
                 held.append(flat[end - n : end])
                 size += n
                 if size >= SEGMENT:
-                    yield row(seq, size, doc_ids, sizes, np.concatenate(held).tobytes(), None)
+                    yield row(seq, size, doc_ids, sizes, plain(np.concatenate(held)), None)
                     at, seq, doc_ids, sizes, held, size = at + size, seq + 1, [], [], [], 0
         if size:
-            yield row(seq, size, doc_ids, sizes, np.concatenate(held).tobytes(), None)
+            yield row(seq, size, doc_ids, sizes, plain(np.concatenate(held)), None)
         if len(counted):
             yield row(-1, 0, [], [], b"", counted.astype("<i8").tobytes())
 
@@ -231,7 +235,8 @@ def write_tokens(docs: DataFrame, tokenizer: str, folder: str, end_id: int = 0,
         for batch in batches:
             for i in range(batch.num_rows):
                 row = batch.slice(i, 1)
-                blocks, payload = encode(model, np.frombuffer(row.column(4)[0].as_buffer(), "<u4"))
+                raw = row.column(4)[0].as_buffer()
+                blocks, payload = encode(model, np.frombuffer(raw, "<u2" if raw.size == 2 * row.column(1)[0].as_py() else "<u4"))
                 columns = [*row.columns[:4], pa.array([payload], pa.binary()), pa.array([blocks], _BLOCKS)]
                 yield pa.RecordBatch.from_arrays(columns, names=["first", "n", "doc_ids", "doc_tokens", "payload", "blocks"])
 
