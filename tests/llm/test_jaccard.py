@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import random
 import re
+from pathlib import Path
 
 import numpy as np
 import pytest
@@ -112,6 +113,50 @@ def test_sifting_keeps_what_is_linked():
     assert len(set(label)) > 30
 
 
+def test_near_copies_are_not_stored_as_shingles(spark, monkeypatch):
+    stored, there, compared = {}, {}, []
+
+    def writing(df, name, codec="zstd"):
+        there[name] = [n for n, path in paths.items() if path.exists()]
+        out, path = written(df, name, codec)
+        paths[name] = Path(path.removeprefix("file:"))
+        stored[name] = sum(p.stat().st_size for p in paths[name].glob("*.parquet"))
+        return out, path
+
+    def comparing(*args):
+        compared.append(args)
+        return _compared(*args)
+
+    paths, written, _compared = {}, jaccard.written, jaccard._compared
+    monkeypatch.setattr(jaccard, "written", writing)
+    monkeypatch.setattr(jaccard, "_compared", comparing)
+    texts = [t for s in range(40) for t in family(s, 2, 3000, 20)]
+    found = jaccard.links(spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string").repartition(2)).collect()
+    assert found
+    # whole sets are 8 bytes a word, more than the texts
+    assert max(stored.values()) < 0.5 * sum(map(len, texts))
+    assert {"jaccard-rows", "jaccard-blocks"} <= set(there["jaccard-packed"]) <= set(there) - {"jaccard-found", "jaccard-members"}
+    assert len(compared) == 1  # no block was cut, so there is nothing to compare again
+
+
+def test_passages_of_large_tables_are_known_as_frequent(spark):
+    seen = jaccard.SIFT_SETS // jaccard.SAMPLE // 4  # by a quarter of the tasks
+    counted = spark.createDataFrame([(5, seen - 1), (5, 1), (6, 2)], "shingle bigint, seen bigint")
+    shingles, rank = jaccard._frequent(counted, 3_000_000)
+    assert shingles.tolist() == [5] and len(rank) == 1
+
+
+def test_packed_texts_give_their_sets(spark):
+    texts = ["a b c d e f", "A  b\tc D e\nf", "\u00e9 " * 9, "tiny", "", None, "w " * 200_000 + "end"]
+    every = np.full(64, -1, np.int64).view(np.uint64)
+    frame = spark.createDataFrame([(t,) for t in texts], "text string").coalesce(1)
+    keys = "0L hub", "0L chunk", "0L other"
+    packed = jaccard._packed(frame, "text", every).selectExpr(*keys, "member", "bytes", "text", "false guest")
+    got = [r for b in jaccard._unpacked(packed.toArrow().to_batches()) for r in b.to_pylist()]
+    assert len(got) == 4  # equal sets are one
+    assert all(jaccard.set_id(np.frombuffer(r["shingles"], np.uint64)) == r["member"] for r in got)
+
+
 def test_components_of_long_chains(spark):
     edges = [(i, i + 1) for i in range(0, 60)] + [(200, 100), (300, 200), (7, 300)]
     got = {r.node: r.label for r in components(spark.createDataFrame(edges, "a bigint, b bigint")).collect()}

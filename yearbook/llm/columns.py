@@ -45,11 +45,14 @@ def text_bytes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
 
 
 def passes(batches: Iterator[pa.RecordBatch], column: int | str, most: int = PASS_BYTES) -> Iterator[pa.RecordBatch]:
-    """Slices of the batches with at most ``most`` bytes of text each, or one row."""
+    """Slices of the batches with at most ``most`` bytes of text each, or one row.
+    ``column`` has the texts, or how many bytes they have."""
     for batch in batches:
         if not batch.num_rows:
             continue
-        sizes = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+        texts = batch.column(column)
+        sizes = texts if pa.types.is_integer(texts.type) else pc.binary_length(texts)
+        sizes = pc.fill_null(sizes, 0).to_numpy(zero_copy_only=False).astype(np.int64)
         ends, at = np.cumsum(sizes), 0
         while at < len(sizes):
             before = ends[at - 1] if at else 0

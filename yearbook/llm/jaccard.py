@@ -29,8 +29,8 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from yearbook.llm.columns import mixed, passes, shingle_sets, texts_of
-from yearbook.llm.tables import attach, bit_filter, drop, passes_filter, written
+from yearbook.llm.columns import mixed, passes, shingle_sets, text_bytes, texts_of
+from yearbook.llm.tables import attach, bit_filter, drop, passes_filter, release, written
 
 SHINGLE = 5
 PERCENT = 80
@@ -38,9 +38,10 @@ PERCENT = 80
 CHUNK_SETS, CHUNK_SHINGLES = 2000, 2_000_000
 #: Sizes of one band of a block differ by less than this factor.
 BAND = 1.02
-#: A shingle in more than this share of a sample of sets (one in ``SAMPLE``) is frequent.
+#: A shingle in more than this share of a sample of sets (one in ``SAMPLE``) is frequent. That is
+#: less than ``SIFT_SETS`` up to a hundred million sets, so a passage alone makes no such block.
 #: Which are known as frequent decides the work, never the result.
-FREQUENT, SAMPLE, MOST_FREQUENT = 0.001, 8, 50_000
+FREQUENT, SAMPLE, MOST_FREQUENT = 0.00003, 8, 50_000
 #: Larger blocks are not sifted but go to the trees as they are.
 SIFT_SETS = 4000
 #: Shingles of sampled sets, and prefix shingles, that a task holds before it passes them on.
@@ -361,7 +362,7 @@ def _memberships(blobs: DataFrame, buckets: int, frequent: np.ndarray) -> DataFr
 
 
 def _sifted(members: DataFrame, rows: DataFrame) -> DataFrame:
-    """``(hub, member)``: blocks of the sets that may be linked with another of theirs.
+    """``(hub, member, n)``: blocks of the sets that may be linked with another of theirs.
     Blocks over ``SIFT_SETS`` are known by their counts and never gathered."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -380,15 +381,16 @@ def _sifted(members: DataFrame, rows: DataFrame) -> DataFrame:
             hubs = np.full(len(count), np.iinfo(np.int64).max)
             np.minimum.at(hubs, label, ids)
             kept = count[label] > 1
-            yield pa.RecordBatch.from_arrays([pa.array(hubs[label[kept]]), pa.array(ids[kept])], names=["hub", "member"])
+            yield pa.RecordBatch.from_arrays([pa.array(hubs[label[kept]]), pa.array(ids[kept]), pa.array(sizes[kept])], names=["hub", "member", "n"])
 
     counts = members.groupBy("hub").agg(F.count("*").alias("sets"))
     large = counts.where(F.col("sets") > SIFT_SETS).select("hub")
     maps = rows.where("bits is not null").select(F.col("set_id").alias("member"), "n", "bits").dropDuplicates(["member"])
     few = members.join(large, "hub", "left_anti").join(maps, "member")
     dealt = few.select("hub", "member", "n", "bits").repartition("hub").sortWithinPartitions("hub")
-    sifted = dealt.mapInArrow(run, "hub bigint, member bigint").distinct()
-    return sifted.unionByName(members.join(large, "hub", "left_semi").select("hub", "member"))
+    sifted = dealt.mapInArrow(run, "hub bigint, member bigint, n bigint")
+    whole = members.join(large, "hub", "left_semi").join(maps.select("member", "n"), "member")
+    return sifted.unionByName(whole.select("hub", "member", "n")).distinct()
 
 
 def _by_key(batches: Iterator[pa.RecordBatch], keys: int) -> Iterator[list[pa.RecordBatch]]:
@@ -412,23 +414,39 @@ def _by_key(batches: Iterator[pa.RecordBatch], keys: int) -> Iterator[list[pa.Re
         yield held
 
 
-def _sets(docs: DataFrame, text_col: str, wanted: np.ndarray) -> DataFrame:
-    """``(member, n, shingles)`` of the sets that the filter lets through, once a task."""
+def _packed(docs: DataFrame, text_col: str, wanted: np.ndarray) -> DataFrame:
+    """``(member, bytes, text)`` of the sets that the filter lets through, once a task: a
+    compressed text of each. That is a third of its shingles, which are made of it again
+    where sets are compared."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known: set[int] = set()
+        codec = pa.Codec("zstd", 1)
         for batch in passes(batches, 0):
-            ids, sizes, data = [], [], []
-            for s in shingle_sets(texts_of(batch, 0), SHINGLE):
+            texts = texts_of(batch, 0)
+            data, starts = text_bytes(texts)
+            ids, sizes, packed = [], [], []
+            for k, s in enumerate(shingle_sets(texts, SHINGLE)):
                 own = set_id(s)
                 if len(s) and own not in known and passes_filter(wanted, np.array([own]).view(_U))[0]:
                     known.add(own)
                     ids.append(own)
-                    sizes.append(len(s))
-                    data.append(s.tobytes())
-            yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(sizes, pa.int64()), pa.array(data, pa.binary())], names=["member", "n", "shingles"])
+                    sizes.append(int(starts[k + 1] - starts[k]))
+                    packed.append(codec.compress(data[starts[k] : starts[k + 1]].tobytes(), asbytes=True))
+            yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(sizes, pa.int64()), pa.array(packed, pa.binary())], names=["member", "bytes", "text"])
+
+    return docs.select(F.col(text_col).alias("text")).mapInArrow(run, "member bigint, bytes bigint, text binary")
 
-    return docs.select(F.col(text_col).alias("text")).mapInArrow(run, "member bigint, n bigint, shingles binary")
+
+def _unpacked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Batches with the shingles of their texts: (hub, chunk, other, member, shingles, guest)."""
+    codec = pa.Codec("zstd")
+    for batch in passes(batches, _GROUP_ROW.index("bytes")):
+        *keys, sizes, packed, guest = batch.columns
+        texts = [codec.decompress(x, n, asbytes=True) for x, n in zip(packed.to_pylist(), sizes.to_pylist(), strict=True)]
+        sets = shingle_sets(pa.array(texts, pa.large_binary()).view(pa.large_string()), SHINGLE)
+        shingles = pa.array([s.tobytes() for s in sets], pa.large_binary())
+        yield pa.RecordBatch.from_arrays([*keys, shingles, guest], names=[*_GROUP, "member", "shingles", "guest"])
 
 
 def _connect(batches: Iterator[pa.RecordBatch], rest: bool) -> Iterator[pa.RecordBatch]:
@@ -436,7 +454,7 @@ def _connect(batches: Iterator[pa.RecordBatch], rest: bool) -> Iterator[pa.Recor
 
     ``rest``: links are looked for of which one end at least is a guest.
     """
-    for parts in _by_key(batches, 3):
+    for parts in _by_key(_unpacked(batches), 3):
         ids = np.concatenate([p.column(3).to_numpy() for p in parts])
         sets = [np.frombuffer(x, _U) for p in parts for x in p.column(4).to_pylist()]
         guest = np.concatenate([p.column(5).to_numpy(zero_copy_only=False) for p in parts])
@@ -479,49 +497,78 @@ def _chunked(members: DataFrame) -> DataFrame:
 
 
 _GROUP = ["hub", "chunk", "other"]
+_GROUP_ROW = [*_GROUP, "member", "bytes", "text", "guest"]
 
 
-def _compared(placed: DataFrame, sets: DataFrame, rest: bool) -> DataFrame:
-    rows = placed.join(sets.select("member", "shingles"), "member").select(*_GROUP, "member", "shingles", "guest")
+def _compared(placed: DataFrame, packed: DataFrame, rest: bool) -> DataFrame:
+    rows = placed.join(packed.dropDuplicates(["member"]), "member").select(*_GROUP_ROW)
     dealt = rows.repartition(*_GROUP).sortWithinPartitions(*_GROUP)
     return dealt.mapInArrow(functools.partial(_connect, rest=rest), "a bigint, b bigint, left boolean")
 
 
+def _among(packed: DataFrame, members: DataFrame) -> DataFrame:
+    """Rows of ``packed`` that a bounded filter takes for ``members``, found without a shuffle."""
+    wanted = bit_filter(members, "member")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield batch.filter(pa.array(passes_filter(wanted, batch.column(0).to_numpy().view(_U))))
+
+    return packed.mapInArrow(run, packed.schema)
+
+
 def links(docs: DataFrame, text_col: str = "text", rows: DataFrame | None = None) -> DataFrame:
-    """Stored ``(a, b)``: links between set ids that connect exactly what all links do."""
+    """Stored ``(a, b)``: links between set ids that connect exactly what all links do.
+
+    Tables and shuffle files go as soon as nothing reads them: if all texts have near
+    copies, the largest step alone takes most of the disk there is.
+    """
+    spark = docs.sparkSession
+
+    def done(*paths: str) -> None:
+        for path in paths:
+            drop(spark, path)
+        release(spark)
+
     if rows is None:
         rows, _ = written(shingle_rows(docs, text_col, text_col), "jaccard-rows")
     totals = rows.where("set_id is not null").agg(F.count("*").alias("sets"), F.sum(F.col("n") * (100 - PERCENT) / 100 + 1).alias("prefix")).first()
     frequent, rank = _frequent(rows, totals["sets"])
     buckets = max(256, int((totals["prefix"] or 0) // BUCKET_ROWS))
     found, found_path = written(_memberships(_prefix_blobs(docs, text_col, frequent, rank, buckets), buckets, frequent), "jaccard-found")
+    done()
     hot = found.where("shingle is not null")
     # at most MOST_FREQUENT rows; a shingle that one set alone has makes no block
     tops = hot.groupBy("shingle").agg(F.min("hub").alias("top"), F.max("member").alias("last")).where("top != last").select("shingle", "top")
     members = found.where("shingle is null").select("hub", "member").unionByName(hot.join(F.broadcast(tops), "shingle").select(F.col("top").alias("hub"), "member"))
     members, members_path = written(members.distinct(), "jaccard-members")
+    done(found_path)
     blocks, blocks_path = written(_sifted(members, rows), "jaccard-blocks")
-    wanted = bit_filter(blocks.select("member"), "member")
-    sets, sets_path = written(_sets(docs, text_col, wanted).dropDuplicates(["member"]), "jaccard-sets", "snappy")
-    chunked, chunked_path = written(_chunked(blocks.join(sets.select("member", "n"), "member")), "jaccard-chunks")
+    done(members_path)
+    chunked, chunked_path = written(_chunked(blocks), "jaccard-chunks")
     ranges, ranges_path = written(chunked.groupBy("hub", "chunk").agg(F.count("*").alias("sets"), F.min("n").alias("low"), F.max("n").alias("high")), "jaccard-ranges")
+    packed, packed_path = written(_packed(docs, text_col, bit_filter(blocks.select("member"), "member")), "jaccard-packed", "none")
+    done()
     # every chunk with its block's first set, which may be in another chunk
     first_too = ranges.select("hub", "chunk", F.col("hub").alias("member"))
     placed = chunked.select("hub", "chunk", "member").unionByName(first_too).distinct().withColumn("other", F.col("chunk")).withColumn("guest", F.lit(False))
-    first, first_path = written(_compared(placed, sets, False), "jaccard-first")
+    first, first_path = written(_compared(placed, packed, False), "jaccard-first")
+    done()
     # sets of a cut block that are not linked with its first set meet the other chunks
     cut = ranges.groupBy("hub").agg(F.count("*").alias("chunks")).where("chunks > 1").select("hub")
     left = first.where("left").select(F.col("a").alias("hub"), F.col("b").alias("member")).distinct().join(cut, "hub", "left_semi")
-    guests, guests_path = written(_chunked(left.join(sets.select("member", "n"), "member")), "jaccard-guests")
+    guests, guests_path = written(_chunked(left.join(blocks, ["hub", "member"])), "jaccard-guests")
     guest_ranges = guests.groupBy("hub", "chunk").agg(F.min("n").alias("guest_low"), F.max("n").alias("guest_high"))
     fit = (100 * F.col("guest_high") >= PERCENT * F.col("low")) & (100 * F.col("high") >= PERCENT * F.col("guest_low"))
     pairs, pairs_path = written(guest_ranges.join(ranges.select("hub", F.col("chunk").alias("other"), "low", "high"), "hub").where(fit).select(*_GROUP), "jaccard-pairs")
-    met = guests.select("hub", "chunk", "member").join(pairs, ["hub", "chunk"]).select(*_GROUP, "member", F.lit(True).alias("guest"))
-    hosts = chunked.select("hub", F.col("chunk").alias("other"), "member").join(pairs, ["hub", "other"]).select(*_GROUP, "member", F.lit(False).alias("guest"))
-    second = _compared(met.unionByName(hosts), sets, True)
-    out, _ = written(first.where("not left").select("a", "b").unionByName(second.select("a", "b")).distinct(), "jaccard-links")
-    for path in (found_path, members_path, blocks_path, sets_path, chunked_path, ranges_path, first_path, guests_path, pairs_path):
-        drop(docs.sparkSession, path)
+    star = first.where("not left").select("a", "b")
+    if not pairs.isEmpty():
+        met = guests.select("hub", "chunk", "member").join(pairs, ["hub", "chunk"]).select(*_GROUP, "member", F.lit(True).alias("guest"))
+        hosts = chunked.select("hub", F.col("chunk").alias("other"), "member").join(pairs, ["hub", "other"]).select(*_GROUP, "member", F.lit(False).alias("guest"))
+        placed = met.unionByName(hosts)
+        star = star.unionByName(_compared(placed, _among(packed, placed.select("member")), True).select("a", "b"))
+    out, _ = written(star.distinct(), "jaccard-links")
+    done(blocks_path, packed_path, chunked_path, ranges_path, first_path, guests_path, pairs_path)
     return out
 
 
@@ -603,6 +650,7 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     going, _ = written(judged.where("not first or rows > 1").drop("rows"), "jaccard-going")
     for path in (rows_path, counted_path):
         drop(docs.sparkSession, path)
+    release(docs.sparkSession)
     wanted = bit_filter(going.select(F.xxhash64("id", "h").alias("key")), "key")
     # The caller's row is one struct, so no name of its columns can clash with ours.
     whole = F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("doc")
